@@ -3,7 +3,9 @@
 Every query binds the whole star schema to the sales fact (see
 ``ledgerline.sources.star``) and runs one operator of the library on it; the
 oracle is the same computation written as plain SQL for DuckDB over the same
-parquet tables.
+parquet tables (the fact as a CTE). Queries without an oracle are the
+regression outputs, which need a linear solve (checked in pytest against a
+closed form instead).
 """
 
 from __future__ import annotations
@@ -12,10 +14,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.config import DEFAULT
+from ledgerline.operators import (
+    breakdowns as B, charts as C, claims as CL, cleaning as CLN, filters as FL,
+    kpis as K, ml as M, queries as Q, ranking as R, tables as T,
+)
 from ledgerline.sources.star import FACT_SQL, bind_fact
-from ledgerline.operators import queries as Q
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+SEARCH_TEXT = "ica"
+HI = repr(DEFAULT.high_discount)          # 0.08 on the star-schema tables
+BIN = repr(DEFAULT.profit_bin_width)      # profit bin width of the density grid
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -30,45 +39,364 @@ def _on_fact(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, st
     return run
 
 
+def _regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = M.split(M.ml_frame(bind_fact(spark, sf_dir)), "stable")
+    return M.coefficients(M.fit(train), spark)
+
+
+def _regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, metrics = M.run_regression(bind_fact(spark, sf_dir), mode="stable")
+    return metrics
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, preds, _ = M.run_regression(bind_fact(spark, sf_dir), mode="stable")
+    return preds
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        # The reference's SQL reports
         "sales_profit_by_region": _on_fact(Q.sales_profit_by_region),
         "top5_subcategory_profit": _on_fact(Q.top_subcategory_profit),
         "bottom5_subcategory_profit": _on_fact(Q.bottom_subcategory_profit),
         "sales_by_ship_mode": _on_fact(Q.sales_by_ship_mode),
         "profit_by_category": _on_fact(Q.profit_by_category),
         "region_category_profit": _on_fact(Q.region_category_profit),
+        # Cleaning, counts, projections, filters
+        "clean_count": _on_fact(CLN.clean_count),
+        "row_count": _on_fact(FL.row_count),
+        "project_order_lines": _on_fact(FL.project_order_lines),
+        "profitable_orders": _on_fact(FL.profitable_orders),
+        "loss_orders": _on_fact(FL.loss_orders),
+        "high_discount_orders": _on_fact(FL.high_discount_orders),
+        "zero_discount_orders": _on_fact(FL.zero_discount_orders),
+        # A11-A14, A25, grouping sets
+        "breakdown_region": _on_fact(B.breakdown_region),
+        "breakdown_category": _on_fact(B.breakdown_category),
+        "breakdown_subcategory": _on_fact(B.breakdown_subcategory),
+        "breakdown_ship_mode": _on_fact(B.breakdown_ship_mode),
+        "ship_mode_order_share": _on_fact(B.ship_mode_order_share),
+        "breakdown_all_dimensions": _on_fact(B.breakdown_all_dimensions),
+        # KPIs
+        "kpi_totals": _on_fact(K.kpi_totals),
+        "kpi_order_quality": _on_fact(K.kpi_order_quality),
+        "kpi_discount_impact": _on_fact(K.kpi_discount_impact),
+        "kpi_summary": _on_fact(K.kpi_summary),
+        "kpi_extremes": _on_fact(K.kpi_extremes),
+        # extremes
+        "top_region": _on_fact(R.top_region),
+        "bottom_region": _on_fact(R.bottom_region),
+        "top_category": _on_fact(R.top_category),
+        "best_subcategory": _on_fact(R.best_subcategory),
+        "worst_subcategory": _on_fact(R.worst_subcategory),
+        "top_ship_mode_share": _on_fact(R.top_ship_mode_share),
+        # V1-V5: chart series
+        "chart_region_sales": _on_fact(C.chart_region_sales),
+        "chart_category_profit": _on_fact(C.chart_category_profit),
+        "top10_subcategory_sales": _on_fact(C.top10_subcategory_sales),
+        "discount_profit_points": _on_fact(C.discount_profit_points),
+        "discount_profit_density": _on_fact(C.discount_profit_density),
+        "chart_ship_mode_share": _on_fact(C.chart_ship_mode_share),
+        # Report tables and search
+        "formatted_region_table": _on_fact(T.formatted_region_table),
+        "formatted_category_table": _on_fact(T.formatted_category_table),
+        "formatted_subcategory_table": _on_fact(T.formatted_subcategory_table),
+        "formatted_ship_mode_table": _on_fact(T.formatted_ship_mode_table),
+        "search_breakdown": _on_fact(lambda f: T.search_breakdown(f, SEARCH_TEXT)),
+        # claims
+        "high_discount_loss_rate": _on_fact(CL.high_discount_loss_rate),
+        "subcategory_discount_band_profit": _on_fact(CL.subcategory_discount_band_profit),
+        # regression
+        "index_segment": _on_fact(lambda f: M.label_index(f, "segment")),
+        "index_category": _on_fact(lambda f: M.label_index(f, "category")),
+        "index_region": _on_fact(lambda f: M.label_index(f, "region")),
+        "index_ship_mode": _on_fact(lambda f: M.label_index(f, "ship_mode")),
+        "feature_matrix": _on_fact(M.feature_matrix),
+        "train_test_counts": _on_fact(M.train_test_counts),
+        "regression_coefficients": _regression_coefficients,
+        "regression_metrics": _regression_metrics,
+        "predictions": _predictions,
     }
 
 
+# ---------------------------------------------------------------------------
+# Oracle SQL (DuckDB)
+# ---------------------------------------------------------------------------
+
 def _fact(body: str) -> str:
     return f"WITH fact AS ({FACT_SQL})\n{body}"
 
 
+MONEY_S = "CAST(ROUND(SUM(sales), 2) AS DOUBLE)"
+MONEY_P = "CAST(ROUND(SUM(profit), 2) AS DOUBLE)"
+MARGIN = "ROUND(CAST(SUM(profit) AS DOUBLE) / NULLIF(CAST(SUM(sales) AS DOUBLE), 0) * 100, {n})"
+LINES = ("CAST(sales AS DOUBLE) AS sales, CAST(quantity AS DOUBLE) AS quantity, "
+         "CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit")
+
+
+def _pct(num: str, den: str, n: int) -> str:
+    return f"ROUND(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) * 100, {n})"
+
+
+def _mean(expr: str, cond: str) -> str:
+    return (f"CAST(SUM({expr}) FILTER (WHERE {cond}) AS DOUBLE) / "
+            f"NULLIF(CAST(COUNT({expr}) FILTER (WHERE {cond}) AS DOUBLE), 0)")
+
+
+def _breakdown(dim: str, sort: str) -> str:
+    return _fact(f"""
+SELECT {dim}, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit, COUNT(*) AS total_orders,
+       {MARGIN.format(n=1)} AS margin_pct
+FROM fact GROUP BY {dim} ORDER BY {sort} DESC, {dim}""")
+
+
+def _money_table(dim: str, sort: str) -> str:
+    return f"""
+SELECT {dim},
+       format('${{:,.0f}}', CAST(SUM(sales) AS DOUBLE)) AS sales_label,
+       format('${{:,.0f}}', CAST(SUM(profit) AS DOUBLE)) AS profit_label,
+       CASE WHEN SUM(profit) > 0 THEN 'pos' ELSE 'neg' END AS profit_class,
+       CAST({MARGIN.format(n=1)} AS VARCHAR) || '%' AS margin_label
+FROM fact GROUP BY {dim} ORDER BY SUM({sort}) DESC, {dim}"""
+
+
+def _rank(dim: str, measure: str, direction: str, name: str) -> str:
+    return _fact(f"""
+SELECT {dim}, CAST(ROUND(SUM({measure}), 2) AS DOUBLE) AS {name}
+FROM fact GROUP BY {dim} ORDER BY SUM({measure}) {direction}, {dim} LIMIT 1""")
+
+
+def _label_index(col: str) -> str:
+    return _fact(f"""
+SELECT {col}, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {col}) - 1 AS DOUBLE) AS {col}_idx
+FROM fact GROUP BY {col}""")
+
+
 def oracle_sql() -> dict[str, str]:
+    hi = f"discount >= {HI}"
     return {
-        "sales_profit_by_region": _fact("""
-SELECT region, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales,
-       CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit
+        "sales_profit_by_region": _fact(f"""
+SELECT region, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit
 FROM fact GROUP BY region ORDER BY total_sales DESC, region"""),
-        "top5_subcategory_profit": _fact("""
-SELECT sub_category, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit
+        "top5_subcategory_profit": _fact(f"""
+SELECT sub_category, {MONEY_P} AS total_profit
 FROM fact GROUP BY sub_category ORDER BY total_profit DESC, sub_category LIMIT 5"""),
-        "bottom5_subcategory_profit": _fact("""
-SELECT sub_category, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit
+        "bottom5_subcategory_profit": _fact(f"""
+SELECT sub_category, {MONEY_P} AS total_profit
 FROM fact GROUP BY sub_category ORDER BY total_profit ASC, sub_category LIMIT 5"""),
-        "sales_by_ship_mode": _fact("""
-SELECT ship_mode, COUNT(*) AS total_orders,
-       CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales
+        "sales_by_ship_mode": _fact(f"""
+SELECT ship_mode, COUNT(*) AS total_orders, {MONEY_S} AS total_sales
 FROM fact GROUP BY ship_mode ORDER BY total_sales DESC, ship_mode"""),
-        "profit_by_category": _fact("""
-SELECT category, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales,
-       CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit,
+        "profit_by_category": _fact(f"""
+SELECT category, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit,
        ROUND(CAST(SUM(CAST(discount AS DECIMAL(4,2))) AS DOUBLE) / COUNT(discount), 3)
          AS avg_discount
 FROM fact GROUP BY category ORDER BY total_profit DESC, category"""),
-        "region_category_profit": _fact("""
-SELECT region, category, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales,
-       CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit
+        "region_category_profit": _fact(f"""
+SELECT region, category, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit
 FROM fact GROUP BY region, category ORDER BY total_profit DESC, region, category"""),
+
+        "clean_count": _fact("""
+SELECT COUNT(*) AS rows_in,
+       COUNT(*) FILTER (WHERE order_key IS NOT NULL AND region IS NOT NULL
+         AND segment IS NOT NULL AND category IS NOT NULL AND sub_category IS NOT NULL
+         AND ship_mode IS NOT NULL AND quantity IS NOT NULL AND NOT isnan(quantity)
+         AND discount IS NOT NULL AND NOT isnan(discount) AND sales IS NOT NULL
+         AND profit IS NOT NULL) AS rows_out
+FROM fact"""),
+        "row_count": _fact("SELECT COUNT(*) AS total_orders FROM fact"),
+        "project_order_lines": _fact(f"SELECT {LINES} FROM fact"),
+        "profitable_orders": _fact(f"SELECT {LINES} FROM fact WHERE profit > 0"),
+        "loss_orders": _fact(f"SELECT {LINES} FROM fact WHERE profit < 0"),
+        "high_discount_orders": _fact(f"SELECT {LINES} FROM fact WHERE {hi}"),
+        "zero_discount_orders": _fact(f"SELECT {LINES} FROM fact WHERE discount = 0"),
+
+        "breakdown_region": _breakdown("region", "total_sales"),
+        "breakdown_category": _breakdown("category", "total_profit"),
+        "breakdown_subcategory": _breakdown("sub_category", "total_profit"),
+        "breakdown_ship_mode": _fact(f"""
+SELECT ship_mode, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit, COUNT(*) AS total_orders,
+       {_pct("SUM(sales)", "ROUND(SUM(SUM(sales)) OVER (), 2)", 1)} AS share_pct
+FROM fact GROUP BY ship_mode ORDER BY total_sales DESC, ship_mode"""),
+        "ship_mode_order_share": _fact(f"""
+SELECT ship_mode, COUNT(*) AS total_orders,
+       {_pct("COUNT(*)", "SUM(COUNT(*)) OVER ()", 1)} AS order_share_pct
+FROM fact GROUP BY ship_mode ORDER BY total_orders DESC, ship_mode"""),
+        "breakdown_all_dimensions": _fact(f"""
+SELECT CASE WHEN GROUPING(region) = 0 THEN 'region'
+            WHEN GROUPING(category) = 0 THEN 'category'
+            WHEN GROUPING(sub_category) = 0 THEN 'sub_category'
+            WHEN GROUPING(ship_mode) = 0 THEN 'ship_mode' ELSE 'all' END AS dimension,
+       COALESCE(region, category, sub_category, ship_mode) AS dim_value,
+       {MONEY_S} AS total_sales, {MONEY_P} AS total_profit, COUNT(*) AS total_orders,
+       {MARGIN.format(n=1)} AS margin_pct
+FROM fact
+GROUP BY GROUPING SETS ((region), (category), (sub_category), (ship_mode), ())"""),
+
+        "kpi_totals": _fact(f"""
+SELECT {MONEY_S} AS total_sales, {MONEY_P} AS total_profit, COUNT(*) AS total_orders,
+       {MARGIN.format(n=2)} AS profit_margin_pct,
+       ROUND(CAST(SUM(sales) AS DOUBLE) / NULLIF(CAST(COUNT(sales) AS DOUBLE), 0), 2)
+         AS avg_order_value,
+       ROUND(CAST(SUM(CAST(discount AS DECIMAL(4,2))) AS DOUBLE)
+             / NULLIF(CAST(COUNT(discount) AS DOUBLE), 0) * 100, 1) AS avg_discount_pct
+FROM fact"""),
+        "kpi_order_quality": _fact(f"""
+SELECT total_orders, profitable_orders, loss_orders,
+       total_orders - profitable_orders - loss_orders AS breakeven_orders,
+       {_pct("profitable_orders", "total_orders", 1)} AS profit_pct,
+       {_pct("loss_orders", "total_orders", 1)} AS loss_pct
+FROM (SELECT COUNT(*) AS total_orders,
+             COUNT(*) FILTER (WHERE profit > 0) AS profitable_orders,
+             COUNT(*) FILTER (WHERE profit < 0) AS loss_orders FROM fact) t"""),
+        "kpi_discount_impact": _fact(f"""
+SELECT high_disc_count, {_pct("high_disc_count", "n", 1)} AS high_disc_pct,
+       ROUND(hi_mean, 2) AS high_disc_avg_profit,
+       ABS(ROUND(hi_mean, 2)) AS high_disc_abs_avg_profit,
+       ROUND(zero_mean, 2) AS zero_disc_avg_profit,
+       ROUND(ROUND(zero_mean, 2) - ROUND(hi_mean, 2), 2) AS discount_profit_gap
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE {hi}) AS high_disc_count,
+             {_mean("profit", hi)} AS hi_mean,
+             {_mean("profit", "discount = 0")} AS zero_mean FROM fact) t"""),
+        "kpi_summary": _fact(f"""
+SELECT CAST(ROUND(s, 2) AS DOUBLE) AS total_sales, CAST(ROUND(p, 2) AS DOUBLE) AS total_profit,
+       total_orders, ROUND(CAST(p AS DOUBLE) / NULLIF(CAST(s AS DOUBLE), 0) * 100, 2)
+         AS profit_margin_pct,
+       ROUND(CAST(s AS DOUBLE) / NULLIF(CAST(ns AS DOUBLE), 0), 2) AS avg_order_value,
+       ROUND(CAST(d AS DOUBLE) / NULLIF(CAST(nd AS DOUBLE), 0) * 100, 1) AS avg_discount_pct,
+       profitable_orders, loss_orders,
+       {_pct("profitable_orders", "total_orders", 1)} AS profit_pct,
+       {_pct("loss_orders", "total_orders", 1)} AS loss_pct,
+       high_disc_count, {_pct("high_disc_count", "total_orders", 1)} AS high_disc_pct,
+       ROUND(hi_mean, 2) AS high_disc_avg_profit, ROUND(zero_mean, 2) AS zero_disc_avg_profit,
+       ROUND(ROUND(zero_mean, 2) - ROUND(hi_mean, 2), 2) AS discount_profit_gap
+FROM (SELECT SUM(sales) AS s, SUM(profit) AS p, COUNT(*) AS total_orders,
+             SUM(CAST(discount AS DECIMAL(4,2))) AS d, COUNT(discount) AS nd,
+             COUNT(sales) AS ns,
+             COUNT(*) FILTER (WHERE profit > 0) AS profitable_orders,
+             COUNT(*) FILTER (WHERE profit < 0) AS loss_orders,
+             COUNT(*) FILTER (WHERE {hi}) AS high_disc_count,
+             {_mean("profit", hi)} AS hi_mean,
+             {_mean("profit", "discount = 0")} AS zero_mean FROM fact) t"""),
+        "kpi_extremes": _fact("""
+, r AS (SELECT region AS k, SUM(sales) AS s, SUM(profit) AS p FROM fact GROUP BY region)
+, c AS (SELECT category AS k, SUM(sales) AS s, SUM(profit) AS p FROM fact GROUP BY category)
+, sc AS (SELECT sub_category AS k, SUM(sales) AS s, SUM(profit) AS p FROM fact GROUP BY sub_category)
+, sm AS (SELECT ship_mode AS k, SUM(sales) AS s, SUM(profit) AS p FROM fact GROUP BY ship_mode)
+, tot AS (SELECT SUM(sales) AS s FROM fact)
+SELECT (SELECT k FROM r ORDER BY s DESC, k LIMIT 1) AS top_region,
+       (SELECT CAST(ROUND(s, 2) AS DOUBLE) FROM r ORDER BY s DESC, k LIMIT 1) AS top_region_sales,
+       (SELECT CAST(ROUND(p, 2) AS DOUBLE) FROM r ORDER BY s DESC, k LIMIT 1) AS top_region_own_profit,
+       (SELECT CAST(ROUND(MAX(p), 2) AS DOUBLE) FROM r) AS max_region_profit,
+       (SELECT k FROM r ORDER BY s ASC, k LIMIT 1) AS bottom_region,
+       (SELECT k FROM c ORDER BY p DESC, k LIMIT 1) AS top_category,
+       (SELECT CAST(ROUND(p, 2) AS DOUBLE) FROM c ORDER BY p DESC, k LIMIT 1) AS top_category_profit,
+       (SELECT k FROM sc ORDER BY p DESC, k LIMIT 1) AS best_subcategory,
+       (SELECT CAST(ROUND(p, 2) AS DOUBLE) FROM sc ORDER BY p DESC, k LIMIT 1)
+         AS best_subcategory_profit,
+       (SELECT k FROM sc ORDER BY p ASC, k LIMIT 1) AS worst_subcategory,
+       (SELECT CAST(ROUND(p, 2) AS DOUBLE) FROM sc ORDER BY p ASC, k LIMIT 1)
+         AS worst_subcategory_profit,
+       (SELECT ABS(CAST(ROUND(p, 2) AS DOUBLE)) FROM sc ORDER BY p ASC, k LIMIT 1)
+         AS worst_subcategory_abs_loss,
+       (SELECT k FROM sm ORDER BY s DESC, k LIMIT 1) AS top_ship_mode,
+       (SELECT ROUND(CAST(sm.s AS DOUBLE) / NULLIF(CAST(ROUND(tot.s, 2) AS DOUBLE), 0) * 100, 1)
+          FROM sm, tot ORDER BY sm.s DESC, sm.k LIMIT 1) AS top_ship_mode_share_pct"""
+                              ).replace("WITH fact AS (", "WITH fact AS (", 1),
+
+        "top_region": _rank("region", "sales", "DESC", "total_sales"),
+        "bottom_region": _rank("region", "sales", "ASC", "total_sales"),
+        "top_category": _rank("category", "profit", "DESC", "total_profit"),
+        "best_subcategory": _rank("sub_category", "profit", "DESC", "total_profit"),
+        "worst_subcategory": _fact("""
+SELECT sub_category, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit,
+       ABS(CAST(ROUND(SUM(profit), 2) AS DOUBLE)) AS abs_profit
+FROM fact GROUP BY sub_category ORDER BY SUM(profit) ASC, sub_category LIMIT 1"""),
+        "top_ship_mode_share": _fact(f"""
+SELECT ship_mode, total_sales, share_pct FROM (
+  SELECT ship_mode, {MONEY_S} AS total_sales, SUM(sales) AS s,
+         {_pct("SUM(sales)", "ROUND(SUM(SUM(sales)) OVER (), 2)", 1)} AS share_pct
+  FROM fact GROUP BY ship_mode) t
+ORDER BY s DESC, ship_mode LIMIT 1"""),
+
+        "chart_region_sales": _fact(f"""
+SELECT region, {MONEY_S} AS total_sales,
+       format('${{:,.0f}}', CAST(SUM(sales) AS DOUBLE)) AS value_label
+FROM fact GROUP BY region ORDER BY SUM(sales) DESC, region"""),
+        "chart_category_profit": _fact(f"""
+SELECT category, {MONEY_P} AS total_profit,
+       format('${{:,.0f}}', CAST(SUM(profit) AS DOUBLE)) AS value_label
+FROM fact GROUP BY category ORDER BY SUM(profit) DESC, category"""),
+        "top10_subcategory_sales": _fact(f"""
+SELECT sales_rank, sub_category, total_sales, sales_rank <= 3 AS highlight FROM (
+  SELECT ROW_NUMBER() OVER (ORDER BY SUM(sales) DESC, sub_category) AS sales_rank,
+         sub_category, {MONEY_S} AS total_sales
+  FROM fact GROUP BY sub_category) t
+WHERE sales_rank <= 10 ORDER BY sales_rank"""),
+        "discount_profit_points": _fact(f"""
+SELECT CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit,
+       CASE WHEN profit < 0 THEN 'loss' ELSE 'profit' END AS point_class,
+       CASE WHEN {hi} THEN 'high' ELSE 'low' END AS discount_side
+FROM fact"""),
+        "discount_profit_density": _fact(f"""
+SELECT CAST(discount AS DOUBLE) AS discount,
+       CAST(FLOOR(CAST(profit AS DOUBLE) / {BIN}) AS BIGINT) AS profit_bin,
+       CASE WHEN profit < 0 THEN 'loss' ELSE 'profit' END AS point_class,
+       COUNT(*) AS points
+FROM fact GROUP BY 1, 2, 3 ORDER BY 1, 2, 3"""),
+        "chart_ship_mode_share": _fact(f"""
+SELECT ship_mode, {MONEY_S} AS total_sales,
+       {_pct("SUM(sales)", "SUM(SUM(sales)) OVER ()", 1)} AS share_pct
+FROM fact GROUP BY ship_mode ORDER BY ship_mode"""),
+
+        "formatted_region_table": _fact(_money_table("region", "sales")),
+        "formatted_category_table": _fact(_money_table("category", "profit")),
+        "formatted_subcategory_table": _fact(_money_table("sub_category", "profit")),
+        "formatted_ship_mode_table": _fact(f"""
+SELECT ship_mode, format('{{:,}}', COUNT(*)) AS orders_label,
+       format('${{:,.0f}}', CAST(SUM(sales) AS DOUBLE)) AS sales_label,
+       format('${{:,.0f}}', CAST(SUM(profit) AS DOUBLE)) AS profit_label,
+       CASE WHEN SUM(profit) > 0 THEN 'pos' ELSE 'neg' END AS profit_class,
+       CAST({_pct("SUM(sales)", "ROUND(SUM(SUM(sales)) OVER (), 2)", 1)} AS VARCHAR) || '%'
+         AS share_label
+FROM fact GROUP BY ship_mode ORDER BY SUM(sales) DESC, ship_mode"""),
+        "search_breakdown": _fact(f"""
+SELECT * FROM ({_money_table("region", "sales")}) t
+WHERE contains(lower(concat_ws('', region, sales_label, profit_label, margin_label)),
+               '{SEARCH_TEXT}')"""),
+
+        "high_discount_loss_rate": _fact(f"""
+SELECT high_disc_orders, high_disc_loss_orders,
+       {_pct("high_disc_loss_orders", "high_disc_orders", 1)} AS loss_rate_pct
+FROM (SELECT COUNT(*) FILTER (WHERE {hi}) AS high_disc_orders,
+             COUNT(*) FILTER (WHERE {hi} AND profit < 0) AS high_disc_loss_orders
+      FROM fact) t"""),
+        "subcategory_discount_band_profit": _fact(f"""
+SELECT sub_category, CASE WHEN {hi} THEN 'high' ELSE 'low' END AS discount_band,
+       {MONEY_P} AS total_profit, COUNT(*) AS total_orders
+FROM fact GROUP BY 1, 2 ORDER BY 1, 2"""),
+
+        "index_segment": _label_index("segment"),
+        "index_category": _label_index("category"),
+        "index_region": _label_index("region"),
+        "index_ship_mode": _label_index("ship_mode"),
+        "feature_matrix": _fact("""
+, seg AS (SELECT segment, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, segment) - 1 AS i
+          FROM fact GROUP BY segment)
+, cat AS (SELECT category, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, category) - 1 AS i
+          FROM fact GROUP BY category)
+, reg AS (SELECT region, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, region) - 1 AS i
+          FROM fact GROUP BY region)
+, shp AS (SELECT ship_mode, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, ship_mode) - 1 AS i
+          FROM fact GROUP BY ship_mode)
+SELECT CAST(f.sales AS DOUBLE) AS sales, CAST(f.quantity AS DOUBLE) AS quantity,
+       CAST(f.discount AS DOUBLE) AS discount, CAST(seg.i AS DOUBLE) AS segment_idx,
+       CAST(cat.i AS DOUBLE) AS category_idx, CAST(reg.i AS DOUBLE) AS region_idx,
+       CAST(shp.i AS DOUBLE) AS ship_mode_idx
+FROM fact f JOIN seg USING (segment) JOIN cat USING (category)
+     JOIN reg USING (region) JOIN shp USING (ship_mode)"""),
+        "train_test_counts": _fact("""
+SELECT CASE WHEN order_key % 5 = 4 THEN 'test' ELSE 'train' END AS split, COUNT(*) AS rows
+FROM fact GROUP BY 1"""),
     }
