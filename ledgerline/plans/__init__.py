@@ -1,0 +1 @@
+"""Whole-job plans: fact materialisation, the full report, plan inspection."""
