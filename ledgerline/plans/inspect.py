@@ -20,9 +20,8 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def physical_section(df: DataFrame) -> str:
-    """The operator tree of the formatted plan (before the node details)."""
-    text = plan_text(df, "formatted")
-    return text.split("\n\n\n", 1)[0]
+    """The physical operator tree with each node's arguments (simple mode)."""
+    return plan_text(df, "simple")
 
 
 def count_nodes(df: DataFrame, name: str) -> int:

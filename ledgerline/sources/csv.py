@@ -74,7 +74,7 @@ def to_model(df: DataFrame, null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS)
         target = CSV_HEADER_TO_MODEL.get(name)
         c = F.col(f"`{name}`")
         if target in casts:
-            as_double = F.try_cast(c, "double") if _is_string(df, name) else c.cast("double")
+            as_double = c.try_cast("double") if _is_string(df, name) else c.cast("double")
             if casts[target].startswith("decimal"):
                 c = F.when(F.isnan(as_double), F.lit(None)).otherwise(as_double) \
                      .cast(casts[target])

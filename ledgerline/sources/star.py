@@ -66,7 +66,7 @@ def order_side(spark: SparkSession, sf_dir: str,
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     def maybe(df: DataFrame, name: str) -> DataFrame:
-        return F.broadcast(df) if small.get(name) else df
+        return F.broadcast(df) if small.get(name) else df.hint("merge")
 
     # nation x region first: both tiny, so the customer rows meet one
     # small geo table instead of two joins.
@@ -77,8 +77,8 @@ def order_side(spark: SparkSession, sf_dir: str,
         geo = F.broadcast(geo)
     cust = maybe(customer, "customer").join(geo, customer.c_nationkey == geo.n_nationkey) \
         .select("c_custkey", "c_mktsegment", "r_name")
-    if small.get("customer") and small.get("nation") and small.get("region"):
-        cust = F.broadcast(cust)
+    cust = (F.broadcast(cust) if small.get("customer") and small.get("nation")
+            and small.get("region") else cust.hint("merge"))
     return (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .select(F.col("o_orderkey"),
                     F.col("o_orderpriority").alias("ship_mode"),
@@ -156,10 +156,12 @@ def _bind(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
     lines = line_side(spark, sf_dir)
     if all(small.values()):
         return _star_pipeline(spark, sf_dir, spread(spark, lines, "l_orderkey"))
-    orders = order_side(spark, sf_dir, small)
+    # Beyond the bound the order side is large: join it by shuffle. The merge
+    # hint keeps Spark's file-size estimate from broadcasting the line side
+    # instead; the part side is broadcast only if it passed its own check.
+    orders = order_side(spark, sf_dir, small).hint("merge")
     parts = part_side(spark, sf_dir)
-    if small["part"]:
-        parts = F.broadcast(parts)
+    parts = F.broadcast(parts) if small["part"] else parts.hint("merge")
     fact = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
             .join(parts, lines.l_partkey == parts.p_partkey))
     return _fact_columns(fact)

@@ -1,0 +1,76 @@
+"""Regression: closed-form ridge solution, metrics, label order, unseen labels."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
+
+from ledgerline.operators import ml as M
+
+
+@pytest.fixture(scope="module")
+def fitted(fact_small):
+    train, test = M.split(M.ml_frame(fact_small), "stable")
+    model = M.fit(train)
+    return train, test, model
+
+
+def test_closed_form_coefficients(fitted):
+    train, _, model = fitted
+    feats = model.stages[0].transform(train).select(*M.FEATURES, "profit").toPandas()
+    X = feats[list(M.FEATURES)].to_numpy(float)
+    y = feats["profit"].to_numpy(float)
+    n = len(y)
+    mx, sx = X.mean(0), X.std(0)
+    my, sy = y.mean(), y.std()
+    Xs, ys = (X - mx) / sx, (y - my) / sy
+    w = np.linalg.solve(Xs.T @ Xs / n + (0.3 / sy) * np.eye(X.shape[1]), Xs.T @ ys / n)
+    coef = w * sy / sx
+    intercept = my - coef @ mx
+    lr = model.stages[-1]
+    assert np.allclose(lr.coefficients.toArray(), coef, rtol=1e-6, atol=1e-6)
+    assert abs(lr.intercept - intercept) < 1e-4 * max(1.0, abs(intercept))
+
+
+def test_metrics_match_evaluator(fitted):
+    _, test, model = fitted
+    preds = M.score(model, test)
+    m = M.metrics(preds).collect()[0]
+    rmse = RegressionEvaluator(labelCol="profit", metricName="rmse").evaluate(preds)
+    r2 = RegressionEvaluator(labelCol="profit", metricName="r2").evaluate(preds)
+    assert m.rmse == pytest.approx(rmse, rel=1e-9)
+    assert m.r2 == pytest.approx(r2, rel=1e-9, abs=1e-12)
+    assert m.test_rows == test.count()
+
+
+def test_split_uses_every_row(fact_small):
+    frame = M.ml_frame(fact_small)
+    train, test = M.split(frame, "random")
+    assert train.count() + test.count() == frame.count()
+    counts = {r.split: r.rows for r in M.train_test_counts(fact_small).collect()}
+    assert counts["train"] + counts["test"] == frame.count()
+
+
+def test_label_order_frequency_then_alpha(fact_small):
+    got = {r.ship_mode: r.ship_mode_idx for r in M.label_index(fact_small, "ship_mode").collect()}
+    freq = sorted(((-r["count"], r.ship_mode) for r in
+                   fact_small.groupBy("ship_mode").count().collect()))
+    assert [got[k] for _, k in freq] == [float(i) for i in range(len(freq))]
+
+
+def test_unseen_label_modes(spark, fact_small):
+    frame = M.ml_frame(fact_small)
+    train = frame.filter(F.col("ship_mode") != "5-LOW")
+    test = frame.filter(F.col("ship_mode") == "5-LOW").limit(5)
+    with pytest.raises(Exception):
+        M.score(M.fit(train, "error"), test).collect()
+    assert M.score(M.fit(train, "skip"), test).count() == 0
+    assert M.score(M.fit(train, "keep"), test).count() == 5
+
+
+def test_feature_matrix_shape(fact_small):
+    fm = M.feature_matrix(fact_small)
+    assert fm.columns == list(M.FEATURES)
+    assert fm.count() == fact_small.count()
