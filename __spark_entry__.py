@@ -107,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # claims
         "high_discount_loss_rate": _on_fact(CL.high_discount_loss_rate),
         "subcategory_discount_band_profit": _on_fact(CL.subcategory_discount_band_profit),
+        "category_discount_rank": _on_fact(CL.category_discount_rank),
         # regression
         "index_segment": _on_fact(lambda f: M.label_index(f, "segment")),
         "index_category": _on_fact(lambda f: M.label_index(f, "category")),
@@ -377,6 +378,15 @@ SELECT sub_category, CASE WHEN {hi} THEN 'high' ELSE 'low' END AS discount_band,
        {MONEY_P} AS total_profit, COUNT(*) AS total_orders
 FROM fact GROUP BY 1, 2 ORDER BY 1, 2"""),
 
+        "category_discount_rank": _fact("""
+SELECT category, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit,
+       ROUND(CAST(SUM(CAST(discount AS DECIMAL(4,2))) AS DOUBLE)
+             / NULLIF(CAST(COUNT(discount) AS DOUBLE), 0), 3) AS avg_discount,
+       ROW_NUMBER() OVER (ORDER BY SUM(profit) DESC, category) AS profit_rank,
+       ROW_NUMBER() OVER (ORDER BY CAST(SUM(CAST(discount AS DECIMAL(4,2))) AS DOUBLE)
+                          / NULLIF(CAST(COUNT(discount) AS DOUBLE), 0) ASC, category) AS discount_rank
+FROM fact GROUP BY category"""),
+
         "index_segment": _label_index("segment"),
         "index_category": _label_index("category"),
         "index_region": _label_index("region"),

@@ -3,11 +3,11 @@ prints these as prose regardless of the data)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT, MONEY_SCALE, TABLE_PCT_SCALE, AnalyticsConfig
-from ledgerline.functions.money import pct
+from ledgerline.functions.money import avg_of, pct
 from ledgerline.functions.predicates import is_high_discount, is_loss
 
 
@@ -30,3 +30,19 @@ def subcategory_discount_band_profit(fact: DataFrame, cfg: AnalyticsConfig = DEF
                  F.count(F.lit(1)).alias("total_orders"))
             .orderBy("sub_category", "discount_band"))
 
+
+
+def category_discount_rank(fact: DataFrame) -> DataFrame:
+    """"The top category is the most profitable partly because it is
+    discounted least": each category's profit rank and mean-discount rank
+    (1 = least discounted). The claim holds when the row with
+    ``profit_rank`` 1 also has ``discount_rank`` 1. Ranks run over the
+    aggregated rows (one per category), ties broken by the key."""
+    g = fact.groupBy("category").agg(F.sum("profit").alias("_p"),
+                                     avg_of(F.col("discount").cast("decimal(4,2)")).alias("_d"))
+    return g.select(
+        "category",
+        F.round("_p", MONEY_SCALE).cast("double").alias("total_profit"),
+        F.round("_d", 3).alias("avg_discount"),
+        F.row_number().over(Window.orderBy(F.desc("_p"), "category")).alias("profit_rank"),
+        F.row_number().over(Window.orderBy(F.asc("_d"), "category")).alias("discount_rank"))

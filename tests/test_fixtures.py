@@ -132,3 +132,10 @@ def test_formatting_matches_python(fact):
 def test_search_is_case_insensitive(fact):
     assert [r.region for r in T.search_breakdown(fact, "wEsT").collect()] == ["West"]
     assert T.search_breakdown(fact, "").count() == 3
+
+
+def test_bottom_five_only_losses(fact):
+    from ledgerline.operators import queries as Q
+    assert [r.sub_category for r in Q.bottom_subcategory_profit(fact, only_losses=True).collect()] \
+        == ["Binders"]
+    assert Q.bottom_subcategory_profit(fact).count() == 5

@@ -48,6 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_query_has_oracle_or_is_ml():
     missing = set(E.queries()) - set(ORACLE)
     assert missing == {"regression_coefficients", "regression_metrics", "predictions"}
+    assert len(E.queries()) == len(ORACLE) + 3
 
 
 def test_entry_smoke(spark):
