@@ -38,7 +38,7 @@ def top10_subcategory_sales(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) ->
     then the rank window over those k rows only."""
     top = (fact.groupBy("sub_category").agg(F.sum("sales").alias("_v"))
            .orderBy(F.desc("_v"), F.asc("sub_category")).limit(cfg.chart_top_k))
-    rank = F.row_number().over(Window.orderBy(F.desc("_v"), F.asc("sub_category")))
+    rank = F.row_number().over(Window.orderBy(F.desc("_v"), F.asc("sub_category"))).cast("bigint")
     return (top.withColumn("sales_rank", rank)
             .select("sales_rank", "sub_category",
                     F.round("_v", MONEY_SCALE).cast("double").alias("total_sales"),

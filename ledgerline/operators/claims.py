@@ -44,5 +44,7 @@ def category_discount_rank(fact: DataFrame) -> DataFrame:
         "category",
         F.round("_p", MONEY_SCALE).cast("double").alias("total_profit"),
         F.round("_d", 3).alias("avg_discount"),
-        F.row_number().over(Window.orderBy(F.desc("_p"), "category")).alias("profit_rank"),
-        F.row_number().over(Window.orderBy(F.asc("_d"), "category")).alias("discount_rank"))
+        F.row_number().over(Window.orderBy(F.desc("_p"), "category")).cast("bigint")
+        .alias("profit_rank"),
+        F.row_number().over(Window.orderBy(F.asc("_d"), "category")).cast("bigint")
+        .alias("discount_rank"))
