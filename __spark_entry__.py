@@ -19,6 +19,7 @@ from ledgerline.operators import (
     breakdowns as B, charts as C, claims as CL, cleaning as CLN, filters as FL,
     kpis as K, ml as M, queries as Q, ranking as R, tables as T,
 )
+from ledgerline.plans.rollup import build_rollup, rollup_table
 from ledgerline.sources.star import FACT_SQL, bind_fact
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -104,6 +105,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "formatted_subcategory_table": _on_fact(T.formatted_subcategory_table),
         "formatted_ship_mode_table": _on_fact(T.formatted_ship_mode_table),
         "search_breakdown": _on_fact(lambda f: T.search_breakdown(f, SEARCH_TEXT)),
+        "breakdown_sign_class": _on_fact(T.breakdown_sign_class),
+        # the report rollup every aggregate section can be derived from
+        "report_rollup": _on_fact(lambda f: rollup_table(build_rollup(f))),
         # claims
         "high_discount_loss_rate": _on_fact(CL.high_discount_loss_rate),
         "subcategory_discount_band_profit": _on_fact(CL.subcategory_discount_band_profit),
@@ -367,6 +371,35 @@ SELECT * FROM ({_money_table("region", "sales")}) t
 WHERE contains(lower(concat_ws('', region, sales_label, profit_label, margin_label)),
                '{SEARCH_TEXT}')"""),
 
+        "breakdown_sign_class": _fact(f"""
+SELECT CASE WHEN GROUPING(region) = 0 THEN 'region'
+            WHEN GROUPING(category) = 0 THEN 'category'
+            WHEN GROUPING(sub_category) = 0 THEN 'sub_category' ELSE 'ship_mode' END AS dimension,
+       COALESCE(region, category, sub_category, ship_mode) AS dim_value,
+       {MONEY_P} AS total_profit,
+       CASE WHEN SUM(profit) > 0 THEN 'pos' ELSE 'neg' END AS profit_class
+FROM fact
+GROUP BY GROUPING SETS ((region), (category), (sub_category), (ship_mode))
+ORDER BY dimension, dim_value"""),
+        "report_rollup": _fact(f"""
+SELECT region, category, sub_category, ship_mode,
+       {MONEY_S} AS m_sales, {MONEY_P} AS m_profit, COUNT(*) AS m_orders,
+       COUNT(sales) AS m_sales_n,
+       CAST(ROUND(SUM(CAST(discount AS DECIMAL(4,2))), 2) AS DOUBLE) AS m_disc_sum,
+       COUNT(discount) AS m_disc_n,
+       COUNT(*) FILTER (WHERE profit > 0) AS m_profitable,
+       COUNT(*) FILTER (WHERE profit < 0) AS m_loss,
+       COUNT(*) FILTER (WHERE {hi}) AS m_hi_orders,
+       COUNT(*) FILTER (WHERE {hi} AND profit < 0) AS m_hi_loss,
+       CAST(ROUND(SUM(profit) FILTER (WHERE {hi}), 2) AS DOUBLE) AS m_hi_profit,
+       COUNT(profit) FILTER (WHERE {hi}) AS m_hi_profit_n,
+       COUNT(*) FILTER (WHERE NOT COALESCE({hi}, false)) AS m_lo_orders,
+       CAST(ROUND(SUM(profit) FILTER (WHERE NOT COALESCE({hi}, false)), 2) AS DOUBLE)
+         AS m_lo_profit,
+       CAST(ROUND(SUM(profit) FILTER (WHERE discount = 0), 2) AS DOUBLE) AS m_zero_profit,
+       COUNT(profit) FILTER (WHERE discount = 0) AS m_zero_profit_n,
+       CAST({HI} AS DOUBLE) AS high_discount
+FROM fact GROUP BY region, category, sub_category, ship_mode"""),
         "high_discount_loss_rate": _fact(f"""
 SELECT high_disc_orders, high_disc_loss_orders,
        {_pct("high_disc_loss_orders", "high_disc_orders", 1)} AS loss_rate_pct

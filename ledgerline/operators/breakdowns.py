@@ -1,10 +1,10 @@
 """Per-dimension breakdowns (A7-A14, A25) and the single-pass variant over all
 dimensions (GROUPING SETS).
 
-A breakdown is one grouped aggregate over the fact: scan -> partial aggregate
--> hash Exchange of at most (#keys x #tasks) rows -> final aggregate. Shares of
-the total use a window with no partition over the *aggregated* rows (one row
-per key), never over the fact itself.
+A breakdown is one grouped aggregate over the fact (or the report rollup):
+scan -> partial aggregate -> hash Exchange of at most (#keys x #tasks) rows ->
+final aggregate. Shares of the total use a window with no partition over the
+*aggregated* rows (one row per key), never over the fact itself.
 """
 
 from __future__ import annotations
@@ -13,22 +13,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import DIMENSIONS, MONEY_SCALE, TABLE_PCT_SCALE
-from ledgerline.functions.money import money_sum, pct
+from ledgerline.functions.measures import aggregate
+from ledgerline.functions.money import pct
 
 SORTS = {"sales": "total_sales", "profit": "total_profit", "orders": "total_orders"}
-
-
-def _measures() -> list:
-    return [F.sum("sales").alias("_sales"),
-            F.sum("profit").alias("_profit"),
-            F.count(F.lit(1)).alias("total_orders")]
+BASE = ("sales", "profit", "orders")
 
 
 def _finish(grouped: DataFrame, keys: list[str], margin: bool = True) -> DataFrame:
     cols = [F.col(k) for k in keys] + [
         F.round("_sales", MONEY_SCALE).cast("double").alias("total_sales"),
         F.round("_profit", MONEY_SCALE).cast("double").alias("total_profit"),
-        F.col("total_orders")]
+        F.col("_orders").alias("total_orders")]
     if margin:
         cols.append(F.round(pct("_profit", "_sales"), TABLE_PCT_SCALE).alias("margin_pct"))
     return grouped.select(*cols, "_sales", "_profit")
@@ -42,7 +38,7 @@ def breakdown(fact: DataFrame, dim: str, sort_by: str = "sales",
     ``share=True`` adds ``share_pct``: the key's sales as a percentage of the
     total sales rounded to cents (the report divides by the rounded total).
     """
-    grouped = fact.groupBy(dim).agg(*_measures())
+    grouped = aggregate(fact, [dim], BASE)
     out = _finish(grouped, [dim], margin=margin)
     if share:
         total = F.round(F.sum("_sales").over(Window.partitionBy()), MONEY_SCALE)
@@ -73,7 +69,8 @@ def breakdown_ship_mode(fact: DataFrame) -> DataFrame:
 
 def ship_mode_order_share(fact: DataFrame) -> DataFrame:
     """Each ship mode's share of all *orders* (rows), 1 decimal."""
-    grouped = fact.groupBy("ship_mode").agg(F.count(F.lit(1)).alias("total_orders"))
+    grouped = (aggregate(fact, ["ship_mode"], ["orders"])
+               .withColumnRenamed("_orders", "total_orders"))
     total = F.sum("total_orders").over(Window.partitionBy())
     return (grouped.withColumn("order_share_pct",
                                F.round(pct("total_orders", total), TABLE_PCT_SCALE))
@@ -94,25 +91,26 @@ def breakdown_all_dimensions(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS
                 "dimension", "dim_value",
                 F.round("_sales", MONEY_SCALE).cast("double").alias("total_sales"),
                 F.round("_profit", MONEY_SCALE).cast("double").alias("total_profit"),
-                "total_orders",
+                F.col("_orders").alias("total_orders"),
                 F.round(pct("_profit", "_sales"), TABLE_PCT_SCALE).alias("margin_pct"))
             .orderBy("dimension", F.desc("total_sales"), "dim_value"))
 
 
 def grouped_sets(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS[:4]) -> DataFrame:
     """Raw GROUPING SETS aggregate: exact DECIMAL sums ``_sales``/``_profit``
-    and ``total_orders``, tagged with the dimension name and its value.
+    and the count ``_orders``, tagged with the dimension name and its value.
 
     The fact is first reduced to one row per combination of ``dims`` (a
     partial + final aggregate whose size is bounded by the product of the
-    dimensions' cardinalities, 3,750 on the test tables), and only that is
+    dimensions' cardinalities, 3,750 on the test tables; on the report rollup
+    this is a re-aggregation of at most that many rows), and only that is
     expanded into the grouping sets; sums and counts re-aggregate exactly.
     """
-    base = fact.groupBy(*dims).agg(*_measures())
+    base = aggregate(fact, list(dims), BASE)
     sets = [[F.col(d)] for d in dims] + [[]]
     grouped = base.groupingSets(sets, *dims).agg(
         F.sum("_sales").alias("_sales"), F.sum("_profit").alias("_profit"),
-        F.sum("total_orders").alias("total_orders"), F.grouping_id().alias("_gid"))
+        F.sum("_orders").alias("_orders"), F.grouping_id().alias("_gid"))
     n = len(dims)
     name = F.lit("all")
     value = F.lit(None).cast("string")
@@ -122,4 +120,4 @@ def grouped_sets(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS[:4]) -> Dat
         name = F.when(F.col("_gid") == only_d, F.lit(d)).otherwise(name)
         value = F.when(F.col("_gid") == only_d, F.col(d).cast("string")).otherwise(value)
     return grouped.select(name.alias("dimension"), value.alias("dim_value"),
-                          "_sales", "_profit", "total_orders")
+                          "_sales", "_profit", "_orders")

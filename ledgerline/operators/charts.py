@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT, MONEY_SCALE, TABLE_PCT_SCALE, AnalyticsConfig
 from ledgerline.functions.formats import currency_label
+from ledgerline.functions.measures import aggregate, require_lines
 from ledgerline.functions.money import pct
 from ledgerline.functions.predicates import is_high_discount, scatter_sign
 
 
 def _bar(fact: DataFrame, dim: str, measure: str) -> DataFrame:
     name = f"total_{measure}"
-    return (fact.groupBy(dim).agg(F.sum(measure).alias("_v"))
+    return (aggregate(fact, [dim], [measure]).withColumnRenamed(f"_{measure}", "_v")
             .select(dim, F.round("_v", MONEY_SCALE).cast("double").alias(name),
                     currency_label(F.col("_v").cast("double")).alias("value_label"),
                     "_v")
@@ -36,7 +37,7 @@ def top10_subcategory_sales(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) ->
     """The ten best-selling sub-categories with their rank and a
     highlight flag on the first three. Top-k first (TakeOrderedAndProject),
     then the rank window over those k rows only."""
-    top = (fact.groupBy("sub_category").agg(F.sum("sales").alias("_v"))
+    top = (aggregate(fact, ["sub_category"], ["sales"]).withColumnRenamed("_sales", "_v")
            .orderBy(F.desc("_v"), F.asc("sub_category")).limit(cfg.chart_top_k))
     rank = F.row_number().over(Window.orderBy(F.desc("_v"), F.asc("sub_category"))).cast("bigint")
     return (top.withColumn("sales_rank", rank)
@@ -50,6 +51,7 @@ def discount_profit_points(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> D
     """V4: one point per order line: discount, profit, its colour class
     ('loss' only when profit < 0) and which side of the discount guide line
     (x = threshold) it falls on."""
+    require_lines(fact, "the scatter")
     return fact.select(
         F.col("discount").cast("double").alias("discount"),
         F.col("profit").cast("double").alias("profit"),
@@ -61,6 +63,7 @@ def discount_profit_points(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> D
 def discount_profit_density(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
     """V4 at scale (an addition): point counts on a (discount, profit-bin)
     grid. The output size is bounded by the grid, not by the data."""
+    require_lines(fact, "the density grid")
     bin_ = F.floor(F.col("profit").cast("double") / F.lit(float(cfg.profit_bin_width)))
     return (fact.groupBy(F.col("discount").cast("double").alias("discount"),
                          bin_.cast("bigint").alias("profit_bin"),
@@ -72,7 +75,7 @@ def discount_profit_density(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) ->
 def chart_ship_mode_share(fact: DataFrame) -> DataFrame:
     """V5/A10: pie slices - each ship mode's sales and % of total sales
     (1 decimal, as the slice label prints it)."""
-    grouped = fact.groupBy("ship_mode").agg(F.sum("sales").alias("_v"))
+    grouped = aggregate(fact, ["ship_mode"], ["sales"]).withColumnRenamed("_sales", "_v")
     total = F.sum("_v").over(Window.partitionBy())
     return (grouped.select(
                 "ship_mode", F.round("_v", MONEY_SCALE).cast("double").alias("total_sales"),

@@ -16,38 +16,38 @@ from ledgerline.config import (
     DEFAULT, KPI_MARGIN_SCALE, KPI_PCT_SCALE, MONEY_SCALE, TABLE_PCT_SCALE,
     AnalyticsConfig,
 )
+from ledgerline.functions.measures import aggregate
 from ledgerline.functions.money import pct, ratio
-from ledgerline.functions.predicates import (
-    is_high_discount, is_loss, is_profitable, is_zero_discount,
-)
 from ledgerline.operators.breakdowns import grouped_sets
 
+TOTALS = ("sales", "profit", "orders", "disc_sum", "disc_n", "sales_n")
+QUALITY = ("orders", "profitable", "loss")
+DISCOUNT = ("orders", "hi_orders", "hi_profit", "hi_profit_n", "zero_profit", "zero_profit_n")
+
 
-def _cond_count(cond) -> F.Column:
-    return F.count(F.when(cond, F.lit(1)))
+def _money(c) -> F.Column:
+    return F.round(c, MONEY_SCALE).cast("double")
 
 
-def _cond_mean(cond, c: str = "profit") -> F.Column:
-    return ratio(F.sum(F.when(cond, F.col(c))), F.count(F.when(cond, F.col(c))))
+def _totals_cols() -> list:
+    return [_money("_sales").alias("total_sales"),
+            _money("_profit").alias("total_profit"),
+            F.col("_orders").alias("total_orders"),
+            F.round(pct("_profit", "_sales"), KPI_MARGIN_SCALE).alias("profit_margin_pct"),
+            F.round(ratio("_sales", "_sales_n"), MONEY_SCALE).alias("avg_order_value"),
+            F.round(ratio("_disc_sum", "_disc_n") * F.lit(100), KPI_PCT_SCALE)
+            .alias("avg_discount_pct")]
 
 
-def _money(c) -> F.Column:
-    return F.round(c, MONEY_SCALE).cast("double")
+def _band_means() -> tuple[F.Column, F.Column]:
+    """Mean profit of the high-discount band and of full-price lines, cents."""
+    return (F.round(ratio("_hi_profit", "_hi_profit_n"), MONEY_SCALE),
+            F.round(ratio("_zero_profit", "_zero_profit_n"), MONEY_SCALE))
 
 
 def kpi_totals(fact: DataFrame) -> DataFrame:
     """Revenue, profit, orders, margin %, mean order value, mean discount %."""
-    agg = fact.agg(F.sum("sales").alias("_s"), F.sum("profit").alias("_p"),
-                   F.count(F.lit(1)).alias("total_orders"),
-                   F.sum(F.col("discount").cast("decimal(4,2)")).alias("_d"),
-                   F.count("discount").alias("_nd"), F.count("sales").alias("_ns"))
-    return agg.select(
-        _money("_s").alias("total_sales"),
-        _money("_p").alias("total_profit"),
-        "total_orders",
-        F.round(pct("_p", "_s"), KPI_MARGIN_SCALE).alias("profit_margin_pct"),
-        F.round(ratio("_s", "_ns"), MONEY_SCALE).alias("avg_order_value"),
-        F.round(ratio("_d", "_nd") * F.lit(100), KPI_PCT_SCALE).alias("avg_discount_pct"))
+    return aggregate(fact, [], TOTALS).select(*_totals_cols())
 
 
 def kpi_order_quality(fact: DataFrame) -> DataFrame:
@@ -56,30 +56,22 @@ def kpi_order_quality(fact: DataFrame) -> DataFrame:
     Zero-profit orders are neither profitable nor loss-making, so the two
     percentages may not add up to 100; ``breakeven_orders`` shows the rest.
     """
-    agg = fact.agg(F.count(F.lit(1)).alias("total_orders"),
-                   _cond_count(is_profitable()).alias("profitable_orders"),
-                   _cond_count(is_loss()).alias("loss_orders"))
-    return agg.select(
-        "total_orders", "profitable_orders", "loss_orders",
-        (F.col("total_orders") - F.col("profitable_orders") - F.col("loss_orders"))
-        .alias("breakeven_orders"),
-        F.round(pct("profitable_orders", "total_orders"), KPI_PCT_SCALE).alias("profit_pct"),
-        F.round(pct("loss_orders", "total_orders"), KPI_PCT_SCALE).alias("loss_pct"))
+    return aggregate(fact, [], QUALITY).select(
+        F.col("_orders").alias("total_orders"),
+        F.col("_profitable").alias("profitable_orders"),
+        F.col("_loss").alias("loss_orders"),
+        (F.col("_orders") - F.col("_profitable") - F.col("_loss")).alias("breakeven_orders"),
+        F.round(pct("_profitable", "_orders"), KPI_PCT_SCALE).alias("profit_pct"),
+        F.round(pct("_loss", "_orders"), KPI_PCT_SCALE).alias("loss_pct"))
 
 
 def kpi_discount_impact(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
     """The high-discount band (discount >= threshold) against
     full-price orders. An empty band gives NULL means and a zero count."""
-    hi, zero = is_high_discount(cfg), is_zero_discount()
-    agg = fact.agg(F.count(F.lit(1)).alias("_n"),
-                   _cond_count(hi).alias("high_disc_count"),
-                   _cond_mean(hi).alias("_hi_mean"),
-                   _cond_mean(zero).alias("_zero_mean"))
-    hi_mean = F.round("_hi_mean", MONEY_SCALE)
-    zero_mean = F.round("_zero_mean", MONEY_SCALE)
-    return agg.select(
-        "high_disc_count",
-        F.round(pct("high_disc_count", "_n"), KPI_PCT_SCALE).alias("high_disc_pct"),
+    hi_mean, zero_mean = _band_means()
+    return aggregate(fact, [], DISCOUNT, cfg).select(
+        F.col("_hi_orders").alias("high_disc_count"),
+        F.round(pct("_hi_orders", "_orders"), KPI_PCT_SCALE).alias("high_disc_pct"),
         hi_mean.alias("high_disc_avg_profit"),
         F.abs(hi_mean).alias("high_disc_abs_avg_profit"),
         zero_mean.alias("zero_disc_avg_profit"),
@@ -134,29 +126,16 @@ def kpi_extremes(fact: DataFrame, dims: tuple[str, ...] = ("region", "category",
 
 def kpi_summary(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
     """All scalar KPIs (A15-A24) in one row from a single aggregation."""
-    hi, zero = is_high_discount(cfg), is_zero_discount()
-    agg = fact.agg(
-        F.sum("sales").alias("_s"), F.sum("profit").alias("_p"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(F.col("discount").cast("decimal(4,2)")).alias("_d"),
-        F.count("discount").alias("_nd"), F.count("sales").alias("_ns"),
-        _cond_count(is_profitable()).alias("profitable_orders"),
-        _cond_count(is_loss()).alias("loss_orders"),
-        _cond_count(hi).alias("high_disc_count"),
-        _cond_mean(hi).alias("_hi_mean"), _cond_mean(zero).alias("_zero_mean"))
-    hi_mean = F.round("_hi_mean", MONEY_SCALE)
-    zero_mean = F.round("_zero_mean", MONEY_SCALE)
-    return agg.select(
-        _money("_s").alias("total_sales"), _money("_p").alias("total_profit"),
-        "total_orders",
-        F.round(pct("_p", "_s"), KPI_MARGIN_SCALE).alias("profit_margin_pct"),
-        F.round(ratio("_s", "_ns"), MONEY_SCALE).alias("avg_order_value"),
-        F.round(ratio("_d", "_nd") * F.lit(100), KPI_PCT_SCALE).alias("avg_discount_pct"),
-        "profitable_orders", "loss_orders",
-        F.round(pct("profitable_orders", "total_orders"), KPI_PCT_SCALE).alias("profit_pct"),
-        F.round(pct("loss_orders", "total_orders"), KPI_PCT_SCALE).alias("loss_pct"),
-        "high_disc_count",
-        F.round(pct("high_disc_count", "total_orders"), KPI_PCT_SCALE).alias("high_disc_pct"),
+    names = dict.fromkeys(TOTALS + QUALITY + DISCOUNT)
+    hi_mean, zero_mean = _band_means()
+    return aggregate(fact, [], names, cfg).select(
+        *_totals_cols(),
+        F.col("_profitable").alias("profitable_orders"),
+        F.col("_loss").alias("loss_orders"),
+        F.round(pct("_profitable", "_orders"), KPI_PCT_SCALE).alias("profit_pct"),
+        F.round(pct("_loss", "_orders"), KPI_PCT_SCALE).alias("loss_pct"),
+        F.col("_hi_orders").alias("high_disc_count"),
+        F.round(pct("_hi_orders", "_orders"), KPI_PCT_SCALE).alias("high_disc_pct"),
         hi_mean.alias("high_disc_avg_profit"),
         zero_mean.alias("zero_disc_avg_profit"),
         F.round(zero_mean - hi_mean, MONEY_SCALE).alias("discount_profit_gap"))

@@ -1,11 +1,12 @@
 """The reference's grouped SQL reports (A1-A6), as DataFrame functions.
 
-Each takes the sales fact (see ``ledgerline.sources``) and returns a small
-DataFrame; nothing is collected. Plans: scan -> partial HashAggregate ->
-one hash Exchange on the group key -> final HashAggregate -> sort (or
-TakeOrderedAndProject for the LIMIT queries). Partial aggregation makes a hot
-key (one ship mode holding most rows) harmless: each task ships one row per
-key, not the rows themselves.
+Each takes the sales fact (see ``ledgerline.sources``) - or the report rollup
+(``ledgerline.plans.rollup``), which gives the same answer from a few
+thousand pre-aggregated rows - and returns a small DataFrame; nothing is
+collected. Plans: scan -> partial HashAggregate -> one hash Exchange on the
+group key -> final HashAggregate -> sort (or TakeOrderedAndProject for the
+LIMIT queries). Partial aggregation makes a hot key (one ship mode holding
+most rows) harmless: each task ships one row per key, not the rows themselves.
 
 Every ORDER BY ... LIMIT carries the key as a tie-breaker so the result is
 deterministic.
@@ -16,20 +17,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.config import AVG_DISCOUNT_SCALE, DEFAULT, AnalyticsConfig
-from ledgerline.functions.money import avg_of, money_sum
+from ledgerline.config import AVG_DISCOUNT_SCALE, DEFAULT, MONEY_SCALE, AnalyticsConfig
+from ledgerline.functions.measures import aggregate
+from ledgerline.functions.money import ratio
+
+
+def _money(c: str) -> F.Column:
+    """Exact DECIMAL total rounded to cents (HALF_UP), then DOUBLE."""
+    return F.round(c, MONEY_SCALE).cast("double")
 
 
 def sales_profit_by_region(fact: DataFrame) -> DataFrame:
     """A1: total sales and profit per region, best-selling region first."""
-    return (fact.groupBy("region")
-            .agg(money_sum("sales").alias("total_sales"),
-                 money_sum("profit").alias("total_profit"))
+    return (aggregate(fact, ["region"], ["sales", "profit"])
+            .select("region", _money("_sales").alias("total_sales"),
+                    _money("_profit").alias("total_profit"))
             .orderBy(F.desc("total_sales"), F.asc("region")))
 
 
 def _subcategory_profit(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("sub_category").agg(money_sum("profit").alias("total_profit"))
+    return (aggregate(fact, ["sub_category"], ["profit"])
+            .select("sub_category", _money("_profit").alias("total_profit")))
 
 
 def top_subcategory_profit(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
@@ -55,27 +63,27 @@ def bottom_subcategory_profit(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
 
 def sales_by_ship_mode(fact: DataFrame) -> DataFrame:
     """A4: order count and sales per ship mode."""
-    return (fact.groupBy("ship_mode")
-            .agg(F.count(F.lit(1)).alias("total_orders"),
-                 money_sum("sales").alias("total_sales"))
+    return (aggregate(fact, ["ship_mode"], ["orders", "sales"])
+            .select("ship_mode", F.col("_orders").alias("total_orders"),
+                    _money("_sales").alias("total_sales"))
             .orderBy(F.desc("total_sales"), F.asc("ship_mode")))
 
 
 def profit_by_category(fact: DataFrame) -> DataFrame:
     """A5: sales, profit and mean discount (3 decimals) per category."""
-    return (fact.groupBy("category")
-            .agg(money_sum("sales").alias("total_sales"),
-                 money_sum("profit").alias("total_profit"),
-                 F.round(avg_of(F.col("discount").cast("decimal(4,2)")),
-                         AVG_DISCOUNT_SCALE).alias("avg_discount"))
+    return (aggregate(fact, ["category"], ["sales", "profit", "disc_sum", "disc_n"])
+            .select("category", _money("_sales").alias("total_sales"),
+                    _money("_profit").alias("total_profit"),
+                    F.round(ratio("_disc_sum", "_disc_n"), AVG_DISCOUNT_SCALE)
+                    .alias("avg_discount"))
             .orderBy(F.desc("total_profit"), F.asc("category")))
 
 
 def region_category_profit(fact: DataFrame) -> DataFrame:
     """The region x category matrix the reference saves as CSV."""
-    return (fact.groupBy("region", "category")
-            .agg(money_sum("sales").alias("total_sales"),
-                 money_sum("profit").alias("total_profit"))
+    return (aggregate(fact, ["region", "category"], ["sales", "profit"])
+            .select("region", "category", _money("_sales").alias("total_sales"),
+                    _money("_profit").alias("total_profit"))
             .orderBy(F.desc("total_profit"), F.asc("region"), F.asc("category")))
 
 

@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import MONEY_SCALE, TABLE_PCT_SCALE
+from ledgerline.functions.measures import aggregate
 from ledgerline.functions.money import pct
 
-MEASURES = {"sales": "sales", "profit": "profit"}
+MEASURES = ("sales", "profit")
 
 
 def ranked(fact: DataFrame, dim: str, measure: str, descending: bool = True,
            k: int = 1, value_name: str | None = None) -> DataFrame:
     """Top (or bottom) ``k`` keys of ``dim`` by the sum of ``measure``."""
+    if measure not in MEASURES:
+        raise ValueError(f"rank by one of {MEASURES}, not {measure!r}")
     value_name = value_name or f"total_{measure}"
-    grouped = fact.groupBy(dim).agg(F.sum(MEASURES[measure]).alias("_v"))
+    grouped = aggregate(fact, [dim], [measure]).withColumnRenamed(f"_{measure}", "_v")
     order = F.desc("_v") if descending else F.asc("_v")
     return (grouped.orderBy(order, F.asc(dim)).limit(k)
             .select(dim, F.round("_v", MONEY_SCALE).cast("double").alias(value_name)))
@@ -61,7 +64,7 @@ def top_ship_mode_share(fact: DataFrame) -> DataFrame:
     (the window runs over a handful of aggregated rows), then the first row
     by sales - no second pass that filters the fact by the winner.
     """
-    grouped = fact.groupBy("ship_mode").agg(F.sum("sales").alias("_v"))
+    grouped = aggregate(fact, ["ship_mode"], ["sales"]).withColumnRenamed("_sales", "_v")
     total = F.round(F.sum("_v").over(Window.partitionBy()), MONEY_SCALE)
     return (grouped.withColumn("share_pct", F.round(pct("_v", total), TABLE_PCT_SCALE))
             .orderBy(F.desc("_v"), F.asc("ship_mode")).limit(1)

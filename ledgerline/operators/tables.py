@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.config import MONEY_SCALE, TABLE_PCT_SCALE
+from ledgerline.config import DIMENSIONS, MONEY_SCALE, TABLE_PCT_SCALE
 from ledgerline.functions.formats import currency_label, percent_label, thousands_label
+from ledgerline.functions.measures import aggregate
 from ledgerline.functions.money import pct
 from ledgerline.functions.predicates import table_sign
+from ledgerline.operators.breakdowns import grouped_sets
 
 
 def _grouped(fact: DataFrame, dim: str) -> DataFrame:
-    return fact.groupBy(dim).agg(F.sum("sales").alias("_s"), F.sum("profit").alias("_p"),
-                                 F.count(F.lit(1)).alias("_n"))
+    return (aggregate(fact, [dim], ["sales", "profit", "orders"])
+            .toDF(dim, "_s", "_p", "_n"))
 
 
 def _money_table(fact: DataFrame, dim: str, sort_by: str) -> DataFrame:
@@ -59,6 +61,17 @@ def formatted_ship_mode_table(fact: DataFrame) -> DataFrame:
                     percent_label("_share").alias("share_label")))
 
 
+def breakdown_sign_class(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS[:4]) -> DataFrame:
+    """The class of the profit cell ('pos' only when the total is
+    strictly positive, zero is 'neg') for every row of the four breakdown
+    tables, from one grouping-sets pass."""
+    g = grouped_sets(fact, dims).filter(F.col("dimension") != "all")
+    return (g.select("dimension", "dim_value",
+                     F.round("_profit", MONEY_SCALE).cast("double").alias("total_profit"),
+                     table_sign("_profit").alias("profit_class"))
+            .orderBy("dimension", "dim_value"))
+
+
 def row_text(table: DataFrame) -> F.Column:
     """A rendered row's text: its cells run together, as a browser's
     ``textContent`` returns them."""
