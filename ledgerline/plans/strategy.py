@@ -1,9 +1,12 @@
 """Join and partitioning decisions backed by measured sizes.
 
-* ``checked_broadcast``: a side is broadcast only when its row count, read
-  from parquet metadata (no data pages are decoded), is within a bound;
-  beyond it the DataFrame is returned untouched and Spark shuffles (sort-merge
-  join, with AQE splitting skewed partitions).
+* ``fits_broadcast``: a side is broadcast only when BOTH its row count (from
+  parquet metadata; no data pages decoded) and the measured in-memory size of
+  the exact columns that would be shipped are within bounds. The byte measure
+  is one small aggregation over the already row-bounded table, so it is only
+  ever run on tables of at most ``BROADCAST_MAX_ROWS`` rows. Beyond either
+  bound the DataFrame is left alone and Spark shuffles (sort-merge join, with
+  AQE splitting skewed partitions).
 * ``spread``: a scan that arrives in fewer partitions than the cluster has
   cores (e.g. one large row group) is re-balanced by hash so the per-row
   work after it runs in parallel. A large input already has more partitions
@@ -12,15 +15,22 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Largest dimension (rows) shipped whole to every task. A dimension row here
-# is a key plus a few short strings/numbers, so the hashed relation stays
-# around 100-200 MB at the bound.
+# Largest dimension (rows) shipped whole to every task ...
 BROADCAST_MAX_ROWS = 2_000_000
+# ... and the largest measured size of its broadcast columns, as Spark's
+# UnsafeRow holds them (null bits + 8 bytes per field + variable-length data
+# rounded up to 8 bytes). The hashed relation adds its index on top.
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 _ROWS: dict[tuple, int] = {}
+_BYTES: dict[tuple, int] = {}
 
 
 def table_rows(df: DataFrame, path: str) -> int:
@@ -32,21 +42,55 @@ def table_rows(df: DataFrame, path: str) -> int:
     return _ROWS[key]
 
 
+def row_bytes(df: DataFrame) -> F.Column:
+    """In-memory size of one row of ``df`` in Spark's UnsafeRow format."""
+    fields = df.schema.fields
+    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    var = [F.coalesce(F.ceil(F.octet_length(F.col(f.name)) / 8) * 8, F.lit(0))
+           for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
+    return reduce(operator.add, var, F.lit(fixed).cast("bigint"))
+
+
+def projected_bytes(df: DataFrame) -> int:
+    """Measured in-memory size of ``df`` (its own columns only): one global
+    aggregation, memoised per file list and column set."""
+    key = (tuple(sorted(df.inputFiles())), df.schema.simpleString())
+    if key not in _BYTES:
+        _BYTES[key] = int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
+    return _BYTES[key]
+
+
 def within_bound(rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return 0 <= rows <= max_rows
 
 
-def checked_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if its measured ``rows`` is within ``max_rows``."""
-    return F.broadcast(df) if within_bound(rows, max_rows) else df
+def fits_broadcast(projected: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``projected`` (the columns to be shipped) is proven small:
+    ``rows`` within ``max_rows`` and then its measured size within
+    ``max_bytes``. The byte measure never runs on a table over the row
+    bound."""
+    return within_bound(rows, max_rows) and projected_bytes(projected) <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it passes ``fits_broadcast``."""
+    return F.broadcast(df) if fits_broadcast(df, rows, max_rows, max_bytes) else df
+
 
+def spread(spark: SparkSession, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Hash-distribute ``df`` when it arrives in fewer partitions than the
+    cluster has cores; otherwise return it unchanged.
 
-def spread(spark: SparkSession, df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-distribute ``df`` (on ``key`` if given) when it arrives in fewer
-    partitions than the cluster has cores; otherwise return it unchanged.
-    Hashing on a key avoids the sort a round-robin repartition performs to
-    stay deterministic under retries."""
+    The hash runs over ``keys`` (default: every column), so a hot single key
+    (one order or one part holding a third of the rows) is still spread by
+    its other columns. Hashing avoids the sort a round-robin repartition
+    performs to stay deterministic under retries. Only ever applied to an
+    input smaller than one partition per core, so even whole-row copies
+    landing together cost no more than the single partition they came from.
+    """
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key) if key else df.repartition(target)
+        return df.repartition(target, *(keys or df.columns))
     return df

@@ -14,7 +14,8 @@ driver's tables are a TPC-H-like star schema, so the fact is rebuilt by joins:
 ``profit`` is an invented margin (the test data has no cost column).
 
 Join shape: see ``bind_fact``. Broadcasts are decided by measured row counts
-(``ledgerline.plans.strategy``), never by hope: with every dimension small the
+and measured bytes of the shipped columns (``ledgerline.plans.strategy``),
+never by hope: with every dimension small the
 fact is one shuffle-free pipeline; beyond the bound the large sides are joined
 by shuffle, line data crossing the network at most twice (order key, part
 key), and AQE splits a hot key's partitions.
@@ -26,9 +27,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.plans.strategy import BROADCAST_MAX_ROWS, spread, table_rows, within_bound
+from ledgerline.plans.strategy import (
+    BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast, spread, table_rows,
+)
 
 STAR_TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
+# The columns each dimension contributes to the fact (what a broadcast ships).
+DIM_COLUMNS = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderpriority"),
+    "customer": ("c_custkey", "c_nationkey", "c_mktsegment"),
+    "part": ("p_partkey", "p_type", "p_brand", "p_retailprice"),
+    "nation": ("n_nationkey", "n_regionkey"),
+    "region": ("r_regionkey", "r_name"),
+}
 
 # Fixed value: the synthetic cost is 60 % of list price per unit.
 COST_SHARE = "0.60"
@@ -58,12 +69,8 @@ def order_side(spark: SparkSession, sf_dir: str,
     check; the others are joined by shuffle.
     """
     small = small or {}
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    orders, customer, nation, region = (
+        dimension(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region"))
 
     def maybe(df: DataFrame, name: str) -> DataFrame:
         return F.broadcast(df) if small.get(name) else df.hint("merge")
@@ -92,9 +99,13 @@ def line_side(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
 
 
+def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One dimension table, projected to the columns the fact uses."""
+    return read_table(spark, sf_dir, name).select(*DIM_COLUMNS[name])
+
+
 def part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "part").select(
-        "p_partkey", "p_type", "p_brand", "p_retailprice")
+    return dimension(spark, sf_dir, "part")
 
 
 def measures() -> tuple:
@@ -119,7 +130,8 @@ _FACTS: dict[tuple, DataFrame] = {}
 
 
 def bind_fact(spark: SparkSession, sf_dir: str,
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+              max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """The sales fact over the whole star schema (lazy).
 
     The resolved plan (not any data) is kept per session, table folder and
@@ -127,7 +139,8 @@ def bind_fact(spark: SparkSession, sf_dir: str,
     and runs the joins, but the driver does not re-analyse six joins for
     every query.
 
-    Two shapes, chosen by measured table sizes (parquet row counts):
+    Two shapes, chosen by measured table sizes (parquet row counts, then the
+    measured bytes of the columns a broadcast would ship):
 
     * every dimension table (orders, customer, part, nation, region) within
       the broadcast bound: one pipeline - the line scan streams through five
@@ -141,21 +154,31 @@ def bind_fact(spark: SparkSession, sf_dir: str,
       the joins.
     """
     tables = {t: read_table(spark, sf_dir, t) for t in STAR_TABLES}
-    key = (id(spark), sf_dir.rstrip("/"), max_broadcast_rows,
+    key = (id(spark), sf_dir.rstrip("/"), max_broadcast_rows, max_broadcast_bytes,
            tuple(tuple(sorted(df.inputFiles())) for df in tables.values()))
     if key not in _FACTS:
-        _FACTS[key] = _bind(spark, sf_dir, tables, max_broadcast_rows)
+        _FACTS[key] = _bind(spark, sf_dir, tables, max_broadcast_rows, max_broadcast_bytes)
     return _FACTS[key]
 
 
+def broadcastable(spark: SparkSession, sf_dir: str,
+                  max_rows: int = BROADCAST_MAX_ROWS,
+                  max_bytes: int = BROADCAST_MAX_BYTES) -> dict[str, bool]:
+    """Which dimensions are proven small enough to ship whole: row count from
+    the parquet footers, then (only under the row bound) the measured bytes
+    of the projected columns."""
+    return {t: fits_broadcast(dimension(spark, sf_dir, t),
+                              table_rows(read_table(spark, sf_dir, t), _table_path(sf_dir, t)),
+                              max_rows, max_bytes)
+            for t in DIM_COLUMNS}
+
+
 def _bind(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
-          max_broadcast_rows: int) -> DataFrame:
-    rows = {t: table_rows(tables[t], _table_path(sf_dir, t))
-            for t in ("orders", "customer", "part", "nation", "region")}
-    small = {t: within_bound(n, max_broadcast_rows) for t, n in rows.items()}
+          max_broadcast_rows: int, max_broadcast_bytes: int) -> DataFrame:
+    small = broadcastable(spark, sf_dir, max_broadcast_rows, max_broadcast_bytes)
     lines = line_side(spark, sf_dir)
     if all(small.values()):
-        return _star_pipeline(spark, sf_dir, spread(spark, lines, "l_orderkey"))
+        return _star_pipeline(spark, sf_dir, spread(spark, lines))
     # Beyond the bound the order side is large: join it by shuffle. The merge
     # hint keeps Spark's file-size estimate from broadcasting the line side
     # instead; the part side is broadcast only if it passed its own check.
@@ -168,13 +191,8 @@ def _bind(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
 
 
 def _star_pipeline(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    parts = part_side(spark, sf_dir)
+    orders, customer, nation, region, parts = (
+        dimension(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region", "part"))
     fact = (lines
             .join(F.broadcast(orders), lines.l_orderkey == orders.o_orderkey)
             .join(F.broadcast(customer), orders.o_custkey == customer.c_custkey)

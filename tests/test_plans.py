@@ -70,3 +70,31 @@ def test_large_shape_matches_small_shape(spark, fact_small):
     a = sorted(B.breakdown_all_dimensions(fact_small).collect())
     b = sorted(B.breakdown_all_dimensions(large).collect())
     assert a == b
+
+
+def test_byte_bound_also_decides_broadcast(spark, fact_small):
+    tight = bind_fact(spark, SF_SMALL, max_broadcast_bytes=1)   # rows fit, bytes do not
+    tree = I.physical_section(tight)
+    assert "SortMergeJoin" in tree and "BroadcastHashJoin" not in tree
+    assert sorted(K.kpi_summary(tight).collect()) == sorted(K.kpi_summary(fact_small).collect())
+
+
+def test_projected_bytes_is_the_unsafe_row_size(spark):
+    from ledgerline.plans.strategy import projected_bytes
+    from ledgerline.sources.star import dimension
+    region = dimension(spark, SF_SMALL, "region")
+    names = [r.r_name for r in region.collect()]
+    # null bits (8) + two 8-byte fields + the name rounded up to 8 bytes
+    expected = sum(24 + -(-len(n.encode()) // 8) * 8 for n in names)
+    assert projected_bytes(region) == expected
+
+
+def test_spread_hashes_every_column(spark):
+    from ledgerline.plans.strategy import spread
+    from ledgerline.sources.star import line_side
+    lines = line_side(spark, SF_SMALL)
+    text = I.physical_section(spread(spark, lines))
+    if lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        part = text[text.index("hashpartitioning("):].split(")")[0]
+        for c in lines.columns:
+            assert c in part
