@@ -41,7 +41,7 @@ def _on_fact(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, st
 
 
 def _regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = M.split(M.ml_frame(bind_fact(spark, sf_dir)), "stable")
+    train, _ = M.split(M.prepared_frame(bind_fact(spark, sf_dir)), "stable")
     return M.coefficients(M.fit(train), spark)
 
 

@@ -74,3 +74,14 @@ def test_feature_matrix_shape(fact_small):
     fm = M.feature_matrix(fact_small)
     assert fm.columns == list(M.FEATURES)
     assert fm.count() == fact_small.count()
+
+
+def test_prepared_frame_is_stored_once_when_joined(spark, fact_small):
+    from ledgerline.plans.fact import is_derived
+    assert is_derived(M.ml_frame(fact_small))
+    stored = M.prepared_frame(fact_small)
+    assert not is_derived(stored)
+    assert stored.count() == fact_small.count()
+    # an already stored frame is not written again
+    again = M.prepared_frame(stored)
+    assert again.inputFiles() == stored.inputFiles()
