@@ -148,8 +148,10 @@ def label_index(fact: DataFrame, column: str) -> DataFrame:
 
 
 def feature_matrix(fact: DataFrame) -> DataFrame:
-    """M5: every row's 7 assembled features, unpacked into DOUBLE columns."""
-    frame = ml_frame(fact, keep_key=False)
+    """M5: every row's 7 assembled features, unpacked into DOUBLE columns.
+    The indexers' fit and the transform are two passes, so they read the
+    ``prepared_frame``."""
+    frame = prepared_frame(fact)
     indexed = indexer().fit(frame).transform(frame)
     assembled = assembler().transform(indexed)
     arr = vector_to_array(assembled["features"])

@@ -25,6 +25,14 @@ RECOMMENDED_CONF = {
 }
 
 
+# Partition sizing (see ``sizing_conf``): bytes one task should sort, hash or
+# read - large enough to amortise task start-up, small enough to fit an
+# executor core's share of memory - and a cap on reduce partitions beyond
+# which map-output bookkeeping on the driver grows too large.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
 def build_session(master: str | None = None, app: str = "ledgerline",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -75,3 +83,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_master(default_cpus: int = 8) -> str:
     return f"local[{os.environ.get('BENCH_CPUS', default_cpus)}]"
+
+
+def sizing_conf(shuffle_bytes: int, total_cores: int,
+                target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Partition settings for a job whose largest shuffle moves about
+    ``shuffle_bytes`` on ``total_cores`` task slots.
+
+    The shuffle gets ceil(bytes / target) partitions (at least one full wave,
+    rounded up to whole waves, at most ``MAX_SHUFFLE_PARTITIONS``); AQE starts
+    from that number, merges small neighbours up to half the target and splits
+    a partition past the target as skewed. File splits are half the target so
+    a scan task's decoded rows stay well inside memory.
+    """
+    cores = max(1, int(total_cores))
+    parts = max(cores, -(-int(shuffle_bytes) // int(target_bytes)))
+    parts = min(MAX_SHUFFLE_PARTITIONS, -(-parts // cores) * cores)
+    half = str(int(target_bytes) // 2)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": half,
+        "spark.sql.files.maxPartitionBytes": half,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(target_bytes)),
+    }
+
+
+def size_partitions(spark: SparkSession, shuffle_bytes: int,
+                    target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Apply ``sizing_conf`` to a running session (all are runtime SQL
+    settings) for the cores it has; returns what was set."""
+    conf = sizing_conf(shuffle_bytes, spark.sparkContext.defaultParallelism, target_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

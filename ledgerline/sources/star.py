@@ -173,6 +173,20 @@ def broadcastable(spark: SparkSession, sf_dir: str,
             for t in DIM_COLUMNS}
 
 
+# Bytes per order line in the widest line-grain exchange of the shuffle shape
+# (UnsafeRow: 8 null-bit bytes, 8 per field for seven fields, and the three
+# short dimension strings).
+LINE_EXCHANGE_ROW_BYTES = 8 + 8 * 7 + 3 * 16
+
+
+def line_shuffle_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Estimated bytes the star join moves per line exchange (line count from
+    the parquet footers times ``LINE_EXCHANGE_ROW_BYTES``): the number to size
+    shuffle partitions by (``session.size_partitions``)."""
+    rows = table_rows(read_table(spark, sf_dir, "lineitem"), _table_path(sf_dir, "lineitem"))
+    return rows * LINE_EXCHANGE_ROW_BYTES
+
+
 def _bind(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame],
           max_broadcast_rows: int, max_broadcast_bytes: int) -> DataFrame:
     small = broadcastable(spark, sf_dir, max_broadcast_rows, max_broadcast_bytes)

@@ -98,3 +98,20 @@ def test_spread_hashes_every_column(spark):
         part = text[text.index("hashpartitioning("):].split(")")[0]
         for c in lines.columns:
             assert c in part
+
+
+def test_sizing_conf_scales_with_the_shuffle():
+    from ledgerline.session import MAX_SHUFFLE_PARTITIONS, sizing_conf
+    small = sizing_conf(10 * 1024 * 1024, 8)
+    assert small["spark.sql.shuffle.partitions"] == "8"          # one full wave
+    mid = sizing_conf(1024 ** 4, 400)                           # 1 TiB on 400 cores
+    parts = int(mid["spark.sql.shuffle.partitions"])
+    assert parts % 400 == 0 and 1024 ** 4 / parts <= 256 * 1024 * 1024
+    huge = sizing_conf(10 ** 17, 8000)
+    assert int(huge["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+
+
+def test_line_shuffle_estimate_uses_footer_count(spark):
+    from ledgerline.sources.star import LINE_EXCHANGE_ROW_BYTES, line_shuffle_bytes, read_table
+    n = read_table(spark, SF_SMALL, "lineitem").count()
+    assert line_shuffle_bytes(spark, SF_SMALL) == n * LINE_EXCHANGE_ROW_BYTES
