@@ -140,11 +140,16 @@ def coefficients(model: PipelineModel, spark) -> DataFrame:
 
 def label_index(fact: DataFrame, column: str) -> DataFrame:
     """M1-M4 one column at a time: each distinct label with its index
-    (0 = most frequent; ties alphabetical). The fit is one aggregation; the
-    labels are then applied to the distinct values, all in Spark."""
+    (0 = most frequent; ties alphabetical).
+
+    One pass: the indexer's fit is a single aggregation whose label list
+    (one entry per distinct value, already on the driver inside the fitted
+    model) is the answer; no second pass over the fact applies it."""
     model = StringIndexer(inputCol=column, outputCol=f"{column}_idx",
                           stringOrderType="frequencyDesc").fit(fact.select(column))
-    return model.transform(fact.select(column).distinct())
+    labels = [(label, float(i)) for i, label in enumerate(model.labelsArray[0])]
+    schema = f"{column} string, {column}_idx double"
+    return fact.sparkSession.createDataFrame(labels, schema)
 
 
 def feature_matrix(fact: DataFrame) -> DataFrame:
