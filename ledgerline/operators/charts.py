@@ -72,6 +72,13 @@ def discount_profit_density(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT) ->
             .orderBy("discount", "profit_bin", "point_class"))
 
 
+def density_from_grid(grid: DataFrame) -> DataFrame:
+    """V4 at scale from a precomputed grid (``plans.rollup.split_report_aggregates``:
+    the cells counted in the same pass as the report rollup)."""
+    return (grid.select("discount", "profit_bin", "point_class", "points")
+            .orderBy("discount", "profit_bin", "point_class"))
+
+
 def chart_ship_mode_share(fact: DataFrame) -> DataFrame:
     """V5/A10: pie slices - each ship mode's sales and % of total sales
     (1 decimal, as the slice label prints it)."""

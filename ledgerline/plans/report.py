@@ -2,10 +2,10 @@
 region x category matrix and the regression predictions.
 
 ``report_sections`` returns lazy DataFrames; ``run_report`` reduces the fact
-ONCE to the report rollup (``ledgerline.plans.rollup``), stores that small
-table and derives every aggregate section from it, so the order lines are
-read once for all of them instead of once per section. Only the line-level
-outputs (the density grid, the regression) read the fact itself; the fact is
+ONCE to the report rollup and the density grid (``ledgerline.plans.rollup``,
+one GROUPING SETS pass), stores that small table and derives every aggregate
+section from it, so the order lines are read once for all of them instead of
+once per section. Only the regression reads the fact itself; the fact is
 stored first when the regression's several passes need it. Nothing is
 collected to the driver except the regression's 7x7 normal equations inside
 MLlib.
@@ -21,16 +21,21 @@ from ledgerline.operators import (
 )
 from ledgerline.operators import ml as M
 from ledgerline.plans.fact import materialize
-from ledgerline.plans.rollup import build_rollup, store_rollup
+from ledgerline.plans.rollup import (
+    build_report_aggregates, split_report_aggregates, store_rollup,
+)
 from ledgerline.sources.sinks import write_report, write_result
 
 
 def report_sections(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
-                    rollup: DataFrame | None = None) -> dict[str, DataFrame]:
+                    rollup: DataFrame | None = None,
+                    grid: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every report section. Aggregate sections read ``rollup`` when one is
-    given (built with the same ``cfg``), else the fact; the density grid
-    always reads the fact."""
+    given (built with the same ``cfg``), else the fact; the density chart
+    reads ``grid`` when given, else counts the fact's lines."""
     lines, fact = fact, (rollup if rollup is not None else fact)
+    density = (C.density_from_grid(grid) if grid is not None
+               else C.discount_profit_density(lines, cfg))
     return {
         "sales_profit_by_region": Q.sales_profit_by_region(fact),
         "top_subcategory_profit": Q.top_subcategory_profit(fact, cfg),
@@ -48,7 +53,7 @@ def report_sections(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
         "chart_region_sales": C.chart_region_sales(fact),
         "chart_category_profit": C.chart_category_profit(fact),
         "chart_top10_subcategory": C.top10_subcategory_sales(fact, cfg),
-        "chart_discount_profit_density": C.discount_profit_density(lines, cfg),
+        "chart_discount_profit_density": density,
         "chart_ship_mode_share": C.chart_ship_mode_share(fact),
         "claim_high_discount_loss_rate": CL.high_discount_loss_rate(fact, cfg),
         "claim_subcategory_discount_band": CL.subcategory_discount_band_profit(fact, cfg),
@@ -62,14 +67,16 @@ def run_report(spark: SparkSession, fact: DataFrame, out_dir: str,
 
     ``store_fact`` (default: only when the regression runs) writes the fact
     once to the shared checkpoint folder first; without the regression the
-    fact is read twice lazily (rollup, density grid) and never written.
+    fact's lines are read exactly once (the rollup + grid pass) and the fact
+    is never written.
     """
     if store_fact is None:
         store_fact = with_ml
     if store_fact:
         fact = materialize(spark, fact)
-    rollup = store_rollup(spark, build_rollup(fact, cfg))
-    written = write_report(report_sections(fact, cfg, rollup), f"{out_dir}/report")
+    rollup, grid = split_report_aggregates(
+        store_rollup(spark, build_report_aggregates(fact, cfg)))
+    written = write_report(report_sections(fact, cfg, rollup, grid), f"{out_dir}/report")
     written["sql_results"] = write_result(Q.region_category_profit(rollup),
                                           f"{out_dir}/sql_results", single_file=True)
     if with_ml:

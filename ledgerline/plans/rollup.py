@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT, AnalyticsConfig
 from ledgerline.functions.measures import ROLLUP_PREFIX, line_measures
+from ledgerline.functions.predicates import scatter_sign
 from ledgerline.session import scratch_path
 
 ROLLUP_GRAIN = ("region", "category", "sub_category", "ship_mode")
@@ -71,3 +72,48 @@ def rollup_table(rollup: DataFrame) -> DataFrame:
         cols.append(F.round(c, 2).cast("double").alias(c) if name in money else F.col(c))
     grain = [c for c in rollup.columns if not c.startswith(ROLLUP_PREFIX) and c != "high_discount"]
     return rollup.select(*grain, *cols, "high_discount")
+
+
+# The density grid's cells (chart V4 at scale): discount, profit bin, colour.
+GRID_KEYS = ("grid_discount", "profit_bin", "point_class")
+
+
+def build_report_aggregates(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
+                            grain: tuple[str, ...] = ROLLUP_GRAIN) -> DataFrame:
+    """The rollup AND the density grid from ONE pass over the order lines.
+
+    ``GROUPING SETS ((grain), (grid cells))``: every line is expanded once
+    per set inside the scan stage and immediately folded by the map-side
+    partial aggregate, so the exchange still carries aggregated rows only
+    and the lines are read once for every aggregate section of the report.
+    ``report_set`` tells the two kinds of rows apart (see
+    ``split_report_aggregates``).
+    """
+    bin_ = F.floor(F.col("profit").cast("double") / F.lit(float(cfg.profit_bin_width)))
+    keyed = fact.select(*grain, "sales", "profit", "discount",
+                        F.col("discount").cast("double").alias("grid_discount"),
+                        bin_.cast("bigint").alias("profit_bin"),
+                        scatter_sign("profit").alias("point_class"))
+    measures = [expr.alias(ROLLUP_PREFIX + name) for name, expr in line_measures(cfg).items()]
+    keys = (*grain, *GRID_KEYS)
+    sets = [[F.col(c) for c in grain], [F.col(c) for c in GRID_KEYS]]
+    # grouping_id sets bit (n-1-i) for every key i NOT grouped in the row's set.
+    rollup_gid = (1 << len(GRID_KEYS)) - 1
+    agg = keyed.groupingSets(sets, *keys).agg(*measures, F.grouping_id().alias("_gid"))
+    return (agg.withColumn("report_set", F.when(F.col("_gid") == rollup_gid, F.lit("rollup"))
+                           .otherwise(F.lit("grid")))
+            .drop("_gid")
+            .withColumn("high_discount", F.lit(float(cfg.high_discount))))
+
+
+def split_report_aggregates(agg: DataFrame, grain: tuple[str, ...] = ROLLUP_GRAIN
+                            ) -> tuple[DataFrame, DataFrame]:
+    """(rollup, density grid) from ``build_report_aggregates`` output (stored
+    or lazy). The grid has the columns of ``charts.discount_profit_density``."""
+    measures = [c for c in agg.columns if c.startswith(ROLLUP_PREFIX)]
+    rollup = agg.filter(F.col("report_set") == "rollup").select(*grain, *measures,
+                                                                "high_discount")
+    grid = agg.filter(F.col("report_set") == "grid").select(
+        F.col("grid_discount").alias("discount"), "profit_bin", "point_class",
+        F.col(ROLLUP_PREFIX + "orders").alias("points"))
+    return rollup, grid

@@ -13,7 +13,10 @@ from ledgerline.functions.measures import is_rollup, line_measures
 from ledgerline.operators import charts as C, claims as CL, kpis as K
 from ledgerline.plans import inspect as I
 from ledgerline.plans.report import report_sections
-from ledgerline.plans.rollup import ROLLUP_GRAIN, build_rollup, store_rollup
+from ledgerline.plans.fact import materialize
+from ledgerline.plans.rollup import (
+    ROLLUP_GRAIN, build_report_aggregates, build_rollup, split_report_aggregates, store_rollup,
+)
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +88,31 @@ def test_rollup_plan_is_one_aggregation(fact_small):
     tree = I.physical_section(build_rollup(fact_small))
     assert tree.count("Exchange hashpartitioning") - base.count("Exchange hashpartitioning") == 1
     assert tree.count("HashAggregate") - base.count("HashAggregate") == 2
+
+
+@pytest.fixture(scope="module")
+def combined(spark, fact_small):
+    return split_report_aggregates(store_rollup(spark, build_report_aggregates(fact_small)))
+
+
+def test_one_pass_gives_the_rollup_and_the_grid(fact_small, rollup, combined):
+    r, grid = combined
+    assert _rows(r) == _rows(rollup)
+    direct = C.discount_profit_density(fact_small)
+    assert C.density_from_grid(grid).collect() == direct.collect()
+
+
+def test_report_from_one_pass_equals_line_path(fact_small, combined):
+    r, grid = combined
+    direct = report_sections(fact_small)
+    via = report_sections(fact_small, rollup=r, grid=grid)
+    for name in direct:
+        assert direct[name].collect() == via[name].collect(), name
+
+
+def test_one_pass_reads_the_lines_once(spark, fact_small):
+    stored = materialize(spark, fact_small)
+    df = build_report_aggregates(stored)
+    assert len(I.scans(df)) == 1
+    tree = I.physical_section(df)
+    assert tree.count("Expand") == 1 and tree.count("Exchange hashpartitioning") == 1
