@@ -59,9 +59,11 @@ def build_session(master: str | None = None, app: str = "ledgerline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there and we only read it.
-    Only when it is unset (a bare local test session) do we fall back to a
-    fresh scratch folder so ``DataFrame.checkpoint()`` works.
+    A cluster names a shared (distributed) folder there and we only read it;
+    on a cluster without one this raises instead of inventing a folder only
+    one machine can see. Only a local-mode session (tests, the bench) with
+    the setting unset gets a fresh scratch folder so ``checkpoint()`` and the
+    stored tables work.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                               "stored facts, rollups and checkpoints go there")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
