@@ -9,5 +9,5 @@ updated result over the stream.
 """
 
 from ledgerline.streaming.ingest import (  # noqa: F401
-    ingest_to_parquet, running_report, stream_sales_csv,
+    ingest_to_parquet, running_report, running_rollup, stream_sales_csv,
 )

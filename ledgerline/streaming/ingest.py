@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerline.config import DEFAULT, AnalyticsConfig
 from ledgerline.operators.cleaning import clean
+from ledgerline.plans.rollup import build_rollup
 from ledgerline.session import scratch_path
 from ledgerline.sources.csv import to_model
 
@@ -62,3 +64,19 @@ def running_report(stream_fact: DataFrame, op: Callable[[DataFrame], DataFrame],
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
+
+
+def running_rollup(stream_fact: DataFrame, sink: Callable[[DataFrame, int], None],
+                   cfg: AnalyticsConfig = DEFAULT, checkpoint: str | None = None,
+                   available_now: bool = True) -> StreamingQuery:
+    """The whole report over a stream with ONE stateful aggregation.
+
+    The state is the report rollup (``plans.rollup.build_rollup``): one row
+    per dimension combination, so it is bounded by the dimensions'
+    cardinalities however long the stream runs. Each micro-batch hands the
+    complete current rollup to ``sink``, which derives any aggregate section
+    from it (``plans.report.report_sections(..., rollup=df)`` or a single
+    operator) without touching the stream's lines again.
+    """
+    return running_report(stream_fact, lambda f: build_rollup(f, cfg), sink,
+                          checkpoint=checkpoint, available_now=available_now)

@@ -7,9 +7,12 @@ import tempfile
 
 from test_fixtures import HEADER, ROWS
 
-from ledgerline.operators import queries as Q
+from ledgerline.config import RETAIL
+from ledgerline.operators import breakdowns as B, kpis as K, queries as Q
 from ledgerline.sources.csv import header_schema, load_retail_fact
-from ledgerline.streaming import ingest_to_parquet, running_report, stream_sales_csv
+from ledgerline.streaming import (
+    ingest_to_parquet, running_report, running_rollup, stream_sales_csv,
+)
 
 
 def _landing():
@@ -44,3 +47,19 @@ def test_running_report_equals_batch(spark):
     q.awaitTermination(120)
     batch = sorted(Q.sales_profit_by_region(load_retail_fact(spark, landing)).collect())
     assert seen["rows"] == batch
+
+
+def test_running_rollup_feeds_every_section(spark):
+    landing = _landing()
+    schema = header_schema(spark, landing)
+    seen = {}
+
+    def sink(df, batch_id):
+        seen["kpi"] = K.kpi_summary(df).collect()
+        seen["all"] = sorted(B.breakdown_all_dimensions(df).collect())
+
+    q = running_rollup(stream_sales_csv(spark, landing, schema), sink, RETAIL)
+    q.awaitTermination(120)
+    fact = load_retail_fact(spark, landing)
+    assert seen["kpi"] == K.kpi_summary(fact, RETAIL).collect()
+    assert seen["all"] == sorted(B.breakdown_all_dimensions(fact).collect())
