@@ -54,11 +54,14 @@ def store_rollup(spark: SparkSession, rollup: DataFrame, path: str | None = None
     The rollup has at most one row per dimension combination, so it goes to
     ``files`` file(s) through a repartition AFTER the final aggregate (a
     coalesce would instead pull the final aggregate itself, which reads
-    combinations x map tasks partial rows, into one task).
+    combinations x map tasks partial rows, into one task). The returned
+    DataFrame is cached: every report section re-reads it.
     """
     path = path or scratch_path(spark, "report-rollup")
     rollup.repartition(files).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # Cached for the sections that re-read it: a few thousand rows, and a
+    # lost block is re-read from the stored file, never recomputed from lines.
+    return spark.read.parquet(path).cache()
 
 
 def rollup_table(rollup: DataFrame) -> DataFrame:
