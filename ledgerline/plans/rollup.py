@@ -17,8 +17,9 @@ so the sections re-read a few kilobytes, and a lost executor never replays
 the joins. A hot dimension value (one ship mode holding a third of the lines)
 costs nothing extra: each task ships one partial row per combination.
 
-Row-level outputs (the scatter points, the density grid's per-line profit
-bins, the regression) still need the line fact.
+``build_report_aggregates`` adds the density grid (chart V4 at scale) to the
+same pass as a second grouping set. Row-level outputs (the scatter points,
+the regression) still need the line fact.
 """
 
 from __future__ import annotations
