@@ -14,7 +14,7 @@ after the last step, from the exact sums and counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,56 +32,82 @@ COUNTS = frozenset({"orders", "sales_n", "disc_n", "profitable", "loss", "hi_ord
                     "hi_loss", "hi_profit_n", "lo_orders", "zero_profit_n"})
 
 
-def line_measures(cfg: AnalyticsConfig = DEFAULT) -> dict[str, Column]:
-    """Every measure as an aggregate over order lines.
+def _line_factories(cfg: AnalyticsConfig) -> dict[str, Callable[[], Column]]:
+    """Builders of every measure over order lines. Building a Column costs
+    calls into the JVM, so only the measures a query asks for are built."""
+    def hi() -> Column:
+        return is_high_discount(cfg)
+
+    def lo() -> Column:
+        return ~F.coalesce(hi(), F.lit(False))
+
+    def one() -> Column:
+        return F.lit(1)
+
+    def profit() -> Column:
+        return F.col("profit")
+
+    zero = is_zero_discount
+    return {
+        "sales": lambda: F.sum("sales"),
+        "profit": lambda: F.sum("profit"),
+        "orders": lambda: F.count(one()),
+        "sales_n": lambda: F.count("sales"),
+        "disc_sum": lambda: F.sum(F.col("discount").cast("decimal(4,2)")),
+        "disc_n": lambda: F.count("discount"),
+        "profitable": lambda: F.count(F.when(is_profitable(), one())),
+        "loss": lambda: F.count(F.when(is_loss(), one())),
+        "hi_orders": lambda: F.count(F.when(hi(), one())),
+        "hi_loss": lambda: F.count(F.when(hi() & is_loss(), one())),
+        "hi_profit": lambda: F.sum(F.when(hi(), profit())),
+        "hi_profit_n": lambda: F.count(F.when(hi(), profit())),
+        "lo_orders": lambda: F.count(F.when(lo(), one())),
+        "lo_profit": lambda: F.sum(F.when(lo(), profit())),
+        "zero_profit": lambda: F.sum(F.when(zero(), profit())),
+        "zero_profit_n": lambda: F.count(F.when(zero(), profit())),
+    }
+
+
+MEASURES = tuple(_line_factories(DEFAULT))
+
+
+def line_measures(cfg: AnalyticsConfig = DEFAULT,
+                  names: Iterable[str] | None = None) -> dict[str, Column]:
+    """Measures (all, or ``names``) as aggregates over order lines.
 
     ``hi_*`` is the band discount >= threshold, ``lo_*`` every other line
     (a NULL discount counts as low), ``zero_*`` discount = 0.
     """
-    hi, zero = is_high_discount(cfg), is_zero_discount()
-    lo = ~F.coalesce(hi, F.lit(False))
-    one, profit = F.lit(1), F.col("profit")
-    return {
-        "sales": F.sum("sales"),
-        "profit": F.sum("profit"),
-        "orders": F.count(one),
-        "sales_n": F.count("sales"),
-        "disc_sum": F.sum(F.col("discount").cast("decimal(4,2)")),
-        "disc_n": F.count("discount"),
-        "profitable": F.count(F.when(is_profitable(), one)),
-        "loss": F.count(F.when(is_loss(), one)),
-        "hi_orders": F.count(F.when(hi, one)),
-        "hi_loss": F.count(F.when(hi & is_loss(), one)),
-        "hi_profit": F.sum(F.when(hi, profit)),
-        "hi_profit_n": F.count(F.when(hi, profit)),
-        "lo_orders": F.count(F.when(lo, one)),
-        "lo_profit": F.sum(F.when(lo, profit)),
-        "zero_profit": F.sum(F.when(zero, profit)),
-        "zero_profit_n": F.count(F.when(zero, profit)),
-    }
+    factories = _line_factories(cfg)
+    return {n: factories[n]() for n in (names if names is not None else MEASURES)}
 
 
 def is_rollup(src: DataFrame) -> bool:
     return f"{ROLLUP_PREFIX}orders" in src.columns
 
 
-def measure(src: DataFrame, name: str, cfg: AnalyticsConfig = DEFAULT) -> Column:
+def measure(src: DataFrame, name: str, cfg: AnalyticsConfig = DEFAULT,
+            rollup: bool | None = None) -> Column:
     """The aggregate ``name`` over ``src`` (a line fact or a rollup).
 
     A rollup carries the discount threshold it was built with; ``cfg`` only
-    applies to a line fact.
+    applies to a line fact. ``rollup`` saves the schema lookup when the
+    caller already knows what ``src`` is.
     """
-    if is_rollup(src):
+    if rollup is None:
+        rollup = is_rollup(src)
+    if rollup:
         total = F.sum(F.col(ROLLUP_PREFIX + name))
         return F.coalesce(total, F.lit(0).cast("bigint")) if name in COUNTS else total
-    return line_measures(cfg)[name]
+    return _line_factories(cfg)[name]()
 
 
 def aggregate(src: DataFrame, keys: Sequence[str | Column], names: Iterable[str],
               cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
     """Group ``src`` by ``keys`` (a global aggregate when empty) and compute the
     named measures as columns ``_<name>``: one partial + final aggregation."""
-    cols = [measure(src, n, cfg).alias(f"_{n}") for n in names]
+    rollup = is_rollup(src)
+    cols = [measure(src, n, cfg, rollup).alias(f"_{n}") for n in names]
     return src.groupBy(*keys).agg(*cols) if keys else src.agg(*cols)
 
 
