@@ -115,3 +115,12 @@ def test_line_shuffle_estimate_uses_footer_count(spark):
     from ledgerline.sources.star import LINE_EXCHANGE_ROW_BYTES, line_shuffle_bytes, read_table
     n = read_table(spark, SF_SMALL, "lineitem").count()
     assert line_shuffle_bytes(spark, SF_SMALL) == n * LINE_EXCHANGE_ROW_BYTES
+
+
+def test_fact_binding_is_memoised_and_refreshable(spark):
+    a = bind_fact(spark, SF_SMALL)
+    assert bind_fact(spark, SF_SMALL) is a                 # no re-listing, no re-analysis
+    b = bind_fact(spark, SF_SMALL, refresh=True)           # a rewritten table: bind again
+    assert b is not a and bind_fact(spark, SF_SMALL) is b
+    assert sorted(Q.sales_profit_by_region(a).collect()) == sorted(
+        Q.sales_profit_by_region(b).collect())
