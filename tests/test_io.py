@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import os
 
 from ledgerline.operators import queries as Q
@@ -29,3 +31,37 @@ def test_schema_listing_and_preview(spark, fact_small):
     assert cols == fact_small.columns
     p = preview(Q.sales_profit_by_region(fact_small), 2, ["region"]).collect()
     assert len(p) == 2 and p[0].region < p[1].region
+
+
+class _FakeConf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+class _FakeContext:
+    def __init__(self, master, conf=None):
+        self.master, self._conf, self.dir = master, _FakeConf(conf or {}), None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def getConf(self):
+        return self._conf
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _FakeSession:
+    def __init__(self, master, conf=None):
+        self.sparkContext = _FakeContext(master, conf)
+        self.conf = _FakeConf(conf or {})
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    from ledgerline.session import ensure_checkpoint_dir
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_FakeSession("yarn"))
+    shared = {"spark.checkpoint.dir": "hdfs:///shared/ckpt"}
+    assert ensure_checkpoint_dir(_FakeSession("yarn", shared)) == "hdfs:///shared/ckpt"
+    assert ensure_checkpoint_dir(_FakeSession("local[4]"))      # tests: a scratch folder
