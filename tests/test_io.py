@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pytest
-
 import os
 
+import pytest
+
 from ledgerline.operators import queries as Q
 from ledgerline.plans.report import run_report
 from ledgerline.sources.catalog import describe_schema, preview
