@@ -74,11 +74,12 @@ def run_report(spark: SparkSession, fact: DataFrame, out_dir: str,
         store_fact = with_ml
     if store_fact:
         fact = materialize(spark, fact)
-    rollup, grid = split_report_aggregates(
-        store_rollup(spark, build_report_aggregates(fact, cfg)))
+    stored = store_rollup(spark, build_report_aggregates(fact, cfg))
+    rollup, grid = split_report_aggregates(stored)
     written = write_report(report_sections(fact, cfg, rollup, grid), f"{out_dir}/report")
     written["sql_results"] = write_result(Q.region_category_profit(rollup),
                                           f"{out_dir}/sql_results", single_file=True)
+    stored.unpersist()
     if with_ml:
         _, preds, metrics = M.run_regression(fact, mode=split_mode)
         written["ml_predictions"] = write_result(preds, f"{out_dir}/ml_predictions")
