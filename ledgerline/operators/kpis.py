@@ -90,15 +90,15 @@ def kpi_extremes(fact: DataFrame, dims: tuple[str, ...] = ("region", "category",
     prints next to the top region, T7); ``top_region_own_profit`` is the profit
     of the top-sales region itself. Ties: first key in ascending order.
     """
-    g = grouped_sets(fact, dims)
     by_dim = Window.partitionBy("dimension")
-    g = (g.withColumn("_sales_desc", F.row_number().over(by_dim.orderBy(F.desc("_sales"), "dim_value")))
-          .withColumn("_sales_asc", F.row_number().over(by_dim.orderBy(F.asc("_sales"), "dim_value")))
-          .withColumn("_profit_desc", F.row_number().over(by_dim.orderBy(F.desc("_profit"), "dim_value")))
-          .withColumn("_profit_asc", F.row_number().over(by_dim.orderBy(F.asc("_profit"), "dim_value"))))
+    ranks = [F.row_number().over(by_dim.orderBy(order(m), "dim_value")).alias(f"{m}_{d}")
+             for m in ("_sales", "_profit") for order, d in ((F.desc, "desc"), (F.asc, "asc"))]
+    g = grouped_sets(fact, dims).select("*", *ranks)      # one projection, one analysis
 
     def pick(dim: str, rank: str, col: str):
-        return F.max(F.when((F.col("dimension") == dim) & (F.col(rank) == 1), F.col(col)))
+        # the value of ``col`` on the row ranked first for ``dim`` (one SQL
+        # expression: the dimension names are this module's own constants)
+        return F.expr(f"max(CASE WHEN dimension = '{dim}' AND {rank} = 1 THEN {col} END)")
 
     def money(dim: str, rank: str, col: str):
         return F.round(pick(dim, rank, col), MONEY_SCALE).cast("double")
