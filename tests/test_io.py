@@ -65,3 +65,24 @@ def test_cluster_without_checkpoint_dir_is_refused():
     shared = {"spark.checkpoint.dir": "hdfs:///shared/ckpt"}
     assert ensure_checkpoint_dir(_FakeSession("yarn", shared)) == "hdfs:///shared/ckpt"
     assert ensure_checkpoint_dir(_FakeSession("local[4]"))      # tests: a scratch folder
+
+
+def test_run_report_script(spark, tmp_out):
+    import importlib.util
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                        "scripts", "run_report.py")
+    spec = importlib.util.spec_from_file_location("run_report_script", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    from ledgerline.session import sizing_conf
+    keys = list(sizing_conf(1, 1))                    # the settings main() sizes
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        written = mod.main(["--star", "/root/testdata/sf0.001", "--out", f"{tmp_out}/job",
+                            "--no-ml"])
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "sql_results" in written and "kpi_summary" in written and "ml_predictions" not in written
+    kpi = spark.read.option("header", "true").csv(written["kpi_summary"]).first()
+    assert int(kpi["total_orders"]) == 6000
