@@ -22,6 +22,12 @@ from ledgerline.operators import (
 from ledgerline.plans.rollup import build_rollup, rollup_table
 from ledgerline.sources.star import FACT_SQL, bind_fact
 
+try:        # the training-data subpackage and its pipeline are optional
+    import corpus_pipeline
+    from ledgerline.llm import queries as training
+except ImportError:
+    corpus_pipeline = training = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SEARCH_TEXT = "ica"
 HI = repr(DEFAULT.high_discount)          # 0.08 on the star-schema tables
@@ -56,6 +62,11 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _retail_queries() | (
+        training.queries() | {"pipeline": corpus_pipeline.run} if training else {})
+
+
+def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # The reference's SQL reports
         "sales_profit_by_region": _on_fact(Q.sales_profit_by_region),
@@ -179,6 +190,15 @@ FROM fact GROUP BY {col}""")
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _retail_oracles()
+    if training:
+        found |= training.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _retail_oracles() -> dict[str, str]:
     hi = f"discount >= {HI}"
     return {
         "sales_profit_by_region": _fact(f"""
@@ -307,8 +327,7 @@ SELECT (SELECT k FROM r ORDER BY s DESC, k LIMIT 1) AS top_region,
          AS worst_subcategory_abs_loss,
        (SELECT k FROM sm ORDER BY s DESC, k LIMIT 1) AS top_ship_mode,
        (SELECT ROUND(CAST(sm.s AS DOUBLE) / NULLIF(CAST(ROUND(tot.s, 2) AS DOUBLE), 0) * 100, 1)
-          FROM sm, tot ORDER BY sm.s DESC, sm.k LIMIT 1) AS top_ship_mode_share_pct"""
-                              ).replace("WITH fact AS (", "WITH fact AS (", 1),
+          FROM sm, tot ORDER BY sm.s DESC, sm.k LIMIT 1) AS top_ship_mode_share_pct"""),
 
         "top_region": _rank("region", "sales", "DESC", "total_sales"),
         "bottom_region": _rank("region", "sales", "ASC", "total_sales"),
