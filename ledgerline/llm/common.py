@@ -31,17 +31,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored`` once nothing reads them."""
+    for df in tables:
+        delete_folder(df.sparkSession, df.scratch)
 
 
-def drop_stored(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a table made by ``stored`` once nothing reads it."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = df.inputFiles()
-    if files:
-        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(conf).delete(folder, True)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -117,15 +120,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Self-links, repeated links and null ends are ignored; no links give an
     empty table.
     """
-    spark = edges.sparkSession
     edges = stored(_ordered(edges), "cc-edges")
     nodes = None
     while True:
         large = _star(edges, both=True)
         small = _star(large, both=False)
-        drop_stored(spark, large)
+        drop_stored(large)
         changed = _signature(small) != _signature(edges)
-        drop_stored(spark, edges)
+        drop_stored(edges)
         edges = small
         if not changed:
             nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -148,7 +150,6 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
     """One star round over links (a > b). Large-star looks at every neighbour
     and moves the larger ones to the smallest; small-star looks at the smaller
     neighbours and moves them, and the node itself, to the smallest."""
-    spark = edges.sparkSession
     if both:
         seen = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -162,5 +163,5 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
         out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     out = stored(out.where(F.col("a") != F.col("b")).distinct(), "cc-edges")
-    drop_stored(spark, least)
+    drop_stored(least)
     return out

@@ -10,18 +10,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate
+from ledgerline.llm import decontaminate, mixing, quality_classifier, quality_rules, simhash, token_files
 from ledgerline.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("score")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, name = mixing.place(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return placed.select("doc_id", f"{name}.*")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_digest(token_files.write_tokens(table(spark, sf_dir, "documents")))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_digest(
         decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.digest(quality_classifier.score(docs, model))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
+        "op2_mixing": op2_mixing,
+        "op5_token_files": op5_token_files,
+        "op7_simhash": op7_simhash,
         "op9_decontaminate": op9_decontaminate,
+        "op10_quality_classifier": op10_quality_classifier,
     }
 
 
