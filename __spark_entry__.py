@@ -3,9 +3,7 @@
 Every query binds the whole star schema to the sales fact (see
 ``ledgerline.sources.star``) and runs one operator of the library on it; the
 oracle is the same computation written as plain SQL for DuckDB over the same
-parquet tables (the fact as a CTE). Queries without an oracle are the
-regression outputs, which need a linear solve (checked in pytest against a
-closed form instead).
+parquet tables (the fact as a CTE; the regression by its normal equations).
 """
 
 from __future__ import annotations
@@ -13,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.config import DEFAULT
+from ledgerline.config import DEFAULT, RIDGE_REG_PARAM
 from ledgerline.operators import (
     breakdowns as B, charts as C, claims as CL, cleaning as CLN, filters as FL,
     kpis as K, ml as M, queries as Q, ranking as R, tables as T,
 )
 from ledgerline.plans.rollup import build_rollup, rollup_table
+from ledgerline.sources.csv import csv_round_trip
 from ledgerline.sources.star import FACT_SQL, bind_fact
 
 try:        # the training-data subpackage and its pipeline are optional
@@ -46,19 +46,41 @@ def _on_fact(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, st
     return run
 
 
+def _with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uncleaned fact with nulls made of one ship mode and one quantity."""
+    fact = bind_fact(spark, sf_dir, raw=True)
+    return fact.withColumns({
+        "ship_mode": F.nullif(F.col("ship_mode"), F.lit("5-LOW")),
+        "quantity": F.nullif(F.col("quantity"), F.lit(1.0))})
+
+
+def _clean_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CLN.clean_count(_with_nulls(spark, sf_dir))
+
+
+def _clean_ship_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.sales_by_ship_mode(CLN.clean(_with_nulls(spark, sf_dir)))
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_round_trip(spark, Q.region_category_profit(bind_fact(spark, sf_dir)))
+
+
+# The regression's figures are rounded where the two engines' sums agree by far:
+# they differ in the order of additions only.
 def _regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = M.split(M.prepared_frame(bind_fact(spark, sf_dir)), "stable")
-    return M.coefficients(M.fit(train), spark)
+    model, _ = M.fit_stable(bind_fact(spark, sf_dir))
+    return M.coefficients(model, spark).withColumn("coefficient", F.round("coefficient", 4))
 
 
 def _regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, metrics = M.run_regression(bind_fact(spark, sf_dir), mode="stable")
-    return metrics
+    return metrics.select(F.round("rmse", 4).alias("rmse"), F.round("r2", 8).alias("r2"), "test_rows")
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, preds, _ = M.run_regression(bind_fact(spark, sf_dir), mode="stable")
-    return preds
+    return preds.withColumn("prediction", F.round("prediction", 2))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -76,7 +98,9 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profit_by_category": _on_fact(Q.profit_by_category),
         "region_category_profit": _on_fact(Q.region_category_profit),
         # Cleaning, counts, projections, filters
-        "clean_count": _on_fact(CLN.clean_count),
+        "clean_count": _clean_count,
+        "clean_ship_modes": _clean_ship_modes,
+        "csv_round_trip": _csv_round_trip,
         "row_count": _on_fact(FL.row_count),
         "project_order_lines": _on_fact(FL.project_order_lines),
         "profitable_orders": _on_fact(FL.profitable_orders),
@@ -130,6 +154,7 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "index_ship_mode": _on_fact(lambda f: M.label_index(f, "ship_mode")),
         "feature_matrix": _on_fact(M.feature_matrix),
         "train_test_counts": _on_fact(M.train_test_counts),
+        "random_split_total": _on_fact(M.random_split_total),
         "regression_coefficients": _regression_coefficients,
         "regression_metrics": _regression_metrics,
         "predictions": _predictions,
@@ -189,6 +214,45 @@ SELECT {col}, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {col}) - 1 AS DOUB
 FROM fact GROUP BY {col}""")
 
 
+def _ridge(body: str) -> str:
+    """The regression in plain SQL: indexed features, the standardised normal
+    equations of the train side, Gauss-Jordan elimination step by step, and
+    the coefficients back on the features' own scale (one row, ``fit``)."""
+    dims = ("segment", "category", "region", "ship_mode")
+    n = len(M.FEATURES)
+    x, y = [f"x{i}" for i in range(n)], "y"
+    train = "(SELECT * FROM model WHERE NOT is_test) t"
+    ranks = "".join(f"""
+, rank_{d} AS (SELECT {d}, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {d}) - 1 AS i
+               FROM fact WHERE NOT order_key % 5 = 4 GROUP BY {d})""" for d in dims)
+    columns = ["sales", "quantity", "discount", *(f"rank_{d}.i" for d in dims)]
+    steps = [f"""
+, e0 AS (SELECT {", ".join(
+        [f"AVG(({x[i]} - m_{x[i]}) * ({x[j]} - m_{x[j]})) / (MAX(s_{x[i]}) * MAX(s_{x[j]}))"
+         + (f" + {RIDGE_REG_PARAM} / MAX(s_y)" if i == j else "") + f" AS a{i}_{j}"
+         for i in range(n) for j in range(n)]
+        + [f"AVG(({x[i]} - m_{x[i]}) * (y - m_y)) / (MAX(s_{x[i]}) * MAX(s_y)) AS b{i}" for i in range(n)])}
+         FROM {train}, moments)"""]
+    for k in range(n):
+        cells = [f"a{i}_{j}" + (f" - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}" if i != k else "")
+                 for i in range(n) for j in range(n)]
+        cells += [f"b{i}" + (f" - a{i}_{k} / a{k}_{k} * b{k} AS b{i}" if i != k else "") for i in range(n)]
+        steps.append(f"\n, e{k + 1} AS (SELECT {', '.join(cells)} FROM e{k})")
+    weights = ", ".join(f"b{i} / a{i}_{i} * s_y / s_{x[i]} AS w{i}" for i in range(n))
+    intercept = " - ".join(["m_y", *(f"w{i} * m_{x[i]}" for i in range(n))])
+    return _fact(f"""{ranks}
+, model AS (SELECT order_key % 5 = 4 AS is_test, {", ".join(
+        f"CAST({c} AS DOUBLE) AS {name}" for c, name in zip(columns, x))}, CAST(profit AS DOUBLE) AS y
+            FROM fact {" ".join(f"JOIN rank_{d} USING ({d})" for d in dims)})
+, moments AS (SELECT {", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in [*x, y])} FROM {train})
+{"".join(steps)}
+, scaled AS (SELECT {weights}, moments.* FROM e{n}, moments)
+, fit AS (SELECT *, {intercept} AS w{n} FROM scaled)
+, scored AS (SELECT model.*, {" + ".join(f"w{i} * {x[i]}" for i in range(n))} + w{n} AS prediction
+             FROM model, fit WHERE is_test)
+{body}""")
+
+
 def oracle_sql() -> dict[str, str]:
     found = _retail_oracles()
     if training:
@@ -224,12 +288,18 @@ FROM fact GROUP BY region, category ORDER BY total_profit DESC, region, category
 
         "clean_count": _fact("""
 SELECT COUNT(*) AS rows_in,
-       COUNT(*) FILTER (WHERE order_key IS NOT NULL AND region IS NOT NULL
+       COUNT(*) FILTER (WHERE ship_mode <> '5-LOW' AND quantity <> 1 AND region IS NOT NULL
          AND segment IS NOT NULL AND category IS NOT NULL AND sub_category IS NOT NULL
-         AND ship_mode IS NOT NULL AND quantity IS NOT NULL AND NOT isnan(quantity)
-         AND discount IS NOT NULL AND NOT isnan(discount) AND sales IS NOT NULL
-         AND profit IS NOT NULL) AS rows_out
+         AND discount IS NOT NULL AND sales IS NOT NULL AND profit IS NOT NULL) AS rows_out
 FROM fact"""),
+        "clean_ship_modes": _fact(f"""
+SELECT ship_mode, COUNT(*) AS total_orders, {MONEY_S} AS total_sales
+FROM (SELECT nullif(ship_mode, '5-LOW') AS ship_mode, nullif(quantity, 1) AS quantity, sales FROM fact) t
+WHERE ship_mode IS NOT NULL AND quantity IS NOT NULL
+GROUP BY ship_mode ORDER BY total_sales DESC, ship_mode"""),
+        "csv_round_trip": _fact(f"""
+SELECT region, category, {MONEY_S} AS total_sales, {MONEY_P} AS total_profit
+FROM fact GROUP BY region, category"""),
         "row_count": _fact("SELECT COUNT(*) AS total_orders FROM fact"),
         "project_order_lines": _fact(f"SELECT {LINES} FROM fact"),
         "profitable_orders": _fact(f"SELECT {LINES} FROM fact WHERE profit > 0"),
@@ -458,6 +528,17 @@ SELECT CAST(f.sales AS DOUBLE) AS sales, CAST(f.quantity AS DOUBLE) AS quantity,
        CAST(shp.i AS DOUBLE) AS ship_mode_idx
 FROM fact f JOIN seg USING (segment) JOIN cat USING (category)
      JOIN reg USING (region) JOIN shp USING (ship_mode)"""),
+        "random_split_total": _fact("SELECT COUNT(*) AS rows, true AS share_holds FROM fact"),
+        "regression_coefficients": _ridge(" UNION ALL ".join(
+            f"SELECT '{name}' AS feature, ROUND(w{i}, 4) AS coefficient FROM fit"
+            for i, name in enumerate([*M.FEATURES, "intercept"]))),
+        "regression_metrics": _ridge("""
+SELECT ROUND(SQRT(AVG((y - prediction) * (y - prediction))), 4) AS rmse,
+       ROUND(1 - SUM((y - prediction) * (y - prediction)) / (VAR_POP(y) * COUNT(*)), 8) AS r2,
+       COUNT(*) AS test_rows FROM scored"""),
+        "predictions": _ridge("""
+SELECT x0 AS sales, x1 AS quantity, x2 AS discount, y AS profit, ROUND(prediction, 2) AS prediction
+FROM scored"""),
         "train_test_counts": _fact("""
 SELECT CASE WHEN order_key % 5 = 4 THEN 'test' ELSE 'train' END AS split, COUNT(*) AS rows
 FROM fact GROUP BY 1"""),

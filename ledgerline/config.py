@@ -32,8 +32,10 @@ AVG_DISCOUNT_SCALE = 3
 TABLE_PCT_SCALE = 1
 KPI_MARGIN_SCALE = 2
 KPI_PCT_SCALE = 1
-# Text the pandas reader treats as missing in the retail CSV (besides empty).
-DEFAULT_NULL_TOKENS = ("NA", "N/A", "null", "NaN", "nan", "NULL")
+# Text the pandas reader treats as missing (besides empty), in exactly this case.
+DEFAULT_NULL_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 # ---------------------------------------------------------------------------
 
 # Star-schema binding: "high discount" on l_discount (0.00 .. 0.10).

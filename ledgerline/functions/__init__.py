@@ -1,7 +1,7 @@
 """Column-expression helpers (all built-in Spark SQL functions, no UDFs)."""
 
 from ledgerline.functions.money import (  # noqa: F401
-    as_double, avg_of, money_sum, pct, ratio, round_half_up,
+    as_double, pct, ratio,
 )
 from ledgerline.functions.predicates import (  # noqa: F401
     is_high_discount, is_loss, is_profitable, is_zero_discount, scatter_sign,

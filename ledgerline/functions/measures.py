@@ -14,7 +14,9 @@ after the last step, from the exact sums and counts.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,9 @@ from ledgerline.functions.predicates import (
 # A rollup stores measure ``x`` in column ``m_x``.
 ROLLUP_PREFIX = "m_"
 
+# Measures that depend on the discount threshold.
+BANDED = frozenset({"hi_orders", "hi_loss", "hi_profit", "hi_profit_n", "lo_orders", "lo_profit"})
+
 # Measures that are counts (a count over no rows is 0, a sum over none NULL).
 COUNTS = frozenset({"orders", "sales_n", "disc_n", "profitable", "loss", "hi_orders",
                     "hi_loss", "hi_profit_n", "lo_orders", "zero_profit_n"})
@@ -90,23 +95,33 @@ def measure(src: DataFrame, name: str, cfg: AnalyticsConfig = DEFAULT,
             rollup: bool | None = None) -> Column:
     """The aggregate ``name`` over ``src`` (a line fact or a rollup).
 
-    A rollup carries the discount threshold it was built with; ``cfg`` only
-    applies to a line fact. ``rollup`` saves the schema lookup when the
-    caller already knows what ``src`` is.
+    A rollup carries the discount threshold it was built with: asking it for a
+    band measure at another threshold fails. ``rollup`` saves the schema
+    lookup when the caller already knows what ``src`` is.
     """
     if rollup is None:
         rollup = is_rollup(src)
     if rollup:
-        total = F.sum(F.col(ROLLUP_PREFIX + name))
+        value = F.col(ROLLUP_PREFIX + name)
+        if name in BANDED:
+            asked = float(cfg.high_discount)
+            value = F.when(F.col("high_discount") == F.lit(asked), value).otherwise(F.raise_error(
+                F.concat(F.lit(f"{name} at threshold {asked} is not in a rollup built for "),
+                         F.col("high_discount").cast("string"))))
+        total = F.sum(value)
         return F.coalesce(total, F.lit(0).cast("bigint")) if name in COUNTS else total
     return _line_factories(cfg)[name]()
 
 
 def aggregate(src: DataFrame, keys: Sequence[str | Column], names: Iterable[str],
-              cfg: AnalyticsConfig = DEFAULT) -> DataFrame:
+              cfg: AnalyticsConfig = DEFAULT, null_keys: bool = False) -> DataFrame:
     """Group ``src`` by ``keys`` (a global aggregate when empty) and compute the
-    named measures as columns ``_<name>``: one partial + final aggregation."""
+    named measures as columns ``_<name>``: one partial + final aggregation.
+    Rows with a null key form no group (as in pandas) unless ``null_keys``."""
     rollup = is_rollup(src)
+    if keys and not null_keys:
+        src = src.where(reduce(operator.and_, [
+            (F.col(k) if isinstance(k, str) else k).isNotNull() for k in keys]))
     cols = [measure(src, n, cfg, rollup).alias(f"_{n}") for n in names]
     return src.groupBy(*keys).agg(*cols) if keys else src.agg(*cols)
 

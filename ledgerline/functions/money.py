@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.config import MONEY_SCALE
-
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,11 +23,6 @@ def as_double(c: Column | str) -> Column:
     return _c(c).cast("double")
 
 
-def money_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """ROUND(SUM(decimal), scale) as DOUBLE."""
-    return F.round(F.sum(_c(c)), scale).cast("double")
-
-
 def ratio(num: Column | str, den: Column | str) -> Column:
     """num / den in DOUBLE; NULL when den is 0 or NULL."""
     return F.try_divide(as_double(num), as_double(den))
@@ -38,16 +31,3 @@ def ratio(num: Column | str, den: Column | str) -> Column:
 def pct(num: Column | str, den: Column | str) -> Column:
     """100 * num / den in DOUBLE; NULL when den is 0."""
     return ratio(num, den) * F.lit(100)
-
-
-def avg_of(c: Column | str) -> Column:
-    """Mean as DOUBLE(sum) / count of non-null values; NULL over no rows.
-
-    Spark's AVG on a DECIMAL returns a DECIMAL; expressing the mean as a
-    double division keeps the type (and the value) engine-independent.
-    """
-    return F.try_divide(F.sum(_c(c)).cast("double"), F.count(_c(c)).cast("double"))
-
-
-def round_half_up(c: Column | str, scale: int) -> Column:
-    return F.round(_c(c), scale)

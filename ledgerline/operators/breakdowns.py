@@ -106,7 +106,7 @@ def grouped_sets(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS[:4]) -> Dat
     this is a re-aggregation of at most that many rows), and only that is
     expanded into the grouping sets; sums and counts re-aggregate exactly.
     """
-    base = aggregate(fact, list(dims), BASE)
+    base = aggregate(fact, list(dims), BASE, null_keys=True)
     sets = [[F.col(d)] for d in dims] + [[]]
     grouped = base.groupingSets(sets, *dims).agg(
         F.sum("_sales").alias("_sales"), F.sum("_profit").alias("_profit"),
@@ -119,5 +119,6 @@ def grouped_sets(fact: DataFrame, dims: tuple[str, ...] = DIMENSIONS[:4]) -> Dat
         only_d = (1 << n) - 1 - (1 << (n - 1 - i))
         name = F.when(F.col("_gid") == only_d, F.lit(d)).otherwise(name)
         value = F.when(F.col("_gid") == only_d, F.col(d).cast("string")).otherwise(value)
-    return grouped.select(name.alias("dimension"), value.alias("dim_value"),
-                          "_sales", "_profit", "_orders")
+    out = grouped.select(name.alias("dimension"), value.alias("dim_value"),
+                         "_sales", "_profit", "_orders")
+    return out.where((F.col("dimension") == "all") | F.col("dim_value").isNotNull())

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import operator
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -19,17 +16,15 @@ def strip_columns(df: DataFrame) -> DataFrame:
 
 def normalize_nulls(df: DataFrame, tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS,
                     columns: list[str] | None = None) -> DataFrame:
-    """Turn textual missing markers ('NA', 'N/A', 'null', blank, ...) in
-    string columns into real NULLs, as the pandas reader does."""
+    """Turn textual missing markers in string columns into real NULLs, as
+    the pandas reader does: blank, or one of ``tokens`` in exactly its case."""
     targets = set(columns) if columns else {
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    lowered = [t.lower() for t in tokens]
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.name in targets:
-            t = F.trim(c)
-            c = F.when((t == "") | F.lower(t).isin(lowered), F.lit(None).cast(f.dataType)) \
+            c = F.when((F.trim(c) == "") | c.isin(list(tokens)), F.lit(None).cast(f.dataType)) \
                  .otherwise(c).alias(f.name)
         cols.append(c)
     return df.select(*cols)
@@ -45,16 +40,10 @@ def clean(df: DataFrame, how: str = "any", subset: list[str] | None = None) -> D
     return df.na.drop(how=how, subset=subset)
 
 
-def _missing(df: DataFrame, name: str):
-    c = F.col(f"`{name}`")
-    if df.schema[name].dataType.typeName() in ("double", "float"):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
-
-
 def clean_count(raw: DataFrame, how: str = "any", subset: list[str] | None = None) -> DataFrame:
-    """Rows before and after ``clean``, in one aggregation (no second scan)."""
-    flags = [_missing(raw, n) for n in (subset or raw.columns)]
-    dropped = reduce(operator.or_ if how == "any" else operator.and_, flags)
-    return raw.agg(F.count(F.lit(1)).alias("rows_in"),
-                   F.count(F.when(~dropped, F.lit(1))).alias("rows_out"))
+    """Rows before and after ``clean``, in one row."""
+    before = raw.select(F.lit(1).alias("rows_in"), F.lit(0).alias("rows_out"))
+    after = clean(raw, how, subset).select(F.lit(0).alias("rows_in"), F.lit(1).alias("rows_out"))
+    return before.unionByName(after).agg(
+        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"),
+        F.coalesce(F.sum("rows_out"), F.lit(0)).alias("rows_out"))

@@ -9,7 +9,7 @@ rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import (
@@ -83,22 +83,22 @@ def kpi_extremes(fact: DataFrame, dims: tuple[str, ...] = ("region", "category",
     """Every extreme of the report in one row, from one grouping-sets pass.
 
     The grouping-sets output (one row per key per dimension, plus the grand
-    total) is a few dozen rows, so the rank windows and the final one-row
-    aggregate cost nothing next to the scan.
+    total) is a few dozen rows; the extremes are one aggregate over them, each
+    the value at the smallest (measure, key) of its dimension.
 
     ``max_region_profit`` is the largest regional profit (what the reference
     prints next to the top region, T7); ``top_region_own_profit`` is the profit
     of the top-sales region itself. Ties: first key in ascending order.
     """
-    by_dim = Window.partitionBy("dimension")
-    ranks = [F.row_number().over(by_dim.orderBy(order(m), "dim_value")).alias(f"{m}_{d}")
-             for m in ("_sales", "_profit") for order, d in ((F.desc, "desc"), (F.asc, "asc"))]
-    g = grouped_sets(fact, dims).select("*", *ranks)      # one projection, one analysis
+    g = grouped_sets(fact, dims)
 
     def pick(dim: str, rank: str, col: str):
-        # the value of ``col`` on the row ranked first for ``dim`` (one SQL
+        # the value of ``col`` on the row that comes first by ``rank`` (one SQL
         # expression: the dimension names are this module's own constants)
-        return F.expr(f"max(CASE WHEN dimension = '{dim}' AND {rank} = 1 THEN {col} END)")
+        name, order = rank.rsplit("_", 1)
+        sign = "-" if order == "desc" else ""
+        return F.expr(f"min_by({col}, struct({sign}{name}, dim_value)) "
+                      f"FILTER (WHERE dimension = '{dim}')")
 
     def money(dim: str, rank: str, col: str):
         return F.round(pick(dim, rank, col), MONEY_SCALE).cast("double")

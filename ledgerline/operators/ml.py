@@ -10,10 +10,10 @@ Scale notes: the four indexers are fitted together in ONE aggregation pass
 (``inputCols``), the regression aggregates a 7x7 Gram matrix per task
 (tree-aggregated, the driver receives only that), and RMSE/R2 come from one
 aggregate over the scored rows instead of one evaluator job per metric.
-Fitting and scoring read the data several times (indexer fit, feature
-statistics, normal equations, scoring, metrics), so ``prepared_frame`` writes
-the narrow model frame once to the shared checkpoint folder when the input
-would otherwise redo the star joins on every pass.
+Fitting reads its rows several times (indexer fit, feature statistics, normal
+equations), so the narrow model frame is written once to the shared
+checkpoint folder when the input would otherwise redo the star joins on every
+pass, and deleted when it has been used.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import (
     RIDGE_MAX_ITER, RIDGE_REG_PARAM, SPLIT_SEED, SPLIT_WEIGHTS,
 )
 from ledgerline.plans.fact import is_derived, materialize
+from ledgerline.session import delete_path
 
 INDEXED = ("segment", "category", "region", "ship_mode")
 FEATURES = ("sales", "quantity", "discount", "segment_idx", "category_idx",
@@ -45,16 +46,18 @@ def ml_frame(fact: DataFrame, keep_key: bool = True) -> DataFrame:
     return fact.select(*cols)
 
 
-def prepared_frame(fact: DataFrame, store: bool | None = None) -> DataFrame:
-    """``ml_frame`` ready for the multi-pass fit: written once as parquet
-    below the shared checkpoint folder (which also cuts the lineage, so a
-    lost executor re-reads files instead of replaying joins) when ``store``
-    is True, or - by default - when the frame's plan still has joins or
-    shuffles. An already stored fact is used as it is."""
-    frame = ml_frame(fact)
+def stored_frame(frame: DataFrame, store: bool | None = None) -> tuple[DataFrame, str | None]:
+    """``frame`` ready for several passes, and the folder to delete after them:
+    written once as parquet (which also cuts the lineage, so a lost executor
+    re-reads files instead of replaying joins) when ``store`` is True, or - by
+    default - when its plan still has joins or shuffles. An already stored
+    frame is used as it is, and there is nothing to delete."""
     if store is None:
         store = is_derived(frame)
-    return materialize(frame.sparkSession, frame) if store else frame
+    if not store:
+        return frame, None
+    kept = materialize(frame.sparkSession, frame)
+    return kept, kept.scratch
 
 
 def indexer(handle_invalid: str = "error") -> StringIndexer:
@@ -86,25 +89,37 @@ def build_pipeline(handle_invalid: str = "error", reg_param: float = RIDGE_REG_P
                             regression(reg_param, max_iter)])
 
 
-def split(frame: DataFrame, mode: str = "random", seed: int = SPLIT_SEED,
-          weights: tuple[float, float] = SPLIT_WEIGHTS) -> tuple[DataFrame, DataFrame]:
-    """M8: train/test split.
+def is_test(frame: DataFrame, mode: str = "random", seed: int = SPLIT_SEED,
+            weights: tuple[float, float] = SPLIT_WEIGHTS, key: str = "order_key") -> Column:
+    """Which rows of ``frame`` the split gives to the test side.
 
-    'random' is the reference's ``randomSplit([0.8, 0.2], seed=42)`` (its
-    counts depend on the partitioning of the input). 'stable' assigns whole
-    orders by key - every fifth order key (key mod 5 = 4) is test - so the
-    same rows land in the same side on any engine or partitioning; all rows
-    are used either way.
+    'random' draws every row with the seed, as the reference's
+    ``randomSplit([0.8, 0.2], seed=42)`` does (both depend on the partitioning
+    of the input, so store the flag before reading it twice). 'stable' assigns
+    whole orders by key - every fifth order key (key mod 5 = 4) is test - so
+    the same rows land in the same side on any engine or partitioning.
     """
     if mode == "random":
-        train, test = frame.randomSplit(list(weights), seed=seed)
-        return train, test
+        return F.rand(seed) >= F.lit(weights[0] / sum(weights))
     if mode == "stable":
-        is_test = (F.col("order_key") % 5) == 4
-        return frame.filter(~is_test), frame.filter(is_test)
+        if key not in frame.columns:
+            raise ValueError(f"the stable split goes by the column {key!r}, which this fact has not "
+                             f"(it has {', '.join(frame.columns)}): name another key, or use mode='random'")
+        return F.coalesce(F.pmod(F.col(key), F.lit(5)) == 4, F.lit(False))
     raise ValueError(f"unknown split mode {mode!r}")
 
 
+def split(frame: DataFrame, mode: str = "random", seed: int = SPLIT_SEED,
+          weights: tuple[float, float] = SPLIT_WEIGHTS) -> tuple[DataFrame, DataFrame]:
+    """M8: train/test split; every row is in one of the two. 'random' is the
+    reference's ``randomSplit``, 'stable' goes by ``is_test``."""
+    if mode == "random":
+        train, test = frame.randomSplit(list(weights), seed=seed)
+        return train, test
+    flag = is_test(frame, mode)
+    return frame.filter(~flag), frame.filter(flag)
+
+
 def fit(train: DataFrame, handle_invalid: str = "error") -> PipelineModel:
     """M9."""
     return build_pipeline(handle_invalid).fit(train)
@@ -140,23 +155,17 @@ def coefficients(model: PipelineModel, spark) -> DataFrame:
 
 def label_index(fact: DataFrame, column: str) -> DataFrame:
     """M1-M4 one column at a time: each distinct label with its index
-    (0 = most frequent; ties alphabetical).
-
-    One pass: the indexer's fit is a single aggregation whose label list
-    (one entry per distinct value, already on the driver inside the fitted
-    model) is the answer; no second pass over the fact applies it."""
-    model = StringIndexer(inputCol=column, outputCol=f"{column}_idx",
-                          stringOrderType="frequencyDesc").fit(fact.select(column))
-    labels = [(label, float(i)) for i, label in enumerate(model.labelsArray[0])]
-    schema = f"{column} string, {column}_idx double"
-    return fact.sparkSession.createDataFrame(labels, schema)
+    (0 = most frequent; ties alphabetical), as the fitted indexer numbers
+    them. One aggregation; the rank runs over the grouped rows."""
+    counts = fact.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.row_number().over(Window.orderBy(F.desc("_n"), column)) - 1
+    return counts.select(column, rank.cast("double").alias(f"{column}_idx"))
 
 
 def feature_matrix(fact: DataFrame) -> DataFrame:
-    """M5: every row's 7 assembled features, unpacked into DOUBLE columns.
-    The indexers' fit and the transform are two passes, so they read the
-    ``prepared_frame``."""
-    frame = prepared_frame(fact)
+    """M5: every row's 7 assembled features, unpacked into DOUBLE columns:
+    one pass counts the labels, a second one applies them."""
+    frame = ml_frame(fact)
     indexed = indexer().fit(frame).transform(frame)
     assembled = assembler().transform(indexed)
     arr = vector_to_array(assembled["features"])
@@ -166,24 +175,51 @@ def feature_matrix(fact: DataFrame) -> DataFrame:
 def train_test_counts(fact: DataFrame, mode: str = "stable") -> DataFrame:
     """Rows on each side of the split, from one aggregation."""
     frame = ml_frame(fact)
-    if mode == "stable":
-        side = F.when((F.col("order_key") % 5) == 4, F.lit("test")).otherwise(F.lit("train"))
-        return frame.groupBy(side.alias("split")).agg(F.count(F.lit(1)).alias("rows"))
-    train, test = split(frame, mode)
-    return (train.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit("train"))
-            .unionByName(test.agg(F.count(F.lit(1)).alias("rows"))
-                         .withColumn("split", F.lit("test")))
-            .select("split", "rows"))
+    side = F.when(is_test(frame, mode), F.lit("test")).otherwise(F.lit("train"))
+    return frame.select(side.alias("split")).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def random_split_total(fact: DataFrame) -> DataFrame:
+    """The reference's own split, by what does not depend on partitioning: its
+    sides hold every row once, and the test side about its share."""
+    frame = ml_frame(fact)
+    sides = frame.select(F.when(is_test(frame, "random"), 1).otherwise(0).alias("_test"))
+    share = F.try_divide(F.sum("_test").cast("double"), F.count("_test").cast("double"))
+    return sides.agg(F.count("_test").alias("rows"),
+                     (F.abs(share - SPLIT_WEIGHTS[1] / sum(SPLIT_WEIGHTS)) < 0.05).alias("share_holds"))
+
+
+def fit_stable(fact: DataFrame, handle_invalid: str = "error",
+               store: bool | None = None) -> tuple[PipelineModel, DataFrame]:
+    """The model fitted on the stable split's train side and the (lazy) test
+    side. The train side is stored for the passes of the fit and deleted."""
+    train, test = split(ml_frame(fact), "stable")
+    kept, folder = stored_frame(train, store)
+    try:
+        model = fit(kept, handle_invalid)
+    finally:
+        if folder:
+            delete_path(fact.sparkSession, folder)
+    return model, test
 
 
 def run_regression(fact: DataFrame, mode: str = "random", handle_invalid: str = "error",
                    store: bool | None = None):
-    """The reference's whole ML step: split, fit, score, evaluate, over the
-    ``prepared_frame`` (stored once when the fact is still a join plan).
+    """The reference's whole ML step: split, fit, score, evaluate.
 
-    Returns (model, predictions, metrics DataFrame).
+    Returns (model, predictions, metrics DataFrame). Under the random split
+    the frame is stored with each row's side, so the sides are the same on
+    every read; predictions and metrics read it, and its folder is in the
+    attribute ``scratch`` of the predictions, to be deleted after them.
     """
-    train, test = split(prepared_frame(fact, store), mode)
-    model = fit(train, handle_invalid)
-    preds = score(model, test)
+    if mode == "stable":
+        model, test = fit_stable(fact, handle_invalid, store)
+        preds = score(model, test)
+        preds.scratch = None
+        return model, preds, metrics(preds)
+    frame = ml_frame(fact)
+    kept, folder = stored_frame(frame.withColumn("_test", is_test(frame, mode)), True)
+    model = fit(kept.filter(~F.col("_test")), handle_invalid)
+    preds = score(model, kept.filter("_test"))
+    preds.scratch = folder
     return model, preds, metrics(preds)

@@ -24,9 +24,14 @@ from ledgerline.plans.fact import materialize
 from ledgerline.plans.rollup import (
     build_report_aggregates, split_report_aggregates, store_rollup,
 )
+from ledgerline.session import delete_path, scratch_path
 from ledgerline.sources.sinks import write_report, write_result
 
 
+# The one section whose rows follow the data (cells of the profit bins).
+GRID_SECTION = "chart_discount_profit_density"
+
+
 def report_sections(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
                     rollup: DataFrame | None = None,
                     grid: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -53,7 +58,7 @@ def report_sections(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
         "chart_region_sales": C.chart_region_sales(fact),
         "chart_category_profit": C.chart_category_profit(fact),
         "chart_top10_subcategory": C.top10_subcategory_sales(fact, cfg),
-        "chart_discount_profit_density": density,
+        GRID_SECTION: density,
         "chart_ship_mode_share": C.chart_ship_mode_share(fact),
         "claim_high_discount_loss_rate": CL.high_discount_loss_rate(fact, cfg),
         "claim_subcategory_discount_band": CL.subcategory_discount_band_profit(fact, cfg),
@@ -68,15 +73,20 @@ def run_report(spark: SparkSession, fact: DataFrame, out_dir: str,
     ``store_fact`` (default: only when the regression runs) writes the fact
     once to the shared checkpoint folder first; without the regression the
     fact's lines are read exactly once (the rollup + grid pass) and the fact
-    is never written.
+    is never written. What was stored is deleted at the end.
     """
     if store_fact is None:
         store_fact = with_ml
+    scratch = []
     if store_fact:
         fact = materialize(spark, fact)
-    stored = store_rollup(spark, build_report_aggregates(fact, cfg))
+        scratch.append(fact.scratch)
+    path = scratch_path(spark, "report-rollup")
+    scratch.append(path)
+    stored = store_rollup(spark, build_report_aggregates(fact, cfg), path)
     rollup, grid = split_report_aggregates(stored)
-    written = write_report(report_sections(fact, cfg, rollup, grid), f"{out_dir}/report")
+    sections = report_sections(fact, cfg, rollup, grid)
+    written = write_report(sections, f"{out_dir}/report", single_file=set(sections) - {GRID_SECTION})
     written["sql_results"] = write_result(Q.region_category_profit(rollup),
                                           f"{out_dir}/sql_results", single_file=True)
     stored.unpersist()
@@ -85,4 +95,7 @@ def run_report(spark: SparkSession, fact: DataFrame, out_dir: str,
         written["ml_predictions"] = write_result(preds, f"{out_dir}/ml_predictions")
         written["ml_metrics"] = write_result(metrics, f"{out_dir}/ml_metrics",
                                              single_file=True)
+        scratch += [preds.scratch] if preds.scratch else []
+    for folder in scratch:
+        delete_path(spark, folder)
     return written

@@ -47,19 +47,16 @@ def build_rollup(fact: DataFrame, cfg: AnalyticsConfig = DEFAULT,
             .withColumn("high_discount", F.lit(float(cfg.high_discount))))
 
 
-def store_rollup(spark: SparkSession, rollup: DataFrame, path: str | None = None,
-                 files: int = 1) -> DataFrame:
+def store_rollup(spark: SparkSession, rollup: DataFrame, path: str | None = None) -> DataFrame:
     """Write the rollup as parquet below the shared checkpoint folder and
     return a DataFrame over it.
 
-    The rollup has at most one row per dimension combination, so it goes to
-    ``files`` file(s) through a repartition AFTER the final aggregate (a
-    coalesce would instead pull the final aggregate itself, which reads
-    combinations x map tasks partial rows, into one task). The returned
-    DataFrame is cached: every report section re-reads it.
+    It goes out in as many files as the final aggregate has partitions, which
+    AQE sizes by its rows: one for a small rollup, more for a fine grain. The
+    returned DataFrame is cached: every report section re-reads it.
     """
     path = path or scratch_path(spark, "report-rollup")
-    rollup.repartition(files).write.mode("overwrite").parquet(path)
+    rollup.write.mode("overwrite").parquet(path)
     # Cached for the sections that re-read it: a few thousand rows, and a
     # lost block is re-read from the stored file, never recomputed from lines.
     return spark.read.parquet(path).cache()

@@ -1,12 +1,13 @@
 """Join and partitioning decisions backed by measured sizes.
 
-* ``fits_broadcast``: a side is broadcast only when BOTH its row count (from
-  parquet metadata; no data pages decoded) and the measured in-memory size of
-  the exact columns that would be shipped are within bounds. The byte measure
-  is one small aggregation over the already row-bounded table, so it is only
-  ever run on tables of at most ``BROADCAST_MAX_ROWS`` rows. Beyond either
-  bound the DataFrame is left alone and Spark shuffles (sort-merge join, with
-  AQE splitting skewed partitions).
+* ``small_tables``: which dimensions are broadcast. A table whose files are
+  larger than the bound is out at once (the optimizer's statistics, no job).
+  The others are measured by ONE aggregation over the exact columns that would
+  be shipped: rows and in-memory bytes. A table is small when both are within
+  bounds, and the smallest ones are taken while their sum stays within the
+  byte bound. Nothing is remembered between calls, so a table that grew is
+  measured as it is now. Beyond the bounds the DataFrame is left alone and
+  Spark shuffles (sort-merge join, with AQE splitting skewed partitions).
 * ``spread``: a scan that arrives in fewer partitions than the cluster has
   cores (e.g. one large row group) is re-balanced by hash so the per-row
   work after it runs in parallel. A large input already has more partitions
@@ -24,22 +25,15 @@ from pyspark.sql.types import BinaryType, StringType
 
 # Largest dimension (rows) shipped whole to every task ...
 BROADCAST_MAX_ROWS = 2_000_000
-# ... and the largest measured size of its broadcast columns, as Spark's
+# ... and the largest measured size of all broadcast columns together, as Spark's
 # UnsafeRow holds them (null bits + 8 bytes per field + variable-length data
-# rounded up to 8 bytes). The hashed relation adds its index on top.
+# rounded up to 8 bytes). The hashed relations add their index on top.
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
-_ROWS: dict[tuple, int] = {}
-_BYTES: dict[tuple, int] = {}
 
-
-def table_rows(df: DataFrame, path: str) -> int:
-    """Row count of a parquet table (``df`` reads ``path``). Spark answers a
-    bare count from the parquet footers; memoised per file list."""
-    key = (path, tuple(sorted(df.inputFiles())))
-    if key not in _ROWS:
-        _ROWS[key] = df.count()
-    return _ROWS[key]
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files ``df`` reads, from the optimizer's statistics."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def row_bytes(df: DataFrame) -> F.Column:
@@ -51,46 +45,43 @@ def row_bytes(df: DataFrame) -> F.Column:
     return reduce(operator.add, var, F.lit(fixed).cast("bigint"))
 
 
-def projected_bytes(df: DataFrame) -> int:
-    """Measured in-memory size of ``df`` (its own columns only): one global
-    aggregation, memoised per file list and column set."""
-    key = (tuple(sorted(df.inputFiles())), df.schema.simpleString())
-    if key not in _BYTES:
-        _BYTES[key] = int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
-    return _BYTES[key]
-
-
-def within_bound(rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return 0 <= rows <= max_rows
-
-
-def fits_broadcast(projected: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``projected`` (the columns to be shipped) is proven small:
-    ``rows`` within ``max_rows`` and then its measured size within
-    ``max_bytes``. The byte measure never runs on a table over the row
-    bound."""
-    return within_bound(rows, max_rows) and projected_bytes(projected) <= max_bytes
-
-
-def checked_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only if it passes ``fits_broadcast``."""
-    return F.broadcast(df) if fits_broadcast(df, rows, max_rows, max_bytes) else df
-
-
-def spread(spark: SparkSession, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def measured(tables: dict[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """Rows and in-memory bytes of every table (its own columns only), in one
+    job."""
+    if not tables:
+        return {}
+    parts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"),
+                    F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"))
+             for name, df in tables.items()]
+    return {r["name"]: (int(r["rows"]), int(r["bytes"]))
+            for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+                 max_bytes: int = BROADCAST_MAX_BYTES) -> dict[str, bool]:
+    """Which of ``tables`` (projected to the columns to be shipped) are proven
+    small enough to broadcast together."""
+    sizes = measured({t: df for t, df in tables.items() if file_bytes(df) <= max_bytes})
+    small, total = dict.fromkeys(tables, False), 0
+    for name, (rows, size) in sorted(sizes.items(), key=lambda x: x[1][1]):
+        if rows <= max_rows and total + size <= max_bytes:
+            small[name] = True
+            total += size
+    return small
+
+
+def spread(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
     """Hash-distribute ``df`` when it arrives in fewer partitions than the
     cluster has cores; otherwise return it unchanged.
 
-    The hash runs over ``keys`` (default: every column), so a hot single key
-    (one order or one part holding a third of the rows) is still spread by
-    its other columns. Hashing avoids the sort a round-robin repartition
-    performs to stay deterministic under retries. Only ever applied to an
-    input smaller than one partition per core, so even whole-row copies
-    landing together cost no more than the single partition they came from.
+    The hash runs over ``keys``, columns that every query reads anyway; with
+    two of them one hot value is still spread by the other. Hashing avoids the
+    sort a round-robin repartition performs to stay deterministic under
+    retries. Only ever applied to an input smaller than one partition per
+    core, so even equal keys landing together cost no more than the single
+    partition they came from.
     """
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *(keys or df.columns))
+        return df.repartition(target, *keys)
     return df

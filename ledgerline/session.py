@@ -3,9 +3,9 @@ shared checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -86,8 +86,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_master(default_cpus: int = 8) -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', default_cpus)}]"
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table written below the checkpoint folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def sizing_conf(shuffle_bytes: int, total_cores: int,
@@ -103,7 +105,11 @@ def sizing_conf(shuffle_bytes: int, total_cores: int,
     """
     cores = max(1, int(total_cores))
     parts = max(cores, -(-int(shuffle_bytes) // int(target_bytes)))
-    parts = min(MAX_SHUFFLE_PARTITIONS, -(-parts // cores) * cores)
+    parts = -(-parts // cores) * cores
+    if parts > MAX_SHUFFLE_PARTITIONS:
+        warnings.warn(f"{parts} shuffle partitions are wanted, {MAX_SHUFFLE_PARTITIONS} are used: each "
+                      f"task reads {parts / MAX_SHUFFLE_PARTITIONS:.1f} times the target", stacklevel=2)
+        parts = MAX_SHUFFLE_PARTITIONS
     half = str(int(target_bytes) // 2)
     return {
         "spark.sql.shuffle.partitions": str(parts),
@@ -122,3 +128,18 @@ def size_partitions(spark: SparkSession, shuffle_bytes: int,
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
+
+
+def start_partitions(spark: SparkSession, shuffle_bytes: int,
+                     target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Let AQE start exchanges from enough partitions for ``shuffle_bytes``,
+    unless the session already does; it merges the small ones of lesser jobs.
+    A partition count in the plan itself would keep AQE from splitting a hot
+    key, so the start is a setting. Returns the number in force."""
+    needed = int(sizing_conf(shuffle_bytes, spark.sparkContext.defaultParallelism,
+                             target_bytes)["spark.sql.shuffle.partitions"])
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > now:
+        spark.conf.set(key, str(needed))
+    return max(needed, now)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def register(df: DataFrame, name: str = "sales") -> str:
@@ -24,11 +23,3 @@ def describe_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable)
             for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "position int, column string, type string, nullable boolean")
-
-
-def column_count(df: DataFrame) -> int:
-    return len(df.columns)
-
-
-def row_total(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))

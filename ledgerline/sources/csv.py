@@ -2,20 +2,25 @@
 use nine (see ``config.CSV_HEADER_TO_MODEL``).
 
 ``read_sales_csv`` reads a file *or a directory of part files* in place (the
-reference first merged an HDFS directory into one local file), with an
-explicit schema so no inference pass over the data is needed;
+reference first merged an HDFS directory into one local file). Fields are
+read as text and cast, so no inference pass over the data is needed and a
+field that does not parse becomes NULL instead of failing the job. Every file
+must carry the same header: Spark checks each file's names against the first
+one's, so a file with another column order is an error, never a mix-up.
 ``to_model`` strips header names, turns textual missing markers into NULLs,
-renames to snake_case and casts money to DECIMAL.
+renames to snake_case and casts money to DECIMAL straight from the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
-from ledgerline.config import CSV_HEADER_TO_MODEL, DEFAULT_NULL_TOKENS
+from ledgerline.config import CSV_HEADER_TO_MODEL, DEFAULT_NULL_TOKENS, RETAIL, AnalyticsConfig
 from ledgerline.operators.cleaning import clean, normalize_nulls, strip_columns
+from ledgerline.session import scratch_path
+from ledgerline.sources.sinks import write_result
 
 # The columns the analytics need, as they appear in the CSV header.
 RETAIL_FIELDS = {
@@ -25,72 +30,98 @@ RETAIL_FIELDS = {
 }
 
 
-def header_schema(spark: SparkSession, path: str) -> StructType:
-    """Build an explicit schema from the header line alone: known columns get
-    their types, every other column is read as a string. Reading one line is
-    a tiny job; no pass over the data is made to infer types."""
+def text_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The names of the header line as it is written, all as text. Reading
+    one line is a tiny job."""
     first = spark.read.option("header", "false").csv(path).limit(1).collect()
-    if not first:
-        return StructType([StructField(n, t, True) for n, t in RETAIL_FIELDS.items()])
-    fields = []
-    for name in first[0]:
-        name = (name or "").strip()
-        fields.append(StructField(name, RETAIL_FIELDS.get(name, StringType()), True))
-    return StructType(fields)
+    return StructType([StructField(n or "", StringType(), True) for n in first[0]]) if first else None
+
+
+def header_schema(spark: SparkSession, path: str) -> StructType:
+    """An explicit schema from the header line alone: known columns get their
+    types, every other column is a string. No pass over the data is made."""
+    found = text_schema(spark, path)
+    names = [f.name.strip() for f in found.fields] if found else list(RETAIL_FIELDS)
+    return StructType([StructField(n, RETAIL_FIELDS.get(n, StringType()), True) for n in names])
+
+
+def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Every field as text, columns named by the header (spaces stripped)."""
+    found = text_schema(spark, path)
+    if found is None:
+        return spark.createDataFrame([], StructType(
+            [StructField(n, StringType(), True) for n in RETAIL_FIELDS]))
+    reader = spark.read.schema(found).option("header", "true").option("mode", "PERMISSIVE")
+    return strip_columns(reader.option("enforceSchema", "false").csv(path))
 
 
 def read_sales_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-                   infer: bool = False) -> DataFrame:
-    """Read the retail CSV (file, glob or directory).
+                   infer: bool = False, null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS) -> DataFrame:
+    """Read the retail CSV (file, glob or directory), typed.
 
-    ``infer=True`` reproduces the reference's ``inferSchema`` (an extra full
-    pass); otherwise types come from ``schema`` or the header.
+    Types come from ``schema`` (matched by name; a column the files lack is
+    NULL) or, without one, from the known retail columns. Missing markers and
+    fields that do not parse are NULL. ``infer=True`` reproduces the
+    reference's ``inferSchema`` (an extra full pass).
     """
-    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
     if infer:
-        return strip_columns(reader.option("inferSchema", "true").csv(path))
-    schema = schema or header_schema(spark, path)
-    # Numeric fields are read as strings first so that 'NA'-style tokens
-    # become NULL instead of failing the parse; they are cast in to_model.
-    as_text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    df = reader.schema(as_text).option("enforceSchema", "true").csv(path)
-    df = strip_columns(df)
-    return df
+        return strip_columns(spark.read.option("header", "true").option("inferSchema", "true")
+                             .option("enforceSchema", "false").csv(path))
+    text = normalize_nulls(read_text_csv(spark, path), null_tokens)
+    wanted = schema.fields if schema else [
+        StructField(n, RETAIL_FIELDS.get(n, StringType()), True) for n in text.columns]
+    return text.select(*[
+        (_cast(F.col(f"`{f.name}`"), f.dataType.simpleString()) if f.name in text.columns
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted])
+
+
+def _cast(c: Column, kind: str) -> Column:
+    """Text to ``kind``, NULL where it does not parse; whole numbers may be
+    written with decimals."""
+    if kind in ("int", "bigint", "smallint", "tinyint"):
+        return F.trim(c).try_cast("decimal(38,10)").try_cast(kind)
+    return c if kind == "string" else F.trim(c).try_cast(kind)
+
+
+MODEL_TYPES = {"quantity": "int", "discount": "double", "sales": "decimal(18,4)", "profit": "decimal(18,4)"}
 
 
 def to_model(df: DataFrame, null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS) -> DataFrame:
-    """Raw CSV frame -> model columns (region, segment, category, sub_category,
-    ship_mode, quantity, discount, sales, profit) plus any extra columns.
+    """Raw CSV frame (text or typed) -> model columns (region, segment,
+    category, sub_category, ship_mode, quantity, discount, sales, profit) plus
+    any extra columns.
 
-    Textual missing markers become NULL (T3); 'NaN' in a measure becomes a
-    NULL as well after the cast. Money is DECIMAL(18,4) so sums are exact.
+    Textual missing markers and values out of range become NULL (T3), NaN in a
+    measure too. Money is DECIMAL(18,4) so sums are exact; from text it is cast
+    without a detour through DOUBLE.
     """
-    df = strip_columns(df)
-    df = normalize_nulls(df, null_tokens)
-    casts = {"quantity": "double", "discount": "double",
-             "sales": "decimal(18,4)", "profit": "decimal(18,4)"}
+    df = normalize_nulls(strip_columns(df), null_tokens)
     cols = []
     for name in df.columns:
         target = CSV_HEADER_TO_MODEL.get(name)
         c = F.col(f"`{name}`")
-        if target in casts:
-            as_double = c.try_cast("double") if _is_string(df, name) else c.cast("double")
-            if casts[target].startswith("decimal"):
-                c = F.when(F.isnan(as_double), F.lit(None)).otherwise(as_double) \
-                     .cast(casts[target])
+        if target in MODEL_TYPES:
+            kind = MODEL_TYPES[target]
+            if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+                c = F.when(F.isnan(c), F.lit(None)).otherwise(c).try_cast(kind)
+            elif isinstance(df.schema[name].dataType, StringType):
+                value = _cast(c, kind)
+                c = F.when(F.isnan(value), F.lit(None)).otherwise(value) if kind == "double" else value
             else:
-                c = as_double
+                c = c.try_cast(kind)
         cols.append(c.alias(target or name))
     return df.select(*cols)
 
 
-def _is_string(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, StringType)
-
-
 def load_retail_fact(spark: SparkSession, path: str, do_clean: bool = True,
-                     subset: list[str] | None = None) -> DataFrame:
+                     subset: list[str] | None = None, cfg: AnalyticsConfig = RETAIL) -> DataFrame:
     """Read -> normalise -> (clean) in one call; the flat-CSV counterpart of
     ``sources.star.bind_fact``."""
-    fact = to_model(read_sales_csv(spark, path))
+    fact = to_model(read_text_csv(spark, path), cfg.null_tokens)
     return clean(fact, subset=subset) if do_clean else fact
+
+
+def csv_round_trip(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write a small result as CSV and read it back, typed as it was."""
+    path = write_result(df, scratch_path(spark, "csv-result"), single_file=True)
+    return read_sales_csv(spark, path, df.schema)

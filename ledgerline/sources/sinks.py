@@ -8,7 +8,7 @@ ones (predictions, per-row series) keep their parallelism.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -20,8 +20,9 @@ CONCURRENT_JOBS = 8
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
                  single_file: bool = False, partition_by: list[str] | None = None) -> str:
-    """Write one result DataFrame (header on for CSV)."""
-    out = df.coalesce(1) if single_file else df
+    """Write one result DataFrame (header on for CSV). ``single_file`` is for
+    small results: a repartition, so that the work before it stays parallel."""
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,12 +48,11 @@ def run_concurrently(items: dict[str, DataFrame], action: Callable[[str, DataFra
 
 
 def write_report(sections: dict[str, DataFrame], root: str, fmt: str = "csv",
-                 workers: int = CONCURRENT_JOBS) -> dict[str, str]:
+                 workers: int = CONCURRENT_JOBS, single_file: Collection[str] = ()) -> dict[str, str]:
     """S11 re-aimed: every report section (breakdown tables, KPI rows, chart
     series) as its own dataset under ``root``, the independent writes running
-    concurrently. Aggregated sections are tiny and go to one file each;
-    row-level sections stay parallel."""
+    concurrently. The sections named in ``single_file`` go to one file each;
+    the others keep their parallelism."""
     def write(name: str, df: DataFrame) -> str:
-        small = not name.startswith(("points", "predictions"))
-        return write_result(df, f"{root.rstrip('/')}/{name}", fmt=fmt, single_file=small)
+        return write_result(df, f"{root.rstrip('/')}/{name}", fmt=fmt, single_file=name in single_file)
     return run_concurrently(sections, write, workers)

@@ -25,11 +25,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from ledgerline.plans.strategy import (
-    BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits_broadcast, spread, table_rows,
-)
+from ledgerline.operators.cleaning import clean
+from ledgerline.plans.strategy import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, small_tables, spread
+from ledgerline.session import start_partitions
 
 STAR_TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
 # The columns each dimension contributes to the fact (what a broadcast ships).
@@ -45,32 +44,31 @@ DIM_COLUMNS = {
 COST_SHARE = "0.60"
 
 
-_SCHEMAS: dict[str, StructType] = {}
+# Types of the columns the fact reads: passed to the reader, so that no footer
+# is opened to infer them. The file listing is fresh on every read.
+COLUMN_TYPES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, "
+                "l_discount double",
+    "orders": "o_orderkey long, o_custkey long, o_orderpriority string",
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey long, p_type string, p_brand string, p_retailprice double",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table. The parquet schema is resolved once per path and then
-    passed explicitly, so later reads skip the footer-reading job (the file
-    listing itself is still fresh on every read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def order_side(spark: SparkSession, sf_dir: str,
-               small: dict[str, bool] | None = None) -> DataFrame:
+    """The columns of one table that the fact uses."""
+    return spark.read.schema(COLUMN_TYPES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def order_side(dims: dict[str, DataFrame], small: dict[str, bool]) -> DataFrame:
     """order_key -> ship_mode, segment, region.
 
-    ``small`` says which of customer/nation/region passed the broadcast size
-    check; the others are joined by shuffle.
+    ``small`` says which of orders/customer/nation/region passed the
+    broadcast size check; the others are joined by shuffle.
     """
-    small = small or {}
-    orders, customer, nation, region = (
-        dimension(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region"))
+    orders, customer, nation, region = (dims[t] for t in ("orders", "customer", "nation", "region"))
 
     def maybe(df: DataFrame, name: str) -> DataFrame:
         return F.broadcast(df) if small.get(name) else df.hint("merge")
@@ -86,7 +84,7 @@ def order_side(spark: SparkSession, sf_dir: str,
         .select("c_custkey", "c_mktsegment", "r_name")
     cust = (F.broadcast(cust) if small.get("customer") and small.get("nation")
             and small.get("region") else cust.hint("merge"))
-    return (orders.join(cust, orders.o_custkey == cust.c_custkey)
+    return (maybe(orders, "orders").join(cust, orders.o_custkey == cust.c_custkey)
             .select(F.col("o_orderkey"),
                     F.col("o_orderpriority").alias("ship_mode"),
                     F.col("c_mktsegment").alias("segment"),
@@ -104,10 +102,6 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name).select(*DIM_COLUMNS[name])
 
 
-def part_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimension(spark, sf_dir, "part")
-
-
 def measures() -> tuple:
     """sales DECIMAL(18,2) and the synthetic profit DECIMAL(18,4)."""
     sales = F.col("l_extendedprice").cast("decimal(18,2)")
@@ -122,28 +116,18 @@ FACT_COLUMNS = ("order_key", "region", "segment", "category", "sub_category",
                 "ship_mode", "quantity", "discount", "sales", "profit")
 
 
-def _table_path(sf_dir: str, name: str) -> str:
-    return f"{sf_dir.rstrip('/')}/{name}.parquet"
-
-
-_FACTS: dict[tuple, DataFrame] = {}
-
-
 def bind_fact(spark: SparkSession, sf_dir: str,
               max_broadcast_rows: int = BROADCAST_MAX_ROWS,
               max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
-              refresh: bool = False) -> DataFrame:
-    """The sales fact over the whole star schema (lazy).
+              raw: bool = False) -> DataFrame:
+    """The sales fact over the whole star schema (lazy), without the rows that
+    have a null in any of its columns (``raw=True`` keeps them, as the
+    reference's pandas path does before it groups).
 
-    The resolved plan (not any data) is kept per application, table folder
-    and bounds, like a temporary view over files: every action still reads
-    the tables and runs the joins, but a repeated call neither lists the
-    tables' files again (seconds per table on an object store at 100 TB) nor
-    re-analyses six joins. Pass ``refresh=True`` after a table was rewritten
-    in place, as ``REFRESH TABLE`` would for a view.
+    Every call lists and measures the tables anew, so rows appended since the
+    last call are in and a dimension that grew is no longer broadcast.
 
-    Two shapes, chosen by measured table sizes (parquet row counts, then the
-    measured bytes of the columns a broadcast would ship):
+    Two shapes, chosen by measured table sizes (``strategy.small_tables``):
 
     * every dimension table (orders, customer, part, nation, region) within
       the broadcast bound: one pipeline - the line scan streams through five
@@ -151,31 +135,37 @@ def bind_fact(spark: SparkSession, sf_dir: str,
       with no shuffle at all;
     * otherwise (the large case): the order side (orders + customer + nation
       + region) meets the lines on the order key, then the part side on the
-      part key; Spark shuffles the large sides (at most two exchanges of line
-      data), broadcasts only the tables that passed the size check, and AQE
-      splits skewed keys. The per-line DECIMAL measures are computed after
-      the joins.
+      part key. A side is broadcast when everything in it passed the check;
+      the others are shuffled (at most two exchanges of line data, started
+      with partitions sized by the line count), and AQE splits skewed keys.
+      The per-line DECIMAL measures are computed after the joins.
     """
-    folder = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, folder, max_broadcast_rows, max_broadcast_bytes)
-    if refresh:
-        for path in [p for p in _SCHEMAS if p.startswith(folder + "/")]:
-            del _SCHEMAS[path]
-    if refresh or key not in _FACTS:
-        _FACTS[key] = _bind(spark, sf_dir, max_broadcast_rows, max_broadcast_bytes)
-    return _FACTS[key]
+    small = broadcastable(spark, sf_dir, max_broadcast_rows, max_broadcast_bytes)
+    # cleaned where the columns come from: before a measure is computed of them
+    lines = line_side(spark, sf_dir)
+    dims = {t: dimension(spark, sf_dir, t) for t in DIM_COLUMNS}
+    if not raw:
+        lines, dims = clean(lines), {t: clean(df) for t, df in dims.items()}
+    if all(small.values()):
+        return _star_pipeline(spread(spark, lines, ["l_orderkey", "l_partkey"]), dims)
+    # Beyond the bound at least one side is joined by shuffle. The merge hint
+    # keeps Spark's file-size estimate from broadcasting the line side
+    # instead; a side is broadcast only if all its tables passed the check.
+    start_partitions(spark, line_shuffle_bytes(spark, sf_dir))
+    orders = order_side(dims, small)
+    order_tables = ("orders", "customer", "nation", "region")
+    orders = F.broadcast(orders) if all(small[t] for t in order_tables) else orders.hint("merge")
+    parts = F.broadcast(dims["part"]) if small["part"] else dims["part"].hint("merge")
+    fact = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+            .join(parts, lines.l_partkey == parts.p_partkey))
+    return _fact_columns(fact)
 
 
 def broadcastable(spark: SparkSession, sf_dir: str,
                   max_rows: int = BROADCAST_MAX_ROWS,
                   max_bytes: int = BROADCAST_MAX_BYTES) -> dict[str, bool]:
-    """Which dimensions are proven small enough to ship whole: row count from
-    the parquet footers, then (only under the row bound) the measured bytes
-    of the projected columns."""
-    return {t: fits_broadcast(dimension(spark, sf_dir, t),
-                              table_rows(read_table(spark, sf_dir, t), _table_path(sf_dir, t)),
-                              max_rows, max_bytes)
-            for t in DIM_COLUMNS}
+    """Which dimensions are proven small enough to ship whole, together."""
+    return small_tables({t: dimension(spark, sf_dir, t) for t in DIM_COLUMNS}, max_rows, max_bytes)
 
 
 # Bytes per order line in the widest line-grain exchange of the shuffle shape
@@ -187,31 +177,13 @@ LINE_EXCHANGE_ROW_BYTES = 8 + 8 * 7 + 3 * 16
 def line_shuffle_bytes(spark: SparkSession, sf_dir: str) -> int:
     """Estimated bytes the star join moves per line exchange (line count from
     the parquet footers times ``LINE_EXCHANGE_ROW_BYTES``): the number to size
-    shuffle partitions by (``session.size_partitions``)."""
-    rows = table_rows(read_table(spark, sf_dir, "lineitem"), _table_path(sf_dir, "lineitem"))
-    return rows * LINE_EXCHANGE_ROW_BYTES
-
-
-def _bind(spark: SparkSession, sf_dir: str, max_broadcast_rows: int,
-          max_broadcast_bytes: int) -> DataFrame:
-    small = broadcastable(spark, sf_dir, max_broadcast_rows, max_broadcast_bytes)
-    lines = line_side(spark, sf_dir)
-    if all(small.values()):
-        return _star_pipeline(spark, sf_dir, spread(spark, lines))
-    # Beyond the bound the order side is large: join it by shuffle. The merge
-    # hint keeps Spark's file-size estimate from broadcasting the line side
-    # instead; the part side is broadcast only if it passed its own check.
-    orders = order_side(spark, sf_dir, small).hint("merge")
-    parts = part_side(spark, sf_dir)
-    parts = F.broadcast(parts) if small["part"] else parts.hint("merge")
-    fact = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-            .join(parts, lines.l_partkey == parts.p_partkey))
-    return _fact_columns(fact)
+    shuffle partitions by."""
+    return read_table(spark, sf_dir, "lineitem").count() * LINE_EXCHANGE_ROW_BYTES
 
 
-def _star_pipeline(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+def _star_pipeline(lines: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     orders, customer, nation, region, parts = (
-        dimension(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region", "part"))
+        dims[t] for t in ("orders", "customer", "nation", "region", "part"))
     fact = (lines
             .join(F.broadcast(orders), lines.l_orderkey == orders.o_orderkey)
             .join(F.broadcast(customer), orders.o_custkey == customer.c_custkey)

@@ -11,7 +11,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerline.config import DEFAULT, AnalyticsConfig
 from ledgerline.operators.cleaning import clean
 from ledgerline.plans.rollup import build_rollup
-from ledgerline.session import scratch_path
 from ledgerline.sources.csv import to_model
 
 
@@ -19,26 +18,28 @@ def stream_sales_csv(spark: SparkSession, landing_dir: str, schema: StructType,
                      max_files_per_trigger: int | None = None, do_clean: bool = True) -> DataFrame:
     """A streaming DataFrame of model rows from CSV files in ``landing_dir``.
 
-    ``schema`` lists the CSV header's columns (a stream cannot infer it); all
-    are read as text and typed by ``to_model`` exactly like the batch path.
+    ``schema`` lists the CSV header's columns as they are written
+    (``sources.csv.text_schema``; a stream cannot infer it); all are read as
+    text and typed by ``to_model`` exactly like the batch path. A file with
+    other columns, or the same in another order, fails the query.
     """
     as_text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    reader = spark.readStream.schema(as_text).option("header", "true")
+    reader = spark.readStream.schema(as_text).option("header", "true").option(
+        "enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     fact = to_model(reader.csv(landing_dir))
     return clean(fact) if do_clean else fact
 
 
-def ingest_to_parquet(stream_fact: DataFrame, out_dir: str, checkpoint: str | None = None,
+def ingest_to_parquet(stream_fact: DataFrame, out_dir: str, checkpoint: str,
                       available_now: bool = True) -> StreamingQuery:
     """Append the cleaned rows to a parquet table (the stored fact).
 
-    The file sink plus a checkpoint in the shared ``spark.checkpoint.dir``
-    gives exactly-once output across restarts and lost executors.
+    The file sink plus ``checkpoint``, a shared folder that belongs to this
+    table and is given again on every run, gives exactly-once output across
+    restarts and lost executors.
     """
-    spark = stream_fact.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
     writer = (stream_fact.writeStream.format("parquet").outputMode("append")
               .option("path", out_dir).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -47,7 +48,7 @@ def ingest_to_parquet(stream_fact: DataFrame, out_dir: str, checkpoint: str | No
 
 
 def running_report(stream_fact: DataFrame, op: Callable[[DataFrame], DataFrame],
-                   sink: Callable[[DataFrame, int], None], checkpoint: str | None = None,
+                   sink: Callable[[DataFrame, int], None], checkpoint: str,
                    available_now: bool = True) -> StreamingQuery:
     """Keep an aggregate report (e.g. ``queries.sales_profit_by_region``)
     up to date over the stream.
@@ -57,8 +58,6 @@ def running_report(stream_fact: DataFrame, op: Callable[[DataFrame], DataFrame],
     current report to ``sink(df, batch_id)`` (write a table, update a
     dashboard store, ...).
     """
-    spark = stream_fact.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "report-checkpoint")
     writer = (op(stream_fact).writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint).foreachBatch(sink))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -67,7 +66,7 @@ def running_report(stream_fact: DataFrame, op: Callable[[DataFrame], DataFrame],
 
 
 def running_rollup(stream_fact: DataFrame, sink: Callable[[DataFrame, int], None],
-                   cfg: AnalyticsConfig = DEFAULT, checkpoint: str | None = None,
+                   checkpoint: str, cfg: AnalyticsConfig = DEFAULT,
                    available_now: bool = True) -> StreamingQuery:
     """The whole report over a stream with ONE stateful aggregation.
 
@@ -78,5 +77,4 @@ def running_rollup(stream_fact: DataFrame, sink: Callable[[DataFrame, int], None
     from it (``plans.report.report_sections(..., rollup=df)`` or a single
     operator) without touching the stream's lines again.
     """
-    return running_report(stream_fact, lambda f: build_rollup(f, cfg), sink,
-                          checkpoint=checkpoint, available_now=available_now)
+    return running_report(stream_fact, lambda f: build_rollup(f, cfg), sink, checkpoint, available_now)

@@ -3,7 +3,7 @@ the saved region x category matrix, and (unless --no-ml) the regression's
 predictions and metrics.
 
     spark-submit scripts/run_report.py --star /data/sf100 --out /reports/today
-    python scripts/run_report.py --csv /landing/superstore/ --out /tmp/report --no-ml
+    python scripts/run_report.py --csv /landing/retail/ --out /tmp/report --no-ml
 
 On a cluster the master and spark.checkpoint.dir come from spark-submit;
 without --master only a local run falls back to a scratch checkpoint folder.

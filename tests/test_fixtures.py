@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.config import RETAIL, AnalyticsConfig
 from ledgerline.operators import breakdowns as B, charts as C, cleaning as CL, kpis as K
 from ledgerline.operators import ranking as R, tables as T
-from ledgerline.sources.csv import load_retail_fact, read_sales_csv, to_model
+from ledgerline.sources.csv import load_retail_fact, read_sales_csv, read_text_csv, to_model
 
 HEADER = ("Row ID,Ship Mode,Segment,Country, Region,Category,Sub-Category,Sales ,"
           "Quantity,Discount,Profit,City,State")
@@ -139,3 +141,43 @@ def test_bottom_five_only_losses(fact):
     assert [r.sub_category for r in Q.bottom_subcategory_profit(fact, only_losses=True).collect()] \
         == ["Binders"]
     assert Q.bottom_subcategory_profit(fact).count() == 5
+
+
+def _write(folder, name, lines):
+    path = os.path.join(str(folder), name)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    _write(tmp_path, "a.csv", ["Ship Mode,Segment,Sales,Profit", "First,Home,10,1"])
+    _write(tmp_path, "b.csv", ["Segment,Ship Mode,Profit,Sales", "Home,First,1,10"])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_sales_csv(spark, str(tmp_path)).collect()
+
+
+def test_out_of_range_and_exact_money(spark, tmp_path):
+    path = _write(tmp_path, "a.csv", ["Sales,Profit,Quantity,Discount",
+                                      "1e16,12345678901234.5678,3,0.1", "0.0001,-7,2.0,NaN", "x,,y,z"])
+    rows = to_model(read_text_csv(spark, path)).collect()
+    assert [r.sales for r in rows] == [None, Decimal("0.0001"), None]
+    assert [r.profit for r in rows] == [Decimal("12345678901234.5678"), Decimal("-7.0000"), None]
+    assert [r.quantity for r in rows] == [3, 2, None] and [r.discount for r in rows] == [0.1, None, None]
+
+
+def test_schema_types_are_honoured(spark, tmp_path):
+    path = _write(tmp_path, "a.csv", ["Region, Sales ,Quantity", "West,1.5,2", "East,oops,3.0", "None,NULL,none"])
+    typed = read_sales_csv(spark, path, StructType.fromDDL("Sales double, Quantity int, Region string, Extra date"))
+    assert typed.dtypes == [("Sales", "double"), ("Quantity", "int"), ("Region", "string"), ("Extra", "date")]
+    assert [tuple(r) for r in typed.collect()] == [(1.5, 2, "West", None), (None, 3, "East", None),
+                                                   (None, None, None, None)]
+    assert dict(read_sales_csv(spark, path).dtypes)["Quantity"] == "int"
+
+
+def test_null_tokens_are_the_configured_ones_in_their_case(spark, tmp_path):
+    path = _write(tmp_path, "a.csv", ["Region,Segment", "None,na", "<NA>,Nan", "gone,n/a"])
+    got = [tuple(r) for r in load_retail_fact(spark, path, do_clean=False).collect()]
+    assert got == [(None, "na"), (None, "Nan"), ("gone", None)]
+    own = load_retail_fact(spark, path, do_clean=False, cfg=AnalyticsConfig(null_tokens=("gone",)))
+    assert [tuple(r) for r in own.collect()] == [("None", "na"), ("<NA>", "Nan"), (None, "n/a")]

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from conftest import SF_SMALL
 from ledgerline.operators import ml as M
+from ledgerline.session import delete_path, ensure_checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -76,12 +81,35 @@ def test_feature_matrix_shape(fact_small):
     assert fm.count() == fact_small.count()
 
 
-def test_prepared_frame_is_stored_once_when_joined(spark, fact_small):
-    from ledgerline.plans.fact import is_derived
-    assert is_derived(M.ml_frame(fact_small))
-    stored = M.prepared_frame(fact_small)
-    assert not is_derived(stored)
-    assert stored.count() == fact_small.count()
-    # an already stored frame is not written again
-    again = M.prepared_frame(stored)
-    assert again.inputFiles() == stored.inputFiles()
+def test_label_index_equals_the_fitted_indexer(fact_small):
+    model = M.indexer().fit(M.ml_frame(fact_small))
+    for column, labels in zip(M.INDEXED, model.labelsArray):
+        got = {r[0]: r[1] for r in M.label_index(fact_small, column).collect()}
+        assert got == {label: float(i) for i, label in enumerate(labels)}
+
+
+def test_stored_frame_is_for_joined_facts(spark, fact_small):
+    frame = M.ml_frame(fact_small)
+    kept, folder = M.stored_frame(frame)
+    assert folder and kept.count() == frame.count()
+    assert M.stored_frame(kept) == (kept, None)       # a stored frame is not written again
+    delete_path(spark, folder)
+
+
+def test_stable_split_names_the_missing_key(fact_small):
+    with pytest.raises(ValueError, match="order_key"):
+        M.train_test_counts(fact_small.drop("order_key"))
+
+
+def test_nothing_is_left_in_the_checkpoint_folder(spark):
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    for name in ("feature_matrix", "regression_coefficients", "regression_metrics", "predictions"):
+        E._retail_queries()[name](spark, SF_SMALL).count()
+    assert set(os.listdir(root)) == before
+
+
+def test_random_split_is_the_same_on_every_read(spark, fact_small):
+    _, preds, metrics = M.run_regression(fact_small)
+    assert preds.count() == metrics.first()["test_rows"] == preds.count()
+    delete_path(spark, preds.scratch)

@@ -30,12 +30,13 @@ def duck():
     return con
 
 
-ORACLE = E.oracle_sql()
+ORACLE = E._retail_oracles()
+QUERIES = E._retail_queries()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = sorted(repr(tuple(_norm(x) for x in r)) for r in df.collect())
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
@@ -45,10 +46,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert rows == orows
 
 
-def test_every_query_has_oracle_or_is_ml():
-    missing = set(E.queries()) - set(ORACLE)
-    assert missing == {"regression_coefficients", "regression_metrics", "predictions"}
-    assert len(E.queries()) == len(ORACLE) + 3
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -64,7 +64,8 @@ LINE_LEVEL = {"clean_count", "row_count", "project_order_lines", "profitable_ord
               "loss_orders", "high_discount_orders", "zero_discount_orders",
               "discount_profit_points", "discount_profit_density", "index_segment",
               "index_category", "index_region", "index_ship_mode", "feature_matrix",
-              "train_test_counts", "report_rollup"}
+              "train_test_counts", "report_rollup", "random_split_total", "clean_ship_modes",
+              "regression_coefficients", "regression_metrics", "predictions"}
 
 
 @pytest.fixture(scope="module")
@@ -77,7 +78,7 @@ def stored_rollup(spark):
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - LINE_LEVEL))
 def test_query_from_rollup_matches_oracle(spark, duck, stored_rollup, monkeypatch, name):
     monkeypatch.setattr(E, "bind_fact", lambda *a, **k: stored_rollup)
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = sorted(repr(tuple(_norm(x) for x in r)) for r in df.collect())
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]

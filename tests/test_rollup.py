@@ -62,9 +62,9 @@ def test_other_threshold_needs_its_own_rollup(spark, fact_small):
     retail = store_rollup(spark, build_rollup(fact_small, RETAIL))
     assert retail.select("high_discount").distinct().first()[0] == RETAIL.high_discount
     a = _rows(K.kpi_discount_impact(fact_small, RETAIL))
-    assert a == _rows(K.kpi_discount_impact(retail))
+    assert a == _rows(K.kpi_discount_impact(retail, RETAIL))
     assert _rows(CL.subcategory_discount_band_profit(fact_small, RETAIL)) == _rows(
-        CL.subcategory_discount_band_profit(retail))
+        CL.subcategory_discount_band_profit(retail, RETAIL))
 
 
 def test_section_over_rollup_scans_only_the_rollup(rollup):
@@ -119,3 +119,11 @@ def test_one_pass_reads_the_lines_once(spark, fact_small):
     assert len(I.scans(df)) == 1
     tree = I.physical_section(df)
     assert tree.count("Expand") == 1 and tree.count("Exchange hashpartitioning") == 1
+
+
+def test_a_rollup_refuses_another_threshold(spark, rollup):
+    from ledgerline.config import AnalyticsConfig
+    other = AnalyticsConfig(high_discount=0.02)
+    with pytest.raises(Exception, match="not in a rollup"):
+        K.kpi_discount_impact(rollup, other).collect()
+    assert K.kpi_totals(rollup).count() == 1
