@@ -42,6 +42,26 @@ def drop_stored(*tables: DataFrame) -> None:
         delete_folder(df.sparkSession, df.scratch)
 
 
+class Scratch:
+    """Stored tables that a later step has no use for: ``with Scratch() as
+    scratch`` deletes them at the end of the block, so only what a lazy result
+    still reads stays behind."""
+
+    def __enter__(self) -> Scratch:
+        self.tables: list[DataFrame] = []
+        return self
+
+    def __exit__(self, *_) -> None:
+        drop_stored(*self.tables)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        return self.own(stored(df, name))
+
+    def own(self, df: DataFrame) -> DataFrame:
+        self.tables.append(df)
+        return df
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
@@ -116,12 +136,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     fold in a logarithmic number of rounds. Each round is written to the
     checkpoint folder; the per-node minimum is written too, so the join back
     is between two scans and a node with very many links is split by adaptive
-    skew handling. Returns ``(node, root)`` for every node with a link.
-    Self-links, repeated links and null ends are ignored; no links give an
-    empty table.
+    skew handling. Returns the stored table ``(node, root)`` of every node with
+    a link. Self-links, repeated links and null ends are ignored; no links give
+    an empty table.
     """
     edges = stored(_ordered(edges), "cc-edges")
-    nodes = None
     while True:
         large = _star(edges, both=True)
         small = _star(large, both=False)
@@ -131,9 +150,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges = small
         if not changed:
             nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-            break
-    roots = nodes.select(F.col("root").alias("node"), "root").distinct()
-    return nodes.unionByName(roots)
+            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            out = stored(nodes.unionByName(roots), "cc-roots")
+            drop_stored(edges)
+            return out
 
 
 def _ordered(edges: DataFrame) -> DataFrame:

@@ -121,11 +121,10 @@ def schedule(sources: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """Slots of ``sources(src, weight, blocks)``: per phase and source the row
     ``src, start, slots, share, first, used, own``, ``own`` being the slots of a
     period that are the source's."""
-    total = sources.agg(F.sum("weight").alias("total"))
-    rows = sources.join(F.broadcast(total)).select(
+    total = F.sum("weight").over(Window.partitionBy())       # a row per source
+    rows = sources.select(
         "src", "blocks",
-        F.greatest(F.round(F.lit(resolution) * F.col("weight") / F.col("total")), F.lit(1)).cast("long")
-        .alias("share"))
+        F.greatest(F.round(F.lit(resolution) * F.col("weight") / total), F.lit(1)).cast("long").alias("share"))
     one = rows.agg(F.array_sort(F.collect_list(F.struct("src", "share", "blocks"))).alias("all"))
     one = one.where(F.size("all") > 0)
     plan = one.select("all", F.explode(phases(F.col("all.share"), F.col("all.blocks"))).alias("p"))
@@ -177,9 +176,9 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
         given = weights.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("src"),
                                F.col("weight").cast("double").alias("weight")).where("weight > 0")
         given = given.groupBy("src").agg(F.max("weight").alias("weight"))
-        least = given.agg(F.coalesce(F.min("weight"), F.lit(1.0)).alias("least"))
-        sources = (sources.join(given, "src", "left").join(F.broadcast(least))
-                   .withColumn("weight", F.coalesce("weight", "least")))
+        least = F.coalesce(F.min("weight").over(Window.partitionBy()), F.lit(1.0))
+        sources = sources.join(given, "src", "full_outer").withColumn(
+            "weight", F.coalesce("weight", least)).where("blocks is not null")
     plan = stored(schedule(sources.select("src", "weight", "blocks"), resolution), "mix-plan")
     # (phases x sources) rows of together phases x resolution slots
     if (plan.agg(F.sum(F.size("own"))).first()[0] or 0) <= MAX_BROADCAST_SLOTS:

@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, mixing, quality_classifier, quality_rules, simhash, token_files
+from ledgerline.llm import (
+    chat_tree, decontaminate, html_blocks, mixing, paragraph_dedup, quality_classifier, quality_rules, simhash,
+    token_files, warc,
+)
 from ledgerline.llm.common import table
 
 
@@ -24,14 +27,35 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", f"{name}.*")
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.find_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digest(token_files.write_tokens(table(spark, sf_dir, "documents")))
 
 
+def op6_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)],
+                                    "conv_id long, turn long, role string, text string")
+    return chat_tree.read_digest(chat_tree.pack_conversations(rows.unionByName(control)))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_digest(
         decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -47,8 +71,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_mixing": op2_mixing,
+        "op3_paragraph_dedup": op3_paragraph_dedup,
+        "op4_warc": op4_warc,
         "op5_token_files": op5_token_files,
+        "op6_chat_tree": op6_chat_tree,
         "op7_simhash": op7_simhash,
+        "op8_html_blocks": op8_html_blocks,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_classifier": op10_quality_classifier,
     }

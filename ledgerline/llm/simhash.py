@@ -40,7 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import LOWER, connected_components, drop_stored, map_arrow, raw_texts, stored
+from ledgerline.llm.common import (
+    LOWER, Scratch, connected_components, drop_stored, map_arrow, raw_texts, stored,
+)
 
 SHINGLE = 4
 RADIUS = 4
@@ -123,7 +125,8 @@ def _segment_key(k: int, shift: int, width: int, value):
     return part.bitwiseXOR(F.lit(k << 60)) if width <= 58 else part
 
 
-def link_fingerprints(distinct: DataFrame, n: int, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+def link_fingerprints(scratch: Scratch, distinct: DataFrame, n: int, radius: int = RADIUS,
+                      hot: int = HOT) -> DataFrame:
     """Links ``(a, b)`` between the distinct longs of ``distinct(fp)``, enough
     to connect every two that differ in at most ``radius`` bits, and none
     between others."""
@@ -138,8 +141,8 @@ def link_fingerprints(distinct: DataFrame, n: int, radius: int = RADIUS, hot: in
         rows = rows.select(_segment_key(k, shift, width, F.col("fp").bitwiseXOR(F.col("m"))).alias("key"),
                            "fp", F.bit_count("m").cast("int").alias("off"), F.lit(k).alias("seg"))
         probes = rows if probes is None else probes.unionByName(rows)
-    crowded = stored(holders.groupBy("key", "seg").agg(F.count("*").alias("size"))
-                     .where(F.col("size") > hot).select("key", "seg"), "simhash-hot")
+    crowded = scratch.store(holders.groupBy("key", "seg").agg(F.count("*").alias("size"))
+                            .where(F.col("size") > hot).select("key", "seg"), "simhash-hot")
     on = ["key", "seg"]
     table = holders.join(crowded, on, "left_anti").select(*on, F.col("fp").alias("a"))
     near = (probes.select(*on, F.col("fp").alias("b")).join(table, on)
@@ -148,10 +151,11 @@ def link_fingerprints(distinct: DataFrame, n: int, radius: int = RADIUS, hot: in
             .select("a", "b"))
     if crowded.isEmpty():
         return near
-    return near.unionByName(_meetings(probes.join(crowded, on), segments, radius))
+    return near.unionByName(_meetings(scratch, probes.join(crowded, on), segments, radius))
 
 
-def _meetings(members: DataFrame, segments: list[tuple[int, int, int]], radius: int) -> DataFrame:
+def _meetings(scratch: Scratch, members: DataFrame, segments: list[tuple[int, int, int]],
+              radius: int) -> DataFrame:
     """Links within the crowded keys, through common points."""
     half, links = radius // 2, None
     for k, (shift, width, ball) in enumerate(segments):
@@ -176,7 +180,7 @@ def _meetings(members: DataFrame, segments: list[tuple[int, int, int]], radius:
                        "simhash-least")
         found = (points.join(least, ["key", "point"]).where(F.col("fp") != F.col("b"))
                  .select(F.col("fp").alias("a"), "b").distinct())
-        found = stored(found, "simhash-met")
+        found = scratch.store(found, "simhash-met")
         drop_stored(points, least)
         links = found if links is None else links.unionByName(found)
     return links
@@ -186,14 +190,16 @@ def components(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataF
     """``(doc_id, fp, component_id)`` for the rows of ``prints(doc_id, fp)``:
     the smallest document id reachable over links of at most ``radius`` bits."""
     prints = stored(prints, "simhash-prints")
-    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
-    links = link_fingerprints(groups.select("fp"), groups.count(), radius, hot)
-    roots = connected_components(links)
-    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "simhash-rooted")
-    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
-    by_print = stored(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-components")
+    with Scratch() as scratch:
+        groups = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
+        links = link_fingerprints(scratch, groups.select("fp"), groups.count(), radius, hot)
+        roots = scratch.own(connected_components(links))
+        rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", "first", F.coalesce("root", "fp").alias("root"))
+        rooted = scratch.store(rooted, "simhash-rooted")
+        smallest = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")),
+                                 "simhash-smallest")
+        by_print = stored(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-components")
     # both sides are stored tables: a fingerprint shared by very many documents is split
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
