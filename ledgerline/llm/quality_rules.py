@@ -113,7 +113,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     """Per bucket ``log p_target - log p_raw``."""
     trusted = labels.where("quality = 1").select("doc_id").distinct()
     raw = bucket_counts(docs, buckets)
-    target = bucket_counts(docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi"), buckets)
+    # labels grow with the documents, so their join is by shuffle at every size
+    target = bucket_counts(
+        docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi"), buckets)
     if not target.sum():
         return np.zeros(buckets)
     share = [np.log((x + smoothing) / (x.sum() + smoothing * buckets)) for x in (target, raw)]
