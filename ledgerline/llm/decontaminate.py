@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.common import map_arrow, raw_texts, stored
+from ledgerline.llm.common import LOWER, map_arrow, raw_texts, stored
 
 WINDOW = 10
 MAX_ITEM_BYTES = 32 * 1024 * 1024
@@ -35,7 +35,7 @@ MAX_ITEM_BYTES = 32 * 1024 * 1024
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256))
-WORD_PATTERN = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+WORD_PATTERN = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")        # of lowered text
 
 _MIX = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64 | 1 for k in range(64)], dtype=np.uint64)
 
@@ -231,7 +231,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, mode: str = "documents",
 
 
 def _cut(raw: bytes, runs: list[dict]) -> bytes:
-    spans = [m.span() for m in WORD_PATTERN.finditer(raw)]
+    spans = [m.span() for m in WORD_PATTERN.finditer(raw.translate(LOWER))]
     out, last = [], 0
     for r in runs:
         out.append(raw[last:spans[r["start"]][0]])

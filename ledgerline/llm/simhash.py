@@ -19,11 +19,11 @@ Linking works on distinct fingerprints, so exact copies cost nothing:
    its pairs would grow with the square of a group of near copies. There
    everybody meets at common points instead: with the segment set aside, two
    fingerprints within distance a + b have a point within a of the one and b of
-   the other. Each holder of the value emits the points within r // 2 of it and
-   each prober (one that differs by s > 0 bits in the segment) the points within
-   r - s - r // 2; all who meet at a point with a holder are linked to the
-   smallest holder there. Both ends of every true link meet, whoever meets is
-   within r, and the rows grow with the size of the group only.
+   the other. Each holder of the value claims the points within r // 2 of it, and
+   everybody who differs by s bits in the segment (holders: none) visits the
+   points within r - s - r // 2; visitors of a claimed point are linked to the
+   smallest holder that claims it. Both ends of every true link meet, whoever
+   meets is within r, and the rows grow with the size of the group only.
 
 No text and a text without words have fingerprint zero, linked like any other.
 A null document id takes part in linking but is never a component's id unless
@@ -165,14 +165,13 @@ def _meetings(scratch: Scratch, members: DataFrame, segments: list[tuple[int, in
         outside = outside - (1 << 64) if outside >> 63 else outside
         points = None
         for off in range(ball + 1):
-            # holders (off = 0) reach half-way, probers the rest of what their segment leaves
-            reach = half if off == 0 else radius - off - half
-            masks = ball_masks(rest, max(reach, 0))
+            # holders (off = 0) reach half-way as such, and everybody the rest of what
+            # the segment leaves of the radius
+            masks = ball_masks(rest, radius - off - half)
             rows = members.where((F.col("seg") == k) & (F.col("off") == off)).select(
-                "key", "fp", F.lit(off == 0).alias("holder"),
-                F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("m"))
+                "key", "fp", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("m"))
             rows = rows.select(
-                "key", "fp", "holder",
+                "key", "fp", (F.bit_count("m") <= (half if off == 0 else -1)).alias("holder"),
                 F.col("fp").bitwiseAND(F.lit(outside)).bitwiseXOR(F.col("m")).alias("point"))
             points = rows if points is None else points.unionByName(rows)
         points = stored(points, "simhash-points")

@@ -50,7 +50,7 @@ def test_digest_equals_brute_force(spark, prose):
     docs, items = fixture(prose)
     d, b = tables(spark, docs, items)
     key = lambda r: tuple((x is not None, x) for x in r)
-    for limit in (D.MAX_ITEM_BYTES, 200, 1):       # one group of items, or several
+    for limit in (D.MAX_ITEM_BYTES, 250):       # one group of items, or several
         got = sorted(map(tuple, D.leak_digest(D.find_leaks(d, b, max_item_bytes=limit)).collect()), key=key)
         assert got == sorted(brute(docs, items), key=key)
 
@@ -59,7 +59,7 @@ def test_removal(spark, prose):
     docs, items = fixture(prose)
     d, b = tables(spark, docs, items)
     hit = {r[0] for r in brute(docs, items) if r[5]}
-    for limit in (D.MAX_ITEM_BYTES, 200):
+    for limit in (D.MAX_ITEM_BYTES, 250):
         kept = D.remove_leaks(d, b, max_item_bytes=limit)
         assert kept.columns == d.columns
         assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in docs if i not in hit)
@@ -68,7 +68,7 @@ def test_removal(spark, prose):
             if i not in hit:
                 assert cut[i] == t
         assert cut[4].startswith(prose(1, 60)) and cut[4].endswith(" tail")
-        assert cut[8].split() == ["x", "y"]
+        assert cut[8].split() == ["x", "y", "été", "naïve"]
 
 
 def test_spans_count_characters(spark):
