@@ -219,7 +219,9 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     near = components(fingerprints(docs, shingle), radius, hot)
     first = stored(near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
                    .agg(F.count("*").alias("n")), "simhash-first")
-    named = docs.where(F.col("doc_id").isNotNull()).join(first.select("doc_id"), "doc_id", "left_semi")
+    # the ids grow with the documents, so the join is by shuffle at every size
+    named = docs.where(F.col("doc_id").isNotNull()).join(
+        first.select("doc_id").hint("merge"), "doc_id", "left_semi")
     if not first.where("n > 1").isEmpty():
         named = named.dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
