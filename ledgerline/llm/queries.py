@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    chat_tree, decontaminate, html_blocks, mixing, paragraph_dedup, quality_classifier, quality_rules, simhash,
-    token_files, warc,
+    chat_tree, decontaminate, html_blocks, mixing, oracles, paragraph_dedup, quality_classifier, quality_rules,
+    simhash, token_files, warc,
 )
 from ledgerline.llm.common import table
 
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
