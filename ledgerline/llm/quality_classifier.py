@@ -236,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
             .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("features").alias("features"))
             .collect())
     rows.sort(key=lambda r: r["doc_id"])
-    features = np.array([r["features"] for r in rows], dtype=np.float32).reshape(len(rows), -1)
+    features = np.array([r["features"] for r in rows], dtype=np.float32).reshape(-1, 2 * DIMENSIONS + 1)
     return fit_network(features, np.array([r["quality"] for r in rows], dtype=np.float64), vectors)
 
 
