@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
 
 TARGET_BYTES = 128 * 1024 * 1024
+LINKS_PER_TASK = 250_000
 
 # ASCII upper case to lower case, every other byte unchanged
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -141,17 +142,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     an empty table.
     """
     edges = stored(_ordered(edges), "cc-edges")
+    before = _signature(edges)
     while True:
-        large = _star(edges, both=True)
-        small = _star(large, both=False)
-        drop_stored(large)
-        changed = _signature(small) != _signature(edges)
-        drop_stored(edges)
-        edges = small
+        # few links need few tasks, however many partitions the session has
+        tasks = max(1, -(-2 * before[0] // LINKS_PER_TASK))
+        large = _star(edges, True, tasks)
+        small = _star(large, False, tasks)
+        drop_stored(large, edges)
+        edges, after = small, _signature(small)
+        changed, before = after != before, after
         if not changed:
             nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            out = stored(nodes.unionByName(roots), "cc-roots")
+            out = stored(nodes.unionByName(roots).coalesce(tasks), "cc-roots")
             drop_stored(edges)
             return out
 
@@ -166,7 +169,7 @@ def _signature(edges: DataFrame):
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _star(edges: DataFrame, both: bool) -> DataFrame:
+def _star(edges: DataFrame, both: bool, tasks: int) -> DataFrame:
     """One star round over links (a > b). Large-star looks at every neighbour
     and moves the larger ones to the smallest; small-star looks at the smaller
     neighbours and moves them, and the node itself, to the smallest."""
@@ -175,13 +178,13 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
         seen = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = stored(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
+    least = stored(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks), "cc-min")
     joined = seen.join(least, "u")
     if both:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    out = stored(out.where(F.col("a") != F.col("b")).distinct(), "cc-edges")
+    out = stored(out.where(F.col("a") != F.col("b")).distinct().coalesce(tasks), "cc-edges")
     drop_stored(least)
     return out
