@@ -12,15 +12,15 @@ each the first occurrence (smallest document id, then line) stays.
    nothing more.
 3. Texts that share a band hash form a bucket. Buckets of the same texts, as
    the bands of one family mostly are, are taken once.
-4. Within a bucket, similarities are verified exactly, on the words. A bucket
-   of more than ``CHUNK`` texts is dealt into chunks by a hash; every chunk
-   is worked out in full and gives links that span its passages, and one text
-   of each passage goes on to the next level, until one chunk holds what is
-   left. If their number does not shrink, the texts are unlike each other and
-   are parted by their other bands. So no task holds a hot bucket and no
-   bucket emits its pairs; every text of a large bucket is compared with all
-   others of its chunks, one chunk per band, and with the first texts of the
-   other chunks' passages. Buckets of up to ``CHUNK`` texts are complete.
+4. Within a bucket, similarities are verified exactly, on the words; a bucket
+   gives links that span its passages, never its pairs. Up to ``CHUNK`` texts
+   are worked out in full. A larger bucket is dealt into chunks by a hash, each
+   worked out in full; of each passage the most typical text goes on, those
+   that others resemble to every chunk of the next level, the loners dealt
+   anew, until one chunk holds what is left. If their number does not shrink,
+   the texts are unlike each other and are parted by their other bands.
+   So no task holds a hot bucket, and each text of one is compared with all
+   of its chunk, one chunk per band, and with every text that gathers others.
 5. Links give components, components the verdict on every occurrence.
 
 Nulls and empty texts have no paragraphs. Repeated document ids keep their rows;
@@ -46,7 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 MAX_BANDS = 12
-CHUNK = 200
+CHUNK = 4000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _MIX = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = np.random.default_rng(6).integers(1, 2**63, 256, dtype=np.uint64)
@@ -139,48 +140,54 @@ def shingles(text: bytes, size: int = SHINGLE) -> frozenset[bytes]:
     return frozenset(b" ".join(words[i:i + size]) for i in range(len(words) - size + 1))
 
 
-def spanning_links(texts: list[bytes], threshold: float) -> tuple[list[tuple[int, int]], list[int]]:
+def spanning_links(texts: list[bytes], threshold: float) -> tuple[list[tuple[int, int]], list[tuple[int, bool]]]:
     """Links between texts of at least the threshold, enough to span their
-    components (pairs already connected are not compared again), and the first
-    text of each component."""
-    sets = [shingles(t) for t in texts]
-    parent = list(range(len(texts)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    links = []
-    for i in range(1, len(sets)):
-        a = sets[i]
-        for j in range(i):
-            x, y = find(i), find(j)
-            if x == y:
-                continue
-            b = sets[j]
-            if min(len(a), len(b)) / max(len(a), len(b)) < threshold:
-                continue
-            both = len(a & b)
-            if both / (len(a) + len(b) - both) >= threshold:
-                links.append((j, i))
-                parent[max(x, y)] = min(x, y)
-    return links, [i for i in range(len(sets)) if find(i) == i]
+    components, and of each component its most typical text and whether it has
+    others.
+
+    Shared shingles are counted through an inverted index, for one text
+    against all. The texts whose shingles are the most common come first, so a
+    text that many resemble gathers them at once; a text is left out when all
+    others are in its component already.
+    """
+    numbers: dict[bytes, int] = {}
+    sets = [np.array([numbers.setdefault(x, len(numbers)) for x in shingles(t)]) for t in texts]
+    sizes = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owners = np.repeat(np.arange(len(sets)), sizes)[order]
+    starts = np.searchsorted(flat[order], np.arange(len(numbers) + 1))
+    typical = [np.diff(starts)[x].mean() for x in sets]
+    by_rank = np.argsort(-np.array(typical), kind="stable")
+    label, links = np.arange(len(sets)), []
+    for i in by_rank:
+        other = label != label[i]
+        if not other.any():
+            continue
+        shared = np.bincount(np.concatenate([owners[starts[x]:starts[x + 1]] for x in sets[i]]),
+                             minlength=len(sets))
+        for j in np.flatnonzero(other & (shared / (sizes[i] + sizes - shared) >= threshold)):
+            if label[j] != label[i]:
+                links.append((int(i), int(j)))
+                label[label == label[j]] = label[i]
+    seen: set[int] = set()
+    firsts = [int(i) for i in by_rank if label[i] not in seen and not seen.add(label[i])]
+    return links, [(i, bool((label == label[i]).sum() > 1)) for i in firsts]
 
 
 def _cluster_task(threshold: float):
-    schema = pa.schema([("bucket", pa.int64()), ("chunks", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("chunks", pa.int64()), ("a", pa.binary()), ("b", pa.binary()),
+                        ("gathers", pa.bool_())])
     names = ("bucket", "chunk", "chunks", "digest", "text")
 
     def worked_out(group: tuple, members: list[tuple[bytes, bytes]]) -> Iterator[tuple]:
-        """Links, and with an empty end the first text of each passage."""
+        """Links, and with an empty end the typical text of each passage."""
         links, firsts = spanning_links([t for _, t in members], threshold)
         for i, j in links:
-            yield group[0], group[2], members[i][0], members[j][0]
+            yield group[0], group[2], members[i][0], members[j][0], None
         if group[2] > 1:
-            for k in firsts:
-                yield group[0], group[2], members[k][0], None
+            for k, gathers in firsts:
+                yield group[0], group[2], members[k][0], None, gathers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, members, rows = None, [], []
@@ -201,51 +208,69 @@ def _cluster_task(threshold: float):
     return run
 
 
+def _checked(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table with the hint to broadcast it when its rows are few
+    enough, and to join by shuffle otherwise."""
+    return F.broadcast(df) if df.count() * row_bytes <= MAX_BROADCAST_BYTES else df.hint("merge")
+
+
 def _links(scratch: Scratch, found: DataFrame, threshold: float, chunk: int) -> DataFrame:
     """Spanning links ``(a, b)`` between the digests of texts in ``found`` that
     share a band hash and are similar."""
-    texts = scratch.store(found.groupBy("digest").agg(F.first("text").alias("text"), F.first("bands").alias("bands")),
-                   "passage-texts")
-    banded = texts.select("digest", F.posexplode("bands").alias("band", "hash"))
+    keys = scratch.store(found.groupBy("digest").agg(F.first("bands").alias("bands")), "passage-keys")
+    banded = keys.select("digest", F.posexplode("bands").alias("band", "hash"))
     banded = banded.select("digest", F.xxhash64("band", "hash").alias("bucket"))
+    # buckets of the same texts are one: told by two 64-bit sums and the number of texts
     buckets = (banded.groupBy("bucket")
                .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"),
-                    F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("s"))
-               .where("n > 1").groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket")))
+                    F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
+               .where("n > 1").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")))
     buckets = scratch.store(buckets.select("bucket", "n"), "passage-buckets")
-    level = banded.join(buckets, "bucket").select(
-        "bucket", "digest", F.ceil(F.col("n") / chunk).cast("long").alias("chunks"))
+    level = scratch.store(banded.join(_checked(buckets, 64), "bucket").select(
+        "bucket", "digest", F.ceil(F.col("n") / chunk).cast("long").alias("chunks")), "passage-level")
+    involved = scratch.store(level.select("digest").distinct(), "passage-involved")
+    texts = scratch.store(found.select("digest", "text").join(_checked(involved, 64), "digest", "left_semi")
+                          .groupBy("digest").agg(F.first("text").alias("text")), "passage-texts")
+    # the bucket is part of the hash, so every band deals its chunks anew
+    level = level.select("bucket", "digest", "chunks",
+                         F.pmod(F.xxhash64("bucket", "digest"), F.col("chunks")).alias("chunk"))
     links, depth = None, 0
     while True:
-        # the bucket is part of the hash, so every band deals its chunks anew
-        dealt = level.select(
-            "bucket", "digest", "chunks",
-            F.pmod(F.xxhash64("bucket", "digest", F.lit(depth)), F.col("chunks")).alias("chunk"))
-        rows = dealt.join(texts.select("digest", "text"), "digest")
+        rows = level.join(texts, "digest")
         spread = rows.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "digest")
-        done = scratch.store(map_arrow(spread.select("bucket", "chunk", "chunks", "digest", "text"),
-                                _cluster_task(threshold), "bucket long, chunks long, a binary, b binary"),
-                      "passage-links")
+        done = scratch.store(map_arrow(
+            spread.select("bucket", "chunk", "chunks", "digest", "text"), _cluster_task(threshold),
+            "bucket long, chunks long, a binary, b binary, gathers boolean"), "passage-links")
         new = done.where("b is not null").select("a", "b")
         links = new if links is None else links.unionByName(new)
-        # of buckets dealt into several chunks the first text of each passage goes on
-        left = done.where("b is null and chunks > 1").select("bucket", F.col("a").alias("digest"), "chunks")
-        sizes = scratch.store(left.groupBy("bucket").agg(F.count("*").alias("n"), F.max("chunks").alias("before"))
-                       .where("n > 1").withColumn("chunks", F.ceil(F.col("n") / chunk).cast("long")),
-                       "passage-left")
-        if sizes.isEmpty():
+        # of buckets dealt into several chunks the typical text of each passage goes on
+        left = done.where("b is null and chunks > 1").select("bucket", F.col("a").alias("digest"), "gathers",
+                                                             F.col("chunks").alias("before"))
+        if left.isEmpty():
             return links
-        left = left.select("bucket", "digest")
-        level = left.join(sizes.where("chunks < before").select("bucket", "chunks"), "bucket")
+        depth += 1
+        sizes = left.groupBy("bucket").agg(
+            F.count("*").alias("n"), F.max("before").alias("before"),
+            F.greatest(F.ceil(F.count_if(~F.col("gathers")) / chunk), F.lit(1)).cast("long").alias("chunks"))
+        sizes = scratch.store(sizes.where("n > 1"), "passage-left")
+        left = left.select("bucket", "digest", "gathers")
+        # those that others resemble go to every chunk, the others are dealt
+        on = left.join(sizes.where(F.lit(depth == 1) | F.expr("chunks < before")).select("bucket", "chunks"), "bucket")
+        on = on.select("bucket", "digest", "chunks", F.explode(F.when(
+            F.col("gathers"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(
+            F.array(F.pmod(F.xxhash64("bucket", "digest", F.lit(depth)), F.col("chunks"))))).alias("chunk"))
         # texts unlike each other, whose number does not shrink: parted by their other bands
-        parted = (left.join(sizes.where("chunks >= before").select("bucket", "n"), "bucket")
-                  .join(texts.select("digest", F.posexplode("bands").alias("band", "hash")), "digest")
+        parted = (left.join(sizes.where(F.lit(depth > 1) & F.expr("chunks >= before")).select("bucket", "n"),
+                            "bucket")
+                  .join(keys.select("digest", F.posexplode("bands").alias("band", "hash")), "digest")
                   .select(F.xxhash64("bucket", "band", "hash").alias("part"), "digest", "n"))
-        parts = parted.groupBy("part").agg(F.count("*").alias("m"), F.max("n").alias("n")).where("m > 1 and m < n")
-        level = scratch.store(level.unionByName(parted.select("part", "digest").join(parts, "part").select(
-            F.col("part").alias("bucket"), "digest", F.ceil(F.col("m") / chunk).cast("long").alias("chunks"))),
-            "passage-level")
-        depth += 1
+        parts = (parted.groupBy("part").agg(F.count("*").alias("m"), F.max("n").alias("n"))
+                 .where("m > 1 and m < n")
+                 .select("part", F.ceil(F.col("m") / chunk).cast("long").alias("chunks")))
+        parted = parted.select("part", "digest").join(parts, "part").select(
+            F.col("part").alias("bucket"), "digest", "chunks",
+            F.pmod(F.xxhash64("part", "digest"), F.col("chunks")).alias("chunk"))
+        level = scratch.store(on.unionByName(parted), "passage-level")
 
 
 def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float = THRESHOLD,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.llm import paragraph_dedup as P
@@ -71,12 +72,28 @@ def test_repeats_equal_brute_force(spark, docs_of, prose, chunk):
 
 
 def test_a_large_family_is_one_passage(spark, docs_of, prose):
+    """Variants that resemble the original only, not each other."""
     base = prose(1, 80, 1000)
-    docs = docs_of([(i, changed(base, i, 1), "s") for i in range(400)] + [(900 + i, prose(50 + i, 80, 99), "s")
-                                                                           for i in range(3)])
+    docs = docs_of([(i, changed(base, i, 1), "s") for i in range(1, 300)] + [(0, base, "s")]
+                   + [(900 + i, prose(50 + i, 80, 99), "s") for i in range(3)])
     out = P.find_repeats(docs, chunk=20).collect()
-    assert len(out) == 400 and {r["first_doc_id"] for r in out} == {0}
-    assert sum(r["removed"] for r in out) == 399
+    assert len(out) == 300 and {r["first_doc_id"] for r in out} == {0}
+    assert sum(r["removed"] for r in out) == 299
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=14), min_size=1, max_size=12),
+       st.sampled_from([0.3, 0.8, 1.0]))
+def test_spanning_links_equal_brute_force(lists, threshold):
+    texts = [" ".join(x).encode() for x in lists]
+    links, firsts = P.spanning_links(texts, threshold)
+    sets = [P.shingles(t) for t in texts]
+    want = components(len(texts), [(a, b) for b in range(len(sets)) for a in range(b)
+                                   if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold])
+    got = components(len(texts), links)
+    assert got == want and len(links) == len(texts) - len(set(want))
+    assert sorted(got[i] for i, _ in firsts) == sorted(set(want))
+    assert all(gathers == (want.count(got[i]) > 1) for i, gathers in firsts)
 
 
 def test_texts_unlike_each_other_in_one_bucket(spark, docs_of, prose):
