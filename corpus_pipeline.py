@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import decontaminate, mixing, quality_classifier, simhash, token_files
-from ledgerline.llm.common import stored, table
+from ledgerline.llm.common import drop_stored, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,9 +76,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the whole ``documents`` table; every
     stage's output is written as parquet and read again for the next one."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stored(docs, name)
+            if before is not None:
+                drop_stored(before)
+            before = docs
     return docs
