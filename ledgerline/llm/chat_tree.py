@@ -47,6 +47,7 @@ CONTROL = (START, END, "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>
 TRAINED = "assistant"
 MAX_TOKENS = 32_768
 MAX_LEAVES = 1024
+MAX_MARKS = 10_000
 
 _CONTROL_AT = re.compile("(?=(?:" + "|".join(map(re.escape, CONTROL)) + "))(.)", re.S)
 
@@ -84,10 +85,20 @@ class Codec:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.marks: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
 
+    def mark(self, text: str) -> list[int]:
+        """The ids of a turn's head or tail, which are few and repeat."""
+        found = self.marks.get(text)
+        if found is None:
+            if len(self.marks) >= MAX_MARKS:
+                self.marks.clear()
+            found = self.marks[text] = self.encode(text)
+        return found
+
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False) if ids else ""
 
@@ -165,8 +176,8 @@ def _packer(tokenizer: str, max_tokens: int, max_leaves: int):
                 while same < min(len(turns), len(previous)) and previous[same] == turns[same]:
                     same += 1
                 pieces = pieces[:same] + [
-                    (coder.encode(f"{START}{escape_role(role)}\n"), coder.encode(escape(text)),
-                     coder.encode(f"{END}\n")) for role, text in turns[same:]]
+                    (coder.mark(f"{START}{escape_role(role)}\n"), coder.encode(escape(text)),
+                     coder.mark(f"{END}\n")) for role, text in turns[same:]]
                 previous = turns
                 fresh = sum(len(x) for p in pieces[pack.shared(turns):] for x in p)
                 if pack.leaves and (len(pack.leaves) >= max_leaves
@@ -238,9 +249,10 @@ def _reader(tokenizer: str):
                 tokens, nodes = pack["tokens"], pack["nodes"]
                 shown = []
                 for x in nodes:
-                    text = coder.decode(tokens[x["start"]:x["start"] + x["tokens"]])
-                    loss = unescape(coder.decode(tokens[x["loss_start"]:x["loss_end"]]))
-                    shown.append((*parse_turn(text), loss, len(text)))
+                    cut = (x["start"], x["loss_start"], x["loss_end"], x["start"] + x["tokens"])
+                    head, loss, tail = (coder.decode(tokens[a:b]) for a, b in zip(cut, cut[1:]))
+                    text = head + loss + tail
+                    shown.append((*parse_turn(text), unescape(loss), len(text)))
                 out = []
                 for leaf in pack["leaves"]:
                     path, at = [], leaf["node"]
