@@ -36,7 +36,7 @@ from ledgerline.llm.common import stored
 BLOCK_SIZE = 65_536
 RESOLUTION = 1000        # slots per period, about
 TEMPERATURE = 0.7        # default weights: source size to this power
-ROWS_PER_RANGE = 4096
+ROWS_PER_RANGE = 1024
 MAX_BROADCAST_SLOTS = 4_000_000
 
 
