@@ -1,9 +1,15 @@
 """Repeated passages by paragraph MinHash banding.
 
-Paragraphs are lines of at least ``MIN_WORDS`` words. Two are the same passage
-when the Jaccard similarity of their sets of ``SHINGLE``-word shingles is
-``THRESHOLD`` or more; passages form the components of that relation, and of
-each the first occurrence (smallest document id, then line) stays.
+Paragraphs are lines of at least ``MIN_WORDS`` words and, where consecutive
+lines are shorter, every shortest stretch of them that has as many words. The
+stretches overlap and depend on their own lines only, so any copied run of
+whole lines holds the same ones wherever it stands. Lines of a few words are
+taken together first (``unit_words``), so that neighbouring stretches of one
+document are not alike. Two paragraphs are the same passage when the Jaccard
+similarity of their sets of ``SHINGLE``-word shingles is ``THRESHOLD`` or more;
+passages form the components of that relation, and of each the first occurrence
+(smallest document id, then line) stays. A paragraph is told by its first line
+and its number of words.
 
 1. One pass over the texts gives each paragraph a digest of its lower-cased
    words, its words and the hashes of its MinHash bands. The number of bands
@@ -31,7 +37,7 @@ sorts first. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import ceil, log
 
 import numpy as np
@@ -65,17 +71,68 @@ def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int =
     return best
 
 
-def paragraphs(raw: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
-    """Line number and lower-cased words of the lines that are long enough."""
-    out = []
-    for k, line in enumerate(raw.translate(LOWER).split(b"\n")):
-        if len(line) >= 2 * min_words - 1:
-            words = line.split()
-            if len(words) >= min_words:
-                out.append((k, words))
+def unit_words(min_words: int = MIN_WORDS, threshold: float = THRESHOLD) -> int:
+    """The fewest words by which two stretches that share less than
+    ``min_words`` words must differ at each end to be below the threshold."""
+    shared = max(min_words - SHINGLE, 0)
+    return int(shared * (1 - threshold) / (2 * threshold)) + 1
+
+
+def stretches(lines: list[tuple[int, list[bytes]]], min_words: int, unit: int) -> list[tuple[int, list[bytes]]]:
+    """First line and words of every shortest stretch of at least ``min_words``
+    words over consecutive short lines. Units of at least ``unit`` words are
+    the lines, those of fewer words taken together or with the line before."""
+    if sum(len(words) for _, words in lines) < min_words:
+        return []
+    units: list[tuple[int, list[bytes]]] = []
+    at, small = 0, []
+    for k, words in lines:
+        if len(words) >= unit:
+            if small and units:
+                units[-1] = (units[-1][0], units[-1][1] + small)
+            elif small:
+                k, words = at, small + words
+            small = []
+            units.append((k, words))
+            continue
+        if not small:
+            at = k
+        small = small + words
+        if len(small) >= unit:
+            units.append((at, small))
+            small = []
+    if small and units:
+        units[-1] = (units[-1][0], units[-1][1] + small)
+    out, begin, size = [], 0, 0
+    for end, (_, words) in enumerate(units):
+        size += len(words)
+        if size < min_words:
+            continue
+        while size - len(units[begin][1]) >= min_words:
+            size -= len(units[begin][1])
+            begin += 1
+        out.append((units[begin][0], [w for _, ws in units[begin:end + 1] for w in ws]))
+        # the next stretch starts later, so none holds another
+        size -= len(units[begin][1])
+        begin += 1
     return out
 
 
+def paragraphs(raw: bytes, min_words: int = MIN_WORDS, unit: int | None = None) -> list[tuple[int, list[bytes]]]:
+    """First line number and lower-cased words of the paragraphs."""
+    unit = unit or unit_words(min_words)
+    out, short = [], []
+    for k, line in enumerate(raw.translate(LOWER).split(b"\n")):
+        words = line.split()
+        if len(words) >= min_words:
+            out += stretches(short, min_words, unit)
+            out.append((k, words))
+            short = []
+        elif words:
+            short.append((k, words))
+    return out + stretches(short, min_words, unit)
+
+
 def band_hashes(lines: list[list[bytes]], hashes: WordHash, bands: int, rows: int,
                 shingle: int = SHINGLE) -> np.ndarray:
     """The band hashes of paragraphs, one row each; a paragraph of fewer words
@@ -106,7 +163,7 @@ def band_hashes(lines: list[list[bytes]], hashes: WordHash, bands: int, rows: in
     return out
 
 
-def _paragraph_task(min_words: int, bands: int, rows: int):
+def _paragraph_task(min_words: int, bands: int, rows: int, unit: int | None = None):
     schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("n_words", pa.int32()),
                         ("digest", pa.binary()), ("text", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -115,7 +172,7 @@ def _paragraph_task(min_words: int, bands: int, rows: int):
         for b in batches:
             out: list[tuple] = []
             for doc_id, raw in zip(b.column("doc_id").to_pylist(), raw_texts(b.column("text"))):
-                found = paragraphs(raw, min_words)
+                found = paragraphs(raw, min_words, unit)
                 if not found:
                     continue
                 keys = band_hashes([w for _, w in found], hashes, bands, rows).view(np.int64)
@@ -280,7 +337,8 @@ def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float =
     bands, rows = tune_bands(threshold, recall)
     with Scratch() as scratch:
         found = scratch.store(map_arrow(
-            docs.select("doc_id", "text"), _paragraph_task(min_words, bands, rows),
+            docs.select("doc_id", "text"),
+            _paragraph_task(min_words, bands, rows, unit_words(min_words, threshold)),
             "doc_id long, line int, n_words int, digest binary, text binary, bands array<long>"), "passages")
         places = stored(found.select("doc_id", "line", "n_words", "digest"), "passage-places")
         roots = scratch.own(connected_components(_links(scratch, found, threshold, chunk)))
@@ -301,14 +359,29 @@ def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float =
         .alias("removed"))
 
 
+def _spanned(lines: list[bytes], passages: Iterable[tuple[int, int]]) -> set[int]:
+    """The numbers of the lines of passages given by first line and words."""
+    out: set[int] = set()
+    for k, n_words in passages:
+        while n_words > 0 and k < len(lines):
+            out.add(k)
+            n_words -= len(lines[k].split())
+            k += 1
+    return out
+
+
 def _cut_task(columns: list[str]):
+    def cut(text: str | None, found: list[dict] | None) -> str | None:
+        if text is None or not found:
+            return text
+        raw = text.encode().split(b"\n")
+        gone = (_spanned(raw, [(x["line"], x["n_words"]) for x in found if x["removed"]])
+                - _spanned(raw, [(x["line"], x["n_words"]) for x in found if not x["removed"]]))
+        return b"\n".join(x for k, x in enumerate(raw) if k not in gone).decode()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for text, lines in zip(b.column("text").to_pylist(), b.column("_cut").to_pylist()):
-                gone = set(lines or ())
-                out.append(text if text is None or not gone else
-                           "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
+            out = [cut(*x) for x in zip(b.column("text").to_pylist(), b.column("_cut").to_pylist())]
             new = {"text": pa.array(out, pa.string())}
             if "n_chars" in columns:
                 new["n_chars"] = pa.array([None if t is None else len(t) for t in out], pa.int64())
@@ -318,8 +391,10 @@ def _cut_task(columns: list[str]):
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs``, all rows and columns, without the lines that repeat an earlier
-    passage; ``n_chars``, where there is one, counts the text that is left."""
-    cut = (find_repeats(docs, **options).where("removed").groupBy("doc_id")
-           .agg(F.collect_set("line").alias("_cut")))
+    passage; lines of a first occurrence stay. ``n_chars``, where there is one,
+    counts the text that is left."""
+    cut = (find_repeats(docs, **options).groupBy("doc_id")
+           .agg(F.collect_set(F.struct("line", "n_words", "removed")).alias("_cut"))
+           .where(F.exists("_cut", lambda x: x["removed"])))
     joined = docs.join(cut, "doc_id", "left")
     return map_arrow(joined.select(*docs.columns, "_cut"), _cut_task(docs.columns), docs.schema)

@@ -107,6 +107,28 @@ def test_texts_unlike_each_other_in_one_bucket(spark, docs_of, prose):
         assert P._links(scratch, same, P.THRESHOLD, 5).distinct().count() == 10
 
 
+def test_passages_over_short_lines(spark, docs_of, prose):
+    """60 words over lines of 12, copied into other surroundings."""
+    passage = prose(1, 60)
+    first, later = prose(2, 30, 9) + "\n" + passage, prose(3, 90, 1000) + "\n" + passage + "\n\n" + prose(4, 35, 7)
+    docs = docs_of([(1, first, "s"), (2, later, "s"), (4, prose(7, 60), "s")])
+    got = {(r["doc_id"], r["line"]): (r["n_words"], r["first_doc_id"], r["first_line"], r["n_occurrences"], r["removed"])
+           for r in P.find_repeats(docs).collect()}
+    assert got == {(1, 4): (48, 1, 4, 2, False), (1, 5): (48, 1, 5, 2, False),
+                   (2, 1): (48, 1, 4, 2, True), (2, 2): (48, 1, 5, 2, True)}
+    kept = {r["doc_id"]: r["text"] for r in P.remove_repeats(docs).collect()}
+    assert kept[1] == first and kept[2] == prose(3, 90, 1000) + "\n\n" + prose(4, 35, 7)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4, 5, 7, 12, 39])
+def test_stretches_of_one_document_are_not_alike(prose, width):
+    text = prose(1, 400, width).encode()
+    found = P.paragraphs(text)
+    assert len(found) > 4 and all(P.MIN_WORDS <= len(w) < 2 * P.MIN_WORDS for _, w in found)
+    assert len(dict(found)) == len(found)
+    assert P.spanning_links([b" ".join(w) for _, w in found], P.THRESHOLD)[0] == []
+
+
 def test_empty_table(spark, docs_of):
     empty = docs_of([]).where("false")
     assert P.find_repeats(empty).count() == 0
