@@ -21,12 +21,13 @@ and its number of words.
 4. Within a bucket, similarities are verified exactly, on the words; a bucket
    gives links that span its passages, never its pairs. Up to ``CHUNK`` texts
    are worked out in full. A larger bucket is dealt into chunks by a hash, each
-   worked out in full; of each passage the most typical text goes on, those
-   that others resemble to every chunk of the next level, the loners dealt
-   anew, until one chunk holds what is left. If their number does not shrink,
-   the texts are unlike each other and are parted by their other bands.
-   So no task holds a hot bucket, and each text of one is compared with all
-   of its chunk, one chunk per band, and with every text that gathers others.
+   worked out in full; then the texts that others resemble meet every loner and
+   each other. What these links, those of all bands together, leave outside the
+   largest component of the bucket is compared with every text of the bucket,
+   piece by chunk. A pair within the largest component needs no look, so the
+   links are complete at every size, and no task holds a hot bucket. The last
+   step costs (texts outside) x (texts) / ``CHUNK`` rows: little for a family
+   of copies, the square for a bucket of texts all unlike each other.
 5. Links give components, components the verdict on every occurrence.
 
 Nulls and empty texts have no paragraphs. Repeated document ids keep their rows;
@@ -232,39 +233,83 @@ def spanning_links(texts: list[bytes], threshold: float) -> tuple[list[tuple[int
     return links, [(i, bool((label == label[i]).sum() > 1)) for i in firsts]
 
 
-def _cluster_task(threshold: float):
-    schema = pa.schema([("bucket", pa.int64()), ("chunks", pa.int64()), ("a", pa.binary()), ("b", pa.binary()),
-                        ("gathers", pa.bool_())])
-    names = ("bucket", "chunk", "chunks", "digest", "text")
-
-    def worked_out(group: tuple, members: list[tuple[bytes, bytes]]) -> Iterator[tuple]:
-        """Links, and with an empty end the typical text of each passage."""
-        links, firsts = spanning_links([t for _, t in members], threshold)
-        for i, j in links:
-            yield group[0], group[2], members[i][0], members[j][0], None
-        if group[2] > 1:
-            for k, gathers in firsts:
-                yield group[0], group[2], members[k][0], None, gathers
-
+def cross_links(rest: list[tuple[bytes, bytes]], others: list[tuple[bytes, bytes]],
+                threshold: float) -> list[tuple[int, int]]:
+    """Links ``(rest, other)`` of at least the threshold between ``(text,
+    component)`` of different components, enough to span those that they join."""
+    numbers: dict[bytes, int] = {}
+    sets = [np.array([numbers.setdefault(x, len(numbers)) for x in shingles(t)]) for t, _ in others]
+    sizes = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owners = np.repeat(np.arange(len(sets)), sizes)[order]
+    starts = np.searchsorted(flat[order], np.arange(len(numbers) + 1))
+    known: dict[bytes, int] = {}
+    label = np.array([known.setdefault(c, len(known)) for _, c in others])
+    own = np.array([known.setdefault(c, len(known)) for _, c in rest])
+    links = []
+    for i, (text, _) in enumerate(rest):
+        if (label == own[i]).all():
+            continue
+        mine = shingles(text)
+        found = [owners[starts[k]:starts[k + 1]] for k in (numbers.get(x) for x in mine) if k is not None]
+        if not found:
+            continue
+        shared = np.bincount(np.concatenate(found), minlength=len(sets))
+        for j in np.flatnonzero((label != own[i]) & (shared / (len(mine) + sizes - shared) >= threshold)):
+            if label[j] != own[i]:
+                links.append((i, int(j)))
+                old = label[j]
+                label[label == old] = own[i]
+                own[own == old] = own[i]
+    return links
+
+
+def _grouped(work, schema: pa.Schema, keys: tuple[str, ...], values: tuple[str, ...]):
+    """A task over sorted rows that gives the rows of ``work(key, members)``
+    for each key's members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, members, rows = None, [], []
         for b in batches:
-            for bucket, chunk, chunks, digest, text in zip(*(b.column(c).to_pylist() for c in names)):
-                if (bucket, chunk, chunks) != group:
-                    rows += worked_out(group, members) if members else ()
-                    group, members = (bucket, chunk, chunks), []
-                members.append((digest, text))
+            for row in zip(*(b.column(c).to_pylist() for c in keys + values)):
+                if row[:len(keys)] != group:
+                    rows += work(group, members) if members else ()
+                    group, members = row[:len(keys)], []
+                members.append(row[len(keys):])
             if len(rows) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
                                                  schema=schema)
                 rows = []
-        rows += worked_out(group, members) if members else ()
+        rows += work(group, members) if members else ()
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
                                              schema=schema)
     return run
 
 
+def _cluster_task(threshold: float):
+    def worked_out(group: tuple, members: list[tuple[bytes, bytes]]) -> Iterator[tuple]:
+        """Links, and with an empty end the typical text of each passage."""
+        links, firsts = spanning_links([t for _, t in members], threshold)
+        for i, j in links:
+            yield group[0], members[i][0], members[j][0], None
+        if group[2] > 1:
+            for k, gathers in firsts:
+                yield group[0], members[k][0], None, gathers
+    schema = pa.schema([("bucket", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("gathers", pa.bool_())])
+    return _grouped(worked_out, schema, ("bucket", "chunk", "chunks"), ("digest", "text"))
+
+
+def _cross_task(threshold: float):
+    def worked_out(group: tuple, members: list[tuple]) -> Iterator[tuple]:
+        rest, others = ([m for m in members if m[0] == side] for side in (True, False))
+        if rest and others:
+            for i, j in cross_links([m[2:] for m in rest], [m[2:] for m in others], threshold):
+                yield rest[i][1], others[j][1]
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    return _grouped(worked_out, schema, ("bucket", "piece", "chunk"), ("rest", "digest", "text", "root"))
+
+
 def _checked(df: DataFrame, row_bytes: int) -> DataFrame:
     """A stored table with the hint to broadcast it when its rows are few
     enough, and to join by shuffle otherwise."""
@@ -291,43 +336,56 @@ def _links(scratch: Scratch, found: DataFrame, threshold: float, chunk: int) ->
     # the bucket is part of the hash, so every band deals its chunks anew
     level = level.select("bucket", "digest", "chunks",
                          F.pmod(F.xxhash64("bucket", "digest"), F.col("chunks")).alias("chunk"))
-    links, depth = None, 0
-    while True:
-        rows = level.join(texts, "digest")
+
+    def clustered(dealt: DataFrame) -> DataFrame:
+        rows = dealt.join(texts, "digest")
         spread = rows.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "digest")
-        done = scratch.store(map_arrow(
+        return scratch.store(map_arrow(
             spread.select("bucket", "chunk", "chunks", "digest", "text"), _cluster_task(threshold),
-            "bucket long, chunks long, a binary, b binary, gathers boolean"), "passage-links")
-        new = done.where("b is not null").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        # of buckets dealt into several chunks the typical text of each passage goes on
-        left = done.where("b is null and chunks > 1").select("bucket", F.col("a").alias("digest"), "gathers",
-                                                             F.col("chunks").alias("before"))
-        if left.isEmpty():
-            return links
-        depth += 1
-        sizes = left.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.max("before").alias("before"),
-            F.greatest(F.ceil(F.count_if(~F.col("gathers")) / chunk), F.lit(1)).cast("long").alias("chunks"))
-        sizes = scratch.store(sizes.where("n > 1"), "passage-left")
-        left = left.select("bucket", "digest", "gathers")
-        # those that others resemble go to every chunk, the others are dealt
-        on = left.join(sizes.where(F.lit(depth == 1) | F.expr("chunks < before")).select("bucket", "chunks"), "bucket")
-        on = on.select("bucket", "digest", "chunks", F.explode(F.when(
-            F.col("gathers"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(
-            F.array(F.pmod(F.xxhash64("bucket", "digest", F.lit(depth)), F.col("chunks"))))).alias("chunk"))
-        # texts unlike each other, whose number does not shrink: parted by their other bands
-        parted = (left.join(sizes.where(F.lit(depth > 1) & F.expr("chunks >= before")).select("bucket", "n"),
-                            "bucket")
-                  .join(keys.select("digest", F.posexplode("bands").alias("band", "hash")), "digest")
-                  .select(F.xxhash64("bucket", "band", "hash").alias("part"), "digest", "n"))
-        parts = (parted.groupBy("part").agg(F.count("*").alias("m"), F.max("n").alias("n"))
-                 .where("m > 1 and m < n")
-                 .select("part", F.ceil(F.col("m") / chunk).cast("long").alias("chunks")))
-        parted = parted.select("part", "digest").join(parts, "part").select(
-            F.col("part").alias("bucket"), "digest", "chunks",
-            F.pmod(F.xxhash64("part", "digest"), F.col("chunks")).alias("chunk"))
-        level = scratch.store(on.unionByName(parted), "passage-level")
+            "bucket long, a binary, b binary, gathers boolean"), "passage-links")
+
+    done = clustered(level)
+    links = done.where("b is not null").select("a", "b")
+    # of buckets dealt into several chunks the typical text of each passage goes on
+    left = done.where("b is null").select("bucket", F.col("a").alias("digest"), "gathers")
+    if left.isEmpty():
+        return links
+    sizes = scratch.store(left.groupBy("bucket").agg(F.count_if("gathers").alias("hubs"),
+                                                     F.count_if(~F.col("gathers")).alias("loners")), "passage-left")
+    # those that others resemble go to every chunk, unless they fill one; the others are dealt
+    on = left.join(_checked(sizes, 64), "bucket").select(
+        "bucket", "digest", (F.col("gathers") & (F.col("hubs") <= chunk)).alias("all"),
+        F.greatest(F.ceil((F.col("loners") + F.when(F.col("hubs") > chunk, F.col("hubs")).otherwise(0)) / chunk),
+                   F.lit(1)).cast("long").alias("chunks"))
+    on = on.select("bucket", "digest", "chunks", F.explode(F.when(
+        F.col("all"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("bucket", "digest", F.lit(1)), F.col("chunks"))))).alias("chunk"))
+    links = links.unionByName(clustered(on).where("b is not null").select("a", "b"))
+    roots = scratch.own(connected_components(links))
+    # what lies outside the largest component of its bucket meets the whole bucket
+    members = (level.where("chunks > 1").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+               .select("bucket", "digest", "chunks", "chunk", F.coalesce("root", "digest").alias("root")))
+    members = scratch.store(members, "passage-members")
+    largest = (members.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
+               .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
+                    F.sum("n").alias("n")))
+    largest = scratch.store(largest.where("most < n").select(
+        "bucket", "main", F.ceil((F.col("n") - F.col("most")) / chunk).cast("long").alias("pieces")),
+        "passage-largest")
+    members = members.join(_checked(largest, 64), "bucket")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    blocks = members.select("bucket", upto("pieces").alias("piece"), "chunk", F.lit(False).alias("rest"), "digest",
+                            "root")
+    blocks = blocks.unionByName(members.where("root != main").select(
+        "bucket", F.pmod(F.xxhash64("bucket", "digest", F.lit(2)), F.col("pieces")).alias("piece"),
+        upto("chunks").alias("chunk"), F.lit(True).alias("rest"), "digest", "root"))
+    spread = (blocks.join(texts, "digest").repartition("bucket", "piece", "chunk")
+              .sortWithinPartitions("bucket", "piece", "chunk", "rest", "digest"))
+    crossed = scratch.store(map_arrow(
+        spread.select("bucket", "piece", "chunk", "rest", "digest", "text", "root"), _cross_task(threshold),
+        "a binary, b binary"), "passage-crossed")
+    return (roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            .unionByName(crossed).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
 
 
 def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float = THRESHOLD,

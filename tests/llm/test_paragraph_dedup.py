@@ -107,6 +107,44 @@ def test_texts_unlike_each_other_in_one_bucket(spark, docs_of, prose):
         assert P._links(scratch, same, P.THRESHOLD, 5).distinct().count() == 10
 
 
+@pytest.mark.parametrize("chunk", [2, 5, 40])
+def test_bridges_in_a_hot_bucket(spark, docs_of, prose, chunk):
+    """Two wordings joined by a bridge only, each with variants round it, all in
+    one bucket."""
+    one = prose(1, 80, 1000).split()
+    bridge = one[:37] + ["b1", "b2"] + one[39:]
+    other = bridge[:10] + ["c1", "c2"] + bridge[12:]
+    rows = [(1, " ".join(bridge), "s"), (2, " ".join(one), "s"), (3, " ".join(other), "s")]
+    rows += [(100 + i, " ".join(one[:76] + [f"o{i}"] + one[77:]), "s") for i in range(12)]
+    rows += [(200 + i, " ".join(other[:76] + [f"p{i}"] + other[77:]), "s") for i in range(12)]
+    rows += [(300 + i, prose(70 + i, 60, 1000), "s") for i in range(6)]
+    found = map_arrow(docs_of(rows), P._paragraph_task(P.MIN_WORDS, *P.tune_bands()),
+                      "doc_id long, line int, n_words int, digest binary, text binary, bands array<long>")
+    same = found.withColumn("bands", F.array(F.lit(7).cast("long")))
+    digests = [r["digest"] for r in sorted(found.collect(), key=lambda r: r["doc_id"])]
+    with Scratch() as scratch:
+        links = [(digests.index(r["a"]), digests.index(r["b"]))
+                 for r in P._links(scratch, same, P.THRESHOLD, chunk).collect()]
+    sets = [P.shingles(t.lower().encode()) for _, t, _ in sorted(rows)]
+    want = components(len(sets), [(a, b) for b in range(len(sets)) for a in range(b)
+                                  if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= P.THRESHOLD])
+    assert components(len(sets), links) == want and len(set(want)) == 7
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=14), st.integers(0, 3), st.booleans()),
+                min_size=1, max_size=12), st.sampled_from([0.3, 0.8]))
+def test_cross_links_equal_brute_force(items, threshold):
+    texts = [(" ".join(x).encode(), b"%d" % c) for x, c, _ in items]
+    rest, others = [k for k, x in enumerate(items) if x[2]], list(range(len(items)))
+    links = [(rest[i], others[j]) for i, j in P.cross_links([texts[k] for k in rest], texts, threshold)]
+    sets = [P.shingles(t) for t, _ in texts]
+    same = [(a, b) for b in others for a in range(b) if texts[a][1] == texts[b][1]]
+    want = components(len(texts), same + [(min(a, b), max(a, b)) for a in rest for b in others if a != b and
+                                          len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold])
+    assert components(len(texts), same + links) == want
+
+
 def test_passages_over_short_lines(spark, docs_of, prose):
     """60 words over lines of 12, copied into other surroundings."""
     passage = prose(1, 60)
