@@ -2,22 +2,25 @@
 
 A source's documents, in a fixed pseudo-random order, form blocks of
 ``BLOCK_SIZE`` code points. Target weights become integer shares of a period
-of slots. Block j (from 0) of a source with share k of a period of Q slots is
-released at slot ``floor(j * Q / k)`` and due before slot
-``ceil((j + 1) * Q / k)``; at every slot the released block with the earliest
-deadline goes next (ties: the first source). After t slots every source has
-received its share of t to within less than one block.
+of slots: by default of about 2^40, so that over the whole schedule a share is
+off its weight by far less than one block. Block j (from 0) of a source with
+share k of a period of Q slots is released at slot ``floor(j * Q / k)`` and due
+before slot ``ceil((j + 1) * Q / k)``; at every slot the released block with the
+earliest deadline goes next (ties: the first source). After t slots every
+source has received its share of t to within less than one block.
 
 When a source has no blocks left, a new phase begins at that slot: the others
 go on with the same shares in proportion, again from zero deviation, until
 every block has its slot. No document is dropped or repeated.
 
-Everything is DataFrame functions. The schedule repeats with the period, so
-only one period per phase is worked out, by ``aggregate`` over the slots of one
-row of arrays (sources x resolution numbers, whatever the size of the data);
-block numbers map to slots by arithmetic. Offsets within a source are prefix
-sums in two levels, over hash ranges and inside them, so a source that holds
-a third of all rows is spread like any other.
+Everything is DataFrame functions. The slots are worked out one by one, by
+``aggregate`` over one row of arrays, in ranges of ``SLOTS_PER_RANGE``; the
+blocks meet them by an equal join. That is one task of (blocks x sources) steps.
+With ``resolution`` the shares are rounded to a period of about so many slots
+instead; the schedule then repeats with it, one period per phase is worked out,
+and the deviation from the weights grows with the slots of a phase. Offsets
+within a source are prefix sums in two levels, over hash ranges and inside them,
+so a source that holds a third of all rows is spread like any other.
 
 Nulls: a null source is a source of its own, a null text has size zero and
 goes with the block it falls into. Repeated rows keep all copies. An empty
@@ -34,10 +37,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerline.llm.common import stored
 
 BLOCK_SIZE = 65_536
-RESOLUTION = 1000        # slots per period, about
+RESOLUTION = 1000        # slots per period, about, of a schedule that repeats
+WEIGHT_BITS = 40
+SLOTS_PER_RANGE = 1024
 TEMPERATURE = 0.7        # default weights: source size to this power
 ROWS_PER_RANGE = 1024
 MAX_BROADCAST_SLOTS = 4_000_000
+MAX_BROADCAST_BLOCKS = 500_000
 
 
 def let(value: Column, body) -> Column:
@@ -136,8 +142,76 @@ def schedule(sources: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
         F.expr("filter(sequence(0L, p.slots - 1), t -> get(p.order, cast(t AS int)) = i)").alias("own"))
 
 
+def turns(shares: Column, blocks: Column, total: Column) -> Column:
+    """``i, block, slot`` of all ``total`` blocks: the source numbers by earliest
+    deadline first, in arrays of ``SLOTS_PER_RANGE`` slots."""
+    state_kind = "left:array<bigint>,live:array<bigint>,slots:bigint,done:array<bigint>,begin:bigint"
+    one = "array<struct<i:bigint,block:bigint,slot:bigint>>"
+
+    def sum_of(k: Column) -> Column:
+        return F.aggregate(k, _long(0), lambda a, x: a + x)
+
+    def step(state: Column, t: Column) -> Column:
+        ready = F.filter(
+            F.transform(state["live"], lambda k, i: F.when(
+                (k > 0) & (_div(state["done"][i] * state["slots"], F.greatest(k, _long(1))) <= t - state["begin"]),
+                F.struct(_div((state["done"][i] + 1) * state["slots"] + k - 1, F.greatest(k, _long(1))).alias("due"),
+                         i.cast("long").alias("who")))),
+            lambda x: x.isNotNull())
+        return let(F.array_min(ready)["who"], lambda who: let(
+            F.transform(state["left"], lambda x, i: x - F.when(i == who, _long(1)).otherwise(_long(0))),
+            lambda left: taken(state, t, who, left)))
+
+    def taken(state: Column, t: Column, who: Column, left: Column) -> Column:
+        at = who.cast("int")
+        out = F.concat(state["out"], F.array(F.struct(
+            who.alias("i"), (F.get(blocks, at) - F.get(state["left"], at)).alias("block"), t.alias("slot"))))
+
+        def result(live: Column, slots: Column, done: Column, begin: Column) -> Column:
+            return F.struct(left.alias("left"), live.alias("live"), slots.alias("slots"), done.alias("done"),
+                            begin.alias("begin"), out.alias("out")).cast(f"struct<{state_kind},out:{one}>")
+        more = F.transform(state["done"], lambda d, i: d + F.when(i == who, _long(1)).otherwise(_long(0)))
+        fewer = F.zip_with(shares, left, lambda k, x: F.when(x > 0, k).otherwise(_long(0)))
+        return F.when(F.get(left, at) > 0, result(state["live"], state["slots"], more, state["begin"])).otherwise(
+            let(fewer, lambda live: result(live, sum_of(live), F.transform(live, lambda k: k * 0), t + 1)))
+
+    def stretch(state: Column, r: Column) -> Column:
+        begin = r * SLOTS_PER_RANGE
+        inner = F.aggregate(
+            F.sequence(begin, F.least(begin + SLOTS_PER_RANGE, total) - 1),
+            F.struct(*(state[c] for c in ("left", "live", "slots", "done", "begin")), F.array().cast(one).alias("out"))
+            .cast(f"struct<{state_kind},out:{one}>"), step)
+        return let(inner, lambda x: F.struct(
+            *(x[c].alias(c) for c in ("left", "live", "slots", "done", "begin")),
+            F.concat(state["out"], F.array(x["out"])).alias("out")).cast(f"struct<{state_kind},out:array<{one}>>"))
+
+    start = F.struct(blocks.alias("left"), shares.alias("live"), sum_of(shares).alias("slots"),
+                     F.transform(shares, lambda k: k * 0).alias("done"), _long(0).alias("begin"),
+                     F.array().cast(f"array<{one}>").alias("out")).cast(f"struct<{state_kind},out:array<{one}>>")
+    return F.aggregate(F.sequence(_long(0), _div(total - 1, _long(SLOTS_PER_RANGE))), start, stretch,
+                       lambda state: state["out"])
+
+
+def slots(sources: DataFrame) -> DataFrame:
+    """``(src, block, slot)`` of every block of ``sources(src, weight, blocks)``
+    (each of at least one block), true to the weights over the whole schedule."""
+    one = sources.agg(F.array_sort(F.collect_list(F.struct(
+        "src", F.col("weight").cast("double").alias("weight"), "blocks"))).alias("all")).where(F.size("all") > 0)
+    one = one.select(
+        "all", F.aggregate("all", _long(0), lambda a, x: a + x["blocks"]).alias("total"),
+        F.aggregate("all", F.lit(0.0), lambda a, x: a + F.coalesce(x["weight"], F.lit(0.0))).alias("sum"))
+    # block number times period stays below 2^62
+    scale = F.pow(F.lit(2.0), F.least(F.lit(WEIGHT_BITS), 61 - F.ceil(F.log2(F.col("total") + 1.0))))
+    one = one.select("all", "total", F.transform("all", lambda x: F.greatest(
+        F.round(scale * x["weight"] / F.col("sum")), F.lit(1)).cast("long")).alias("shares"))
+    ranges = one.select("all", F.explode(let(F.col("shares"), lambda k: turns(
+        k, F.col("all.blocks"), F.col("total")))).alias("range"))
+    each = ranges.select("all", F.explode("range").alias("x"))
+    return each.select(F.col("all")[F.col("x.i").cast("int")]["src"].alias("src"), "x.block", "x.slot")
+
+
 def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE,
-          resolution: int = RESOLUTION, temperature: float = TEMPERATURE,
+          resolution: int | None = None, temperature: float = TEMPERATURE,
           carry: list[str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` (the columns of ``carry``, default all) with a struct column
     ``(source, block, slot, start, key)``, and that column's name. Sorting by
@@ -179,15 +253,23 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
         least = F.coalesce(F.min("weight").over(Window.partitionBy()), F.lit(1.0))
         sources = sources.join(given, "src", "full_outer").withColumn(
             "weight", F.coalesce("weight", least)).where("blocks is not null")
-    plan = stored(schedule(sources.select("src", "weight", "blocks"), resolution), "mix-plan")
-    # (phases x sources) rows of together phases x resolution slots
-    if (plan.agg(F.sum(F.size("own"))).first()[0] or 0) <= MAX_BROADCAST_SLOTS:
-        plan = F.broadcast(plan)
-    rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") >= F.col("first"))
-                     & (F.col("_block") < F.col("first") + F.col("used")))
-    nth = F.col("_block") - F.col("first")
-    slot = (F.col("start") + F.call_function("div", nth, F.col("share")) * F.col("slots")
-            + F.expr("get(own, cast((_block - first) % share AS int))"))
+    sources = sources.select("src", "weight", "blocks")
+    if resolution is None:
+        plan = stored(slots(sources), "mix-plan")
+        if plan.count() <= MAX_BROADCAST_BLOCKS:
+            plan = F.broadcast(plan)
+        rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") == F.col("block")))
+        slot = F.col("slot")
+    else:
+        plan = stored(schedule(sources, resolution), "mix-plan")
+        # (phases x sources) rows of together phases x resolution slots
+        if (plan.agg(F.sum(F.size("own"))).first()[0] or 0) <= MAX_BROADCAST_SLOTS:
+            plan = F.broadcast(plan)
+        rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") >= F.col("first"))
+                         & (F.col("_block") < F.col("first") + F.col("used")))
+        nth = F.col("_block") - F.col("first")
+        slot = (F.col("start") + F.call_function("div", nth, F.col("share")) * F.col("slots")
+                + F.expr("get(own, cast((_block - first) % share AS int))"))
     placed = rows.select(*(F.col(c) for c in carry), F.struct(
         F.substring("_src", 2, 1 << 30).alias("source"), F.col("_block").alias("block"),
         slot.alias("slot"), F.col("_start").alias("start"), F.col("_key").alias("key")).alias(name))

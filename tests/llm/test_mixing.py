@@ -61,6 +61,35 @@ def test_deviation_stays_below_one_block(shares, blocks):
             live, done, t = {x for x in live if left[x]}, defaultdict(int), 0
 
 
+@pytest.mark.parametrize("weights, blocks", [
+    ({"a": 0.7, "b": 0.29955, "c": 0.00035, "d": 0.0001}, {"a": 2900, "b": 2000, "c": 40, "d": 1}),
+    ({f"s{k:02}": (k + 1) ** 0.7 for k in range(20)}, {f"s{k:02}": 20 + 9 * k for k in range(20)})])
+def test_deviation_from_the_weights_on_a_long_schedule(spark, weights, blocks):
+    rows = spark.createDataFrame([(s, weights[s], blocks[s]) for s in weights], "src string, weight double, blocks long")
+    got = sorted((r["slot"], r["src"], r["block"]) for r in M.slots(rows).collect())
+    assert [t for t, _, _ in got] == list(range(sum(blocks.values())))
+    placed, done, t, live = defaultdict(int), defaultdict(int), 0, set(weights)
+    for _, s, block in got:
+        assert block == placed[s]
+        placed[s] += 1
+        done[s] += 1
+        t += 1
+        total = sum(weights[x] for x in live)
+        assert all(abs(done[x] - weights[x] / total * t) < 1 + 1e-6 for x in live)
+        if placed[s] == blocks[s]:
+            live, done, t = live - {s}, defaultdict(int), 0
+
+
+def test_default_slots_are_those_of_the_weights(spark, docs_of, prose):
+    """Shares of a period of 1,000 slots give the light source its first block by slot 1,000."""
+    docs = docs_of([(i, prose(i, 30), "a") for i in range(150)] + [(500, prose(1, 30), "b")])
+    weights = spark.createDataFrame([("a", 0.9999), ("b", 0.0001)], "source string, weight double")
+    placed, _ = M.place(docs, weights, block_size=2)
+    out = placed.select("mix.source", "mix.slot").collect()
+    assert len(out) == 151 and max(r["slot"] for r in out if r["source"] == "a") > 10_000
+    assert 9000 < min(r["slot"] for r in out if r["source"] == "b") < 10_000
+
+
 def test_documents(spark, docs_of, prose):
     rows = [(i, prose(i, 20 + i % 50), "hot" if i % 3 == 0 else f"src{i % 7}") for i in range(200)]
     rows += [(300, None, "src1"), (301, "", None), (302, prose(1, 30), None), (303, prose(2, 5000), "long"),
