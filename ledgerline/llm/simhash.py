@@ -39,6 +39,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.llm.common import (
     LOWER, Scratch, connected_components, drop_stored, map_arrow, raw_texts, stored,
@@ -185,22 +186,24 @@ def _meetings(scratch: Scratch, members: DataFrame, segments: list[tuple[int, in
     return links
 
 
-def components(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+def components(prints: DataFrame, radius: int = RADIUS, hot: int = HOT, roots: bool = False) -> DataFrame:
     """``(doc_id, fp, component_id)`` for the rows of ``prints(doc_id, fp)``:
-    the smallest document id reachable over links of at most ``radius`` bits."""
+    the smallest document id reachable over links of at most ``radius`` bits;
+    with ``roots`` also ``root``, which tells components of one id apart."""
+    more = ["root"] if roots else []
     prints = stored(prints, "simhash-prints")
     with Scratch() as scratch:
         groups = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
         links = link_fingerprints(scratch, groups.select("fp"), groups.count(), radius, hot)
-        roots = scratch.own(connected_components(links))
-        rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        nodes = scratch.own(connected_components(links))
+        rooted = groups.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
             "fp", "first", F.coalesce("root", "fp").alias("root"))
         rooted = scratch.store(rooted, "simhash-rooted")
         smallest = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")),
                                  "simhash-smallest")
-        by_print = stored(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-components")
+        by_print = stored(rooted.join(smallest, "root").select("fp", "component_id", *more), "simhash-components")
     # both sides are stored tables: a fingerprint shared by very many documents is split
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id", *more)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
@@ -211,17 +214,43 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _print_adder(shingle: int, seed: int, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            prints = np.array([fingerprint(t, shingle, seed) for t in raw_texts(b.column("text"))],
+                              dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prints.view(np.int64))],
+                                             names=[*b.schema.names, name])
+    return run
+
+
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                hot: int = HOT) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each component;
-    all columns. Of repeated rows with that id one stays. Rows without an id
-    cannot be named and stay as they are."""
-    near = components(fingerprints(docs, shingle), radius, hot)
-    first = stored(near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
-                   .agg(F.count("*").alias("n")), "simhash-first")
+    all columns. Of the rows with that id in the component one stays; a repeated
+    id whose rows lie in several components is the keeper of each by itself.
+    Rows without an id cannot be named and stay as they are."""
+    near = components(fingerprints(docs, shingle), radius, hot, roots=True)
+    keeper = F.col("doc_id") == F.col("component_id")
+    first = stored(near.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+                   .agg(F.count("*").alias("n"), F.bool_or(keeper).alias("keep")).where("keep"), "simhash-first")
     # the ids grow with the documents, so the join is by shuffle at every size
-    named = docs.where(F.col("doc_id").isNotNull()).join(
-        first.select("doc_id").hint("merge"), "doc_id", "left_semi")
-    if not first.where("n > 1").isEmpty():
-        named = named.dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull())
+    kept = named.join(first.where("n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+    kept = kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    repeated = first.where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    # the id does not tell these rows apart, their fingerprints do
+    name = "fp"
+    while name in docs.columns:
+        name += "_"
+    rows = named.join(repeated.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    rows = map_arrow(rows, _print_adder(shingle, SEED, name),
+                     StructType([*rows.schema.fields, StructField(name, LongType())]))
+    keys = near.where(keeper).select(F.struct("doc_id", "fp").alias("_key"), F.col("root").alias("_root"))
+    keys = keys.join(repeated, F.col("_key.doc_id") == F.col("doc_id"), "left_semi").distinct()
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("_row")
+    rows = rows.select(row, F.struct(F.col("doc_id"), F.col(name).alias("fp")).alias("_key")).join(keys, "_key")
+    rows = rows.select("_row", F.col("_key.doc_id").alias("_id"), "_root").dropDuplicates(["_id", "_root"])
+    return kept.unionByName(rows.select("_row.*"))

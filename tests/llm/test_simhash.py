@@ -100,6 +100,16 @@ def test_documents(spark, docs_of, prose):
     assert ids.count(None) == 2
 
 
+def test_repeated_ids_in_several_components(spark, docs_of, prose):
+    a, b, c, d = (prose(40 + k, 60) for k in range(4))
+    docs = docs_of([(5, a, "s"), (5, b, "s"), (5, a, "s"), (6, a, "s"), (6, b, "s"), (3, c, "s"), (7, c, "s"),
+                    (7, d, "s"), (8, c, "s"), (9, d, "s"), (None, d, "s")], "fp _key")
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in kept.collect()))
+    assert got == sorted([(5, a), (5, b), (3, c), (7, d), (0, d)])
+
+
 def test_empty_table(spark, docs_of):
     empty = docs_of([]).where("false")
     assert simhash.near_duplicates(empty).count() == 0
