@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    chat_tree, decontaminate, html_blocks, mixing, oracles, paragraph_dedup, quality_classifier, quality_rules,
-    simhash, token_files, warc,
+    chat_tree, decontaminate, fill_middle, html_blocks, mixing, oracles, paragraph_dedup, quality_classifier,
+    quality_rules, simhash, sketch_dedup, token_files, vector_codes, warc,
 )
 from ledgerline.llm.common import table
 
@@ -67,6 +67,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(quality_classifier.score(docs, model))
 
 
+def op11_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_dedup.components(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.restore(fill_middle.assemble(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -79,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_blocks": op8_html_blocks,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_sketch_dedup": op11_sketch_dedup,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_fill_middle": op13_fill_middle,
     }
 
 
