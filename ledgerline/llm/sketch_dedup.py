@@ -4,8 +4,8 @@ Documents link when the Jaccard similarity of their sets of distinct
 ``SHINGLE``-word shingles is at least ``THRESHOLD``; the answer is the component
 of each document.
 
-1. One pass over the texts gives each its set, as sorted 64-bit hashes, and its
-   sketch of ``BANDS * ROWS`` coordinates by fast similarity sketching (Dahlgaard,
+1. One pass over the texts gives each the digest of its set, the sorted 64-bit
+   hashes of its shingles, and its sketch of ``BANDS * ROWS`` coordinates by fast similarity sketching (Dahlgaard,
    Knudsen and Thorup, 2017): in each round every element is thrown into one
    hashed bin with one hashed value; a bin keeps the least (round, value). After
    as many rounds as bins, a round throws everything into one bin, so that
@@ -16,7 +16,7 @@ of each document.
    independent.
 2. Texts with one set are one text from here on, so copies cost nothing more.
 3. Texts that agree on a band of the sketch form a bucket; buckets of the same
-   texts are taken once.
+   texts are taken once. Only texts in a bucket are read again for their sets.
 4. A bucket gives links that span its near copies, verified on the full sets,
    never its pairs. It is dealt into chunks of about ``CHUNK`` texts by a hash,
    and a chunk is worked out in full by one task (``chunk_links``).
@@ -107,29 +107,38 @@ def band_keys(coordinates: np.ndarray, bands: int = BANDS, rows: int = ROWS) ->
     return key
 
 
-_SETS = "doc_id long, n_shingles long, id binary, codes binary, bands array<long>"
+_SKETCHES = "row long, doc_id long, n_shingles long, id binary, bands array<long>"
 
 
-def _set_task(shingle: int, bands: int, rows: int, seed: int):
+def _set_id(codes: np.ndarray) -> bytes | None:
+    from xxhash import xxh3_128_digest
+    return xxh3_128_digest(codes.tobytes()) if len(codes) else None
+
+
+def _sketch_task(shingle: int, bands: int, rows: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-        for batch in batches:
-            # few documents at a time: a set is as large as its text
-            for at in range(0, batch.num_rows, 2000):
-                b = batch.slice(at, 2000)
-                sizes, ids, codes, keys = [], [], [], []
-                for raw in raw_texts(b.column("text")):
-                    found = shingle_set(raw, shingle, seed)
-                    sizes.append(len(found))
-                    data = found.tobytes() if len(found) else None
-                    codes.append(data)
-                    ids.append(data and xxh3_128_digest(data))
-                    keys.append(band_keys(sketch(found, bands * rows), bands, rows).view(np.int64)
-                                if data else None)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                     pa.array(codes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "id", "codes", "bands"])
+        for b in batches:
+            sizes, ids, keys = [], [], []
+            for raw in raw_texts(b.column("text")):
+                codes = shingle_set(raw, shingle, seed)
+                sizes.append(len(codes))
+                ids.append(_set_id(codes))
+                keys.append(band_keys(sketch(codes, bands * rows), bands, rows).view(np.int64)
+                            if len(codes) else None)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "n_shingles", "id", "bands"])
+    return run
+
+
+def _code_task(shingle: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(raw, shingle, seed) for raw in raw_texts(b.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_id(x) for x in sets], pa.binary()),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "codes"])
     return run
 
 
@@ -150,9 +159,8 @@ class _Index:
         self.ends = np.append(self.starts[1:], len(flat))
 
     def shared(self, codes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.values, codes)
-        at = at[at < len(self.values)] if len(self.values) else at[:0]
-        at = at[np.isin(self.values[at], codes)]
+        at = np.minimum(np.searchsorted(self.values, codes), len(self.values) - 1)
+        at = at[self.values[at] == codes]
         found = [self.owners[a:z] for a, z in zip(self.starts[at], self.ends[at])]
         return np.bincount(np.concatenate(found), minlength=len(self.sizes)) if found else np.zeros(
             len(self.sizes), np.int64)
@@ -315,21 +323,27 @@ def _prefix_links(scratch: Scratch, members: DataFrame, threshold, chunk: int) -
                          _cross_task(threshold))
 
 
-def link_sets(scratch: Scratch, sets: DataFrame, threshold=THRESHOLD, chunk: int = CHUNK) -> DataFrame:
-    """Spanning links ``(a, b)`` between the distinct sets of the stored table
-    ``sets(id, codes, bands)`` that share a band and are similar."""
-    banded = sets.select("id", F.octet_length("codes").alias("size"), F.explode("bands").alias("bucket"))
-    # buckets of the same sets are one: told by two 64-bit sums and the number of sets
+def buckets_of(scratch: Scratch, sets: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``(bucket, id, chunks, chunk)``: the buckets of at least two of the
+    distinct sets of ``sets(id, size, bands)``, and the chunk of each member."""
+    banded = sets.select("id", "size", F.explode("bands").alias("bucket"))
+    # buckets of the same sets are one: told by two 64-bit sums, the number and the size of the sets
     buckets = (banded.groupBy("bucket")
                .agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.bit_xor(F.xxhash64("id")).alias("x"),
                     F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"))
                .where("n > 1").groupBy("n", "size", "x", "y").agg(F.min("bucket").alias("bucket")))
     buckets = scratch.store(buckets.select("bucket", _in_chunks("n", "size", chunk).alias("chunks")),
                             "sketch-buckets")
-    level = scratch.store(banded.join(_bounded(buckets, 64), "bucket").select(
+    return scratch.store(banded.join(_bounded(buckets, 64), "bucket").select(
         "bucket", "id", "chunks", F.pmod(F.xxhash64("bucket", "id"), F.col("chunks")).alias("chunk")),
         "sketch-level")
-    members = level.join(sets.select("id", "codes"), "id")
+
+
+def link_buckets(scratch: Scratch, level: DataFrame, sets: DataFrame, threshold=THRESHOLD,
+                 chunk: int = CHUNK) -> DataFrame:
+    """Spanning links ``(a, b)`` between the similar sets of each bucket of
+    ``level``, with the stored table ``sets(id, codes)``."""
+    members = level.join(sets, "id")
     links = _spread_links(scratch, members, ["bucket", "chunk"], ["id", "codes"], _chunk_task(threshold))
     hot = level.where("chunks > 1")
     if hot.isEmpty():
@@ -341,7 +355,7 @@ def link_sets(scratch: Scratch, sets: DataFrame, threshold=THRESHOLD, chunk: int
                .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts"))
                .where("parts > 1"))
     largest = scratch.store(largest.select("bucket", "main"), "sketch-largest")
-    open_members = spread.join(_bounded(largest, 64), "bucket").join(sets.select("id", "codes"), "id").select(
+    open_members = spread.join(_bounded(largest, 64), "bucket").join(sets, "id").select(
         "bucket", "id", "codes", "root", (F.col("root") != F.col("main")).alias("outside"))
     open_members = scratch.store(open_members, "sketch-open")
     return links.unionByName(_prefix_links(scratch, open_members, threshold, chunk))
@@ -352,15 +366,23 @@ def components(docs: DataFrame, shingle: int = SHINGLE, threshold=THRESHOLD, ban
     """``(doc_id, n_shingles, component_id, kept)`` per document row;
     ``threshold`` is a pair: den * intersection >= num * union."""
     with Scratch() as scratch:
-        found = scratch.store(map_arrow(
-            docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-            _set_task(shingle, bands, rows, seed), _SETS), "sketch-sets")
+        # a row is told by a hash of id and text when its text is read again
+        texts = docs.select(F.xxhash64("doc_id", "text").alias("row"),
+                            F.col("doc_id").cast("long").alias("doc_id"), "text")
+        found = scratch.store(map_arrow(texts, _sketch_task(shingle, bands, rows, seed), _SKETCHES),
+                              "sketch-bands")
         places = stored(found.select("doc_id", "n_shingles", "id"), "sketch-places")
-        groups = scratch.store(places.where("id is not null").groupBy("id").agg(
-            F.min("doc_id").alias("first")), "sketch-groups")
         distinct = scratch.store(found.where("id is not null").groupBy("id").agg(
-            F.first("codes").alias("codes"), F.first("bands").alias("bands")), "sketch-distinct")
-        roots = scratch.own(connected_components(link_sets(scratch, distinct, threshold, chunk)))
+            F.min("doc_id").alias("first"), F.min("row").alias("row"), (8 * F.max("n_shingles")).alias("size"),
+            F.first("bands").alias("bands")), "sketch-distinct")
+        groups = distinct.select("id", "first")
+        level = buckets_of(scratch, distinct, chunk)
+        wanted = scratch.store(level.select("id").distinct().join(distinct, "id").select("row").distinct(),
+                               "sketch-wanted")
+        sets = scratch.store(map_arrow(
+            texts.join(_bounded(wanted, 32), "row", "left_semi").select("text"), _code_task(shingle, seed),
+            "id binary, codes binary").groupBy("id").agg(F.first("codes").alias("codes")), "sketch-sets")
+        roots = scratch.own(connected_components(link_buckets(scratch, level, sets, threshold, chunk)))
         rooted = scratch.store(groups.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
             "id", "first", F.coalesce("root", "id").alias("root")), "sketch-rooted")
         smallest = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")),
