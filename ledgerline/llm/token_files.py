@@ -18,11 +18,17 @@ rows, makes the parts one id stream: document d of a part starts at
 ``base + offsets[d]``. Readers memory-map the files where the folder is
 mounted and otherwise fetch only their byte ranges.
 
-Encoding caches the ids of each white-space separated chunk: the tokenizer
-drops white space and never merges across it, so a text's ids are its chunks'
-ids in order. The chunks of a batch that are not cached yet are encoded
-by the tokenizers library. The cache is emptied when it reaches
-``CACHE_CHUNKS`` entries.
+How a text is encoded depends on what the tokenizer's own normalizer and
+pre-tokenizer say, never on its name. Where ASCII white space is dropped and
+nothing reaches across it, a text's ids are those of its white-space separated
+chunks in order: they are looked up, and those not known yet go through the
+tokenizers library in one call. Where the text is also lowered and parted into
+letters, digits and symbols, texts of plain Latin characters are parted here by
+one regular expression, and their pieces, of which there are fewer, go to the
+model alone. Any other tokenizer encodes whole texts. What is known is kept in
+two generations of about ``CACHE_BYTES`` each: when the younger is full the older
+is forgotten and the younger takes its place, so what is in use stays. Long texts
+are taken in stretches of ``STRETCH_BYTES``, parted at white space.
 
 Nulls and empty texts give a document of only the end id. A null document id
 sorts first and stays null. Repeated document ids keep their rows, ordered by
@@ -31,6 +37,7 @@ text. An empty table gives an empty manifest and no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -47,7 +54,9 @@ from ledgerline.llm.common import (
 
 MAGIC = b"LLTOKEN1"
 END_ID = 1
-CACHE_CHUNKS = 300_000
+CACHE_BYTES = 24 * 1024 * 1024      # of a generation
+STRETCH_BYTES = 1024 * 1024       # of a text encoded at once
+TEXTS_AT_ONCE = 500
 READ_IDS = 8 * 1024 * 1024       # ids per read task
 MANIFEST = "shard long, bin string, idx string, width long, n_docs long, n_tokens long"
 
@@ -57,73 +66,183 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# A chunk of plain Latin characters: here lower case, the canonical form and the
-# split into letters, single digits and symbols are those of the tokenizer file.
+ENTRY_BYTES = 250                 # of a cache entry, about
+KEPT_LENGTH = 64                  # of a chunk or piece
+_LOCAL_NORMALIZERS = {"NFC", "NFD", "Lowercase"}
+_SPACE_SPLITTERS = {"WhitespaceSplit", "Whitespace", "BertPreTokenizer"}
+_PROBE = "".join(f"a{w}1{w}.{w}'s{w}{w}A\u3042{w}-{w * 3}" for w in " \t\n\v\f\r")
+
+
+# fixed values: the normalizer and the splitting of tokenizers whose plain Latin
+# chunks are parted here
+_LATIN_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+                      {"type": "Lowercase"}]
+_LATIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# plain Latin: the canonical form is the text itself, and these are its letters once lowered
 _LETTERS = "a-zß-öø-ÿ"
-_PLAIN = re.compile(f"[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+_PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-ÿ]*")
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\\t-\\r ]+")
+
+
+_SPACE = re.compile(b"[\\t-\\r ]")
+
+
+def _byte_level() -> list[str]:
+    """The printable character that byte-level BPE writes for each byte:
+    itself where printable, else the next free code point from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
+
+
+def _steps(component, key: str) -> list[dict]:
+    if component is None:
+        return []
+    state = json.loads(component.__getstate__())
+    return state[key] if state["type"] == "Sequence" else [state]
+
+
+def parts_at_white_space(tokenizer) -> bool:
+    """Whether a text's ids are those of its chunks between ASCII white space."""
+    import regex
+    if tokenizer.truncation or tokenizer.padding or tokenizer.post_processor is not None:
+        return False
+    if any(set(t.content) & set(" \t\n\v\f\r") or t.lstrip or t.rstrip or t.single_word or t.normalized
+           for t in tokenizer.get_added_tokens_decoder().values()):
+        return False
+    for step in _steps(tokenizer.normalizer, "normalizers"):
+        blanks = step["type"] == "Replace" and step["pattern"] == {"Regex": "\\s+"} and step["content"] == " "
+        if step["type"] not in _LOCAL_NORMALIZERS and not blanks:
+            return False
+    first = (_steps(tokenizer.pre_tokenizer, "pretokenizers") or [{"type": None}])[0]
+    if first["type"] in _SPACE_SPLITTERS:
+        return True
+    if first["type"] != "Split" or first["behavior"] != "Removed" or not first["invert"]:
+        return False
+    pattern = first["pattern"].get("Regex")
+    return bool(pattern) and not regex.search("[ \t\n\v\f\r]", "".join(regex.findall(pattern, _PROBE)))
+
+
+def parts_latin(tokenizer) -> bool:
+    """Whether plain Latin chunks may be parted here and given to the model."""
+    steps = _steps(tokenizer.pre_tokenizer, "pretokenizers")
+    return (_steps(tokenizer.normalizer, "normalizers") == _LATIN_NORMALIZERS and len(steps) == 2
+            and steps[0]["pattern"] == {"Regex": _LATIN_SPLIT}
+            and steps[1] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False})
+
+
+class Known(dict):
+    """The ids of chunks or pieces, the younger generation. Long ones are few
+    and are not kept."""
+
+    old: dict = {}
+
+    def turn(self) -> None:
+        """Between texts: a full generation becomes the older one."""
+        if len(self) > CACHE_BYTES // ENTRY_BYTES:
+            self.old = dict(self)
+            self.clear()
+
+
+class Pieces(Known):
+    """The ids of lowered pieces, worked out by the model when they are asked for."""
+
+    def __init__(self, model, vocabulary: int, width: int):
+        self.model, self.shown = model, _byte_level()
+        self.one = [i.to_bytes(width, "little") for i in range(vocabulary)]
 
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else "".join([self.shown[b] for b in piece.encode()])
+            one = self.one
+            ids = b"".join([one[t.id] for t in self.model.tokenize(shown)])
+        if len(piece) <= KEPT_LENGTH:
+            self[piece] = ids
+        return ids
 
-class ChunkEncoder(dict):
-    """Ids, as bytes, of a white-space free chunk of UTF-8."""
+
+class TextEncoder:
+    """Ids of whole texts, as little-endian bytes."""
 
     def __init__(self, path: str, width: int | None = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = width or (2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4)
         self.kind = np.dtype(f"<u{self.width}")
-        self.pieces: dict[str, bytes] = {}
-        self.bytes_to_chars = self._byte_level() if "word_bpe" in os.path.basename(path) else None
-
-    @staticmethod
-    def _byte_level() -> list[str]:
-        """The printable character that byte-level BPE writes for each byte:
-        itself where printable, else the next free code point from 256 on."""
-        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        free = iter(range(256, 512))
-        return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
-
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= CACHE_CHUNKS:
-                self.pieces.clear()
-            shown = "".join([self.bytes_to_chars[b] for b in piece.encode()])
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.kind).tobytes()
-            self.pieces[piece] = found
-        return found
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if self.bytes_to_chars and "<|" not in text and _PLAIN.fullmatch(text):
-            lowered = text.lower()
-            if lowered.isalpha():
-                found = self._piece(lowered)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_chunk = parts_at_white_space(self.tokenizer)
+        self.by_piece = self.by_chunk and parts_latin(self.tokenizer)
+        self.chunks = Known()
+        self.pieces = Pieces(self.tokenizer.model, self.tokenizer.get_vocab_size(), self.width)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _whole(self, raw: bytes) -> bytes:
+        return self._ids(self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids)
+
+    def _learnt(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of new chunks by one call: each id goes to the chunk in
+        which its characters begin."""
+        texts = [c.decode() for c in chunks]
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        data = self._ids(found.ids)
+        begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+        ends = (np.searchsorted(begins, starts[1:]) * self.width).tolist()
+        return zip(chunks, map(data.__getitem__, map(slice, [0, *ends], ends)))
+
+    def _by_chunks(self, raw: bytes) -> bytes:
+        words = raw.split()                         # at ASCII white space
+        known, learn = {}, []
+        for chunk in set(words):
+            ids = self.chunks.get(chunk) or self.chunks.old.get(chunk)
+            if ids is None and any(x in chunk for x in self.special):
+                ids = self._whole(chunk)
+            if ids is None:
+                learn.append(chunk)
             else:
-                found = b"".join([self._piece(p) for p in _PIECES.findall(lowered)])
-        else:
-            found = self._library(text)
-        self[chunk] = found
-        return found
+                known[chunk] = ids
+        known.update(self._learnt(learn) if learn else ())
+        self.chunks.update((c, ids) for c, ids in known.items() if len(c) <= KEPT_LENGTH)
+        self.chunks.turn()
+        return b"".join(map(known.__getitem__, words))
+
+    def _stretch(self, raw: bytes) -> bytes:
+        if self.by_piece and not any(x in raw for x in self.special):
+            text = raw.decode()
+            if _PLAIN.fullmatch(text):
+                ids = b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+                self.pieces.turn()
+                return ids
+        return self._by_chunks(raw)
 
     def encode(self, raw: bytes) -> bytes:
-        """Ids of a whole text. ``bytes.split`` parts at ASCII white space."""
-        if len(self) >= CACHE_CHUNKS:
-            self.clear()
-        return b"".join(map(self.__getitem__, raw.split()))
-
-
-_ENCODERS: dict[tuple[str, int | None], ChunkEncoder] = {}
-
-
-def encoder(path: str, width: int | None = None) -> ChunkEncoder:
-    """One encoder per worker process, kept across tasks."""
+        """The ids of a whole text."""
+        if not self.by_chunk:
+            return self._whole(raw)
+        if len(raw) <= STRETCH_BYTES:
+            return self._stretch(raw)
+        out, at = [], 0
+        while at < len(raw):
+            cut = _SPACE.search(raw, at + STRETCH_BYTES)
+            end = cut.start() if cut else len(raw)
+            out.append(self._stretch(raw[at:end]))
+            at = end
+        return b"".join(out)
+
+
+_ENCODERS: dict[tuple[str, int | None], TextEncoder] = {}
+
+
+def encoder(path: str, width: int | None = None) -> TextEncoder:
+    """One encoder per worker process, kept across tasks; its size is bounded
+    by the vocabulary and ``CACHE_BYTES``."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if (path, width) not in _ENCODERS:
-        _ENCODERS[path, width] = ChunkEncoder(path, width)
+        _ENCODERS.clear()
+        _ENCODERS[path, width] = TextEncoder(path, width)
     return _ENCODERS[path, width]
 
 
@@ -145,10 +264,11 @@ def _write_shard(folder: str, tokenizer: str, width: int | None, end_id: int | N
                     fs.create_dir(os.path.dirname(path), recursive=True)
                     out = fs.open_output_stream(path)
                 ids.extend(b.column("doc_id").to_pylist())
-                for raw in raw_texts(b.column("text")):
-                    data = coder.encode(raw) + end
-                    out.write(data)
-                    offsets.append(offsets[-1] + len(data) // coder.width)
+                for at in range(0, b.num_rows, TEXTS_AT_ONCE):
+                    for raw in raw_texts(b.column("text").slice(at, TEXTS_AT_ONCE)):
+                        data = coder.encode(raw)
+                        out.write(data + end)
+                        offsets.append(offsets[-1] + len(data) // coder.width + len(end) // coder.width)
         finally:
             if out is not None:
                 out.close()

@@ -1,0 +1,142 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from ledgerline.llm import sketch_dedup as S
+
+from .conftest import components
+
+
+def plain_set(text: str | None) -> frozenset:
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", low)
+    if len(words) < 3:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i:i + 3]) for i in range(len(words) - 2))
+
+
+def brute(rows) -> list[tuple]:
+    """Component of each row by all pairs."""
+    sets = [plain_set(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
+             and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    label = components(len(rows), links)
+    least: dict = {}
+    for (i, _), k in zip(rows, label):
+        if i is not None:
+            least[k] = min(least.get(k, i), i)
+    return [(i, len(s), least.get(k)) for (i, _), s, k in zip(rows, sets, label)]
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10 ** 6)}"
+    return " ".join(words)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aBÉé \n\t\x0b\x1f z", max_size=60))
+def test_set_size_equals_plain_one(text):
+    assert len(S.shingle_set(text.encode())) == len(plain_set(text))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 80, 1000, 20_000])
+def test_every_coordinate_is_filled_as_round_by_round(n):
+    """The rounds one after the other, in plain Python, give the same sketch."""
+    codes = np.random.default_rng(n).integers(0, 2 ** 63, n, dtype=np.uint64)
+    got = S.sketch(codes, 20)
+    want: dict[int, int] = {}
+    for r in range(40):
+        salt = int(S._mixed(np.array([r + 1], np.uint64))[0])
+        h = S._mixed(codes + np.uint64(salt))
+        for x in h.tolist():
+            b = (x >> 48) * 20 >> 16 if r < 20 else r - 20
+            v = r << 48 | x & (1 << 48) - 1
+            want[b] = min(want.get(b, v), v)
+        if len(want) == 20:
+            break
+    assert got.tolist() == [want[b] for b in range(20)]
+
+
+@pytest.mark.parametrize("share", [0.3, 0.85])
+def test_equal_coordinates_estimate_the_similarity(share):
+    rng, found = np.random.default_rng(7), []
+    for n in (5, 60, 500):
+        for _ in range(60):
+            both = rng.integers(0, 2 ** 63, 2 * n, dtype=np.uint64)
+            k = round(share * n)
+            a, b = np.append(both[:k], both[k:k + (n - k) // 2]), np.append(both[:k], both[n:n + n - k - (n - k) // 2])
+            real = k / (len(a) + len(b) - k)
+            found.append((S.sketch(a) == S.sketch(b)).mean() - real)
+    assert abs(np.mean(found)) < 0.01 and np.std(found) < 0.09
+
+
+@pytest.mark.parametrize("chunk", [2000, 7, 3])
+def test_components_equal_all_pairs(spark, chunk):
+    """Families of near copies round two hubs with bridges, graded similarity,
+    also where buckets are dealt into many chunks."""
+    rng, rows = random.Random(chunk), []
+    for f in range(5):
+        base = [f"f{f}w{k}" for k in range(60)]
+        hub = edited(rng, base, 4).split()
+        rows += [" ".join(base)] + [edited(rng, base, rng.randrange(6)) for _ in range(25)]
+        rows += [edited(rng, hub, rng.randrange(3)) for _ in range(10)]
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    want = brute(rows)
+    assert 10 < len({k for _, _, k in want}) < len(rows) - 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # one row to a band: every pair meets, so what is tested is the linking
+    got = S.components(df, bands=80, rows=1, chunk=chunk).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(want)
+
+
+def test_recall_at_production_bands(spark):
+    rng, rows = random.Random(1), []
+    for f in range(300):
+        base = [f"f{f}w{rng.randrange(10 ** 6)}" for _ in range(rng.choice([12, 40, 150]))]
+        rows += [" ".join(base), edited(rng, base, rng.randrange(max(1, len(base) // 20) + 1))]
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in S.components(df).collect()}
+    assert got == set(brute(rows))
+
+
+def test_documents(spark, docs_of, prose):
+    base = prose(1, 400)
+    near = base.replace(base.split()[200], "changed", 1)
+    rows = [(5, base), (3, near), (9, base.upper()), (1, prose(2, 300)), (2, None), (4, ""), (6, " \n\t"),
+            (7, "one two"), (8, "ONE  two"), (8, "ONE  two"), (12, "one"), (None, base), (None, "nobody knows"),
+            (10, prose(3, 30_000)), (11, prose(3, 30_000) + " more"), (1, "same id"), (13, "a b a b a b a b")]
+    docs = docs_of([(i, t, "s") for i, t in rows], "n_shingles component_id kept id codes bands")
+    got = S.components(docs).collect()
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=key) == sorted(brute(rows), key=key)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert S.components(docs.where("false")).count() == 0
+
+
+def test_hot_copies_and_a_hot_family(spark):
+    """A third of the rows are copies of one text, another third near copies."""
+    rng, base = random.Random(3), [f"w{k}" for k in range(100)]
+    texts = [" ".join(base)] * 150 + [edited(rng, base, rng.randrange(1, 5)) for _ in range(150)]
+    texts += [" ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(30)) for _ in range(150)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = S.components(df, bands=80, rows=1, chunk=20).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute(rows))
+
+
+def test_links_span_and_never_list_the_pairs(spark):
+    base = [f"w{k}" for k in range(80)]
+    sets = [S.shingle_set(" ".join([*base, f"x{i}"]).encode()) for i in range(200)]
+    assert len(S.chunk_links(sets)) == 199
+    far = [S.shingle_set(" ".join([*base[i:], f"y{i}"]).encode()) for i in range(0, 60, 5)]
+    links = S.cross_links(far, list(range(12)), sets, ["one"] * 200)
+    assert 0 < len(links) <= 12

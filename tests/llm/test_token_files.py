@@ -19,6 +19,10 @@ def direct(text) -> list[int]:
     return DIRECT.encode(text or "", add_special_tokens=False).ids
 
 
+def encoded(coder, *texts) -> list[list[int]]:
+    return [np.frombuffer(x, coder.kind).tolist() for x in map(coder.encode, [t.encode() for t in texts])]
+
+
 ODD = ["It's don't WE'LL x'd 'tis", "ÀÉß ÿ × ÷ ªº 12³ ½", "İstanbul ΑΣ ΟΔΟΣ", "é äb", "a b c\x85d",
        "x\x1cy\x1fz", "<|endoftext|>mid<|startoftext|>", "<| endoftext|>", "日本語 テスト", "😀😀 ok", "a'b''s!'s", "​﻿",
        "  \n\t ", "###$$$ %%%.", "ǅ ﬁ ﬀ", "\x00\x01 a\x7fb", "ſ K Å", "¡hola! «oui» – …"]
@@ -26,23 +30,46 @@ ODD = ["It's don't WE'LL x'd 'tis", "ÀÉß ÿ × ÷ ªº 12³ ½", "İstanbul 
 
 @pytest.mark.parametrize("text", ODD)
 def test_encoder_on_odd_texts(text):
-    coder = T.encoder(PATH)
-    assert np.frombuffer(coder.encode(text.encode()), coder.kind).tolist() == direct(text)
+    assert encoded(T.encoder(PATH), text) == [direct(text)]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40))
 def test_encoder_equals_the_library(text):
-    coder = T.encoder(PATH)
-    assert np.frombuffer(coder.encode(text.encode()), coder.kind).tolist() == direct(text)
-
-
-def test_encoder_cache_is_emptied(monkeypatch):
-    monkeypatch.setattr(T, "CACHE_CHUNKS", 3)
-    coder = T.ChunkEncoder(PATH)
-    for text in ("a b c d e f", "a b c d e f g-h", "b"):
-        assert np.frombuffer(coder.encode(text.encode()), coder.kind).tolist() == direct(text)
-    assert len(coder) <= 8
+    assert encoded(T.encoder(PATH), text) == [direct(text)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aΣσÉe\u0301\u0338=<|endoftext|>' .\x85\u00a01ﬁİ한ᄒ\n", max_size=14), max_size=6))
+def test_chunks_share_a_library_call(texts):
+    """New chunks go through the library together; none reaches into its neighbour."""
+    texts = [*texts, "\n".join(texts)]
+    assert encoded(T.TextEncoder(PATH), *texts) == [direct(t) for t in texts]
+
+
+def test_cache_forgets_what_is_not_used(monkeypatch):
+    monkeypatch.setattr(T, "CACHE_BYTES", 3 * T.ENTRY_BYTES)
+    monkeypatch.setattr(T, "STRETCH_BYTES", 5)
+    coder = T.TextEncoder(PATH)
+    texts = ["hot a b c d e f", "hot g-h i", "hot", "hot j k l m n o", "p hot", "a b"] * 5
+    assert encoded(coder, *texts) == [direct(t) for t in texts]
+    texts = ["é日 a", "hot 日", "hot b c d é日 e f g"] * 5
+    assert encoded(coder, *texts) == [direct(t) for t in texts]
+    for known, key in ((coder.pieces, "hot"), (coder.chunks, b"hot")):
+        assert key in known or key in known.old
+        assert 0 < len(known) + len(known.old) <= 20
+
+
+def test_white_space_is_a_property_of_the_tokenizer(spark, docs_of):
+    """A byte-level tokenizer keeps white space: whole texts, whatever the file's name."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    assert T.parts_at_white_space(DIRECT) and not T.parts_at_white_space(library)
+    texts = ["  a  b\n\nc\t", "", "x", " \n ", *ODD]
+    assert encoded(T.TextEncoder(path), *texts) == [library.encode(t).ids for t in texts]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    got = T.read_digest(T.write_tokens(docs_of(rows), tokenizer=path, end_id=None)).collect()
+    assert [r["n_tokens"] for r in sorted(got, key=lambda r: r["doc_id"])] == [len(library.encode(t).ids) for t in texts]
 
 
 @pytest.mark.parametrize("width", [None, 4])
