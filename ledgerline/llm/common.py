@@ -3,6 +3,7 @@ access inside tasks, partition sizing and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,6 +16,7 @@ from ledgerline.session import ensure_checkpoint_dir, scratch_path
 
 TARGET_BYTES = 128 * 1024 * 1024
 LINKS_PER_TASK = 250_000
+SLICE_BYTES = 4 * 1024 * 1024
 
 # ASCII upper case to lower case, every other byte unchanged
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -122,11 +124,40 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut down to about ``SLICE_BYTES``, so that what a task makes of a
+    batch in Python stays small however long the texts are."""
+    for b in batches:
+        rows = max(1, b.num_rows * SLICE_BYTES // max(b.nbytes, 1))
+        for at in range(0, max(b.num_rows, 1), rows):
+            yield b.slice(at, rows)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its task
+    and waits beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                    # another C library
+
+
+def _bounded_memory(fn):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(_slices(batches))
+        finally:
+            _give_back()
+    return run
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema) -> DataFrame:
-    """``mapInArrow`` by a function of this package."""
+    """``mapInArrow`` by a function of this package, over slices of bounded
+    size and with its memory given back at the end of the task."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_bounded_memory(fn), schema)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
