@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import DEFAULT, RIDGE_REG_PARAM
 from ledgerline.operators import (
-    breakdowns as B, charts as C, claims as CL, cleaning as CLN, filters as FL,
-    kpis as K, ml as M, queries as Q, ranking as R, tables as T,
+    breakdowns as B, calendar as CAL, charts as C, claims as CL, cleaning as CLN, customers as CU, filters as FL,
+    global_order as GO, kpis as K, ml as M, props as PR, quantiles as QU, queries as Q, ranking as R, sets as S,
+    tables as T, temporal as TM,
 )
+from ledgerline.plans.fact import materialize
 from ledgerline.plans.rollup import build_rollup, rollup_table
-from ledgerline.sources.csv import csv_round_trip
+from ledgerline.sources.catalog import preview, register
+from ledgerline.sources.csv import csv_round_trip, reload_fact, through_csv
 from ledgerline.sources.star import FACT_SQL, bind_fact
+from ledgerline.sources.tables import read_dated, with_order_date
+from ledgerline.streaming.sessions import session_report
 
 try:        # the training-data subpackage and its pipeline are optional
     import corpus_pipeline
@@ -66,6 +71,73 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_round_trip(spark, Q.region_category_profit(bind_fact(spark, sf_dir)))
 
 
+def _csv_fact_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.sales_by_ship_mode(reload_fact(spark, _with_nulls(spark, sf_dir)))
+
+
+def _csv_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_csv(spark, _predictions(spark, sf_dir))
+
+
+def _sql_view(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Q.run_sql(spark, name, register(bind_fact(spark, sf_dir), "ledgerline_sales"))
+    return run
+
+
+def _preview(fact: DataFrame) -> DataFrame:
+    ordered = fact.select("order_key", "region", "category", "sub_category", "ship_mode",
+                          F.col("sales").cast("double").alias("sales"))
+    return preview(ordered, 5, [F.desc("sales"), "order_key", "sub_category"])
+
+
+def _on_dated_fact(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(with_order_date(spark, sf_dir, bind_fact(spark, sf_dir)))
+    return run
+
+
+def _on_events(op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(read_dated(spark, sf_dir, "events"))
+    return run
+
+
+# Events are of 2024 and orders of 1995 to 2001: moments are events so many days earlier.
+MOMENT_DAYS = 9496
+EXPRESS_DAYS = 7
+
+
+def _open_lines(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = with_order_date(spark, sf_dir, read_dated(spark, sf_dir, "lineitem"), "l_orderkey")
+        events = read_dated(spark, sf_dir, "events")
+        return op(events.select("event_id", F.expr(f"ts - interval {MOMENT_DAYS} days").alias("at")), lines)
+    return run
+
+
+def _customers(fact: DataFrame) -> DataFrame:
+    return CU.customers_by_dimensions(materialize(fact.sparkSession, CU.distinct_rollup(fact)))
+
+
+BULK = 45
+
+
+def _parts_not_in_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read_dated(spark, sf_dir, "lineitem")
+    bulk = lines.where((F.col("l_discount") >= DEFAULT.high_discount) & (F.col("l_quantity") >= BULK))
+    parts = read_dated(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_key"), F.col("p_brand").alias("brand"))
+    return S.not_in(parts, "part_key", bulk, "l_partkey")
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier and a later load of the lines: orders of each order month's parity are in one only."""
+    lines = with_order_date(spark, sf_dir, read_dated(spark, sf_dir, "lineitem"), "l_orderkey")
+    rows = lines.select(F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"),
+                        F.year("order_date").alias("year"), F.month("order_date").alias("m"))
+    return S.reconcile(rows.where("m % 3 <> 0").drop("m"), rows.where("m % 3 <> 1").drop("m"))
+
+
 # The regression's figures are rounded where the two engines' sums agree by far:
 # they differ in the order of additions only.
 def _regression_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +230,30 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "regression_coefficients": _regression_coefficients,
         "regression_metrics": _regression_metrics,
         "predictions": _predictions,
+        # S1-S8 over the whole fact: part files, the prediction sink, SQL text over a view, preview
+        "csv_fact_report": _csv_fact_report,
+        "csv_predictions": _csv_predictions,
+        "sql_view_region_category_profit": _sql_view("region_category_profit"),
+        "sql_view_profit_by_category": _sql_view("profit_by_category"),
+        "preview_lines": _on_fact(_preview),
+        # sales in time
+        "quarterly_sales": _on_dated_fact(CAL.quarterly_sales),
+        "best_year": _on_dated_fact(CAL.best_year),
+        "peak_quarters": _on_dated_fact(CAL.peak_quarters),
+        # joins on time, sessions, JSON properties
+        "last_click_before_purchase": _on_events(TM.last_click_before_purchase),
+        "express_lines_at_events": _open_lines(lambda m, x: TM.open_lines_at(m, x, EXPRESS_DAYS)),
+        "open_lines_at_events": _open_lines(GO.open_lines_count),
+        "event_sessions": _on_events(session_report),
+        "event_properties": _on_events(PR.property_statistics),
+        # global order, exact quantiles, exact distinct counts, NOT IN, multisets
+        "sales_running_totals": _on_fact(GO.sales_running_totals),
+        "profit_quantiles": _on_fact(QU.profit_quantiles),
+        "customers_by_dimensions": _on_dated_fact(_customers),
+        "parts_not_in_bulk": _parts_not_in_bulk,
+        "load_reconciliation": lambda spark, sf_dir: S.reconciliation(_loads(spark, sf_dir)),
+        "load_except_all": lambda spark, sf_dir: S.except_all(_loads(spark, sf_dir)),
+        "load_intersect_all": lambda spark, sf_dir: S.intersect_all(_loads(spark, sf_dir)),
     }
 
 
@@ -254,7 +350,10 @@ def _ridge(body: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = _retail_oracles()
+    found = _retail_oracles() | _time_oracles()
+    for copy, of in {"csv_predictions": "predictions", "sql_view_region_category_profit": "region_category_profit",
+                     "sql_view_profit_by_category": "profit_by_category"}.items():
+        found[copy] = found[of]
     if training:
         found |= training.oracle_sql()
         if corpus_pipeline.ORACLE_SQL:
@@ -262,6 +361,122 @@ def oracle_sql() -> dict[str, str]:
     return found
 
 
+_DATED = f"""
+dated AS (SELECT fact.*, CAST(o_orderdate AS DATE) AS order_date, o_custkey AS customer_key
+          FROM ({FACT_SQL}) fact JOIN orders ON order_key = o_orderkey)"""
+_SPANS = f"""
+spans AS (SELECT l_orderkey, l_linenumber, l_partkey, o_orderdate, l_shipdate
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate),
+moments AS (SELECT event_id, ts - INTERVAL {MOMENT_DAYS} DAY AS moment FROM events)"""
+_LOADS = """
+rows_of AS (SELECT l_quantity AS quantity, l_discount AS discount, year(o_orderdate)::INTEGER AS year,
+                   month(o_orderdate) AS m FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+old_load AS (SELECT quantity, discount, year FROM rows_of WHERE m % 3 <> 0),
+new_load AS (SELECT quantity, discount, year FROM rows_of WHERE m % 3 <> 1)"""
+
+
+def _time_oracles() -> dict[str, str]:
+    return {
+        "csv_fact_report": _fact(f"""
+SELECT ship_mode, COUNT(*) AS total_orders, {MONEY_S} AS total_sales
+FROM fact WHERE ship_mode <> '5-LOW' AND quantity <> 1 GROUP BY ship_mode"""),
+        "preview_lines": _fact("""
+SELECT order_key, region, category, sub_category, ship_mode, CAST(f.sales AS DOUBLE) AS sales
+FROM fact f ORDER BY f.sales DESC, order_key, sub_category LIMIT 5"""),
+        "quarterly_sales": f"""
+WITH {_DATED}, quarters AS (
+  SELECT region, date_trunc('quarter', order_date)::DATE AS q, SUM(sales) AS s, SUM(profit) AS p, COUNT(*) AS n
+  FROM dated GROUP BY ALL),
+dense AS (
+  SELECT region, q, coalesce(s, 0) AS s, coalesce(p, 0) AS p, coalesce(n, 0) AS n
+  FROM (SELECT region, unnest(generate_series((SELECT min(q) FROM quarters), (SELECT max(q) FROM quarters),
+                                              INTERVAL 3 MONTH))::DATE AS q
+        FROM (SELECT DISTINCT region FROM quarters) r) c
+  LEFT JOIN quarters USING (region, q)),
+framed AS (SELECT *, LAG(s, 4) OVER w AS ago, SUM(s) OVER (w ROWS 3 PRECEDING) AS trailed
+           FROM dense WINDOW w AS (PARTITION BY region ORDER BY q))
+SELECT region, year(q)::INTEGER AS year, quarter(q)::INTEGER AS quarter, CAST(ROUND(s, 2) AS DOUBLE) AS total_sales,
+       CAST(ROUND(p, 2) AS DOUBLE) AS total_profit, n AS total_orders,
+       CAST(ROUND(trailed, 2) AS DOUBLE) AS trailing_year_sales, {_pct("(s - ago)", "ago", 1)} AS yoy_pct
+FROM framed""",
+        "best_year": f"""
+WITH {_DATED}
+SELECT year(order_date)::INTEGER AS best_year, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS best_year_sales
+FROM dated GROUP BY 1 ORDER BY SUM(sales) DESC, 1 LIMIT 1""",
+        "peak_quarters": f"""
+WITH {_DATED}, quarters AS (
+  SELECT year(order_date)::INTEGER AS year, quarter(order_date)::INTEGER AS q, SUM(sales) AS s FROM dated GROUP BY ALL),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY s DESC, q) AS r FROM quarters)
+SELECT year, MAX(q) FILTER (WHERE r = 1) AS peak_quarter, CAST(ROUND(SUM(s), 2) AS DOUBLE) AS total_sales,
+       {_pct("coalesce(SUM(s) FILTER (WHERE q = 4), 0)", "SUM(s)", 1)} AS q4_share_pct,
+       MAX(q) FILTER (WHERE r = 1) = 4 AS q4_is_peak
+FROM ranked GROUP BY year""",
+        "last_click_before_purchase": """
+SELECT p.event_id, p.user_id, p.value, CASE WHEN near THEN c.event_id END AS click_id,
+       CASE WHEN near THEN c.value END AS click_value,
+       CASE WHEN near THEN epoch_us(p.ts) - epoch_us(c.ts) END AS gap_us
+FROM (SELECT p.*, c, c.ts >= p.ts - INTERVAL 3 DAY AS near
+      FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+      ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c
+      ON p.user_id = c.user_id AND p.ts >= c.ts) p""",
+        "express_lines_at_events": f"""
+WITH {_SPANS}
+SELECT event_id, l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key,
+       epoch_us(moment) - epoch_us(o_orderdate) AS open_us
+FROM (SELECT * FROM spans WHERE date_diff('day', o_orderdate, l_shipdate) <= {EXPRESS_DAYS}) s
+JOIN moments ON moment >= o_orderdate AND moment < l_shipdate""",
+        "open_lines_at_events": f"""
+WITH {_SPANS},
+steps AS (SELECT o_orderdate AS t, 1 AS step, 0 AS kind, NULL AS event_id FROM spans
+          UNION ALL SELECT l_shipdate, -1, 0, NULL FROM spans
+          UNION ALL SELECT moment, 0, 1, event_id FROM moments)
+SELECT event_id, CAST(n AS BIGINT) AS open_lines
+FROM (SELECT event_id, kind, SUM(step) OVER (ORDER BY t, kind RANGE UNBOUNDED PRECEDING) AS n FROM steps) t
+WHERE kind = 1""",
+        "event_sessions": """
+WITH marked AS (
+  SELECT *, CASE WHEN ts - LAG(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS first
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT *, SUM(first) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM marked)
+SELECT user_id, epoch_us(MIN(ts)) AS start_us, epoch_us(MAX(ts)) - epoch_us(MIN(ts)) + 1800000000 AS span_us,
+       COUNT(*) AS n_events, COUNT(*) FILTER (WHERE event_type = 'purchase') AS n_purchases,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM numbered GROUP BY user_id, k""",
+        "event_properties": """
+WITH pairs AS (SELECT event_type, props, unnest(json_keys(props)) AS property FROM events)
+SELECT event_type, property, COUNT(*) AS n, MIN(v) AS low, MAX(v) AS high, SUM(v) AS total
+FROM (SELECT event_type, property, CAST(json_extract(props, '$."' || property || '"') AS DOUBLE) AS v FROM pairs) t
+GROUP BY event_type, property""",
+        "sales_running_totals": _fact("""
+SELECT order_key, CAST(f.sales AS DOUBLE) AS sales,
+       ROW_NUMBER() OVER w AS row_number, DENSE_RANK() OVER (ORDER BY f.sales DESC) AS dense_rank,
+       CAST(SUM(f.sales) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_sales
+FROM fact f WINDOW w AS (ORDER BY f.sales DESC, order_key, quantity, discount, profit)"""),
+        "profit_quantiles": _fact("""
+SELECT ship_mode, COUNT(*) AS total_orders, CAST(quantile_disc(profit, 0.5) AS DOUBLE) AS median_profit,
+       CAST(quantile_disc(profit, 0.95) AS DOUBLE) AS p95_profit
+FROM fact GROUP BY ship_mode"""),
+        "customers_by_dimensions": f"""
+WITH {_DATED}
+SELECT coalesce(nullif(concat_ws('+', CASE WHEN GROUPING(region) = 0 THEN 'region' END,
+                                 CASE WHEN GROUPING(category) = 0 THEN 'category' END,
+                                 CASE WHEN GROUPING(ship_mode) = 0 THEN 'ship_mode' END), ''), 'all') AS grouped,
+       region, category, ship_mode, COUNT(DISTINCT customer_key) AS customers
+FROM dated GROUP BY CUBE (region, category, ship_mode)""",
+        "parts_not_in_bulk": f"""
+SELECT p_partkey AS part_key, p_brand AS brand FROM part
+WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_discount >= {HI} AND l_quantity >= {BULK})""",
+        "load_reconciliation": f"""
+WITH {_LOADS}, counts AS (
+  SELECT quantity, discount, year, SUM(o)::BIGINT AS n_old, SUM(n)::BIGINT AS n_new
+  FROM (SELECT *, 1 AS o, 0 AS n FROM old_load UNION ALL SELECT *, 0, 1 FROM new_load) t GROUP BY ALL)
+SELECT *, CASE WHEN n_new = 0 THEN 'lost' WHEN n_old = 0 THEN 'added' WHEN n_new < n_old THEN 'fewer' ELSE 'more' END
+  AS change FROM counts WHERE n_old <> n_new""",
+        "load_except_all": f"WITH {_LOADS} SELECT * FROM old_load EXCEPT ALL SELECT * FROM new_load",
+        "load_intersect_all": f"WITH {_LOADS} SELECT * FROM old_load INTERSECT ALL SELECT * FROM new_load",
+    }
+
+
 def _retail_oracles() -> dict[str, str]:
     hi = f"discount >= {HI}"
     return {

@@ -125,3 +125,24 @@ def csv_round_trip(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Write a small result as CSV and read it back, typed as it was."""
     path = write_result(df, scratch_path(spark, "csv-result"), single_file=True)
     return read_sales_csv(spark, path, df.schema)
+
+
+def write_retail_csv(fact: DataFrame, path: str, null_token: str = "NA") -> str:
+    """The fact as a directory of CSV part files under the retail header, one
+    per task, nulls as ``null_token``."""
+    names = {model: header for header, model in CSV_HEADER_TO_MODEL.items()}
+    rows = fact.select(*(F.col(c).alias(names[c]) for c in fact.columns if c in names))
+    rows.write.mode("overwrite").option("header", "true").option("nullValue", null_token).csv(path)
+    return path
+
+
+def reload_fact(spark: SparkSession, fact: DataFrame, cfg: AnalyticsConfig = RETAIL) -> DataFrame:
+    """The whole fact through files: written as part files, then read,
+    normalised and cleaned as a landed load is."""
+    return load_retail_fact(spark, write_retail_csv(fact, scratch_path(spark, "csv-fact")), cfg=cfg)
+
+
+def through_csv(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write a result of any size as CSV part files and read it back, typed."""
+    path = write_result(df, scratch_path(spark, "csv-result"))
+    return read_sales_csv(spark, path, df.schema)
