@@ -1,458 +1,347 @@
 """Repeated passages by paragraph MinHash banding.
 
-Paragraphs are lines of at least ``MIN_WORDS`` words and, where consecutive
-lines are shorter, every shortest stretch of them that has as many words. The
-stretches overlap and depend on their own lines only, so any copied run of
-whole lines holds the same ones wherever it stands. Lines of a few words are
-taken together first (``unit_words``), so that neighbouring stretches of one
-document are not alike. Two paragraphs are the same passage when the Jaccard
-similarity of their sets of ``SHINGLE``-word shingles is ``THRESHOLD`` or more;
-passages form the components of that relation, and of each the first occurrence
-(smallest document id, then line) stays. A paragraph is told by its first line
-and its number of words.
-
-1. One pass over the texts gives each paragraph a digest of its lower-cased
-   words, its words and the hashes of its MinHash bands. The number of bands
-   and the rows in each are tuned for the recall asked for at the threshold.
-2. Paragraphs with one digest are one text from here on, so copies cost
-   nothing more.
-3. Texts that share a band hash form a bucket. Buckets of the same texts, as
-   the bands of one family mostly are, are taken once.
-4. Within a bucket, similarities are verified exactly, on the words; a bucket
-   gives links that span its passages, never its pairs. Up to ``CHUNK`` texts
-   are worked out in full. A larger bucket is dealt into chunks by a hash, each
-   worked out in full; then the texts that others resemble meet every loner and
-   each other. What these links, those of all bands together, leave outside the
-   largest component of the bucket is compared with every text of the bucket,
-   piece by chunk. A pair within the largest component needs no look, so the
-   links are complete at every size, and no task holds a hot bucket. The last
-   step costs (texts outside) x (texts) / ``CHUNK`` rows: little for a family
-   of copies, the square for a bucket of texts all unlike each other.
-5. Links give components, components the verdict on every occurrence.
-
-Nulls and empty texts have no paragraphs. Repeated document ids keep their rows;
-equal lines of one document are occurrences like others. A null document id
-sorts first. An empty table gives no rows.
+Paragraphs are cut by content, not by line ends, so that a passage is seen
+wherever it stands. With a hash for every ``SHINGLE``-word shingle of the
+lower-cased words, a position whose hash is the least of some window of w
+consecutive ones is an anchor for w: two anchors are at most w apart, and whether
+a place is one depends on the words round it only. A paragraph goes from every
+anchor for ``START_WINDOW`` to the first anchor for ``STOP_WINDOW`` that is at least
+``LEAST`` shingles further on: 24 to 31 words, paragraphs overlap, and a run of
+more than 50 words that is copied into any surroundings holds a whole one.
+
+1. One pass over the texts gives each paragraph a digest of its words and the
+   hashes of its MinHash bands; the minima are worked out once per stretch
+   between two anchors and combined. The number of bands and the rows in each are
+   tuned for the recall asked for at the threshold; a copied passage is found by
+   any of its paragraphs.
+2. Band hashes found at two places are kept: in two documents, or so far apart in
+   one that the paragraphs do not overlap. Everything else is unique and done with.
+3. Paragraphs that share a kept band hash form a bucket; paragraphs with one digest
+   are one text in it. Texts are read again for the shingle sets of these only.
+4. Within a bucket the exact Jaccard similarity of the sets is verified, as the
+   links that span its components (``sketch_dedup.link_buckets``: complete at every
+   size, no pairs listed, hot buckets dealt out).
+5. Links of ``THRESHOLD`` or more give components, the passages. Of each the first
+   place (smallest document id, then position) stays; the others are removed.
+   Neighbouring paragraphs of a document with one verdict are joined to spans.
+
+No text and texts of fewer words have no paragraphs. Rows of equal id and text are
+one document. Repeated ids with other texts are documents of their own; a null
+document id sorts first. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
 from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.llm.common import LOWER, Scratch, connected_components, map_arrow, raw_texts, stored
-from ledgerline.llm.lexical import WordHash
+from ledgerline.llm.sketch_dedup import buckets_of, link_buckets
 
-MIN_WORDS = 40
 SHINGLE = 5
-THRESHOLD = 0.8
-RECALL = 0.999
-MAX_BANDS = 12
-CHUNK = 4000
+START_WINDOW = 20
+STOP_WINDOW = 8
+LEAST = 20
+MOST = LEAST + STOP_WINDOW        # shingles of a paragraph stay below this
+THRESHOLD = (80, 100)             # exact: 100 * intersection >= 80 * union
+RECALL = 0.95                     # of a pair of paragraphs at the threshold
+MAX_BANDS = 3
+CHUNK = 2000
+CACHED_WORDS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
+_SET_BYTES = 8 * MOST
+_POSITION_BITS = 28
+_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MIX = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = np.random.default_rng(6).integers(1, 2**63, 256, dtype=np.uint64)
 
 
-def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_BANDS) -> tuple[int, int]:
+def tune_bands(threshold=THRESHOLD, recall: float = RECALL, most: int = MAX_BANDS) -> tuple[int, int]:
     """``(bands, rows)``: the longest bands of which at most ``most`` find a
     pair at the threshold with probability ``recall``."""
-    best = None
+    best, share = None, threshold[0] / threshold[1]
     for rows in range(1, 16):
-        share = threshold ** rows
-        bands = 1 if share >= 1 else ceil(log(1 - recall) / log(1 - share))
+        found = share ** rows
+        bands = 1 if found >= 1 else ceil(log(1 - recall) / log(1 - found))
         if best is None or bands <= most:
             best = (bands, rows)
     return best
 
 
-def unit_words(min_words: int = MIN_WORDS, threshold: float = THRESHOLD) -> int:
-    """The fewest words by which two stretches that share less than
-    ``min_words`` words must differ at each end to be below the threshold."""
-    shared = max(min_words - SHINGLE, 0)
-    return int(shared * (1 - threshold) / (2 * threshold)) + 1
-
-
-def stretches(lines: list[tuple[int, list[bytes]]], min_words: int, unit: int) -> list[tuple[int, list[bytes]]]:
-    """First line and words of every shortest stretch of at least ``min_words``
-    words over consecutive short lines. Units of at least ``unit`` words are
-    the lines, those of fewer words taken together or with the line before."""
-    if sum(len(words) for _, words in lines) < min_words:
-        return []
-    units: list[tuple[int, list[bytes]]] = []
-    at, small = 0, []
-    for k, words in lines:
-        if len(words) >= unit:
-            if small and units:
-                units[-1] = (units[-1][0], units[-1][1] + small)
-            elif small:
-                k, words = at, small + words
-            small = []
-            units.append((k, words))
-            continue
-        if not small:
-            at = k
-        small = small + words
-        if len(small) >= unit:
-            units.append((at, small))
-            small = []
-    if small and units:
-        units[-1] = (units[-1][0], units[-1][1] + small)
-    out, begin, size = [], 0, 0
-    for end, (_, words) in enumerate(units):
-        size += len(words)
-        if size < min_words:
-            continue
-        while size - len(units[begin][1]) >= min_words:
-            size -= len(units[begin][1])
-            begin += 1
-        out.append((units[begin][0], [w for _, ws in units[begin:end + 1] for w in ws]))
-        # the next stretch starts later, so none holds another
-        size -= len(units[begin][1])
-        begin += 1
+class Words(dict):
+    """64-bit hash of a word, remembered; emptied when it gets large."""
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        found = self[word] = xxh64_intdigest(word)
+        return found
+
+
+def _mixed(x: np.ndarray, k: int) -> np.ndarray:
+    x = (x ^ _SALT[k]) * _MIX[k]
+    x ^= x >> np.uint64(32)
+    return x * _MIX[k + 100]
+
+
+def shingle_hashes(raw: bytes, words: Words) -> np.ndarray:
+    """The hash of every shingle of a text, in order."""
+    found = raw.translate(LOWER).split()
+    if len(found) < SHINGLE:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
+    n = len(h) - SHINGLE + 1
+    out = np.zeros(n, np.uint64)
+    for k in range(SHINGLE):
+        out = (out ^ h[k:k + n]) * _MIX[k]
+        out ^= out >> np.uint64(31)
     return out
 
 
-def paragraphs(raw: bytes, min_words: int = MIN_WORDS, unit: int | None = None) -> list[tuple[int, list[bytes]]]:
-    """First line number and lower-cased words of the paragraphs."""
-    unit = unit or unit_words(min_words)
-    out, short = [], []
-    for k, line in enumerate(raw.translate(LOWER).split(b"\n")):
-        words = line.split()
-        if len(words) >= min_words:
-            out += stretches(short, min_words, unit)
-            out.append((k, words))
-            short = []
-        elif words:
-            short.append((k, words))
-    return out + stretches(short, min_words, unit)
-
-
-def band_hashes(lines: list[list[bytes]], hashes: WordHash, bands: int, rows: int,
-                shingle: int = SHINGLE) -> np.ndarray:
-    """The band hashes of paragraphs, one row each; a paragraph of fewer words
-    than a shingle is one shingle."""
-    sizes = np.array([len(w) for w in lines])
-    flat = np.array([hashes[w] for line in lines for w in line], dtype=np.uint64)
-    # windows that run over a paragraph's end are overwritten by its first one
-    padded = np.concatenate([flat, np.zeros(shingle, np.uint64)])
-    code = np.zeros(len(flat), dtype=np.uint64)
-    for k in range(shingle):
-        code = (code ^ padded[k:k + len(flat)] + np.uint64(k + 1)) * _MIX[k]
-        code ^= code >> np.uint64(31)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    position = np.arange(len(flat)) - np.repeat(starts, sizes)
-    over = position > np.repeat(np.maximum(sizes - shingle, 0), sizes)
-    code[over] = code[np.repeat(starts, sizes)[over]]
-    out = np.empty((len(lines), bands), dtype=np.uint64)
+def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
+    """``best`` of every window of ``width``."""
+    size = 1
+    while 2 * size <= width:
+        x = best(x[:-size], x[size:])
+        size *= 2
+    rest = width - size
+    return best(x[:-rest], x[rest:]) if rest else x
+
+
+def anchors(h: np.ndarray, window: int) -> np.ndarray:
+    """Whether each position holds the least hash of some window round it. Of a
+    run of equal neighbours the first one counts."""
+    if len(h) < window:
+        return np.zeros(len(h), bool)
+    least = _sliding(h, window, np.minimum)
+    edge = np.zeros(window - 1, np.uint64)
+    return (_sliding(np.concatenate([edge, least, edge]), window, np.maximum) == h) & np.append(True, h[1:] != h[:-1])
+
+
+def paragraphs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last (exclusive) shingle of every paragraph, the anchors for
+    the stop window, and the number of the anchor that each starts at."""
+    stops = np.flatnonzero(anchors(h, STOP_WINDOW))
+    first = np.flatnonzero(anchors(h, START_WINDOW))
+    at = np.searchsorted(stops, first + LEAST)
+    real = at < len(stops)
+    first, at = first[real], at[real]
+    return first, stops[at] if len(at) else at, stops, np.searchsorted(stops, first)
+
+
+def digests(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of the words of paragraphs: of shingles side by side,
+    which hold all words, and the length."""
+    out, size = [], last - first
+    for seed in (7, 17):
+        value = _mixed(h[last - 1] ^ size.astype(np.uint64), seed)
+        for k in range(0, int(size.max(initial=0)), SHINGLE):
+            more = (value ^ h[np.minimum(first + k, last - 1)]) * _MIX[seed]
+            value = np.where(k < size, more ^ more >> np.uint64(29), value)
+        out.append(value)
+    return out[0], out[1]
+
+
+def band_keys(h: np.ndarray, stops: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: int,
+              rows: int) -> np.ndarray:
+    """The band hashes of paragraphs, one row each, given by the numbers of
+    their anchors: minima of the stretches between anchors, combined."""
+    ranges = np.stack([begin, end], axis=1).ravel()
+    out = np.empty((len(begin), bands), np.uint64)
     for b in range(bands):
-        key = np.full(len(lines), _SALT[b], dtype=np.uint64)
+        key = np.full(len(begin), _SALT[200 + b], np.uint64)
         for r in range(rows):
-            k = b * rows + r
-            value = (code ^ _SALT[100 + k]) * _MIX[100 + k]
-            value ^= value >> np.uint64(32)
-            value *= _MIX[10 + k]
-            key = (key ^ np.minimum.reduceat(value, starts)) * _MIX[0]
+            value = _mixed(h, 20 + b * rows + r)
+            between = np.append(np.minimum.reduceat(value, stops), _TOP)
+            key = (key ^ np.minimum.reduceat(between, ranges)[::2]) * _MIX[0]
             key ^= key >> np.uint64(29)
         out[:, b] = key
     return out
 
 
-def _paragraph_task(min_words: int, bands: int, rows: int, unit: int | None = None):
-    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("n_words", pa.int32()),
-                        ("digest", pa.binary()), ("text", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_PARAGRAPHS = "row long, doc_id long, start int, n_words int, d1 long, d2 long, bands array<long>"
+_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()),
+                    ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+
+
+def _paragraph_task(bands: int, rows: int):
+    def batch(found: list[tuple], ids: list) -> pa.RecordBatch:
+        row, doc, sizes, starts, n_words, d1, d2, keys = zip(*found)
+        total = sum(sizes)
+        repeated = lambda x: np.repeat(np.array(x, np.int64), sizes)
+        return pa.RecordBatch.from_arrays([
+            pa.array(repeated(row)), pa.array(ids, pa.int64()).take(pa.array(repeated(doc))),
+            pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(n_words), pa.int32()),
+            pa.array(np.concatenate(d1).view(np.int64)), pa.array(np.concatenate(d2).view(np.int64)),
+            pa.ListArray.from_arrays(pa.array(np.arange(total + 1, dtype=np.int32) * bands),
+                                     pa.array(np.concatenate(keys).reshape(-1).view(np.int64)))], schema=_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        words = Words()
         for b in batches:
-            out: list[tuple] = []
-            for doc_id, raw in zip(b.column("doc_id").to_pylist(), raw_texts(b.column("text"))):
-                found = paragraphs(raw, min_words, unit)
-                if not found:
-                    continue
-                keys = band_hashes([w for _, w in found], hashes, bands, rows).view(np.int64)
-                for (line, words), key in zip(found, keys):
-                    text = b" ".join(words)
-                    out.append((doc_id, line, len(words), hashlib.blake2b(text, digest_size=16).digest(),
-                                text, key))
-                if len(out) >= 20_000:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(c), t.type) for c, t in zip(zip(*out), schema)], schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t.type) for c, t in zip(zip(*out), schema)], schema=schema)
+            ids, found = b.column("doc_id").to_pylist(), []
+            for k, (row, raw) in enumerate(zip(b.column("row").to_pylist(), raw_texts(b.column("text")))):
+                h = shingle_hashes(raw, words)
+                first, last, stops, begin = paragraphs(h)
+                if len(first):
+                    end = np.searchsorted(stops, last)
+                    found.append((row, k, len(first), first, last - first + SHINGLE - 1, *digests(h, first, last),
+                                  band_keys(h, stops, begin, end, bands, rows)))
+            if found:
+                yield batch(found, ids)
     return run
 
 
-def shingles(text: bytes, size: int = SHINGLE) -> frozenset[bytes]:
-    words = text.split()
-    if len(words) <= size:
-        return frozenset([text])
-    return frozenset(b" ".join(words[i:i + size]) for i in range(len(words) - size + 1))
-
-
-def spanning_links(texts: list[bytes], threshold: float) -> tuple[list[tuple[int, int]], list[tuple[int, bool]]]:
-    """Links between texts of at least the threshold, enough to span their
-    components, and of each component its most typical text and whether it has
-    others.
-
-    Shared shingles are counted through an inverted index, for one text
-    against all. The texts whose shingles are the most common come first, so a
-    text that many resemble gathers them at once; a text is left out when all
-    others are in its component already.
-    """
-    numbers: dict[bytes, int] = {}
-    sets = [np.array([numbers.setdefault(x, len(numbers)) for x in shingles(t)]) for t in texts]
-    sizes = np.array([len(x) for x in sets])
-    flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    owners = np.repeat(np.arange(len(sets)), sizes)[order]
-    starts = np.searchsorted(flat[order], np.arange(len(numbers) + 1))
-    typical = [np.diff(starts)[x].mean() for x in sets]
-    by_rank = np.argsort(-np.array(typical), kind="stable")
-    label, links = np.arange(len(sets)), []
-    for i in by_rank:
-        other = label != label[i]
-        if not other.any():
-            continue
-        shared = np.bincount(np.concatenate([owners[starts[x]:starts[x + 1]] for x in sets[i]]),
-                             minlength=len(sets))
-        for j in np.flatnonzero(other & (shared / (sizes[i] + sizes - shared) >= threshold)):
-            if label[j] != label[i]:
-                links.append((int(i), int(j)))
-                label[label == label[j]] = label[i]
-    seen: set[int] = set()
-    firsts = [int(i) for i in by_rank if label[i] not in seen and not seen.add(label[i])]
-    return links, [(i, bool((label == label[i]).sum() > 1)) for i in firsts]
-
-
-def cross_links(rest: list[tuple[bytes, bytes]], others: list[tuple[bytes, bytes]],
-                threshold: float) -> list[tuple[int, int]]:
-    """Links ``(rest, other)`` of at least the threshold between ``(text,
-    component)`` of different components, enough to span those that they join."""
-    numbers: dict[bytes, int] = {}
-    sets = [np.array([numbers.setdefault(x, len(numbers)) for x in shingles(t)]) for t, _ in others]
-    sizes = np.array([len(x) for x in sets])
-    flat = np.concatenate(sets)
-    order = np.argsort(flat, kind="stable")
-    owners = np.repeat(np.arange(len(sets)), sizes)[order]
-    starts = np.searchsorted(flat[order], np.arange(len(numbers) + 1))
-    known: dict[bytes, int] = {}
-    label = np.array([known.setdefault(c, len(known)) for _, c in others])
-    own = np.array([known.setdefault(c, len(known)) for _, c in rest])
-    links = []
-    for i, (text, _) in enumerate(rest):
-        if (label == own[i]).all():
-            continue
-        mine = shingles(text)
-        found = [owners[starts[k]:starts[k + 1]] for k in (numbers.get(x) for x in mine) if k is not None]
-        if not found:
-            continue
-        shared = np.bincount(np.concatenate(found), minlength=len(sets))
-        for j in np.flatnonzero((label != own[i]) & (shared / (len(mine) + sizes - shared) >= threshold)):
-            if label[j] != own[i]:
-                links.append((i, int(j)))
-                old = label[j]
-                label[label == old] = own[i]
-                own[own == old] = own[i]
-    return links
-
-
-def _grouped(work, schema: pa.Schema, keys: tuple[str, ...], values: tuple[str, ...]):
-    """A task over sorted rows that gives the rows of ``work(key, members)``
-    for each key's members."""
+def _set_task():
+    """The shingle sets of wanted paragraphs of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members, rows = None, [], []
+        words = Words()
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in keys + values)):
-                if row[:len(keys)] != group:
-                    rows += work(group, members) if members else ()
-                    group, members = row[:len(keys)], []
-                members.append(row[len(keys):])
-            if len(rows) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
-                                                 schema=schema)
-                rows = []
-        rows += work(group, members) if members else ()
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
-                                             schema=schema)
+            ids, codes = [], []
+            for raw, wanted in zip(raw_texts(b.column("text")), b.column("wanted").to_pylist()):
+                h = shingle_hashes(raw, words)
+                for w in wanted:
+                    ids.append(w["id"])
+                    codes.append(np.unique(h[w["start"]:w["start"] + w["n_words"] - SHINGLE + 1]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(codes, pa.binary())],
+                                             names=["id", "codes"])
     return run
 
 
-def _cluster_task(threshold: float):
-    def worked_out(group: tuple, members: list[tuple[bytes, bytes]]) -> Iterator[tuple]:
-        """Links, and with an empty end the typical text of each passage."""
-        links, firsts = spanning_links([t for _, t in members], threshold)
-        for i, j in links:
-            yield group[0], members[i][0], members[j][0], None
-        if group[2] > 1:
-            for k, gathers in firsts:
-                yield group[0], members[k][0], None, gathers
-    schema = pa.schema([("bucket", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("gathers", pa.bool_())])
-    return _grouped(worked_out, schema, ("bucket", "chunk", "chunks"), ("digest", "text"))
-
-
-def _cross_task(threshold: float):
-    def worked_out(group: tuple, members: list[tuple]) -> Iterator[tuple]:
-        rest, others = ([m for m in members if m[0] == side] for side in (True, False))
-        if rest and others:
-            for i, j in cross_links([m[2:] for m in rest], [m[2:] for m in others], threshold):
-                yield rest[i][1], others[j][1]
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-    return _grouped(worked_out, schema, ("bucket", "piece", "chunk"), ("rest", "digest", "text", "root"))
-
-
-def _checked(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A stored table with the hint to broadcast it when its rows are few
-    enough, and to join by shuffle otherwise."""
+def _joined(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table of rows of at most ``row_bytes``: broadcast within the
+    bound, joined by shuffle beyond it."""
     return F.broadcast(df) if df.count() * row_bytes <= MAX_BROADCAST_BYTES else df.hint("merge")
 
 
-def _links(scratch: Scratch, found: DataFrame, threshold: float, chunk: int) -> DataFrame:
-    """Spanning links ``(a, b)`` between the digests of texts in ``found`` that
-    share a band hash and are similar."""
-    keys = scratch.store(found.groupBy("digest").agg(F.first("bands").alias("bands")), "passage-keys")
-    banded = keys.select("digest", F.posexplode("bands").alias("band", "hash"))
-    banded = banded.select("digest", F.xxhash64("band", "hash").alias("bucket"))
-    # buckets of the same texts are one: told by two 64-bit sums and the number of texts
-    buckets = (banded.groupBy("bucket")
-               .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"),
-                    F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
-               .where("n > 1").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")))
-    buckets = scratch.store(buckets.select("bucket", "n"), "passage-buckets")
-    level = scratch.store(banded.join(_checked(buckets, 64), "bucket").select(
-        "bucket", "digest", F.ceil(F.col("n") / chunk).cast("long").alias("chunks")), "passage-level")
-    involved = scratch.store(level.select("digest").distinct(), "passage-involved")
-    texts = scratch.store(found.select("digest", "text").join(_checked(involved, 64), "digest", "left_semi")
-                          .groupBy("digest").agg(F.first("text").alias("text")), "passage-texts")
-    # the bucket is part of the hash, so every band deals its chunks anew
-    level = level.select("bucket", "digest", "chunks",
-                         F.pmod(F.xxhash64("bucket", "digest"), F.col("chunks")).alias("chunk"))
-
-    def clustered(dealt: DataFrame) -> DataFrame:
-        rows = dealt.join(texts, "digest")
-        spread = rows.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "digest")
-        return scratch.store(map_arrow(
-            spread.select("bucket", "chunk", "chunks", "digest", "text"), _cluster_task(threshold),
-            "bucket long, a binary, b binary, gathers boolean"), "passage-links")
-
-    done = clustered(level)
-    links = done.where("b is not null").select("a", "b")
-    # of buckets dealt into several chunks the typical text of each passage goes on
-    left = done.where("b is null").select("bucket", F.col("a").alias("digest"), "gathers")
-    if left.isEmpty():
-        return links
-    sizes = scratch.store(left.groupBy("bucket").agg(F.count_if("gathers").alias("hubs"),
-                                                     F.count_if(~F.col("gathers")).alias("loners")), "passage-left")
-    # those that others resemble go to every chunk, unless they fill one; the others are dealt
-    on = left.join(_checked(sizes, 64), "bucket").select(
-        "bucket", "digest", (F.col("gathers") & (F.col("hubs") <= chunk)).alias("all"),
-        F.greatest(F.ceil((F.col("loners") + F.when(F.col("hubs") > chunk, F.col("hubs")).otherwise(0)) / chunk),
-                   F.lit(1)).cast("long").alias("chunks"))
-    on = on.select("bucket", "digest", "chunks", F.explode(F.when(
-        F.col("all"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("bucket", "digest", F.lit(1)), F.col("chunks"))))).alias("chunk"))
-    links = links.unionByName(clustered(on).where("b is not null").select("a", "b"))
-    roots = scratch.own(connected_components(links))
-    # what lies outside the largest component of its bucket meets the whole bucket
-    members = (level.where("chunks > 1").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-               .select("bucket", "digest", "chunks", "chunk", F.coalesce("root", "digest").alias("root")))
-    members = scratch.store(members, "passage-members")
-    largest = (members.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
-               .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"),
-                    F.sum("n").alias("n")))
-    largest = scratch.store(largest.where("most < n").select(
-        "bucket", "main", F.ceil((F.col("n") - F.col("most")) / chunk).cast("long").alias("pieces")),
-        "passage-largest")
-    members = members.join(_checked(largest, 64), "bucket")
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    blocks = members.select("bucket", upto("pieces").alias("piece"), "chunk", F.lit(False).alias("rest"), "digest",
-                            "root")
-    blocks = blocks.unionByName(members.where("root != main").select(
-        "bucket", F.pmod(F.xxhash64("bucket", "digest", F.lit(2)), F.col("pieces")).alias("piece"),
-        upto("chunks").alias("chunk"), F.lit(True).alias("rest"), "digest", "root"))
-    spread = (blocks.join(texts, "digest").repartition("bucket", "piece", "chunk")
-              .sortWithinPartitions("bucket", "piece", "chunk", "rest", "digest"))
-    crossed = scratch.store(map_arrow(
-        spread.select("bucket", "piece", "chunk", "rest", "digest", "text", "root"), _cross_task(threshold),
-        "a binary, b binary"), "passage-crossed")
-    return (roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            .unionByName(crossed).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-
-
-def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, threshold: float = THRESHOLD,
-                 recall: float = RECALL, chunk: int = CHUNK) -> DataFrame:
-    """``(doc_id, line, n_words, first_doc_id, first_line, n_occurrences,
-    removed)`` for every occurrence of a passage that occurs more than once."""
-    bands, rows = tune_bands(threshold, recall)
-    with Scratch() as scratch:
-        found = scratch.store(map_arrow(
-            docs.select("doc_id", "text"),
-            _paragraph_task(min_words, bands, rows, unit_words(min_words, threshold)),
-            "doc_id long, line int, n_words int, digest binary, text binary, bands array<long>"), "passages")
-        places = stored(found.select("doc_id", "line", "n_words", "digest"), "passage-places")
-        roots = scratch.own(connected_components(_links(scratch, found, threshold, chunk)))
-        copies = places.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"),
-                                              F.count("*").alias("n"))
-        rooted = scratch.store(copies.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
-            "digest", "first", "n", F.coalesce("root", "digest").alias("root")), "passage-rooted")
-        classes = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
-                                .where("n > 1"), "passage-classes")
-        verdict = stored(rooted.select("digest", "root").join(classes, "root").select("digest", "first", "n"),
-                         "passage-verdict")
-    # both sides are stored tables: a passage with very many copies is split
-    joined = places.join(verdict, "digest")
-    return joined.select(
-        "doc_id", "line", "n_words", F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.line").alias("first_line"), F.col("n").alias("n_occurrences"),
-        (~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))))
-        .alias("removed"))
-
-
-def _spanned(lines: list[bytes], passages: Iterable[tuple[int, int]]) -> set[int]:
-    """The numbers of the lines of passages given by first line and words."""
-    out: set[int] = set()
-    for k, n_words in passages:
-        while n_words > 0 and k < len(lines):
-            out.add(k)
-            n_words -= len(lines[k].split())
-            k += 1
-    return out
+def _apart(place: str = "place"):
+    """Whether places are in two documents or do not overlap in one."""
+    return F.max(place) - F.min(place) >= MOST + SHINGLE - 1
 
 
-def _cut_task(columns: list[str]):
-    def cut(text: str | None, found: list[dict] | None) -> str | None:
-        if text is None or not found:
-            return text
-        raw = text.encode().split(b"\n")
-        gone = (_spanned(raw, [(x["line"], x["n_words"]) for x in found if x["removed"]])
-                - _spanned(raw, [(x["line"], x["n_words"]) for x in found if not x["removed"]]))
-        return b"\n".join(x for k, x in enumerate(raw) if k not in gone).decode()
+def _row(docs: DataFrame):
+    """What tells a document from others: a hash of its id and text."""
+    return F.xxhash64(docs["doc_id"], docs["text"])
 
+
+def repeated_paragraphs(docs: DataFrame, threshold=THRESHOLD, recall: float = RECALL, chunk: int = CHUNK,
+                        tuned: tuple[int, int] | None = None) -> DataFrame:
+    """``(row, doc_id, start, n_words, first, n, removed)`` of every paragraph
+    of a passage that occurs more than once; ``first`` is the place that stays."""
+    bands, rows = tuned or tune_bands(threshold, recall)
+    texts = docs.select(_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with Scratch() as scratch:
+        found = scratch.store(map_arrow(texts, _paragraph_task(bands, rows), _PARAGRAPHS), "passages")
+        # 35 bits of the document and the position: places of one document are near each other
+        place = F.shiftrightunsigned("row", 64 - 63 + _POSITION_BITS).bitwiseAND(F.lit((1 << 63 - _POSITION_BITS) - 1))
+        place = F.shiftleft(place, _POSITION_BITS).bitwiseOR(F.col("start").cast("long")).alias("place")
+        keys = found.select(place, F.explode("bands").alias("key")).groupBy("key").agg(_apart().alias("apart"))
+        keys = scratch.store(keys.where("apart").select("key"), "passage-keys")
+        # what shares no band hash with another place is done with
+        digest = F.concat(F.unhex(F.lpad(F.hex("d1"), 16, "0")), F.unhex(F.lpad(F.hex("d2"), 16, "0"))).alias("id")
+        shared = (found.select("row", "doc_id", "start", "n_words", "d1", "d2", place, F.explode("bands").alias("key"))
+                  .join(_joined(keys, 32), "key")
+                  .groupBy("row", "doc_id", "start", "n_words", "d1", "d2", "place")
+                  .agg(F.collect_list("key").alias("keys")))       # at most ``bands``
+        shared = stored(shared.select("row", "doc_id", "start", "n_words", "place", digest, "keys"), "passage-shared")
+        distinct = scratch.store(shared.groupBy("id").agg(
+            F.min(F.struct("row", "start", "n_words")).alias("at"), F.lit(_SET_BYTES).cast("long").alias("size"),
+            F.first("keys").alias("bands")), "passage-distinct")
+        level = buckets_of(scratch, distinct, chunk)
+        wanted = level.select("id").distinct().join(distinct, "id").groupBy(F.col("at.row").alias("row")).agg(
+            F.collect_list(F.struct("id", "at.start", "at.n_words")).alias("wanted"))
+        wanted = scratch.store(wanted, "passage-wanted")
+        sets = scratch.store(map_arrow(
+            texts.dropDuplicates(["row"]).join(_joined(wanted, 2000), "row").select("text", "wanted"), _set_task(),
+            "id binary, codes binary"), "passage-sets")
+        roots = scratch.own(connected_components(link_buckets(scratch, level, sets, threshold, chunk)))
+        rooted = scratch.store(shared.select("id", "doc_id", "row", "start", "place").join(
+            roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")),
+            "passage-rooted")
+        classes = rooted.groupBy("root").agg(
+            F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count_distinct("place").alias("n"),
+            _apart().alias("apart"))
+        classes = scratch.store(classes.where("apart").drop("apart"), "passage-classes")
+        verdict = stored(rooted.select("id", "root").distinct().join(classes, "root").select("id", "first", "n"),
+                         "passage-verdict")
+    kept = (F.col("row") == F.col("first.row")) & (
+        F.abs(F.col("start") - F.col("first.start")) < MOST + SHINGLE - 1)
+    # both sides are stored tables: a passage with very many copies is split
+    return shared.drop("keys", "place").join(verdict, "id").select(
+        "row", "doc_id", "start", "n_words", "first", "n", (~kept).alias("removed"))
+
+
+def _spans(docs: DataFrame, **options) -> DataFrame:
+    """Paragraphs of one document and verdict that touch, as one span."""
+    found = repeated_paragraphs(docs, **options).distinct()
+    by = Window.partitionBy("row", "removed").orderBy("start", "n_words")
+    before = F.max(F.col("start") + F.col("n_words")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    opened = F.when(before >= F.col("start"), 0).otherwise(1)
+    numbered = found.withColumn("_new", opened).withColumn(
+        "_span", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("row", "doc_id", "removed", "_span").agg(
+        F.min("start").alias("start_word"), F.max(F.col("start") + F.col("n_words")).alias("_end"),
+        F.min("first").alias("first"), F.max("n").alias("n_occurrences"))
+
+
+def find_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``(doc_id, start_word, n_words, first_doc_id, first_word, n_occurrences,
+    removed)`` for every span of repeated passages: the first place of the
+    earliest of them, and how many places the most frequent of them has."""
+    return _spans(docs, **options).select(
+        "doc_id", "start_word", (F.col("_end") - F.col("start_word")).alias("n_words"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_word"), "n_occurrences", "removed")
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _cut(text: str | None, spans: list[dict] | None) -> str | None:
+    """A text without the words of spans."""
+    if text is None or not spans:
+        return text
+    raw = text.encode()
+    words = [m.span() for m in _WORD.finditer(raw)]
+    gone = np.zeros(len(words) + 2, bool)
+    for s in spans:
+        gone[s["start"] + 1:s["end"] + 1] = True
+    edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
+    out, at = [], 0
+    for a, z in zip(edges[::2], edges[1::2]):
+        out.append(raw[at:words[a][0]])
+        at = words[z - 1][1]
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def _cut_task(columns: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [cut(*x) for x in zip(b.column("text").to_pylist(), b.column("_cut").to_pylist())]
+            out = [_cut(*x) for x in zip(b.column("text").to_pylist(), b.column(name).to_pylist())]
             new = {"text": pa.array(out, pa.string())}
             if "n_chars" in columns:
-                new["n_chars"] = pa.array([None if t is None else len(t) for t in out], pa.int64())
+                new["n_chars"] = pa.array([None if t is None else len(t) for t in out], b.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in columns], names=columns)
     return run
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
-    """``docs``, all rows and columns, without the lines that repeat an earlier
-    passage; lines of a first occurrence stay. ``n_chars``, where there is one,
-    counts the text that is left."""
-    cut = (find_repeats(docs, **options).groupBy("doc_id")
-           .agg(F.collect_set(F.struct("line", "n_words", "removed")).alias("_cut"))
-           .where(F.exists("_cut", lambda x: x["removed"])))
-    joined = docs.join(cut, "doc_id", "left")
-    return map_arrow(joined.select(*docs.columns, "_cut"), _cut_task(docs.columns), docs.schema)
+    """``docs``, all rows and columns, without the words of paragraphs that
+    repeat an earlier place. The place is earlier in the order of (id, document,
+    position), so what is copied stays at its first place. A row is cut by the
+    hash of its own id and text, so rows that share an id with it keep theirs.
+    ``n_chars``, where there is one, counts the text that is left."""
+    name = "cut"
+    while name in docs.columns:
+        name += "_"
+    spans = _spans(docs, **options).where("removed")
+    cut = spans.groupBy(F.struct("row").alias("_key")).agg(F.struct(F.collect_list(F.struct(
+        F.col("start_word").alias("start"), F.col("_end").alias("end"))).alias(name)).alias("_found"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.struct(_row(docs)).alias("_key"))
+    joined = rows.join(cut, "_key", "left").select("_doc.*", F.col("_found")[name].alias(name))
+    return map_arrow(joined, _cut_task(docs.columns, name), docs.schema)
