@@ -15,10 +15,8 @@ every block has its slot. No document is dropped or repeated.
 
 Everything is DataFrame functions. The slots are worked out one by one, by
 ``aggregate`` over one row of arrays, in ranges of ``SLOTS_PER_RANGE``; the
-blocks meet them by an equal join. That is one task of (blocks x sources) steps.
-With ``resolution`` the shares are rounded to a period of about so many slots
-instead; the schedule then repeats with it, one period per phase is worked out,
-and the deviation from the weights grows with the slots of a phase. Offsets
+blocks meet them by an equal join. That is one task of (blocks x sources) steps,
+whose number of blocks ``block_size`` sets. Offsets
 within a source are prefix sums in two levels, over hash ranges and inside them,
 so a source that holds a third of all rows is spread like any other.
 
@@ -37,12 +35,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerline.llm.common import stored
 
 BLOCK_SIZE = 65_536
-RESOLUTION = 1000        # slots per period, about, of a schedule that repeats
 WEIGHT_BITS = 40
 SLOTS_PER_RANGE = 1024
 TEMPERATURE = 0.7        # default weights: source size to this power
 ROWS_PER_RANGE = 1024
-MAX_BROADCAST_SLOTS = 4_000_000
 MAX_BROADCAST_BLOCKS = 500_000
 
 
@@ -59,89 +55,6 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def period(shares: Column, slots: Column) -> Column:
-    """The source number of each slot of one period, by earliest deadline
-    first; sources with share 0 take no part."""
-    def step(state: Column, t: Column) -> Column:
-        ready = F.filter(
-            F.transform(shares, lambda k, i: F.when(
-                (k > 0) & (_div(state["done"][i] * slots, F.greatest(k, _long(1))) <= t),
-                F.struct(_div((state["done"][i] + 1) * slots + k - 1, F.greatest(k, _long(1))).alias("due"),
-                         i.cast("long").alias("who")))),
-            lambda x: x.isNotNull())
-        return let(F.array_min(ready)["who"], lambda who: F.struct(
-            F.concat(state["order"], F.array(who)).alias("order"),
-            F.transform(state["done"], lambda d, i: d + F.when(i == who, _long(1)).otherwise(_long(0)))
-            .alias("done")))
-    return F.aggregate(
-        F.sequence(_long(0), slots - 1),
-        F.struct(F.array().cast("array<bigint>").alias("order"),
-                 F.transform(shares, lambda k: k * 0).alias("done")),
-        step, lambda state: state["order"])
-
-
-def phases(shares: Column, blocks: Column) -> Column:
-    """``start, slots, order, first, used`` of every phase: its first slot, the
-    slots of a period, the source of each of these, and per source the blocks
-    placed before it and in it."""
-    kind = ("struct<left:array<bigint>,first:array<bigint>,start:bigint,out:array<struct<start:bigint,"
-            "slots:bigint,order:array<bigint>,first:array<bigint>,used:array<bigint>>>>")
-
-    def step(state: Column, _: Column) -> Column:
-        def live(k: Column) -> Column:
-            slots = F.aggregate(k, _long(0), lambda a, x: a + x)
-            return let(slots, lambda n: let(period(k, n), lambda order: placed(k, n, order)))
-
-        def placed(k: Column, n: Column, order: Column) -> Column:
-            def last(left: Column, i: Column) -> Column:
-                own = F.filter(F.sequence(_long(0), n - 1), lambda t: F.get(order, t.cast("int")) == i)
-                return (_div(left - 1, k[i]) * n + F.get(own, ((left - 1) % k[i]).cast("int")))
-            end = F.array_min(F.transform(state["left"], lambda left, i: F.when(left > 0, last(left, i)))) + 1
-
-            def finish(stop: Column) -> Column:
-                rest = F.slice(order, F.lit(1), (stop % n).cast("int"))
-                used = F.transform(k, lambda x, i: _div(stop, n) * x
-                                   + F.size(F.filter(rest, lambda w: w == i)).cast("long"))
-                return let(used, lambda u: F.struct(
-                    F.zip_with(state["left"], u, lambda a, b: a - b).alias("left"),
-                    F.zip_with(state["first"], u, lambda a, b: a + b).alias("first"),
-                    (state["start"] + stop).alias("start"),
-                    F.concat(state["out"], F.array(F.struct(
-                        state["start"].alias("start"), n.alias("slots"), order.alias("order"),
-                        state["first"].alias("first"), u.alias("used")))).alias("out")).cast(kind))
-            return let(end, finish)
-
-        shares_left = F.transform(shares, lambda k, i: F.when(state["left"][i] > 0, k).otherwise(_long(0)))
-        return F.when(F.exists(state["left"], lambda x: x > 0), let(shares_left, live)).otherwise(state)
-
-    nothing = F.transform(blocks, lambda b: b * 0)
-    start = F.struct(blocks.alias("left"), nothing.alias("first"), _long(0).alias("start"),
-                     F.array().cast("array<struct<start:bigint,slots:bigint,order:array<bigint>,"
-                                    "first:array<bigint>,used:array<bigint>>>").alias("out")).cast(kind)
-    # at most one phase per source; a slot of the sequence beyond the last phase changes nothing
-    return F.aggregate(F.sequence(_long(1), F.greatest(F.size(shares).cast("long"), _long(1))), start, step,
-                       lambda state: state["out"])
-
-
-def schedule(sources: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
-    """Slots of ``sources(src, weight, blocks)``: per phase and source the row
-    ``src, start, slots, share, first, used, own``, ``own`` being the slots of a
-    period that are the source's."""
-    total = F.sum("weight").over(Window.partitionBy())       # a row per source
-    rows = sources.select(
-        "src", "blocks",
-        F.greatest(F.round(F.lit(resolution) * F.col("weight") / total), F.lit(1)).cast("long").alias("share"))
-    one = rows.agg(F.array_sort(F.collect_list(F.struct("src", "share", "blocks"))).alias("all"))
-    one = one.where(F.size("all") > 0)
-    plan = one.select("all", F.explode(phases(F.col("all.share"), F.col("all.blocks"))).alias("p"))
-    each = plan.select("p", F.posexplode("all").alias("i", "s"))
-    return each.where(F.col("p.used")[F.col("i")] > 0).select(
-        F.col("s.src").alias("src"), F.col("p.start").alias("start"), F.col("p.slots").alias("slots"),
-        F.col("s.share").alias("share"), F.col("p.first")[F.col("i")].alias("first"),
-        F.col("p.used")[F.col("i")].alias("used"),
-        F.expr("filter(sequence(0L, p.slots - 1), t -> get(p.order, cast(t AS int)) = i)").alias("own"))
-
-
 def turns(shares: Column, blocks: Column, total: Column) -> Column:
     """``i, block, slot`` of all ``total`` blocks: the source numbers by earliest
     deadline first, in arrays of ``SLOTS_PER_RANGE`` slots."""
@@ -211,7 +124,7 @@ def slots(sources: DataFrame) -> DataFrame:
 
 
 def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE,
-          resolution: int | None = None, temperature: float = TEMPERATURE,
+          temperature: float = TEMPERATURE,
           carry: list[str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` (the columns of ``carry``, default all) with a struct column
     ``(source, block, slot, start, key)``, and that column's name. Sorting by
@@ -222,8 +135,10 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
     name = "mix"
     while name in carry:
         name += "_"
+    # the documents' columns travel in one struct: their names cannot clash with those made here
     rows = docs.select(
-        *carry, F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_src"),
+        F.struct(*carry).alias("_doc"), F.col("doc_id").alias("_id"),
+        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_src"),
         F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("_size"),
         # 60 bits that spread any rows, also those without an id
         F.conv(F.substring(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text"))), 1, 15),
@@ -234,7 +149,7 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
     totals = rows.groupBy("_src", "_range").agg(F.sum("_size").alias("_sum"), F.max("_size").alias("_last"))
     ahead = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = stored(totals.withColumn("_base", F.coalesce(F.sum("_sum").over(ahead), _long(0))), "mix-ranges")
-    inside = (Window.partitionBy("_src", "_range").orderBy("_key", "doc_id", "_size")
+    inside = (Window.partitionBy("_src", "_range").orderBy("_key", "_id", "_size")
               .rowsBetween(Window.unboundedPreceding, -1))
     rows = (rows.withColumn("_before", F.coalesce(F.sum("_size").over(inside), _long(0)))
             .join(totals.select("_src", "_range", "_base"), ["_src", "_range"])
@@ -254,25 +169,13 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
         sources = sources.join(given, "src", "full_outer").withColumn(
             "weight", F.coalesce("weight", least)).where("blocks is not null")
     sources = sources.select("src", "weight", "blocks")
-    if resolution is None:
-        plan = stored(slots(sources), "mix-plan")
-        if plan.count() <= MAX_BROADCAST_BLOCKS:
-            plan = F.broadcast(plan)
-        rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") == F.col("block")))
-        slot = F.col("slot")
-    else:
-        plan = stored(schedule(sources, resolution), "mix-plan")
-        # (phases x sources) rows of together phases x resolution slots
-        if (plan.agg(F.sum(F.size("own"))).first()[0] or 0) <= MAX_BROADCAST_SLOTS:
-            plan = F.broadcast(plan)
-        rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") >= F.col("first"))
-                         & (F.col("_block") < F.col("first") + F.col("used")))
-        nth = F.col("_block") - F.col("first")
-        slot = (F.col("start") + F.call_function("div", nth, F.col("share")) * F.col("slots")
-                + F.expr("get(own, cast((_block - first) % share AS int))"))
-    placed = rows.select(*(F.col(c) for c in carry), F.struct(
+    plan = stored(slots(sources), "mix-plan")
+    if plan.count() <= MAX_BROADCAST_BLOCKS:
+        plan = F.broadcast(plan)
+    rows = rows.join(plan, (F.col("_src") == F.col("src")) & (F.col("_block") == F.col("block")))
+    placed = rows.select("_doc.*", F.struct(
         F.substring("_src", 2, 1 << 30).alias("source"), F.col("_block").alias("block"),
-        slot.alias("slot"), F.col("_start").alias("start"), F.col("_key").alias("key")).alias(name))
+        F.col("slot"), F.col("_start").alias("start"), F.col("_key").alias("key")).alias(name))
     return placed, name
 
 
