@@ -1,20 +1,27 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at its block-level tags. What stands in menus,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts or
-styles is left out by its markup. The others are classified:
+A page is cut into blocks at its block-level tags; what is never shown (scripts,
+styles, hidden elements) is no block. Blocks are classified:
 
-* first pass: a block of mostly links is bad; a long block rich in stop words
-  is good, a shorter or poorer one nearly good; a short block or a heading is
-  undecided; the rest is bad;
+* first pass, from a block alone: one of mostly links is bad; a long block rich in
+  stop words is good, a shorter or poorer one nearly good (a long one without links
+  needs very few); a short block or a heading is undecided; the rest is bad. Text in a script without a list of stop
+  words goes by length and links;
 * second pass: nearly good blocks are kept unless bad ones stand on both
-  sides (without any good block, nearly good ones are good); undecided ones take the label of the nearest decided neighbour (the
-  nearer side, good at equal distance).
-
-Where the page marks its article (``article``, ``main`` and their likes),
-blocks outside are bad, blocks inside start from good: there a block without
-stop words is undecided, and the ends of the article count as good
-neighbours. Elsewhere the ends of the page count as bad.
+  sides (without any good block on the page, nearly good ones are good); undecided
+  ones take the label of the nearest decided neighbour (the nearer side, good at
+  equal distance). The ends of the page count as bad.
+
+Markup gives priors. Where a page marks its article (``article``, ``main`` and
+their likes), blocks inside start from good: a block without stop words is
+undecided there, and the ends of the article count as good neighbours. Blocks
+elsewhere go through the same two passes by themselves. An element that is a menu,
+header, footer, sidebar, notice, advert, form or comment makes its blocks bad.
+Where its tag, role or whole class name says so that is certain; where only a part
+of a class name does (``layout no-sidebar``), or it is a form, the text decides:
+when more than half of the dense text (good and nearly good blocks) of the page,
+or of the article that it stands in, is inside, and no article stands beside
+it, the name meant something else.
 
 Character references are decoded, white space inside a block becomes one
 space and the kept blocks are joined in page order by one space. Null and
@@ -37,6 +44,7 @@ LENGTH_LOW = 70
 LENGTH_HIGH = 200
 STOPWORDS_LOW = 0.30
 STOPWORDS_HIGH = 0.32
+STOPWORDS_LEAST = 0.05      # of a long block without any link
 MAX_LINK_DENSITY = 0.2
 MAX_ARTICLE_LINK_DENSITY = 0.8
 
@@ -52,14 +60,14 @@ aan dat een het ik maar niet op te van voor zijn
 
 # fixed values: markup
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noframes noembed xmp svg math object "
-                "canvas audio video select".split())
+RAW = frozenset("script style textarea title noscript template iframe noframes noembed xmp svg object "
+                "canvas audio video select annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt "
                   "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend "
                   "li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead "
                   "tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-LEFT_OUT = frozenset("head nav footer aside form button menu dialog fieldset label legend".split())
+LEFT_OUT = frozenset("head nav footer aside button menu dialog fieldset legend".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                   "menubar toolbar".split())
 LEFT_OUT_NAMES = frozenset("""
@@ -69,6 +77,9 @@ cookie cookies consent gdpr notice notices alert popup modal overlay newsletter
 signin search share sharing social related recommended recommendations comment comments disqus reply replies respond
 pagination pager toolbar copyright skip feedback outbrain taboola
 """.split())
+COMMENT_NAMES = frozenset("comment comments disqus reply replies respond".split())
+# words beside a name that say how something is, not what it is
+MODIFIERS = frozenset("no not non without with has have is enabled disabled on off open closed allow allowed".split())
 NOT_AN_ARTICLE = frozenset("comment comments reply replies ad ads advert advertisement promo sponsored related "
                            "teaser".split())
 ARTICLE_NAMES = frozenset("article post entry story".split())
@@ -81,77 +92,118 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _WORD = re.compile(r"\w+")
+_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-zÀ-ɏḀ-ỿ]")
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+WIDE_LETTER = 3             # Latin characters that say as much as a Han, kana or hangul one
+NO_HINT, WEAK, STRONG = 0, 1, 2
 
 
 class Block:
-    __slots__ = ("parts", "linked", "region", "heading", "text")
+    __slots__ = ("parts", "linked", "region", "heading", "hint", "text")
 
-    def __init__(self, region: int, heading: bool):
+    def __init__(self, region: int, heading: bool, hint: int):
         self.parts: list[str] = []
         self.linked = 0
         self.region = region
         self.heading = heading
+        self.hint = hint
         self.text = ""
 
 
+class Hint:
+    """An element that its markup calls something else than main text."""
+    __slots__ = ("strong", "parent", "region", "article", "dense", "whole")
+
+    def __init__(self, strong: bool, parent: int, region: int):
+        self.strong, self.parent, self.region = strong, parent, region
+        self.article = False        # holds a marked article
+        self.dense = self.whole = 0
+
+
 def _attributes(text: str) -> dict[str, str]:
     return {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(text)} if text.strip(" /") else {}
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    return {w.lower() for key in ("class", "id") for w in _NAME_WORD.findall(attributes.get(key, ""))}
+def _names(attributes: dict[str, str]) -> list[set[str]]:
+    """The words of each class name and of the id."""
+    tokens = [*attributes.get("class", "").split(), attributes.get("id", "")]
+    return [words for words in ({w.lower() for w in _NAME_WORD.findall(t) if not w.isdigit()} for t in tokens) if words]
 
 
-def _left_out(name: str, attributes: dict[str, str], names: set[str], region: int) -> bool:
-    if name in ("html", "body"):
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" \
-            or "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
-    if name in ("article", "main"):
-        return bool(names & NOT_AN_ARTICLE)
-    return (name in LEFT_OUT or name == "header" and not region
-            or attributes.get("role", "") in ROLES or bool(names & LEFT_OUT_NAMES)
-            or "header" in names and not region and not names & ARTICLE_NAMES)
+def _not_an_article(names: list[set[str]]) -> bool:
+    return any(words & NOT_AN_ARTICLE and not words & MODIFIERS for words in names)
 
 
-def _is_article(name: str, attributes: dict[str, str], names: set[str]) -> bool:
+def hint_of(name: str, attributes: dict[str, str], names: list[set[str]], region: int) -> int:
+    """What the markup of an element says against its text."""
+    if name in ("html", "body"):
+        return NO_HINT
+    if name in ("article", "main"):
+        return STRONG if _not_an_article(names) else NO_HINT
+    if name in LEFT_OUT or name == "header" and not region or attributes.get("role", "") in ROLES:
+        return STRONG
+    found = WEAK if name == "form" else NO_HINT
+    for words in names:
+        said = words & LEFT_OUT_NAMES
+        if "header" in words and not region and not words & ARTICLE_NAMES:
+            said = said | {"header"}
+        if said and (words == said or said & COMMENT_NAMES and not words & MODIFIERS):
+            return STRONG
+        found = WEAK if said else found
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return ("hidden" in attributes or attributes.get("aria-hidden") == "true"
+            or "display:none" in attributes.get("style", "").replace(" ", ""))
+
+
+def _is_article(name: str, attributes: dict[str, str], names: list[set[str]]) -> bool:
+    words = set().union(*names)
     return (name in ("article", "main") or attributes.get("role") in ("main", "article")
             or attributes.get("itemprop") == "articleBody"
-            or bool(names & ARTICLE_NAMES and names & BODY_NAMES))
+            or bool(words & ARTICLE_NAMES and words & BODY_NAMES)) and not _not_an_article(names)
 
 
-def blocks_of(page: str) -> tuple[list[Block], bool]:
-    """The blocks that markup does not leave out, in page order, and whether
-    the page marks an article. ``region`` numbers the articles, 0 is outside."""
+def blocks_of(page: str) -> tuple[list[Block], list[Hint]]:
+    """The blocks of a page in order and the elements whose markup speaks
+    against them. ``region`` numbers the marked articles, 0 is outside; ``hint`` is
+    the number of the innermost such element round a block, or -1."""
     found: list[Block] = []
+    hints: list[Hint] = []
     current: Block | None = None
-    # open elements: name, the element that is left out round it, region, inside a link, heading
-    stack: list[tuple[str, str, int, bool, bool]] = []
-    out, region, link, heading = "", 0, False, False
+    # open elements: name, innermost hint, region, inside a link, heading, not shown
+    stack: list[tuple[str, int, int, bool, bool, bool]] = []
+    hint, region, link, heading, unseen = -1, 0, False, False, False
+    open_names: dict[str, int] = {}
     regions, at = 0, 0
 
     def text(piece: str) -> None:
         nonlocal current
-        if out or not piece:
+        if unseen or not piece:
             return
         piece = unescape(piece) if "&" in piece else piece
         if current is None:
             if not piece.strip():
                 return
-            current = Block(region, heading)
+            current = Block(region, heading, hint)
             found.append(current)
         current.parts.append(piece)
         if link:
             current.linked += len("".join(piece.split()))
 
     def state() -> None:
-        nonlocal out, region, link, heading
-        _, out, region, link, heading = stack[-1] if stack else ("", "", 0, False, False)
+        nonlocal hint, region, link, heading, unseen
+        _, hint, region, link, heading, unseen = stack[-1] if stack else ("", -1, 0, False, False, False)
 
     def close(name: str, among: frozenset[str] | None = None) -> None:
+        if not open_names.get(name):            # nothing of that name is open: no search
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == name:
+                for element in stack[k:]:
+                    open_names[element[0]] -= 1
                 del stack[k:]
                 state()
                 return
@@ -192,20 +244,25 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 close(name, frozenset(("ul", "ol", "dl", "table", "menu", "select")))
         attributes = _attributes(raw)
         names = _names(attributes)
-        inner_region, inner_out = region, out
-        if _is_article(name, attributes, names) and not names & NOT_AN_ARTICLE:
-            if out == "form":                   # a form round the whole page
-                inner_out = ""
-            if not inner_out and not region:
-                regions += 1
-                inner_region = regions
-        if not inner_out and _left_out(name, attributes, names, inner_region):
-            inner_out = name
-        stack.append((name, inner_out, inner_region, link or name == "a", heading or name in HEADINGS))
+        inner_region, inner_hint = region, hint
+        certain = hint >= 0 and hints[hint].strong
+        if not certain and not region and _is_article(name, attributes, names):
+            regions += 1
+            inner_region, k = regions, hint
+            while k >= 0 and not hints[k].article:
+                hints[k].article, k = True, hints[k].parent
+        if not certain:                         # inside a certain one nothing more is to be said
+            said = hint_of(name, attributes, names, inner_region)
+            if said:
+                hints.append(Hint(said == STRONG, hint, inner_region))
+                inner_hint = len(hints) - 1
+        stack.append((name, inner_hint, inner_region, link or name == "a", heading or name in HEADINGS,
+                      unseen or _hidden(attributes)))
+        open_names[name] = open_names.get(name, 0) + 1
         state()
     for b in found:
         b.text = " ".join("".join(b.parts).split())
-    return [b for b in found if b.text], regions > 0
+    return [b for b in found if b.text], hints
 
 
 GOOD, NEAR, SHORT, BAD = "good", "near", "short", "bad"
@@ -221,17 +278,55 @@ def first_pass(block: Block) -> str:
         return SHORT
     if not block.region and "©" in block.text:
         return BAD
+    listed = True               # in a script with a list of stop words
+    if not block.text.isascii():
+        letters = len(_LETTER.findall(block.text))
+        listed = 2 * len(_LATIN.findall(block.text)) >= letters
+        if not listed:
+            length += (WIDE_LETTER - 1) * len(_WIDE.findall(block.text))
     if length < LENGTH_LOW:
         return BAD if block.linked and not block.region else SHORT
+    if not listed:
+        return GOOD if length > LENGTH_HIGH else NEAR
     words = _WORD.findall(block.text.lower())
     share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if share >= STOPWORDS_HIGH:
         return GOOD if length > LENGTH_HIGH else NEAR
-    if share >= STOPWORDS_LOW:
+    if share >= STOPWORDS_LOW or share >= STOPWORDS_LEAST and length > LENGTH_HIGH and not block.linked:
         return NEAR
     return SHORT if block.region else BAD
 
 
+def ruled_out(blocks: list[Block], labels: list[str], hints: list[Hint]) -> list[bool]:
+    """Which blocks stand in an element that is no main text: a certain one, or
+    one without most of the dense text of the page or of its article."""
+    dense: dict[int, int] = {}          # per article, and of the page
+    whole: dict[int, int] = {}
+    marked = False
+    for b, label in zip(blocks, labels):
+        if b.hint >= 0 and hints[b.hint].strong:
+            continue
+        size, unlinked = len(b.text) if label in (GOOD, NEAR) else 0, len(b.text) - b.linked
+        for k in {b.region, -1}:
+            dense[k] = dense.get(k, 0) + size
+            whole[k] = whole.get(k, 0) + unlinked
+        marked = marked or b.region > 0
+        if b.hint >= 0:
+            hints[b.hint].dense += size
+            hints[b.hint].whole += unlinked
+    for h in reversed(hints):           # what a hint holds its parent holds
+        if h.parent >= 0:
+            hints[h.parent].dense += h.dense
+            hints[h.parent].whole += h.whole
+    out: list[bool] = []
+    for h in hints:                     # parents come first
+        k = h.region or -1
+        most = 2 * h.dense > dense.get(k, 0) if dense.get(k) else 2 * h.whole > whole.get(k, 0)
+        beside = not h.region and marked and not h.article
+        out.append(h.strong or beside or not most or h.parent >= 0 and out[h.parent])
+    return [b.hint >= 0 and out[b.hint] for b in blocks]
+
+
 def second_pass(labels: list[str], edge: str) -> list[bool]:
     """Which blocks of a run are kept; ``edge`` is the label beyond its ends."""
     n = len(labels)
@@ -270,21 +365,25 @@ def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    blocks, marked = blocks_of(page)
-    if marked:
-        blocks = [b for b in blocks if b.region]
+    blocks, hints = blocks_of(page)
+    labels = [first_pass(b) for b in blocks]
+    gone = ruled_out(blocks, labels, hints)
+    # inside an article they are as if they were not there, elsewhere they are bad neighbours
+    rows = [(b, BAD if out else label) for b, label, out in zip(blocks, labels, gone) if not (out and b.region)]
+    if not any(b.region or label == GOOD for b, label in rows):         # a page of short paragraphs
+        rows = [(b, GOOD if label == NEAR else label) for b, label in rows]
     kept: list[str] = []
     at = 0
-    while at < len(blocks):
+    while at < len(rows):
         end = at
-        while end < len(blocks) and blocks[end].region == blocks[at].region:
+        while end < len(rows) and rows[end][0].region == rows[at][0].region:
             end += 1
-        run = blocks[at:end]
-        labels = [first_pass(b) for b in run]
-        if GOOD not in labels:                  # a page of short paragraphs
-            labels = [GOOD if x == NEAR else x for x in labels]
-        verdict = second_pass(labels, GOOD if run[0].region else BAD)
-        kept += [b.text for b, keep in zip(run, verdict) if keep]
+        run = rows[at:end]
+        inside = run[0][0].region > 0
+        found = [label for _, label in run]
+        if inside and GOOD not in found:
+            found = [GOOD if x == NEAR else x for x in found]
+        kept += [b.text for (b, _), keep in zip(run, second_pass(found, GOOD if inside else BAD)) if keep]
         at = end
     return " ".join(kept)
 
