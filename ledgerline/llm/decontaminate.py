@@ -2,15 +2,17 @@
 
 Words are the runs of ASCII letters, digits and non-ASCII characters after
 lower-casing A-Z. Each item gives its windows of ``WINDOW`` consecutive words
-(an item of fewer words, but not none, is one window). The windows become
-sequences of word numbers in a small index that is broadcast; tasks number
-the words of their documents, look the windows up by a hash of the numbers
-and verify each hit against the exact sequence.
-
-The index is broadcast only below ``MAX_ITEM_BYTES`` of item text. A larger
-benchmark is dealt into groups of items that each stay below it; every group
-is scanned the same way and the hits of a document are merged, so nothing is
-lost or capped.
+(an item of fewer words, but not none, is one window). Words become 64-bit
+hashes, and the index holds the items' words as one array and, per window size,
+arrays of window hashes in order with the place and the item of each: some 30
+bytes a word, so that its size is known from that of the items. It is broadcast.
+Tasks hash the words of their documents, sieve the windows by a bit table,
+look the rest up and verify each hit against the words of the item's window.
+
+One index holds at most ``MAX_ITEM_BYTES`` of item text, which bounds it by about
+``100 MB`` in the driver and in each worker. A larger benchmark is dealt into groups
+of items that each stay below it; every group is scanned the same way and the
+hits of a document are merged, so nothing is lost or capped.
 
 Nulls: a null text has no words; a null item id is listed as an empty string.
 Repeated item rows count once. Documents keep one output row per input row.
@@ -29,7 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerline.llm.common import LOWER, map_arrow, raw_texts, stored
 
 WINDOW = 10
-MAX_ITEM_BYTES = 32 * 1024 * 1024
+MAX_ITEM_BYTES = 16 * 1024 * 1024
+SIEVE_BITS = 22
+CACHED_WORDS = 100_000
 
 # fixed values: bytes 0-9, A-Z (lowered), a-z and all of 0x80-0xFF are word characters
 WORD_BYTES = bytes(
@@ -44,73 +48,104 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(WORD_BYTES).split()
 
 
+class WordHashes(dict):
+    """64-bit hash of a word, remembered; emptied when it gets large."""
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        found = self[word] = xxh64_intdigest(word)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+class Windows:
+    """The windows of one size of a group of items, by hash."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, owners: np.ndarray, size: int):
+        self.size = size
+        hashes = _window_hashes(words, size)[starts]
+        order = np.lexsort((owners, hashes))
+        hashes, owners, starts = hashes[order], owners[order], starts[order]
+        # an item that repeats a window is listed once for it
+        first = np.append(True, (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1]))
+        self.hashes, self.owners, self.starts = hashes[first], owners[first], starts[first]
+        table = np.zeros(1 << SIEVE_BITS, bool)
+        table[self.hashes >> np.uint64(64 - SIEVE_BITS)] = True
+        self.sieve = np.packbits(table)
+
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        """Where a window may be one of these: few others pass."""
+        at = hashes >> np.uint64(64 - SIEVE_BITS)
+        return np.flatnonzero(self.sieve[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1)
+
+
 class ItemIndex:
-    """Word numbers and windows of a bounded group of items."""
+    """Words and windows of a bounded group of items."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.ids: list[str] = sorted({i for i, _ in items})
         number = {i: k for k, i in enumerate(self.ids)}
-        self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, tuple[int, ...]]] = {}
-        found: dict[int, dict[bytes, set[int]]] = {}
+        hashes = WordHashes()
+        words, at = [], 0
+        starts: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
         for item, text in items:
-            words = words_of(text)
-            if not words:
+            found = hashes.of(words_of(text))
+            if not len(found):
                 continue
-            seq = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words],
-                           dtype=np.int32)
-            size = min(window, len(seq))
-            group = found.setdefault(size, {})
-            for i in range(len(seq) - size + 1):
-                group.setdefault(seq[i:i + size].tobytes(), set()).add(number[item])
-        self.hashes: dict[int, np.ndarray] = {}
-        for size, group in found.items():
-            self.windows[size] = {k: tuple(sorted(v)) for k, v in group.items()}
-            seqs = np.frombuffer(b"".join(group), dtype=np.int32).reshape(-1, size)
-            self.hashes[size] = np.unique(_window_hash(seqs))
-
-
-def _window_hash(seqs: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(seqs), dtype=np.uint64)
-    for k in range(seqs.shape[1]):
-        out = (out ^ (seqs[:, k].astype(np.uint64) + np.uint64(1))) * _MIX[k % len(_MIX)]
+            size = min(window, len(found))
+            n = len(found) - size + 1
+            starts.setdefault(size, []).append(np.arange(at, at + n, dtype=np.int32))
+            owners.setdefault(size, []).append(np.full(n, number[item], np.int32))
+            words.append(found)
+            at += len(found)
+        self.words = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        self.windows = [Windows(self.words, np.concatenate(starts[size]), np.concatenate(owners[size]), size)
+                        for size in sorted(starts)]
+
+
+def _window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the window that begins at each word, where one fits."""
+    n = max(len(words) - size + 1, 0)
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(size if n else 0):
+        out = (out ^ words[k:k + n]) * _MIX[k % len(_MIX)]
         out ^= out >> np.uint64(29)
     return out
 
 
-def _scan(texts: list[bytes], index: ItemIndex):
+def _scan(texts: list[bytes], index: ItemIndex, hashes: WordHashes | None = None):
     """Per text: number of words, hit word positions (sorted), item numbers."""
-    number = index.vocabulary.get
-    counts, parts = [], []
-    for raw in texts:
-        words = words_of(raw)
-        counts.append(len(words))
-        parts.append(np.array([number(w, -1) for w in words] + [-1], dtype=np.int32))
-    seq = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    ends = np.cumsum([c + 1 for c in counts])
+    hashes = WordHashes() if hashes is None else hashes
+    parts = [hashes.of(words_of(raw)) for raw in texts]
+    counts = np.array([len(p) for p in parts], np.int64)
+    seq = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    ends = np.cumsum(counts)
+    room = np.repeat(ends, counts) - np.arange(len(seq))        # words left in the text
     hit = np.zeros(len(seq) + 1, dtype=np.int32)
     items: dict[int, set[int]] = {}
-    unknown = np.concatenate([[0], np.cumsum(seq < 0)])
-    for size, windows in index.windows.items():
-        if len(seq) < size:
-            continue
-        at = np.flatnonzero(unknown[size:] == unknown[:-size])
-        for lo in range(0, len(at), 1 << 18):       # bounded scratch
-            block = at[lo:lo + (1 << 18)]
-            seqs = np.lib.stride_tricks.sliding_window_view(seq, size)[block]
-            known = index.hashes[size]
-            h = _window_hash(seqs)
-            pos = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            for k in np.flatnonzero(known[pos] == h):
-                found = windows.get(seqs[k].tobytes())
-                if found:
-                    start = int(block[k])
-                    hit[start] += 1
-                    hit[start + size] -= 1
-                    items.setdefault(int(np.searchsorted(ends, start, "right")), set()).update(found)
+    for windows in index.windows:
+        size = windows.size
+        h = _window_hashes(seq, size)
+        at = windows.maybe(h)
+        at = at[room[at] >= size]
+        low = np.searchsorted(windows.hashes, h[at], "left")
+        high = np.searchsorted(windows.hashes, h[at], "right")
+        for start, a, z in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
+            own = seq[start:start + size]
+            found = {int(windows.owners[k]) for k in range(a, z)
+                     if (index.words[windows.starts[k]:windows.starts[k] + size] == own).all()}
+            if found:
+                hit[start] += 1
+                hit[start + size] -= 1
+                items.setdefault(int(np.searchsorted(ends, start, "right")), set()).update(found)
     covered = np.cumsum(hit)[:-1] > 0
-    for d, c in enumerate(counts):
-        start = int(ends[d]) - c - 1
+    for d, c in enumerate(counts.tolist()):
+        start = int(ends[d]) - c
         yield c, (np.flatnonzero(covered[start:start + c]) if d in items else ()), items.get(d, ())
 
 
@@ -191,10 +226,10 @@ _FOUND = pa.struct([("n_words", pa.int64()),
 
 def _finder(shared, keep: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index, hashes = shared.value, WordHashes()
         for b in batches:
             found = [{"n_words": n, "hits": _runs(positions), "items": [index.ids[i] for i in sorted(items)]}
-                     for n, positions, items in _scan(raw_texts(b.column("text")), index)]
+                     for n, positions, items in _scan(raw_texts(b.column("text")), index, hashes)]
             if name in b.schema.names:          # what the groups before have found
                 for new, old in zip(found, b.column(name).to_pylist()):
                     new["hits"] = _merged(old["hits"], new["hits"])

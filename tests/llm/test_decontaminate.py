@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings, strategies as st
@@ -94,3 +95,31 @@ def test_scan_equals_brute_force(doc, item, window):
     (n, hits, found), = D._scan([" ".join(doc).encode()], index)
     want, = brute([(1, " ".join(doc))], [(1, " ".join(item))], window)
     assert (n, len(hits), len(found)) == want[1:4]
+
+
+def test_the_index_is_bounded_by_the_items(prose):
+    """Driver and worker hold some 30 bytes a word and the sieve, also while it is built."""
+    import pickle
+    import tracemalloc
+    rng = random.Random(2)
+    items = [(str(k), " ".join(f"w{rng.randrange(10 ** 7)}" for _ in range(500)).encode()) for k in range(1000)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    index = D.ItemIndex(items, 10)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    per_byte = D.MAX_ITEM_BYTES / size
+    cache = D.CACHED_WORDS * 200
+    assert (len(pickle.dumps(index)) * per_byte) < 150e6
+    assert (most - cache) * per_byte + cache < 500e6
+    text = b" ".join([b"x y z", items[7][1][:300], b"tail"])
+    (n, hits, found), = D._scan([text], index)
+    assert list(found) == [index.ids.index("7")] and hits[0] == 3
+
+
+def test_a_window_of_many_items_lists_them_all():
+    shared = "one two three four five six seven eight nine ten"
+    index = D.ItemIndex([(str(k), (shared + f" own{k} " + shared).encode()) for k in range(50)], 10)
+    (n, hits, found), = D._scan([("a " + shared + " b").encode()], index)
+    assert len(found) == 50 and hits.tolist() == list(range(1, 11))
+    assert all(len(w.hashes) == len(set(zip(w.hashes.tolist(), w.owners.tolist()))) for w in index.windows)
