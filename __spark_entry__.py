@@ -19,6 +19,7 @@ from ledgerline.operators import (
     global_order as GO, kpis as K, ml as M, props as PR, quantiles as QU, queries as Q, ranking as R, sets as S,
     tables as T, temporal as TM,
 )
+from ledgerline.plans.cube import sales_cube
 from ledgerline.plans.fact import materialize
 from ledgerline.plans.rollup import build_rollup, rollup_table
 from ledgerline.sources.catalog import preview, register
@@ -250,6 +251,7 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_running_totals": _on_fact(GO.sales_running_totals),
         "profit_quantiles": _on_fact(QU.profit_quantiles),
         "customers_by_dimensions": _on_dated_fact(_customers),
+        "sales_cube": _on_fact(sales_cube),
         "parts_not_in_bulk": _parts_not_in_bulk,
         "load_reconciliation": lambda spark, sf_dir: S.reconciliation(_loads(spark, sf_dir)),
         "load_except_all": lambda spark, sf_dir: S.except_all(_loads(spark, sf_dir)),
@@ -463,6 +465,11 @@ SELECT coalesce(nullif(concat_ws('+', CASE WHEN GROUPING(region) = 0 THEN 'regio
                                  CASE WHEN GROUPING(ship_mode) = 0 THEN 'ship_mode' END), ''), 'all') AS grouped,
        region, category, ship_mode, COUNT(DISTINCT customer_key) AS customers
 FROM dated GROUP BY CUBE (region, category, ship_mode)""",
+        "sales_cube": _fact(f"""
+SELECT CAST(31 - GROUPING_ID(segment, ship_mode, sub_category, category, region) AS INTEGER) AS cuboid,
+       region, category, sub_category, ship_mode, segment,
+       {MONEY_S} AS total_sales, {MONEY_P} AS total_profit, COUNT(*) AS total_orders
+FROM fact GROUP BY CUBE (region, category, sub_category, ship_mode, segment)"""),
         "parts_not_in_bulk": f"""
 SELECT p_partkey AS part_key, p_brand AS brand FROM part
 WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_discount >= {HI} AND l_quantity >= {BULK})""",
