@@ -237,6 +237,7 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_view_region_category_profit": _sql_view("region_category_profit"),
         "sql_view_profit_by_category": _sql_view("profit_by_category"),
         "preview_lines": _on_fact(_preview),
+        "loss_making_subcategories": _on_fact(lambda f: Q.bottom_subcategory_profit(f, only_losses=True)),
         # sales in time
         "quarterly_sales": _on_dated_fact(CAL.quarterly_sales),
         "best_year": _on_dated_fact(CAL.best_year),
@@ -385,6 +386,9 @@ FROM fact WHERE ship_mode <> '5-LOW' AND quantity <> 1 GROUP BY ship_mode"""),
         "preview_lines": _fact("""
 SELECT order_key, region, category, sub_category, ship_mode, CAST(f.sales AS DOUBLE) AS sales
 FROM fact f ORDER BY f.sales DESC, order_key, sub_category LIMIT 5"""),
+        "loss_making_subcategories": _fact(f"""
+SELECT sub_category, {MONEY_P} AS total_profit
+FROM fact GROUP BY sub_category HAVING SUM(profit) < 0 ORDER BY total_profit ASC, sub_category LIMIT 5"""),
         "quarterly_sales": f"""
 WITH {_DATED}, quarters AS (
   SELECT region, date_trunc('quarter', order_date)::DATE AS q, SUM(sales) AS s, SUM(profit) AS p, COUNT(*) AS n

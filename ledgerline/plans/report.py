@@ -83,19 +83,21 @@ def run_report(spark: SparkSession, fact: DataFrame, out_dir: str,
         scratch.append(fact.scratch)
     path = scratch_path(spark, "report-rollup")
     scratch.append(path)
-    stored = store_rollup(spark, build_report_aggregates(fact, cfg), path)
-    rollup, grid = split_report_aggregates(stored)
-    sections = report_sections(fact, cfg, rollup, grid)
-    written = write_report(sections, f"{out_dir}/report", single_file=set(sections) - {GRID_SECTION})
-    written["sql_results"] = write_result(Q.region_category_profit(rollup),
-                                          f"{out_dir}/sql_results", single_file=True)
-    stored.unpersist()
-    if with_ml:
-        _, preds, metrics = M.run_regression(fact, mode=split_mode)
-        written["ml_predictions"] = write_result(preds, f"{out_dir}/ml_predictions")
-        written["ml_metrics"] = write_result(metrics, f"{out_dir}/ml_metrics",
-                                             single_file=True)
-        scratch += [preds.scratch] if preds.scratch else []
-    for folder in scratch:
-        delete_path(spark, folder)
+    try:
+        stored = store_rollup(spark, build_report_aggregates(fact, cfg), path)
+        rollup, grid = split_report_aggregates(stored)
+        sections = report_sections(fact, cfg, rollup, grid)
+        written = write_report(sections, f"{out_dir}/report", single_file=set(sections) - {GRID_SECTION})
+        written["sql_results"] = write_result(Q.region_category_profit(rollup),
+                                              f"{out_dir}/sql_results", single_file=True)
+        stored.unpersist()
+        if with_ml:
+            _, preds, metrics = M.run_regression(fact, mode=split_mode)
+            scratch += [preds.scratch] if preds.scratch else []
+            written["ml_predictions"] = write_result(preds, f"{out_dir}/ml_predictions")
+            written["ml_metrics"] = write_result(metrics, f"{out_dir}/ml_metrics",
+                                                 single_file=True)
+    finally:
+        for folder in scratch:
+            delete_path(spark, folder)
     return written
