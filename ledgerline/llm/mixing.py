@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents, in a fixed pseudo-random order, form blocks of
-``BLOCK_SIZE`` code points. Target weights become integer shares of a period
+``BLOCK_SIZE`` code points, or of what makes about ``MAX_BLOCKS`` of all sources
+where that is more. Target weights become integer shares of a period
 of slots: by default of about 2^40, so that over the whole schedule a share is
 off its weight by far less than one block. Block j (from 0) of a source with
 share k of a period of Q slots is released at slot ``floor(j * Q / k)`` and due
@@ -16,8 +17,8 @@ every block has its slot. No document is dropped or repeated.
 Everything is DataFrame functions. The slots are worked out one by one, by
 ``aggregate`` over one row of arrays, in ranges of ``SLOTS_PER_RANGE``; the
 blocks meet them by an equal join. That is one task of (blocks x sources) steps,
-whose number of blocks ``block_size`` sets. Offsets
-within a source are prefix sums in two levels, over hash ranges and inside them,
+which is why their number is bounded: by ``MAX_BLOCKS`` and one per source.
+Offsets within a source are prefix sums in two levels, over hash ranges and inside them,
 so a source that holds a third of all rows is spread like any other.
 
 Nulls: a null source is a source of its own, a null text has size zero and
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerline.llm.common import stored
 
 BLOCK_SIZE = 65_536
+MAX_BLOCKS = 1_000_000
 WEIGHT_BITS = 40
 SLOTS_PER_RANGE = 1024
 TEMPERATURE = 0.7        # default weights: source size to this power
@@ -124,7 +126,7 @@ def slots(sources: DataFrame) -> DataFrame:
 
 
 def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = BLOCK_SIZE,
-          temperature: float = TEMPERATURE,
+          temperature: float = TEMPERATURE, max_blocks: int = MAX_BLOCKS,
           carry: list[str] | None = None) -> tuple[DataFrame, str]:
     """``docs`` (the columns of ``carry``, default all) with a struct column
     ``(source, block, slot, start, key)``, and that column's name. Sorting by
@@ -149,6 +151,8 @@ def place(docs: DataFrame, weights: DataFrame | None = None, block_size: int = B
     totals = rows.groupBy("_src", "_range").agg(F.sum("_size").alias("_sum"), F.max("_size").alias("_last"))
     ahead = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = stored(totals.withColumn("_base", F.coalesce(F.sum("_sum").over(ahead), _long(0))), "mix-ranges")
+    size = totals.agg(F.sum("_sum")).first()[0] or 0
+    block_size = max(block_size, -(-int(size) // max_blocks))
     inside = (Window.partitionBy("_src", "_range").orderBy("_key", "_id", "_size")
               .rowsBetween(Window.unboundedPreceding, -1))
     rows = (rows.withColumn("_before", F.coalesce(F.sum("_size").over(inside), _long(0)))

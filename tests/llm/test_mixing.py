@@ -133,6 +133,16 @@ def test_documents(spark, docs_of, prose):
     assert len(order) == len(rows) - 2 and order == sorted(order)
 
 
+def test_the_number_of_blocks_is_bounded(spark, docs_of, prose):
+    """A large corpus gets larger blocks: all rows are placed, in few slots."""
+    docs = docs_of([(i, prose(i, 30), "abc"[i % 3]) for i in range(150)])
+    placed, _ = M.place(docs, block_size=10, max_blocks=12)
+    out = placed.select("mix.source", "mix.block", "mix.slot").collect()
+    slots = {r["slot"] for r in out}
+    assert len(out) == 150 and 12 <= len(slots) <= 15 and len({(r["source"], r["block"]) for r in out}) == len(slots)
+    assert sum(1 for _ in M.place(docs, block_size=10)[0].select("mix.slot").distinct().collect()) > 100
+
+
 def test_explicit_weights(spark, docs_of, prose):
     docs = docs_of([(i, prose(i, 30), "ab"[i % 2]) for i in range(120)] + [(500, prose(1, 30), "c")])
     weights = spark.createDataFrame([("a", 0.75), ("b", 0.25), ("zzz", 9.0), ("c", None), ("a", 0.0)],

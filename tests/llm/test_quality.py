@@ -147,6 +147,39 @@ def test_context_vectors_equal_brute_force():
     assert (total.reshape(want.shape) == want).all()
 
 
+def plain_features(text, vectors):
+    """Mean, mean square and length of the mean, word by word."""
+    for mark in "#*$%&|<>!":
+        text = text.replace(mark, f" {mark} ")
+    words = text.encode().split()
+    found = [vectors[zlib.crc32(w) % QC.BUCKETS].astype(float) for w in words]
+    if not found:
+        return [0.0] * (2 * QC.DIMENSIONS + 1)
+    mean = [sum(v[d] for v in found) / len(found) for d in range(QC.DIMENSIONS)]
+    square = [sum(v[d] ** 2 for v in found) / len(found) for d in range(QC.DIMENSIONS)]
+    return mean + square + [sum(m * m for m in mean) ** 0.5]
+
+
+def plain_score(x, model):
+    """The network one unit at a time."""
+    x = [(a - m) / s for a, m, s in zip(x, model.mean, model.scale)]
+    hidden = [np.tanh(sum(a * w for a, w in zip(x, model.w1[:, j])) + model.b1[j]) for j in range(len(model.b1))]
+    return 1 / (1 + np.exp(-(sum(h * w for h, w in zip(hidden, model.w2)) + model.b2) / model.temperature))
+
+
+def test_pooling_and_scores_equal_brute_force(spark, scored):
+    docs, _, model, out = scored
+    rows = docs.where("doc_id < 40").collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in rows}
+    scores = {r["doc_id"]: r["score"] for r in out}
+    for i, text in [*texts.items(), (None, ""), (None, "a!b  c#\n")]:
+        want = plain_features(text, model.vectors)
+        got = model.features([text.encode()], WordHash())
+        assert np.allclose(got[0], want, atol=1e-4)
+        assert abs(plain_score(want, model) - model.scores(got)[0]) < 1e-3
+        assert i is None or abs(scores[i] - plain_score(want, model)) < 1e-3
+
+
 def test_classifier_odd_rows(spark, docs_of, prose, scored):
     _, _, model, _ = scored
     rows = quality_rows(prose)
