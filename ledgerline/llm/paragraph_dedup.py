@@ -49,11 +49,11 @@ STOP_WINDOW = 8
 LEAST = 20
 MOST = LEAST + STOP_WINDOW        # shingles of a paragraph stay below this
 THRESHOLD = (80, 100)             # exact: 100 * intersection >= 80 * union
-RECALL = 0.95                     # of a pair of paragraphs at the threshold
-MAX_BANDS = 3
+RECALL = 0.85                     # of one pair of paragraphs at the threshold; a passage has several
+MAX_BANDS = 2
 CHUNK = 2000
 CACHED_WORDS = 100_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _SET_BYTES = 8 * MOST
 _POSITION_BITS = 28
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -136,15 +136,12 @@ def paragraphs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def digests(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of the words of paragraphs: of shingles side by side,
-    which hold all words, and the length."""
-    out, size = [], last - first
-    for seed in (7, 17):
-        value = _mixed(h[last - 1] ^ size.astype(np.uint64), seed)
-        for k in range(0, int(size.max(initial=0)), SHINGLE):
-            more = (value ^ h[np.minimum(first + k, last - 1)]) * _MIX[seed]
-            value = np.where(k < size, more ^ more >> np.uint64(29), value)
-        out.append(value)
+    """Two 64-bit digests of paragraphs: sums over their shingles, and their
+    first and last one. Paragraphs of equal shingles are equal here."""
+    out = []
+    for seed, end in ((7, first), (17, last - 1)):
+        sums = np.append(np.uint64(0), np.cumsum(_mixed(h, seed)))
+        out.append((sums[last] - sums[first]) ^ _mixed(h[end], seed + 1))
     return out[0], out[1]
 
 
@@ -220,6 +217,20 @@ def _joined(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= MAX_BROADCAST_BYTES else df.hint("merge")
 
 
+def _with_keys(found: DataFrame, keys: DataFrame, bands: int) -> DataFrame:
+    """The paragraphs that have band hashes among ``keys``, as ``keys``."""
+    if keys.count() * 32 <= MAX_BROADCAST_BYTES:
+        for b in range(bands):
+            known = F.broadcast(keys.select(F.col("key").alias(f"key{b}")))
+            found = found.join(known, F.col("bands")[b] == F.col(f"key{b}"), "left")
+        found = found.withColumn("keys", F.array_compact(F.array(*(f"key{b}" for b in range(bands)))))
+        return found.where(F.size("keys") > 0)
+    # beyond the bound only place and band hash meet the keys, and of the rest what has one its place
+    hits = (found.select("place", F.explode("bands").alias("key")).join(keys.hint("merge"), "key")
+            .groupBy("place").agg(F.collect_list("key").alias("keys")))         # at most ``bands``
+    return found.join(hits.hint("merge"), "place")
+
+
 def _apart(place: str = "place"):
     """Whether places are in two documents or do not overlap in one."""
     return F.max(place) - F.min(place) >= MOST + SHINGLE - 1
@@ -240,16 +251,13 @@ def repeated_paragraphs(docs: DataFrame, threshold=THRESHOLD, recall: float = RE
         found = scratch.store(map_arrow(texts, _paragraph_task(bands, rows), _PARAGRAPHS), "passages")
         # 35 bits of the document and the position: places of one document are near each other
         place = F.shiftrightunsigned("row", 64 - 63 + _POSITION_BITS).bitwiseAND(F.lit((1 << 63 - _POSITION_BITS) - 1))
-        place = F.shiftleft(place, _POSITION_BITS).bitwiseOR(F.col("start").cast("long")).alias("place")
-        keys = found.select(place, F.explode("bands").alias("key")).groupBy("key").agg(_apart().alias("apart"))
+        place = F.shiftleft(place, _POSITION_BITS).bitwiseOR(F.col("start").cast("long"))
+        keys = found.select(place.alias("place"), F.explode("bands").alias("key")).groupBy("key").agg(_apart().alias("apart"))
         keys = scratch.store(keys.where("apart").select("key"), "passage-keys")
         # what shares no band hash with another place is done with
-        digest = F.concat(F.unhex(F.lpad(F.hex("d1"), 16, "0")), F.unhex(F.lpad(F.hex("d2"), 16, "0"))).alias("id")
-        shared = (found.select("row", "doc_id", "start", "n_words", "d1", "d2", place, F.explode("bands").alias("key"))
-                  .join(_joined(keys, 32), "key")
-                  .groupBy("row", "doc_id", "start", "n_words", "d1", "d2", "place")
-                  .agg(F.collect_list("key").alias("keys")))       # at most ``bands``
-        shared = stored(shared.select("row", "doc_id", "start", "n_words", "place", digest, "keys"), "passage-shared")
+        shared = stored(_with_keys(found.withColumn("place", place), keys, bands).select(
+            "row", "doc_id", "start", "n_words", "place", F.concat(*(
+                F.unhex(F.lpad(F.hex(d), 16, "0")) for d in ("d1", "d2"))).alias("id"), "keys"), "passage-shared")
         distinct = scratch.store(shared.groupBy("id").agg(
             F.min(F.struct("row", "start", "n_words")).alias("at"), F.lit(_SET_BYTES).cast("long").alias("size"),
             F.first("keys").alias("bands")), "passage-distinct")

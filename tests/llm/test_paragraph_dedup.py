@@ -198,6 +198,14 @@ def test_a_large_family_is_one_passage(spark, docs_of, prose):
     assert {r["first_doc_id"] for r in out if r["removed"]} <= set(range(3))
 
 
+def test_both_join_forms_give_the_same(spark, docs_of, prose, monkeypatch):
+    passage = prose(1, 80, LONG)
+    docs = docs_of([(i, prose(50 + i, 40, LONG) + " " + passage + " " + prose(90 + i, 40, LONG), "s") for i in range(6)])
+    small = found(docs)
+    monkeypatch.setattr(P, "MAX_BROADCAST_BYTES", 0)
+    assert found(docs) == small and len({i for i, *_ in small}) == 6
+
+
 def test_empty_table(spark, docs_of):
     empty = docs_of([]).where("false")
     assert P.find_repeats(empty).count() == 0
