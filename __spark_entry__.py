@@ -403,8 +403,8 @@ framed AS (SELECT *, LAG(s, 4) OVER w AS ago, SUM(s) OVER (w ROWS 3 PRECEDING) A
            FROM dense WINDOW w AS (PARTITION BY region ORDER BY q))
 SELECT region, year(q)::INTEGER AS year, quarter(q)::INTEGER AS quarter, CAST(ROUND(s, 2) AS DOUBLE) AS total_sales,
        CAST(ROUND(p, 2) AS DOUBLE) AS total_profit, n AS total_orders,
-       CAST(ROUND(trailed, 2) AS DOUBLE) AS trailing_year_sales, {_pct("(s - ago)", "ago", 1)} AS yoy_pct
-FROM framed""",
+       CAST(ROUND(trailed, 2) AS DOUBLE) AS trailing_year_sales, CASE WHEN y = 0 THEN CAST(0 AS DOUBLE) ELSE y END AS yoy_pct
+FROM (SELECT *, {_pct("(s - ago)", "ago", 1)} AS y FROM framed) t""",
         "best_year": f"""
 WITH {_DATED}
 SELECT year(order_date)::INTEGER AS best_year, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS best_year_sales

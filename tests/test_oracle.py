@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ("region nation customer supplier part orders lineitem").split()
+TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
 def _norm(v):
