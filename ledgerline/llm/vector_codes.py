@@ -21,8 +21,8 @@ each entry they used (at most parts x entries rows a task), Spark adds them up,
 and the driver gets one row per entry, a size set by the codebooks and not by
 the vectors. A hot vector or label costs nothing extra.
 
-Vectors that are null or hold a null, NaN or infinite component are dropped, and
-so are those of another length than the kept vector with the smallest id, whose
+Vectors that are null, empty or hold a null, NaN or infinite component are dropped,
+and so are those of another length than the kept vector with the smallest id, whose
 length must be a multiple of ``PARTS``. Components whose integer is beyond
 ``LARGEST`` in magnitude end the job with an error, as sums of squares would no
 longer be exact. Repeated ids keep their rows; the codebook takes them in the
@@ -45,11 +45,11 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-CELL = 64
+CELL = 32
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 LARGEST = 1 << 27
 MEMO_BYTES = 16 * 1024 * 1024
-_BLOCK = 2048            # cells or parts worked out at once
+_BLOCK = 512             # parts worked out at once
 
 
 class GridMemo:
@@ -57,58 +57,47 @@ class GridMemo:
 
     def __init__(self, book: np.ndarray, cell: int = CELL, memo_bytes: int = MEMO_BYTES):
         self.book, self.cell, self.memo_bytes = book, cell, memo_bytes
-        self.known: dict[bytes, np.ndarray] = {}
-        self.used = self.evaluated = self.bounded = 0
-        self.levels: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(book.shape[1])]
-
-    def _level(self, k: int, value: int) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest squared distance of the entries to one level of
-        the grid, along component ``k``."""
-        found = self.levels[k].get(value)
-        if found is None:
-            low, high = value * self.cell, value * self.cell + self.cell - 1
-            x = self.book[:, k]
-            least = np.maximum(np.maximum(low - x, x - high), 0)
-            most = np.maximum(np.abs(x - low), np.abs(x - high))
-            if len(self.levels[k]) >= 4096:
-                self.levels[k].clear()
-            found = self.levels[k][value] = (least * least, most * most)
-        return found
+        self.known: dict[bytes, bytes] = {}
+        self.evaluated = self.bounded = 0
+        self.largest = int(np.abs(book).max(initial=0))
+
+    def _kind(self, most: int) -> type:
+        """Half the width where sums of squares up to ``most`` apart fit."""
+        return np.int32 if self.book.shape[1] * (most + self.largest) ** 2 < 1 << 31 else np.int64
 
     def _candidates(self, cells: np.ndarray) -> np.ndarray:
-        """For each cell a row that marks the entries not dominated there."""
-        least = np.zeros((len(cells), len(self.book)), np.int64)
+        """For each cell a row that marks the entries not dominated there: by
+        least and greatest squared distances, added up along the components."""
+        edge = int(np.abs(cells).max(initial=0) + 1) * self.cell
+        kind = self._kind(edge)
+        least = np.zeros((len(cells), len(self.book)), kind)
         most = np.zeros_like(least)
         for k in range(cells.shape[1]):
-            values, at = np.unique(cells[:, k], return_inverse=True)
-            near, far = (np.stack(x) for x in zip(*(self._level(k, int(v)) for v in values)))
-            least += near[at]
-            most += far[at]
+            levels, at = np.unique(cells[:, k], return_inverse=True)
+            low = levels[:, None] * self.cell
+            under, over = low - self.book[:, k], self.book[:, k] - (low + self.cell - 1)
+            near = np.maximum(np.maximum(under, over), 0)
+            far = np.maximum(np.abs(under), np.abs(over))
+            least += (near * near).astype(kind)[at]
+            most += (far * far).astype(kind)[at]
         self.bounded += len(cells)
         return least <= most.min(axis=1, keepdims=True)
 
     def _marks(self, cells: np.ndarray) -> np.ndarray:
-        keys = [c.tobytes() for c in cells]
-        marks = np.empty((len(cells), len(self.book)), bool)
-        new = []
+        """``_candidates`` of every cell, remembered."""
+        width = cells.shape[1] * cells.itemsize
+        if len(self.known) * (width + len(self.book) // 8 + 200) > self.memo_bytes:
+            self.known.clear()
+        keys = np.ascontiguousarray(cells).view(f"V{width}").ravel().tolist()
+        new: dict[bytes, int] = {}
         for i, key in enumerate(keys):
-            found = self.known.get(key)
-            if found is None:
-                new.append(i)
-            else:
-                marks[i] = np.unpackbits(found, count=len(self.book))
-        for at in range(0, len(new), _BLOCK):
-            some = new[at:at + _BLOCK]
-            marks[some] = self._candidates(cells[some])
-            packed = np.packbits(marks[some], axis=1)
-            for i, bits in zip(some, packed):
-                size = len(keys[i]) + bits.nbytes + 200
-                if self.used + size > self.memo_bytes:
-                    self.known.clear()
-                    self.used = 0
-                self.known[keys[i]] = bits.copy()
-                self.used += size
-        return marks
+            if key not in self.known:
+                new.setdefault(key, i)
+        if new:
+            packed = np.packbits(self._candidates(cells[list(new.values())]), axis=1)
+            self.known.update(zip(new, map(bytes, packed)))
+        bits = np.frombuffer(b"".join([self.known[key] for key in keys]), np.uint8).reshape(len(keys), -1)
+        return np.unpackbits(bits, axis=1, count=len(self.book)).view(bool)
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the nearest entries and the squared distances to them."""
@@ -116,11 +105,12 @@ class GridMemo:
         distance = np.empty(len(parts), np.int64)
         for at in range(0, len(parts), _BLOCK):
             some = parts[at:at + _BLOCK]
-            cells, inverse = np.unique(np.floor_divide(some, self.cell), axis=0, return_inverse=True)
-            owner, entry = np.nonzero(self._marks(cells)[inverse.reshape(-1)])
-            squares = np.zeros(len(owner), np.int64)
+            owner, entry = np.nonzero(self._marks(np.floor_divide(some, self.cell)))
+            kind = self._kind(int(np.abs(some).max(initial=0)))
+            points, book = some.astype(kind), self.book.astype(kind)
+            squares = np.zeros(len(owner), kind)
             for k in range(parts.shape[1]):
-                apart = some[owner, k] - self.book[entry, k]
+                apart = points[owner, k] - book[entry, k]
                 squares += apart * apart
             self.evaluated += len(owner)
             starts = np.searchsorted(owner, np.arange(len(some)))
@@ -135,7 +125,7 @@ class GridMemo:
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``(vec_id, label, ints)`` of the rows with a usable vector."""
     x = F.col("embedding")
-    usable = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    usable = (F.size(x) > 0) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
 
     def whole(v):
         value = F.floor(v.cast("double") * scale)

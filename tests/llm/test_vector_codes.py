@@ -87,9 +87,9 @@ def test_empty_tables_and_unusable_vectors(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(-300, 300), min_size=3, max_size=3), min_size=1, max_size=20),
        st.lists(st.lists(st.integers(-400, 400), min_size=3, max_size=3), min_size=1, max_size=30),
-       st.sampled_from([1, 7, 64, 1000]), st.sampled_from([100, 1 << 20]))
-def test_grid_memo_is_exact(book, points, cell, memo_bytes):
-    book, points = np.array(book, np.int64), np.array(points + points, np.int64)
+       st.sampled_from([1, 7, 64, 1000]), st.sampled_from([100, 1 << 20]), st.sampled_from([1, 300_000]))
+def test_grid_memo_is_exact(book, points, cell, memo_bytes, scale):
+    book, points = np.array(book, np.int64) * scale, np.array(points + points, np.int64) * scale
     index, distance = V.GridMemo(book, cell, memo_bytes).nearest(points)
     all_distances = ((points[:, None] - book[None]) ** 2).sum(-1)
     assert (index == all_distances.argmin(1)).all() and (distance == all_distances.min(1)).all()
@@ -103,4 +103,6 @@ def test_memo_prunes_and_is_reused():
     assert memo.evaluated < 0.5 * 500 * 256
     seen = memo.bounded
     memo.nearest(points)
-    assert memo.bounded == seen and memo.used <= V.MEMO_BYTES
+    assert memo.bounded == seen
+    small = V.GridMemo(book, memo_bytes=1)
+    assert (small.nearest(points)[0] == memo.nearest(points)[0]).all() and len(small.known) <= V._BLOCK
