@@ -26,7 +26,7 @@ more than 50 words that is copied into any surroundings holds a whole one.
    Neighbouring paragraphs of a document with one verdict are joined to spans.
 
 No text and texts of fewer words have no paragraphs. Rows of equal id and text are
-one document. Repeated ids with other texts are documents of their own; a null
+one document, whose places count once per row. Repeated ids with other texts are documents of their own; a null
 document id sorts first. An empty table gives no rows.
 """
 
@@ -51,7 +51,7 @@ MOST = LEAST + STOP_WINDOW        # shingles of a paragraph stay below this
 THRESHOLD = (80, 100)             # exact: 100 * intersection >= 80 * union
 RECALL = 0.85                     # of one pair of paragraphs at the threshold; a passage has several
 MAX_BANDS = 2
-CHUNK = 2000
+CHUNK = 10_000                    # a set has some 200 bytes
 CACHED_WORDS = 100_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 _SET_BYTES = 8 * MOST
@@ -231,9 +231,9 @@ def _with_keys(found: DataFrame, keys: DataFrame, bands: int) -> DataFrame:
     return found.join(hits.hint("merge"), "place")
 
 
-def _apart(place: str = "place"):
+def _apart(low: str = "place", high: str = "place"):
     """Whether places are in two documents or do not overlap in one."""
-    return F.max(place) - F.min(place) >= MOST + SHINGLE - 1
+    return F.max(high) - F.min(low) >= MOST + SHINGLE - 1
 
 
 def _row(docs: DataFrame):
@@ -259,35 +259,35 @@ def repeated_paragraphs(docs: DataFrame, threshold=THRESHOLD, recall: float = RE
             "row", "doc_id", "start", "n_words", "place", F.concat(*(
                 F.unhex(F.lpad(F.hex(d), 16, "0")) for d in ("d1", "d2"))).alias("id"), "keys"), "passage-shared")
         distinct = scratch.store(shared.groupBy("id").agg(
-            F.min(F.struct("row", "start", "n_words")).alias("at"), F.lit(_SET_BYTES).cast("long").alias("size"),
-            F.first("keys").alias("bands")), "passage-distinct")
-        level = buckets_of(scratch, distinct, chunk)
-        wanted = level.select("id").distinct().join(distinct, "id").groupBy(F.col("at.row").alias("row")).agg(
-            F.collect_list(F.struct("id", "at.start", "at.n_words")).alias("wanted"))
-        wanted = scratch.store(wanted, "passage-wanted")
-        sets = scratch.store(map_arrow(
-            texts.dropDuplicates(["row"]).join(_joined(wanted, 2000), "row").select("text", "wanted"), _set_task(),
-            "id binary, codes binary"), "passage-sets")
+            F.min(F.struct("doc_id", "row", "start", "n_words")).alias("at"), F.count("*").alias("n"),
+            F.min("place").alias("low"), F.max("place").alias("high"), F.first("keys").alias("bands")),
+            "passage-distinct")
+        level = buckets_of(scratch, distinct.select("id", F.lit(_SET_BYTES).cast("long").alias("size"), "bands"), chunk)
+        # the texts to be read again: told by 8 bytes each, then joined to what is wanted of them
+        wanted = scratch.store(
+            level.select("id").distinct().join(distinct.select("id", "at"), "id").groupBy(F.col("at.row").alias("row"))
+            .agg(F.collect_list(F.struct("id", "at.start", "at.n_words")).alias("wanted")), "passage-wanted")
+        read = texts.select("row", "text").join(_joined(wanted.select("row"), 32), "row", "left_semi")
+        sets = scratch.store(map_arrow(read.join(wanted, "row").select("text", "wanted"), _set_task(),
+                                       "id binary, codes binary"), "passage-sets")
         roots = scratch.own(connected_components(link_buckets(scratch, level, sets, threshold, chunk)))
-        rooted = scratch.store(shared.select("id", "doc_id", "row", "start", "place").join(
-            roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")),
-            "passage-rooted")
-        classes = rooted.groupBy("root").agg(
-            F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count_distinct("place").alias("n"),
-            _apart().alias("apart"))
+        rooted = scratch.store(distinct.drop("bands").join(roots.withColumnRenamed("node", "id"), "id", "left")
+                               .withColumn("root", F.coalesce("root", "id")), "passage-rooted")
+        classes = rooted.groupBy("root").agg(F.min("at").alias("first"), F.sum("n").alias("n"),
+                                             _apart("low", "high").alias("apart"))
         classes = scratch.store(classes.where("apart").drop("apart"), "passage-classes")
-        verdict = stored(rooted.select("id", "root").distinct().join(classes, "root").select("id", "first", "n"),
+        verdict = stored(rooted.select("id", "root").join(classes, "root").select("id", "first", "n"),
                          "passage-verdict")
     kept = (F.col("row") == F.col("first.row")) & (
         F.abs(F.col("start") - F.col("first.start")) < MOST + SHINGLE - 1)
     # both sides are stored tables: a passage with very many copies is split
-    return shared.drop("keys", "place").join(verdict, "id").select(
+    return shared.select("row", "doc_id", "start", "n_words", "id").join(verdict, "id").select(
         "row", "doc_id", "start", "n_words", "first", "n", (~kept).alias("removed"))
 
 
 def _spans(docs: DataFrame, **options) -> DataFrame:
     """Paragraphs of one document and verdict that touch, as one span."""
-    found = repeated_paragraphs(docs, **options).distinct()
+    found = repeated_paragraphs(docs, **options)
     by = Window.partitionBy("row", "removed").orderBy("start", "n_words")
     before = F.max(F.col("start") + F.col("n_words")).over(by.rowsBetween(Window.unboundedPreceding, -1))
     opened = F.when(before >= F.col("start"), 0).otherwise(1)
