@@ -25,6 +25,12 @@ Linking works on distinct fingerprints, so exact copies cost nothing:
    smallest holder that claims it. Both ends of every true link meet, whoever
    meets is within r, and the rows grow with the size of the group only.
 
+No join of tables that grow with the documents is left to Spark's estimate of a
+side: it takes exploded rows for one row and a compressed file for rows in memory,
+and would send millions of probes through the driver. These joins are by shuffle
+at every size; only the list of crowded values is broadcast, up to
+``CROWDED_BYTES`` as measured.
+
 No text and a text without words have fingerprint zero, linked like any other.
 A null document id takes part in linking but is never a component's id unless
 the component has no other. Repeated document ids keep their rows.
@@ -44,11 +50,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ledgerline.llm.common import (
     LOWER, Scratch, connected_components, drop_stored, map_arrow, raw_texts, stored,
 )
+from ledgerline.plans.strategy import small_tables
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
 HOT = 128
+CROWDED_BYTES = 10 * 1024 * 1024        # of crowded segment values sent to all tasks
 BITS = 64
 
 
@@ -145,14 +153,16 @@ def link_fingerprints(scratch: Scratch, distinct: DataFrame, n: int, radius: int
     crowded = scratch.store(holders.groupBy("key", "seg").agg(F.count("*").alias("size"))
                             .where(F.col("size") > hot).select("key", "seg"), "simhash-hot")
     on = ["key", "seg"]
-    table = holders.join(crowded, on, "left_anti").select(*on, F.col("fp").alias("a"))
-    near = (probes.select(*on, F.col("fp").alias("b")).join(table, on)
+    few = small_tables({"crowded": crowded}, max_bytes=CROWDED_BYTES)["crowded"]
+    sent = F.broadcast(crowded) if few else crowded.hint("merge")
+    table = holders.join(sent, on, "left_anti").select(*on, F.col("fp").alias("a"))
+    near = (probes.select(*on, F.col("fp").alias("b")).join(table.hint("merge"), on)
             .where((F.col("a") < F.col("b"))
                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
             .select("a", "b"))
     if crowded.isEmpty():
         return near
-    return near.unionByName(_meetings(scratch, probes.join(crowded, on), segments, radius))
+    return near.unionByName(_meetings(scratch, probes.join(sent, on), segments, radius))
 
 
 def _meetings(scratch: Scratch, members: DataFrame, segments: list[tuple[int, int, int]],
@@ -178,7 +188,7 @@ def _meetings(scratch: Scratch, members: DataFrame, segments: list[tuple[int, in
         points = stored(points, "simhash-points")
         least = stored(points.where("holder").groupBy("key", "point").agg(F.min("fp").alias("b")),
                        "simhash-least")
-        found = (points.join(least, ["key", "point"]).where(F.col("fp") != F.col("b"))
+        found = (points.join(least.hint("merge"), ["key", "point"]).where(F.col("fp") != F.col("b"))
                  .select(F.col("fp").alias("a"), "b").distinct())
         found = scratch.store(found, "simhash-met")
         drop_stored(points, least)
@@ -196,14 +206,15 @@ def components(prints: DataFrame, radius: int = RADIUS, hot: int = HOT, roots: b
         groups = scratch.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
         links = link_fingerprints(scratch, groups.select("fp"), groups.count(), radius, hot)
         nodes = scratch.own(connected_components(links))
-        rooted = groups.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(
+        rooted = groups.join(nodes.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
             "fp", "first", F.coalesce("root", "fp").alias("root"))
         rooted = scratch.store(rooted, "simhash-rooted")
         smallest = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("component_id")),
                                  "simhash-smallest")
-        by_print = stored(rooted.join(smallest, "root").select("fp", "component_id", *more), "simhash-components")
+        by_print = stored(rooted.join(smallest.hint("merge"), "root").select("fp", "component_id", *more),
+                          "simhash-components")
     # both sides are stored tables: a fingerprint shared by very many documents is split
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id", *more)
+    return prints.join(by_print.hint("merge"), "fp").select("doc_id", "fp", "component_id", *more)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
@@ -249,8 +260,9 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     rows = map_arrow(rows, _print_adder(shingle, SEED, name),
                      StructType([*rows.schema.fields, StructField(name, LongType())]))
     keys = near.where(keeper).select(F.struct("doc_id", "fp").alias("_key"), F.col("root").alias("_root"))
-    keys = keys.join(repeated, F.col("_key.doc_id") == F.col("doc_id"), "left_semi").distinct()
+    keys = keys.join(repeated.hint("merge"), F.col("_key.doc_id") == F.col("doc_id"), "left_semi").distinct()
     row = F.struct(*(F.col(c) for c in docs.columns)).alias("_row")
-    rows = rows.select(row, F.struct(F.col("doc_id"), F.col(name).alias("fp")).alias("_key")).join(keys, "_key")
+    rows = rows.select(row, F.struct(F.col("doc_id"), F.col(name).alias("fp")).alias("_key"))
+    rows = rows.join(keys.hint("merge"), "_key")
     rows = rows.select("_row", F.col("_key.doc_id").alias("_id"), "_root").dropDuplicates(["_id", "_root"])
     return kept.unionByName(rows.select("_row.*"))

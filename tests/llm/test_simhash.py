@@ -8,7 +8,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.llm import simhash
+from ledgerline.llm import common, simhash
 from ledgerline.llm.common import connected_components
 
 from .conftest import components
@@ -122,3 +122,33 @@ def test_hot_copies_stay_whole(spark, docs_of, prose):
     out = simhash.near_duplicates(docs)
     assert out.count() == 300
     assert out.where(F.col("doc_id") % 3 == 0).select("component_id").distinct().count() == 1
+
+
+def test_growing_tables_are_not_broadcast(spark, docs_of, prose, monkeypatch):
+    # Spark's estimate of the probes is that of the fingerprints they are exploded from
+    plans = {}
+
+    def seen(name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+
+    def recorded(df, name, write=common.stored):
+        seen(name, df)
+        return write(df, name)
+
+    monkeypatch.setattr(common, "stored", recorded)
+    monkeypatch.setattr(simhash, "stored", recorded)
+    rows = [(k, prose(k, 40), "s") for k in range(8)] + [(8, prose(0, 40), "s"), (5, prose(0, 40), "s")]
+    docs = docs_of(rows)                        # id 5 twice
+    distinct = spark.createDataFrame([(k,) for k in range(40)], "fp long")
+    with common.Scratch() as scratch:
+        distinct = scratch.store(distinct, "fps")
+        seen("links", simhash.link_fingerprints(scratch, distinct, 40, radius=1, hot=2))
+    seen("kept", simhash.keep_first(docs, radius=1, hot=2))
+    assert {"simhash-met", "simhash-rooted", "simhash-components"} <= set(plans)
+    for name, plan in plans.items():
+        if not name.startswith("cc-"):
+            # the one table sent to all is that of the crowded values
+            sent = re.findall(r"BroadcastHashJoin (.*)", plan)
+            assert all(re.fullmatch(r"\[key#\d+L(, seg#\d+)?\], \[key#\d+L(, seg#\d+)?\], (Inner|LeftAnti), "
+                                    r"BuildRight, false", of) for of in sent), (name, sent)
+            assert "BroadcastNestedLoopJoin" not in plan
